@@ -1,0 +1,11 @@
+"""Progress of a run as a stream of stages.
+
+The quality job itself is a batch job: rules, quartiles, keys and scores are facts about a whole
+table. What is streamed is its progress, stage by stage.
+"""
+
+from tablewright.plans.run import iter_quality
+
+STAGES = ("ingest", "discover", "audit", "plan", "remediation", "re_audit", "second_pass", "final_audit", "score")
+
+__all__ = ["STAGES", "iter_quality"]
