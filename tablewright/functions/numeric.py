@@ -9,22 +9,25 @@ from tablewright.functions.text import PLAIN_NUMBER, _col, as_text
 
 # A clean literal: no thousands dots possible, so the clean-up steps would not change it.
 _CLEAN = r"^-?\d+(\.(\d{1,2}|\d{4,}))?\z"
+# Only text with a digit and no minus sign after it can clean up to a number.
+_CANDIDATE = r"^[^0-9]*[0-9][^-]*\z"
 _THOUSANDS_DOT = r"(?<=\d)\.(?=\d{3}(\D|\z))"
+_CLEANED = r"^-?(\d+\.?\d*|\.\d+)\z"
 
 
-def parse_number_loose(c: Column | str) -> Column:
+def parse_number_loose(c: Column | str, stripped: bool = False) -> Column:
     """Best-effort number: drops the euro sign, spaces, thousands dots and any unit text and
     reads a decimal comma as a point. NULL when what is left is not one number.
 
-    Clean literals skip the clean-up, text without a digit is NULL at once, so the regular
-    expressions run on dirty cells only.
+    Clean literals skip the clean-up and text that cannot become a number is NULL at once, so
+    the clean-up runs on dirty cells only and no cast ever fails (a failed cast is slow).
     """
-    text = as_text(c)
+    text = _col(c) if stripped else as_text(c)
     cleaned = F.regexp_replace(text, r"[€\s\u00a0]+", "")
     cleaned = F.regexp_replace(cleaned, _THOUSANDS_DOT, "")
     cleaned = F.regexp_replace(F.translate(cleaned, ",", "."), r"[^0-9.\-]", "")
     return (F.when(text.rlike(_CLEAN), text.try_cast("double"))
-             .when(text.rlike("[0-9]"), cleaned.try_cast("double")))
+             .when(text.rlike(_CANDIDATE), F.when(cleaned.rlike(_CLEANED), cleaned.try_cast("double"))))
 
 
 def parse_number_currency(c: Column | str) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tablewright.constants import DISGUISED_NULLS, ROW_ID
 from tablewright.functions.numeric import parse_number_loose
+from tablewright.functions.temporal import layout
 from tablewright.functions.text import as_text
 from tablewright.tables import col, column_groups, is_numeric_type
 
@@ -43,10 +44,10 @@ def numbers(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) ->
 
 
 def typed_cells(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(_row_id?, column, value, text, token, number, is_typed) of every scalar column.
+    """(_row_id?, column, value, text, token, number, layout, is_typed) of every scalar column.
 
     Text and numeric columns are unpivoted apart: each branch scans only its own columns, and
-    typed numbers are never parsed from text (their text and token are NULL).
+    typed numbers are never parsed from text (their text, token and layout are NULL).
     """
     text, numeric, _ = column_groups(df)
     if columns is not None:
@@ -58,13 +59,15 @@ def typed_cells(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
         cells = _unpivot(df, text, "string", "value").withColumn("text", as_text("value"))
         parts.append(cells.select(
             *keep, "column", "value", "text", F.lower("text").alias("token"),
-            parse_number_loose("text").alias("number"), F.lit(False).alias("is_typed")))
+            parse_number_loose("text", stripped=True).alias("number"),
+            layout("text", stripped=True).alias("layout"),
+            F.lit(False).alias("is_typed")))
     if numeric:
         cells = numbers(df, numeric, keep).unpivot(keep, [col(c) for c in numeric], "column", "number")
         nothing = F.lit(None).cast("string")
         parts.append(cells.select(
             *keep, "column", F.col("number").cast("string").alias("value"), nothing.alias("text"),
-            nothing.alias("token"), "number", F.lit(True).alias("is_typed")))
+            nothing.alias("token"), "number", nothing.alias("layout"), F.lit(True).alias("is_typed")))
     return reduce(DataFrame.unionByName, parts)
 
 

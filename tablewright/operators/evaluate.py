@@ -15,7 +15,7 @@ from tablewright.operators.corrupt import EXPECTED_ISSUES, INJECTORS, corrupt, m
 from tablewright.operators.events import DETECTORS, _events, detect_events, empty_events
 from tablewright.operators.profile import profile
 from tablewright.operators.rules import CrossRule, Rules, discover_rules, with_fallback_key
-from tablewright.tables import col, column_groups, data_columns, is_numeric_type, materialize
+from tablewright.tables import col, column_groups, data_columns, is_numeric_type, materialize, small_frame
 
 _IDENTITY = ["dataset", "error_type", "columns", "members", "first_row", "last_row", "digest"]
 
@@ -104,7 +104,7 @@ def evaluate(
     trials = materialize(reduce(DataFrame.unionByName, outcomes), "trials")
     metrics = detection_metrics(trials)
     if with_audit:
-        hit = df.sparkSession.createDataFrame(hits, "family string, runs int, issue_hits int")
+        hit = small_frame(df.sparkSession, hits, "family string, runs int, issue_hits int")
         overall = hit.agg(F.lit("overall").alias("family"), F.sum("runs").cast("int").alias("runs"),
                           F.sum("issue_hits").cast("int").alias("issue_hits"))
         both = hit.unionByName(overall).withColumn("issue_hit_rate", F.round(F.col("issue_hits") / F.col("runs"), 4))

@@ -22,7 +22,7 @@ from tablewright.operators.checks import iqr_fences
 from tablewright.operators.cross import ISSUE_OF_RULE
 from tablewright.operators.duplicates import key_groups
 from tablewright.operators.rules import CrossRule, Rules
-from tablewright.tables import col, column_groups, rows_of_groups
+from tablewright.tables import col, column_groups, rows_of_groups, small_frame
 
 EVENT_COLUMNS = ("dataset", "error_type", "issue_type", "columns", "event_key", "row_id")
 
@@ -38,7 +38,7 @@ def _events(rows: DataFrame, dataset: str, family: str | Column, issue_type: str
 
 
 def empty_events(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame(
+    return small_frame(df.sparkSession, 
         [], "dataset string, error_type string, issue_type string, columns string, event_key string, row_id bigint")
 
 
@@ -73,7 +73,7 @@ def below_minimum_events(df: DataFrame, dataset: str, rules: Rules) -> DataFrame
     limits = {r.column: r.min_value for r in rules.numeric if r.min_value is not None and r.column in df.columns}
     if not limits:
         return empty_events(df)
-    bound = df.sparkSession.createDataFrame(list(limits.items()), "column string, min_value double")
+    bound = small_frame(df.sparkSession, list(limits.items()), "column string, min_value double")
     cells = numbers(df, list(limits), [ROW_ID]).unpivot([ROW_ID], [col(c) for c in limits], "column", "number")
     out = cells.join(F.broadcast(bound), "column").where("number < min_value")
     return _events(out, dataset, "wrong_but_parseable", "value_below_minimum", F.col("column"))
@@ -81,7 +81,7 @@ def below_minimum_events(df: DataFrame, dataset: str, rules: Rules) -> DataFrame
 
 def labelled_cells(df: DataFrame, formats: dict[str, str]) -> DataFrame:
     """(_row_id, column, label) of the temporal columns."""
-    kinds = df.sparkSession.createDataFrame(list(formats.items()), "column string, kind string")
+    kinds = small_frame(df.sparkSession, list(formats.items()), "column string, kind string")
     cells = text_cells(df, list(formats)).join(F.broadcast(kinds), "column")
     return cells.select(ROW_ID, "column", "value", "kind", classify_format("value", F.col("kind")).alias("label"))
 

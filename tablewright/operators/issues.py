@@ -17,6 +17,7 @@ ISSUE_COLUMNS = [part.split()[0] for part in ISSUE_SCHEMA.split(", ")]
 CHECKS = ("check_schema", "check_nulls", "check_sparse_columns", "check_formats",
           "check_categorical_case_variants", "check_categorical_rare_values",
           "check_numeric_validity", "check_outliers_iqr", "check_duplicates", "check_cross_column")
+from tablewright.tables import small_frame
 
 
 def issues_from(
@@ -53,7 +54,7 @@ def issues_from(
 
 
 def empty_issues(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], ISSUE_SCHEMA + ", _order int")
+    return small_frame(spark, [], ISSUE_SCHEMA + ", _order int")
 
 
 def union_issues(parts: list[DataFrame]) -> DataFrame:
@@ -73,7 +74,7 @@ def numbered(issues: DataFrame) -> DataFrame:
 def issues_summary(issues: DataFrame, tools: tuple[str, ...] = CHECKS) -> DataFrame:
     """Issue count and per-severity counts of every (dataset, tool), zero rows included."""
     spark = issues.sparkSession
-    all_tools = spark.createDataFrame([(t,) for t in tools], "tool string")
+    all_tools = small_frame(spark, [(t,) for t in tools], "tool string")
     counts = issues.groupBy("dataset", "tool").agg(
         F.count("*").alias("issue_count"),
         *[F.count_if(F.col("severity") == s).alias(s) for s in SEVERITIES])

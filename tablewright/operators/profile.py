@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.constants import DISGUISED_NULLS, ROW_ID, TOKEN_PATTERNS
+from tablewright.constants import DISGUISED_NULLS, FORBIDDEN_SYMBOLS, ROW_ID, TOKEN_PATTERNS
 from tablewright.functions import temporal as tp
 from tablewright.operators.cells import (
     cell_text, is_disguised_cell, is_filled, is_null, is_present_cell, numbers, typed_cells)
 from tablewright.operators.quantiles import exact_quantiles
-from tablewright.tables import col, column_groups, data_columns, is_numeric_type
+from tablewright.tables import col, column_groups, data_columns, is_numeric_type, small_frame
 
 SEMANTIC_SHARE = 0.90
 KIND_SHARE = 0.85
@@ -31,10 +31,10 @@ def _share(part: str, whole: str) -> Column:
 
 def column_counts(df: DataFrame, tokens: Sequence[str] = DISGUISED_NULLS) -> DataFrame:
     """One row of counts per scalar column, from one scan and one narrow shuffle."""
-    cells = typed_cells(df).withColumn("stamp", tp.parse_timestamp("text"))
-    text, filled, present = F.col("text"), is_filled(), is_present_cell(tokens)
-    number = F.col("number")
-    period = text.rlike(tp.PERIOD_DASH) | text.rlike(tp.PERIOD_EU) | text.rlike(tp.PERIOD_SLASH)
+    shape, text, number = F.col("layout"), F.col("text"), F.col("number")
+    cells = (typed_cells(df).withColumn("stamp", tp.parse_timestamp("text", shape))
+             .withColumn("filled", is_filled()).withColumn("present", is_present_cell(tokens)))
+    filled, present = F.col("filled"), F.col("present")
     return cells.groupBy("column").agg(
         F.count("*").alias("total"),
         _count(is_null()).alias("real_nulls"),
@@ -42,16 +42,16 @@ def column_counts(df: DataFrame, tokens: Sequence[str] = DISGUISED_NULLS) -> Dat
         _count(filled).alias("filled"),
         _count(filled & number.isNotNull()).alias("numeric_cells"),
         _count(filled & F.col("stamp").isNotNull()).alias("date_cells"),
-        _count(filled & text.rlike(":|T")).alias("time_cells"),
-        _count(filled & text.rlike(tp.YEAR)).alias("year_cells"),
-        _count(filled & text.rlike(tp.MONTH)).alias("month_cells"),
-        _count(filled & period).alias("period_cells"),
-        _count(filled & (text.rlike(tp.DATE_ISO) | text.rlike(tp.DATE_EU))).alias("plain_date_cells"),
+        _count(filled & (text.contains(":") | text.contains("T"))).alias("time_cells"),
+        _count(filled & tp.is_year(text, shape)).alias("year_cells"),
+        _count(filled & tp.is_month(text)).alias("month_cells"),
+        _count(filled & tp.is_period(shape)).alias("period_cells"),
+        _count(filled & tp.is_plain_date(shape)).alias("plain_date_cells"),
         _count(present).alias("present_count"),
         _count(present & number.isNotNull()).alias("present_numeric"),
         _count(present & (number >= 0)).alias("present_nonnegative"),
-        *[_count(text.rlike(pattern)).alias(f"token_{i}")
-          for i, pattern in enumerate(TOKEN_PATTERNS.values())])
+        *[_count(text.contains(t) if t in FORBIDDEN_SYMBOLS else text.rlike(TOKEN_PATTERNS[t])).alias(f"token_{i}")
+          for i, t in enumerate(TOKEN_PATTERNS)])
 
 
 def semantic_type(date_first: bool = False) -> Column:
@@ -113,7 +113,7 @@ def column_samples(df: DataFrame, columns: Sequence[str] | None = None, n: int =
     wanted = [c for c in text + numeric if columns is None or c in columns]
     spark = df.sparkSession
     if not wanted:
-        return spark.createDataFrame([], "column string, samples array<string>")
+        return small_frame(spark, [], "column string, samples array<string>")
     narrow = df.select(*[c for c in df.columns if c in wanted or c == ROW_ID])
 
     def samples_of(frame, cols):
@@ -126,7 +126,7 @@ def column_samples(df: DataFrame, columns: Sequence[str] | None = None, n: int =
     head = narrow.orderBy(ROW_ID).limit(HEAD_ROWS)
     settled = samples_of(head, wanted).where(F.size("samples") >= n).collect()
     rest = [c for c in wanted if c not in {r["column"] for r in settled}]
-    out = spark.createDataFrame(settled, "column string, samples array<string>")
+    out = small_frame(spark, settled, "column string, samples array<string>")
     return out.unionByName(samples_of(narrow, rest)) if rest else out
 
 
@@ -134,7 +134,7 @@ def positions(df: DataFrame) -> DataFrame:
     """(column, position, dtype) of every data column, from the schema."""
     rows = [(f.name, i, f.dataType.simpleString())
             for i, f in enumerate(f for f in df.schema.fields if f.name != ROW_ID)]
-    return df.sparkSession.createDataFrame(rows, "column string, position int, dtype string")
+    return small_frame(df.sparkSession, rows, "column string, position int, dtype string")
 
 
 def profile(
@@ -250,7 +250,7 @@ def preview_type(dtype: T.DataType) -> str:
 def preview_types(df: DataFrame, dataset: str) -> DataFrame:
     """(dataset, column, type) from the schema alone."""
     rows = [(dataset, f.name, preview_type(f.dataType)) for f in df.schema.fields if f.name != ROW_ID]
-    return df.sparkSession.createDataFrame(rows, "dataset string, column string, type string")
+    return small_frame(df.sparkSession, rows, "dataset string, column string, type string")
 
 
 def dataset_summary(df: DataFrame, dataset: str) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.tables import col
+from tablewright.tables import col, small_frame
 
 BLOCK_ROWS = 1_000_000
 ACCURACY = 10_000
@@ -93,7 +93,7 @@ def exact_quantiles(
 
     # One row per (column, distinct value, bracket); brackets of a column not yet narrowed
     # share its whole value list.
-    spans = spark.createDataFrame(
+    spans = small_frame(spark, 
         [(b["id"], b["column"], b["lo"], b["hi"], b["below"], b["lo_rank"], b["hi_rank"])
          for b in brackets],
         "id int, column string, lo double, hi double, below bigint, lo_rank bigint, hi_rank bigint")

@@ -14,6 +14,7 @@ from tablewright.operators.profile import profile
 RULE_SCHEMA = ("column string, position int, semantic_type string, temporal_kind string, "
                "required boolean, min_value double, forbid_tokens array<string>, key_rank int")
 KEY_COLUMNS = 3
+from tablewright.tables import small_frame
 
 
 @dataclass(frozen=True)
@@ -70,7 +71,7 @@ class Rules:
     def to_df(self, spark: SparkSession) -> DataFrame:
         rows = [(r.column, r.position, r.semantic_type, r.temporal_kind, r.required, r.min_value,
                  list(r.forbid_tokens), r.key_rank) for r in self.columns]
-        return spark.createDataFrame(rows, RULE_SCHEMA)
+        return small_frame(spark, rows, RULE_SCHEMA)
 
 
 def rules_from_profile(profiles: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.constants import (
     DEAD_COMPLETENESS, OTHER_PENALTY, RESOLUTION_WEIGHT, SEVERITIES, SEVERITY_PENALTY, WEIGHTS)
 from tablewright.plans.planner import catalogue
+from tablewright.tables import small_frame
 
 
 def _by_severity(values: dict[str, float], other: float) -> Column:
@@ -117,4 +118,4 @@ def severity_deltas(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def datasets_frame(spark: SparkSession, *names: str) -> DataFrame:
-    return spark.createDataFrame([(n,) for n in names], "dataset string")
+    return small_frame(spark, [(n,) for n in names], "dataset string")

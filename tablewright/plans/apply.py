@@ -12,16 +12,16 @@ import re
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.constants import CATALOGUE, ROW_ID
 from tablewright.operators.duplicates import duplicate_groups
 from tablewright.operators.fixes import (
-    ACTIONS, COLUMN_FIXES, NEEDS, Cell, Context, drop_duplicates, drop_unexpected_columns,
+    ACTIONS, COLUMN_FIXES, NEEDS, Context, Fixed, drop_duplicates, drop_unexpected_columns,
     keep_first_by_key, start_cell, statistics)
 from tablewright.operators.rules import Rules
-from tablewright.tables import col
+from tablewright.tables import col, small_frame
 
 LOG_SCHEMA = (
     "dataset string, seq bigint, pass int, agent string, action string, column string, "
@@ -78,39 +78,38 @@ class _Stage:
     def add(self, step: Step, entry: dict) -> None:
         self.waiting.append((step, entry))
 
+    def _apply(self, frame: DataFrame, number: int, stats: dict) -> tuple[DataFrame, Fixed]:
+        """One correction as one projection. Values that later ones read are columns, not nested
+        expressions, so a chain of corrections on a column grows linearly."""
+        step = self.waiting[number][0]
+        fixed = COLUMN_FIXES[step.action](start_cell(frame, step.column), Context(step.column, self.rules, stats))
+        touched = fixed.touched if fixed.applied and fixed.touched is not None else F.lit(False)
+        return frame.select(*[fixed.cell.value.alias(c) if c == step.column else col(c) for c in frame.columns],
+                            touched.alias(f"_touched_{number}")), fixed
+
     def finish(self) -> DataFrame:
         if not self.waiting:
             return self.frame
-        cells: dict[str, Cell] = {}
-        needed: dict[str, tuple[Cell, tuple[str, ...]]] = {}
-        # Statistics are taken on the column as the stat-free actions before left it.
-        for step, _ in self.waiting:
-            cell = cells.get(step.column) or start_cell(self.frame, step.column)
+        # Statistics are taken on each column as the stat-free actions before left it.
+        before, needed = self.frame, {}
+        for i, (step, _) in enumerate(self.waiting):
             if step.action in NEEDS:
-                needed[step.column] = (cell, NEEDS[step.action])
-            else:
-                cell = COLUMN_FIXES[step.action](cell, Context(step.column, self.rules, {})).cell
-            cells[step.column] = cell
-        stats = statistics(self.frame, needed) if needed else {}
-
-        cells, touched = {}, {}
+                needed[step.column] = NEEDS[step.action]
+            elif step.column not in needed:
+                before, _ = self._apply(before, i, {})
+        stats = {}
+        if needed:
+            stats = statistics(before, {c: (start_cell(before, c), names) for c, names in needed.items()})
+
+        frame = self.frame
         for i, (step, entry) in enumerate(self.waiting):
-            cell = cells.get(step.column) or start_cell(self.frame, step.column)
-            fixed = COLUMN_FIXES[step.action](cell, Context(step.column, self.rules, stats.get(step.column, {})))
-            cells[step.column] = fixed.cell
-            if fixed.touched is not None and fixed.applied:
-                touched[i] = fixed.touched
+            frame, fixed = self._apply(frame, i, stats.get(step.column, {}))
             entry.update(applied=fixed.applied, value=fixed.value, lower=fixed.lower, upper=fixed.upper,
                          reason=fixed.reason)
-        if touched:
-            counts = self.frame.agg(*[F.count_if(t).alias(str(i)) for i, t in touched.items()]).first()
-            for i in touched:
-                self.waiting[i][1]["rows_affected"] = counts[str(i)]
-        return self.frame.select(*[_named(cells[c].value if c in cells else col(c), c) for c in self.frame.columns])
-
-
-def _named(value: Column, name: str) -> Column:
-    return value.alias(name)
+        counts = frame.agg(*[F.count_if(f"_touched_{i}").alias(str(i)) for i in range(len(self.waiting))]).first()
+        for i, (_, entry) in enumerate(self.waiting):
+            entry["rows_affected"] = counts[str(i)]
+        return frame.select(*[col(c) for c in self.frame.columns])
 
 
 def _renamed_copies(df: DataFrame, names: Iterable[str]) -> list[str]:
@@ -175,7 +174,7 @@ def apply_steps(df: DataFrame, dataset: str, steps: list[Step], rules: Rules, pa
 
 
 def log_frame(df: DataFrame, entries: list[tuple]) -> DataFrame:
-    return df.sparkSession.createDataFrame(entries, LOG_SCHEMA)
+    return small_frame(df.sparkSession, entries, LOG_SCHEMA)
 
 
 __all__ = ["ACTIONS", "LOG_SCHEMA", "ROW_ID", "Step", "apply_steps", "log_frame", "plan_steps", "residual_steps"]

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tablewright.constants import ROW_ID
 
@@ -49,9 +51,18 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_frame(spark: SparkSession, rows: Iterable[Sequence], schema: str | T.StructType) -> DataFrame:
+    """A few driver-side rows as a local relation, which the optimizer folds into the plan."""
+    struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(struct)
+    rows = list(rows)
+    arrays = [pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), struct)
+
+
 def local_rows(df: DataFrame) -> DataFrame:
     """Pin a result whose size depends on the number of columns, not of rows, as a local relation."""
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
 
 
 def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
