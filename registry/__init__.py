@@ -1 +1,10 @@
 """Registered queries over the test tables, each next to its equivalent SQL."""
+
+from __future__ import annotations
+
+
+def load():
+    """(queries, oracle SQL) of all query modules."""
+    from registry import base, check_queries, profile_queries  # noqa: F401
+
+    return base.QUERIES, base.ORACLE

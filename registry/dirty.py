@@ -92,9 +92,8 @@ dirty AS (
 CELLS_SQL = """
 cells AS (
   SELECT row_id, col AS "column", val AS value, trim(val, ' ' || chr(9) || chr(10) || chr(13)) AS text
-  FROM (UNPIVOT INCLUDE NULLS (SELECT * FROM dirty)
-        ON order_id, customer_id, status, priority, order_date, order_period, order_year, total_price, note
-        INTO NAME col VALUE val))
+  FROM dirty UNPIVOT INCLUDE NULLS (val FOR col IN (
+    order_id, customer_id, status, priority, order_date, order_period, order_year, total_price, note)))
 """
 
 TOKENS_SQL = ("('n.d.','nd','n/a','null','none','?','-','//','unknown','na','missing','',' ')")

@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tablewright.constants import MONTHS
-from tablewright.functions.text import _col, as_text, is_present
+from tablewright.functions.text import _col, as_text, constant_map, is_present
 
 # ---- Fixed values: layouts that carry a label of their own -------------------
 MONTH_TEXTS = ("1", "2", "3", "4", "5", "6", "7", "8", "9", "01", "02", "03", "04", "05", "06",
@@ -73,8 +73,7 @@ def is_plain_date(shape: Column) -> Column:
 
 def _named(text: Column, pattern: str, day: int, name: int) -> Column:
     """ISO text of a date with a month name; NULL when it names no month."""
-    table = F.create_map(*[F.lit(x) for pair in MONTHS.items() for x in pair])
-    month = F.try_element_at(table, F.lower(F.regexp_extract(text, pattern, name)))
+    month = F.try_element_at(constant_map(MONTHS), F.lower(F.regexp_extract(text, pattern, name)))
     date = F.concat(F.regexp_extract(text, pattern, 3), F.lit("-"), month.cast("string"), F.lit("-"),
                     F.regexp_extract(text, pattern, day))
     return F.concat(date, F.lit(" "), F.regexp_extract(text, pattern, 4))
@@ -136,9 +135,9 @@ def parse_year(c: Column | str) -> Column:
     return F.when(is_year(c), as_text(c).try_cast("int"))
 
 
-def parse_year_month(c: Column | str) -> Column:
+def parse_year_month(c: Column | str, shape: Column | None = None) -> Column:
     """Period text in any of the three layouts as ``struct(year, month)``, else NULL."""
-    text, shape = as_text(c), layout(c)
+    text, shape = _text_and_shape(c, shape)
     year = (F.when(shape.isin("9999-99", "9999/99"), F.substring(text, 1, 4))
              .when(shape == "99/9999", F.substring(text, 4, 4)))
     month = F.when(shape == "99/9999", F.substring(text, 1, 2)).otherwise(F.substring(text, 6, 2))
@@ -160,13 +159,15 @@ def render_iso(stamp: Column, kind: str = "date") -> Column:
     return F.substring(stamp.cast("date").cast("string"), 1, {"year": 4, "period": 7}[kind])
 
 
-def render_alternative(c: Column | str, kind: str) -> Column:
+def render_alternative(c: Column | str, kind: str, shape: Column | None = None,
+                       stamp: Column | None = None) -> Column:
     """The same moment written in another layout of the same kind; NULL when unreadable."""
-    text, shape, stamp = as_text(c), layout(c), parse_timestamp(c)
+    stamp = parse_timestamp(c, shape) if stamp is None else stamp
+    text, shape = _text_and_shape(c, shape)
     if kind == "date":
         out = F.when(shape == DATE_EU, render_iso(stamp)).otherwise(F.date_format(stamp, "dd/MM/yyyy"))
     elif kind == "period":
-        part = parse_year_month(c)
+        part = parse_year_month(text, shape)
         year, month = F.lpad(part.year.cast("string"), 4, "0"), F.lpad(part.month.cast("string"), 2, "0")
         out = F.when(shape == "99/9999", F.concat_ws("-", year, month)).when(
             part.isNotNull(), F.concat_ws("/", month, year))
@@ -177,6 +178,6 @@ def render_alternative(c: Column | str, kind: str) -> Column:
         to_iso = shape.isin(*DATETIME_EU) | text.rlike(DATETIME_US)
         out = F.when(to_iso, render_iso(stamp, "datetime")).otherwise(F.date_format(stamp, "dd/MM/yyyy HH:mm"))
     else:
-        out = parse_year(c).cast("string")
+        out = F.when(is_year(text, shape), text)
     return F.when(is_present(c), out)
 

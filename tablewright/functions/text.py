@@ -16,6 +16,21 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def literal(value: object) -> str:
+    """SQL text of a constant."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
+
+
+def constant_map(values: dict) -> Column:
+    """A constant map as one expression."""
+    return F.expr("map(" + ", ".join(f"{literal(k)}, {literal(v)}" for k, v in values.items()) + ")")
+
+
+def constant_array(values: Sequence) -> Column:
+    """A constant array as one expression."""
+    return F.expr("array(" + ", ".join(literal(v) for v in values) + ")")
+
+
 def as_text(c: Column | str) -> Column:
     """Any scalar as stripped text; NULL stays NULL."""
     return F.btrim(_col(c).cast("string"), F.lit(WHITESPACE))

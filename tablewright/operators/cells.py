@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tablewright.constants import DISGUISED_NULLS, ROW_ID
 from tablewright.functions.numeric import parse_number_loose
-from tablewright.functions.temporal import layout
+from tablewright.functions.temporal import layout, parse_timestamp
 from tablewright.functions.text import as_text
 from tablewright.tables import col, column_groups, is_numeric_type
 
@@ -93,3 +93,18 @@ def is_present_cell(tokens: Sequence[str] = DISGUISED_NULLS) -> Column:
 def cell_text() -> Column:
     """Stripped text of a cell, whatever its type."""
     return F.coalesce(F.col("text"), F.col("value"))
+
+
+def with_temporal(df: DataFrame, columns: Sequence[str], stamp: bool = True) -> DataFrame:
+    """Add ``_text:c``, ``_shape:c`` and ``_stamp:c`` of each column, step by step, so that each
+    is computed once and later expressions stay small."""
+    out = df.withColumns({f"_text:{c}": as_text(col(c)) for c in columns})
+    out = out.withColumns({f"_shape:{c}": layout(col(f"_text:{c}"), stripped=True) for c in columns})
+    if stamp:
+        out = out.withColumns({f"_stamp:{c}": parse_timestamp(col(f"_text:{c}"), col(f"_shape:{c}")) for c in columns})
+    return out
+
+
+def temporal(column: str) -> tuple[Column, Column, Column]:
+    """(text, shape, stamp) columns that ``with_temporal`` added."""
+    return col(f"_text:{column}"), col(f"_shape:{column}"), col(f"_stamp:{column}")

@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.constants import ROW_ID
-from tablewright.functions.temporal import parse_date_year, parse_year_month, render_alternative
+from tablewright.functions.temporal import classify_format, parse_date_year, parse_year_month, render_alternative
+from tablewright.functions.numeric import parse_number_loose
 from tablewright.functions.text import as_text, is_present
-from tablewright.operators.cells import numbers
+from tablewright.operators.cells import numbers, temporal, with_temporal
 from tablewright.operators.cross import applicable, ISSUE_OF_RULE
 from tablewright.operators.events import dominant_labels, empty_events, labelled_cells
 from tablewright.operators.rules import CrossRule, Rules
@@ -104,16 +105,19 @@ def inject_date_layout(df: DataFrame, dataset: str, rules: Rules, rate: float, s
         return df, empty_events(df).drop("issue_type")
     dominant = {r["column"]: r["dominant"] for r in dominant_labels(labelled_cells(df, formats)).collect()}
     columns = [c for c in formats if c in dominant]
-    from tablewright.functions.temporal import classify_format
-
-    new = {c: render_alternative(col(c), formats[c]) for c in columns}
-    ok = {c: (classify_format(col(c), formats[c]) == dominant[c]) & (new[c] != as_text(col(c))) for c in columns}
-    return _apply(df, dataset, "mixed_date_format", _spread(columns, rate, seed, ok), new)
+    frame, new, ok = with_temporal(df, columns), {}, {}
+    for c in columns:
+        text, shape, stamp = temporal(c)
+        frame = frame.withColumn(f"_new:{c}", render_alternative(text, formats[c], shape, stamp))
+        new[c] = col(f"_new:{c}")
+        ok[c] = (classify_format(text, formats[c], stamp, shape) == dominant[c]) & (new[c] != text)
+    hits = _spread(columns, rate, seed, ok)
+    frame = frame.withColumns({f"_hit:{c}": hits[c] for c in columns})
+    bad, truth = _apply(frame, dataset, "mixed_date_format", {c: col(f"_hit:{c}") for c in columns}, new)
+    return bad.select(*[col(c) for c in df.columns]), truth
 
 
 def _number_of(df: DataFrame):
-    from tablewright.functions.numeric import parse_number_loose
-
     types = {f.name: f.dataType for f in df.schema.fields}
     return lambda c: col(c).cast("double") if is_numeric_type(types[c]) else parse_number_loose(col(c))
 

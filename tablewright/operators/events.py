@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from tablewright.constants import DISGUISED_NULLS, ROW_ID
 from tablewright.functions.temporal import classify_format
 from tablewright.operators import cross as cross_rules
-from tablewright.operators.cells import is_disguised_cell, numbers, text_cells, typed_cells
+from tablewright.operators.cells import (
+    is_disguised_cell, numbers, temporal, text_cells, typed_cells, with_temporal)
 from tablewright.operators.checks import iqr_fences
 from tablewright.operators.cross import ISSUE_OF_RULE
 from tablewright.operators.duplicates import key_groups
@@ -82,8 +83,10 @@ def below_minimum_events(df: DataFrame, dataset: str, rules: Rules) -> DataFrame
 def labelled_cells(df: DataFrame, formats: dict[str, str]) -> DataFrame:
     """(_row_id, column, label) of the temporal columns."""
     kinds = small_frame(df.sparkSession, list(formats.items()), "column string, kind string")
-    cells = text_cells(df, list(formats)).join(F.broadcast(kinds), "column")
-    return cells.select(ROW_ID, "column", "value", "kind", classify_format("value", F.col("kind")).alias("label"))
+    cells = with_temporal(text_cells(df, list(formats)).join(F.broadcast(kinds), "column"), ["value"])
+    text, shape, stamp = temporal("value")
+    return cells.select(ROW_ID, "column", "value", "kind",
+                        classify_format(text, F.col("kind"), stamp, shape).alias("label"))
 
 
 def dominant_labels(labelled: DataFrame) -> DataFrame:

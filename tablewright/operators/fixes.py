@@ -12,6 +12,7 @@ from tablewright.constants import DISGUISED_NULLS, ROW_ID
 from tablewright.functions.numeric import has_currency, parse_number_currency, parse_number_loose
 from tablewright.functions.temporal import parse_timestamp, render_iso
 from tablewright.functions.text import as_text, is_present, title_case, values_equivalent
+from tablewright.operators.cells import temporal, with_temporal
 from tablewright.operators.duplicates import drop_duplicates
 from tablewright.operators.quantiles import exact_quantiles
 from tablewright.operators.rules import Rules
@@ -52,6 +53,7 @@ class Context:
     column: str
     rules: Rules
     stats: Mapping[str, object]
+    stamp: Column | None = None
 
 
 def _changed(before: Cell, after: Column) -> Column:
@@ -108,7 +110,8 @@ def normalize_dates(cell: Cell, ctx: Context) -> Fixed:
     if kind not in ("period", "date", "datetime"):
         return Fixed(cell, F.lit(False))
     text = cell.value.cast("string")
-    new = F.coalesce(render_iso(parse_timestamp(text), kind), text)
+    stamp = parse_timestamp(text) if ctx.stamp is None else ctx.stamp
+    new = F.coalesce(render_iso(stamp, kind), text)
     return Fixed(Cell(new, False), ~new.eqNullSafe(text))
 
 
@@ -177,13 +180,24 @@ def statistics(df: DataFrame, needed: Mapping[str, tuple[Cell, Sequence[str]]])
     return out
 
 
+def apply_fix(df: DataFrame, column: str, action: str, rules: Rules, stats: Mapping[str, object],
+              touched_as: str | None = None) -> tuple[DataFrame, Fixed]:
+    """One correction as one projection, optionally with a flag column for the rows it touched."""
+    names, frame, stamp = df.columns, df, None
+    if action == "normalize_dates":
+        frame = with_temporal(df, [column])
+        stamp = temporal(column)[2]
+    fixed = COLUMN_FIXES[action](start_cell(df, column), Context(column, rules, stats, stamp))
+    touched = fixed.touched if fixed.applied and fixed.touched is not None else F.lit(False)
+    flag = [touched.alias(touched_as)] if touched_as else []
+    return frame.select(*[fixed.cell.value.alias(c) if c == column else col(c) for c in names], *flag), fixed
+
+
 def fix_column(df: DataFrame, column: str, action: str, rules: Rules = Rules()) -> DataFrame:
     """Apply one action to one column of a table."""
-    cell = start_cell(df, column)
     needed = NEEDS.get(action, ())
-    stats = statistics(df, {column: (cell, needed)})[column] if needed else {}
-    fixed = COLUMN_FIXES[action](cell, Context(column, rules, stats))
-    return df.select(*[fixed.cell.value.alias(c) if c == column else col(c) for c in df.columns])
+    stats = statistics(df, {column: (start_cell(df, column), needed)})[column] if needed else {}
+    return apply_fix(df, column, action, rules, stats)[0]
 
 
 def drop_unexpected_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -17,6 +17,7 @@ ISSUE_COLUMNS = [part.split()[0] for part in ISSUE_SCHEMA.split(", ")]
 CHECKS = ("check_schema", "check_nulls", "check_sparse_columns", "check_formats",
           "check_categorical_case_variants", "check_categorical_rare_values",
           "check_numeric_validity", "check_outliers_iqr", "check_duplicates", "check_cross_column")
+from tablewright.functions.text import constant_array, constant_map
 from tablewright.tables import small_frame
 
 
@@ -35,10 +36,11 @@ def issues_from(
 ) -> DataFrame:
     """Shape findings (one row each, with a ``column``) into issue rows."""
     if isinstance(issue_type, str):
-        tool = CATALOGUE[issue_type][0]
+        tool, advice = CATALOGUE[issue_type][0], F.lit(SUGGESTED_FIX[issue_type])
         issue_type = F.lit(issue_type)
+    else:
+        advice = constant_map(SUGGESTED_FIX)[issue_type]
     severity = F.lit(severity) if isinstance(severity, str) else severity
-    fixes = F.create_map(*[F.lit(x) for pair in SUGGESTED_FIX.items() for x in pair])
     nothing = F.lit(None).cast("double")
     order = ["position"] if "position" in found.columns else []
     return found.select(
@@ -49,7 +51,7 @@ def issues_from(
         (nothing if completeness is None else completeness).alias("completeness"),
         (nothing if missing_ratio is None else missing_ratio).alias("missing_ratio"),
         F.to_json(evidence).alias("evidence"),
-        fixes[issue_type].alias("suggested_fix"),
+        advice.alias("suggested_fix"),
         *[F.col(c).alias("_order") for c in order] or [F.lit(0).alias("_order")])
 
 
@@ -63,8 +65,7 @@ def union_issues(parts: list[DataFrame]) -> DataFrame:
 
 def numbered(issues: DataFrame) -> DataFrame:
     """Issues with ``issue_index``: per dataset by check order, then column order, then type."""
-    tools = F.array(*[F.lit(t) for t in CHECKS])
-    types = F.array(*[F.lit(t) for t in CATALOGUE])
+    tools, types = constant_array(CHECKS), constant_array(list(CATALOGUE))
     order = Window.partitionBy("dataset").orderBy(
         F.array_position(tools, F.col("tool")), "_order", F.array_position(types, F.col("issue_type")),
         "columns", "message")
@@ -79,7 +80,7 @@ def issues_summary(issues: DataFrame, tools: tuple[str, ...] = CHECKS) -> DataFr
         F.count("*").alias("issue_count"),
         *[F.count_if(F.col("severity") == s).alias(s) for s in SEVERITIES])
     grid = issues.select("dataset").distinct().withColumn(
-        "tool", F.explode(F.array(*[F.lit(t) for t in tools])))
+        "tool", F.explode(constant_array(tools)))
     joined = grid.join(counts, ["dataset", "tool"], "left").join(F.broadcast(all_tools), "tool")
     zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("issue_count", *SEVERITIES)]
     return joined.select("dataset", "tool", *zero)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.constants import (
     DEAD_COMPLETENESS, OTHER_PENALTY, RESOLUTION_WEIGHT, SEVERITIES, SEVERITY_PENALTY, WEIGHTS)
+from tablewright.functions.text import constant_array
 from tablewright.plans.planner import catalogue
 from tablewright.tables import small_frame
 
@@ -49,7 +50,7 @@ def sub_scores(issues: DataFrame, datasets: DataFrame | None = None, legacy_uniq
     ``datasets`` (a ``dataset`` column) adds datasets without any issue.
     """
     names = (datasets if datasets is not None else issues).select("dataset").distinct()
-    grid = names.withColumn("dimension", F.explode(F.array(*[F.lit(d) for d in WEIGHTS])))
+    grid = names.withColumn("dimension", F.explode(constant_array(list(WEIGHTS))))
     found = dimension_penalties(issues, legacy_uniqueness)
     return grid.join(found, ["dataset", "dimension"], "left").select(
         "dataset", "dimension", F.coalesce("issues", F.lit(0).cast("long")).alias("issues"),
@@ -109,7 +110,7 @@ def severity_deltas(before: DataFrame, after: DataFrame) -> DataFrame:
         return issues.groupBy("dataset", "severity").agg(F.count("*").alias(name))
 
     names = before.select("dataset").union(after.select("dataset")).distinct()
-    grid = names.withColumn("severity", F.explode(F.array(*[F.lit(s) for s in SEVERITIES])))
+    grid = names.withColumn("severity", F.explode(constant_array(SEVERITIES)))
     joined = counts(before, "pre").join(counts(after, "post"), ["dataset", "severity"], "full_outer")
     zero = F.lit(0).cast("long")
     pre, post = F.coalesce("pre", zero), F.coalesce("post", zero)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tablewright.constants import CATALOGUE, ROW_ID
 from tablewright.operators.duplicates import duplicate_groups
 from tablewright.operators.fixes import (
-    ACTIONS, COLUMN_FIXES, NEEDS, Context, Fixed, drop_duplicates, drop_unexpected_columns,
+    ACTIONS, COLUMN_FIXES, NEEDS, Fixed, apply_fix, drop_duplicates, drop_unexpected_columns,
     keep_first_by_key, start_cell, statistics)
 from tablewright.operators.rules import Rules
 from tablewright.tables import col, small_frame
@@ -79,13 +79,10 @@ class _Stage:
         self.waiting.append((step, entry))
 
     def _apply(self, frame: DataFrame, number: int, stats: dict) -> tuple[DataFrame, Fixed]:
-        """One correction as one projection. Values that later ones read are columns, not nested
+        """One correction as one projection: what later ones read are columns, not nested
         expressions, so a chain of corrections on a column grows linearly."""
         step = self.waiting[number][0]
-        fixed = COLUMN_FIXES[step.action](start_cell(frame, step.column), Context(step.column, self.rules, stats))
-        touched = fixed.touched if fixed.applied and fixed.touched is not None else F.lit(False)
-        return frame.select(*[fixed.cell.value.alias(c) if c == step.column else col(c) for c in frame.columns],
-                            touched.alias(f"_touched_{number}")), fixed
+        return apply_fix(frame, step.column, step.action, self.rules, stats, f"_touched_{number}")
 
     def finish(self) -> DataFrame:
         if not self.waiting:
