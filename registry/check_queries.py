@@ -17,7 +17,7 @@ from tablewright.operators import cross
 from tablewright.operators.duplicates import duplicate_groups, key_groups
 from tablewright.operators.issues import issues_summary, severity_breakdown
 from tablewright.operators.rules import ColumnRule, CrossRule, Rules
-from tablewright.tables import local_rows
+from tablewright.tables import local_rows, small_frame
 
 
 def facts_of(d: DataFrame) -> DataFrame:
@@ -192,9 +192,9 @@ def bracketed_quantiles(spark, sf):
 
     nums = table(spark, sf, "lineitem").select("l_extendedprice")
     found = exact_quantiles(nums, ["l_extendedprice"], [0.01, 0.5, 0.999], block_rows=1000)
-    value = {p: F.round(F.lit(v), 4) for (_, p), v in found.items()}
-    return nums.limit(1).select(F.lit("l_extendedprice").alias("p"), value[0.01].alias("low"),
-                                value[0.5].alias("mid"), value[0.999].alias("high"))
+    row = ("l_extendedprice", *(found[("l_extendedprice", p)] for p in (0.01, 0.5, 0.999)))
+    return small_frame(spark, [row], "p string, low double, mid double, high double").select(
+        "p", *[F.round(c, 4).alias(c) for c in ("low", "mid", "high")])
 
 
 @query("iqr_outlier_counts", """

@@ -130,7 +130,7 @@ def with_dirty(body: str, *extra: str) -> str:
 def dirty_rules() -> Rules:
     """Rules of the dirty table as a user would write them; the same ones discovery finds,
     with the order id as the one business key."""
-    text = ("string", "numeric", "string", "string", "date", "date", "numeric", "numeric", "string")
+    text = ("numeric", "numeric", "string", "string", "date", "date", "numeric", "numeric", "string")
     kinds = {"order_date": "date", "order_period": "period"}
     minimum = {"customer_id": 0.0, "order_year": 0.0, "total_price": 0.0}
     rules = [ColumnRule(c, i, t, kinds.get(c), c != "note", minimum.get(c),
