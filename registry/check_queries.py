@@ -161,9 +161,8 @@ def numeric_samples(spark, sf):
     d = dirty(spark, sf)
     found = ck.numeric_samples(d, facts_of(d).where("column = 'total_price'").collect(),
                                ck.iqr_fences(d, []))
-    parts = [s.select(F.lit(p).alias("problem"), F.array_join("samples", "|").alias("samples"))
-             for p, s in found.items()]
-    return reduce(DataFrame.unionByName, parts)
+    rows = [(problem, "|".join(texts["total_price"])) for problem, texts in found.items()]
+    return small_frame(spark, rows, "problem string, samples string")
 
 
 FENCE_SQL = """SELECT '{t}.{c}' AS "column", count({c}) AS numbers, round(quantile_cont({c}, 0.25), 4) AS q1,

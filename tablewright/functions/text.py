@@ -26,6 +26,14 @@ def constant_map(values: dict) -> Column:
     return F.expr("map(" + ", ".join(f"{literal(k)}, {literal(v)}" for k, v in values.items()) + ")")
 
 
+def lookup(values: dict, key: Column | str, dtype: str) -> Column:
+    """Value of a small constant table, NULL for other keys; folded by the optimizer, no join."""
+    values = {k: v for k, v in values.items() if v is not None}
+    if not values:
+        return F.lit(None).cast(dtype)
+    return F.try_element_at(constant_map(values), _col(key)).cast(dtype)
+
+
 def constant_array(values: Sequence) -> Column:
     """A constant array as one expression."""
     return F.expr("array(" + ", ".join(literal(v) for v in values) + ")")

@@ -13,6 +13,7 @@ from tablewright.functions import temporal as tp
 from tablewright.operators.cells import (
     cell_text, is_disguised_cell, is_filled, is_null, is_present_cell, numbers, typed_cells)
 from tablewright.operators.quantiles import exact_quantiles
+from tablewright.functions.text import lookup
 from tablewright.tables import col, column_groups, data_columns, is_numeric_type, small_frame
 
 SEMANTIC_SHARE = 0.90
@@ -163,7 +164,7 @@ def profile(
     mostly_positive = F.try_divide(F.col("present_nonnegative"), F.col("present_numeric")) >= 0.98
     kind = F.col("semantic_type")
     return (
-        counts.join(F.broadcast(positions(df)), "column")
+        counts.withColumn("position", lookup({c: i for i, c in enumerate(data_columns(df))}, "column", "int"))
         .join(distinct_counts(df, tokens, approximate), "column", "left")
         .join(column_samples(df, n=samples), "column", "left")
         .withColumn("semantic_type", semantic_type(date_first))
