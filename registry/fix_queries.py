@@ -206,13 +206,13 @@ def diff_preview(spark, sf):
 @query("full_run")
 def full_run(spark, sf):
     """The flagship: discover, audit, plan, correct twice, audit, score."""
-    return run_quality(dirty(spark, sf), "dirty").scores
+    return run_quality(dirty(spark, sf), "dirty", pin=True).scores
 
 
 @query("full_run_summary")
 def full_run_summary(spark, sf):
     """The run with given rules, as one sentence."""
-    run = run_quality(dirty(spark, sf), "dirty", dirty_rules())
+    run = run_quality(dirty(spark, sf), "dirty", dirty_rules(), pin=True)
     return report.summary_sentence(run.scores, run.issues, run.log)
 
 

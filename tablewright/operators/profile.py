@@ -115,7 +115,7 @@ def column_samples(df: DataFrame, columns: Sequence[str] | None = None, n: int =
     spark = df.sparkSession
     if not wanted:
         return small_frame(spark, [], "column string, samples array<string>")
-    narrow = df.select(*[c for c in df.columns if c in wanted or c == ROW_ID])
+    narrow = df.select(*[col(c) for c in df.columns if c in wanted or c == ROW_ID])
 
     def samples_of(frame, cols):
         cells = typed_cells(frame, cols).where(is_filled())

@@ -43,13 +43,16 @@ def iter_quality(
     header: Sequence[str] | None = None,
     options: AuditOptions = AuditOptions(),
     legacy_uniqueness: bool = False,
+    pin: bool = False,
 ) -> Iterator[tuple[str, QualityResult]]:
     """Run stage by stage, yielding ``(stage, result so far)`` after each.
 
     ``plan`` may be a table of proposed actions, or a function from the issue table to one; it
-    is checked before use. Without it the default plan applies.
+    is checked before use. Without it the default plan applies. ``pin`` writes the input once
+    first; worth it when it is itself the result of a costly query, since a run scans it often.
     """
-    run = QualityResult(dataset, with_row_id(df, key))
+    raw = with_row_id(df, key)
+    run = QualityResult(dataset, materialize(raw, "raw") if pin else raw)
     yield "ingest", run
     run.rules = rules or discover_rules(run.raw, dataset, date_first=options.date_first)
     yield "discover", run
