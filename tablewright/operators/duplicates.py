@@ -24,20 +24,21 @@ def _columns_to_group(df: DataFrame, columns: Sequence[str] | None) -> list[str]
 
 
 def repeated_hashes(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Hashes that more than one row has."""
+    """Hashes that more than one row has, written once because several steps use them."""
     names = _columns_to_group(df, columns)
-    return (df.select(F.xxhash64(*[col(c) for c in names]).alias(_HASH))
+    found = (df.select(F.xxhash64(*[col(c) for c in names]).alias(_HASH))
               .groupBy(_HASH).agg(F.count("*").alias("n")).where("n > 1").select(_HASH))
+    return materialize(found, "hashes")
 
 
 def duplicate_groups(df: DataFrame, columns: Sequence[str] | None = None,
-                     limit: int = BROADCAST_ROWS) -> DataFrame:
+                     limit: int = BROADCAST_ROWS, hashes: DataFrame | None = None) -> DataFrame:
     """One row per group of equal rows: the columns, ``n`` and the first row id.
 
-    NULLs are equal to each other here.
+    NULLs are equal to each other here. ``hashes`` may pass the repeated hashes if known.
     """
     names = _columns_to_group(df, columns)
-    hashes = materialize(repeated_hashes(df, names), "hashes")
+    hashes = repeated_hashes(df, names) if hashes is None else hashes
     rows = df
     if is_small(hashes, limit):
         rows = (df.withColumn(_HASH, F.xxhash64(*[col(c) for c in names]))
@@ -53,14 +54,14 @@ def key_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def drop_duplicates(df: DataFrame, columns: Sequence[str] | None = None,
-                    limit: int = BROADCAST_ROWS) -> DataFrame:
+                    limit: int = BROADCAST_ROWS, hashes: DataFrame | None = None) -> DataFrame:
     """Keep the first of equal rows (lowest row id). Rows with a unique hash are not shuffled.
 
     ``columns`` names the columns that make rows equal (all data columns by default).
     """
     names = _columns_to_group(df, columns)
     with_hash = df.withColumn(_HASH, F.xxhash64(*[col(c) for c in names]))
-    hashes = materialize(repeated_hashes(df, names), "hashes")
+    hashes = repeated_hashes(df, names) if hashes is None else hashes
 
     def firsts(rows):
         others = [c for c in df.columns if c not in names and c != ROW_ID]

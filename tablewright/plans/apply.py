@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.constants import CATALOGUE, ROW_ID
-from tablewright.operators.duplicates import duplicate_groups
+from tablewright.operators.duplicates import drop_duplicates, duplicate_groups, repeated_hashes
 from tablewright.operators.fixes import (
-    ACTIONS, COLUMN_FIXES, NEEDS, Fixed, apply_fix, drop_duplicates, drop_unexpected_columns,
-    keep_first_by_key, start_cell, statistics)
+    ACTIONS, COLUMN_FIXES, NEEDS, Fixed, apply_fix, drop_unexpected_columns, start_cell,
+    statistics)
 from tablewright.operators.rules import Rules
 from tablewright.tables import col, small_frame
 
@@ -118,7 +118,7 @@ def apply_steps(df: DataFrame, dataset: str, steps: list[Step], rules: Rules, pa
                 first_seq: int = 1, log_skipped: bool = True) -> tuple[DataFrame, list[tuple]]:
     """Run the steps in order; returns the corrected table and log rows."""
     entries: list[dict] = []
-    frame, stage = df, _Stage(df, rules)
+    frame, stage, deduplicated = df, _Stage(df, rules), None
 
     def fresh(step: Step, **values) -> dict:
         entry = dict.fromkeys(_LOG_FIELDS)
@@ -148,10 +148,13 @@ def apply_steps(df: DataFrame, dataset: str, steps: list[Step], rules: Rules, pa
         elif step.action in ("drop_duplicates", "keep_first_by_key"):
             frame = stage.finish()
             keys = None if step.action == "drop_duplicates" else list(step.columns)
-            copies = duplicate_groups(frame, keys).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n"))
-            entry["rows_affected"] = copies.first()["n"]
-            if entry["rows_affected"]:
-                frame = drop_duplicates(frame) if keys is None else keep_first_by_key(frame, keys)
+            if keys is not None or frame is not deduplicated:
+                hashes = repeated_hashes(frame, keys)
+                if not hashes.isEmpty():
+                    copies = duplicate_groups(frame, keys, hashes=hashes).agg(F.sum(F.col("n") - 1).alias("n"))
+                    entry["rows_affected"] = copies.first()["n"] or 0
+                    frame = drop_duplicates(frame, keys, hashes=hashes)
+            deduplicated = frame if keys is None else deduplicated
             stage = close(frame)
         elif step.action == "drop_unexpected_columns":
             frame = stage.finish()
