@@ -19,7 +19,7 @@ HEADLINES = (
     "iqr_fences", "iqr_outlier_counts", "exact_duplicates", "duplicate_texts", "key_duplicates", "cross_product",
     "audit_issues", "fix_cast_numeric", "fix_clip_iqr_events", "fix_impute_mode", "fix_normalize_dates",
     "fix_drop_duplicates", "plan_applied", "events_semantic_duplicate", "events_hot_key", "evaluate_disguisednull",
-    "full_run",
+    "full_run_given_rules",
 )
 
 

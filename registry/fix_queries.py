@@ -11,6 +11,7 @@ from registry.profile_queries import TITLE_SQL
 from tablewright.constants import ROW_ID
 from tablewright.operators import fixes as fx
 from tablewright.operators import report
+from tablewright.operators.checks import AuditOptions
 from tablewright.operators.duplicates import drop_duplicates
 from tablewright.plans.apply import Step, apply_steps, log_frame
 from tablewright.plans.run import run_quality
@@ -205,8 +206,15 @@ def diff_preview(spark, sf):
 
 @query("full_run")
 def full_run(spark, sf):
-    """The flagship: discover, audit, plan, correct twice, audit, score."""
-    return run_quality(dirty(spark, sf), "dirty", pin=True).scores
+    """Discover, audit, plan, correct twice, audit, score; without sample texts in the evidence."""
+    return run_quality(dirty(spark, sf), "dirty", pin=True, options=AuditOptions(samples=False)).scores
+
+
+@query("full_run_given_rules")
+def full_run_given_rules(spark, sf):
+    """The flagship: the same run with rules written by the user."""
+    options = AuditOptions(samples=False)
+    return run_quality(dirty(spark, sf), "dirty", dirty_rules(), pin=True, options=options).scores
 
 
 @query("full_run_summary")
