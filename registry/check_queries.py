@@ -165,10 +165,10 @@ def numeric_samples(spark, sf):
     return small_frame(spark, rows, "problem string, samples string")
 
 
-FENCE_SQL = """SELECT '{t}.{c}' AS "column", count({c}) AS numbers, round(quantile_cont({c}, 0.25), 4) AS q1,
-  round(quantile_cont({c}, 0.75), 4) AS q3, round(quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25), 4) AS iqr,
-  round(quantile_cont({c}, 0.25) - 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)), 4) AS lower_bound,
-  round(quantile_cont({c}, 0.75) + 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)), 4) AS upper_bound FROM {t}"""
+FENCE_SQL = """SELECT '{t}.{c}' AS "column", count({c}) AS numbers, round(quantile_cont({c}, 0.25), 6) AS q1,
+  round(quantile_cont({c}, 0.75), 6) AS q3, round(quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25), 6) AS iqr,
+  round(quantile_cont({c}, 0.25) - 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)), 6) AS lower_bound,
+  round(quantile_cont({c}, 0.75) + 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)), 6) AS upper_bound FROM {t}"""
 
 
 @query("iqr_fences", " UNION ALL ".join(FENCE_SQL.format(t=t, c=c) for t, c in (
@@ -178,7 +178,7 @@ def iqr_fences(spark, sf):
     for name, columns in (("events", ["value"]), ("lineitem", ["l_extendedprice", "l_tax"]), ("customer", ["c_acctbal"])):
         fences = ck.iqr_fences(table(spark, sf, name), columns)
         parts.append(fences.withColumn("column", F.concat(F.lit(f"{name}."), "column")))
-    rounded = [F.round(c, 4).alias(c) for c in ("q1", "q3", "iqr", "lower_bound", "upper_bound")]
+    rounded = [F.round(c, 6).alias(c) for c in ("q1", "q3", "iqr", "lower_bound", "upper_bound")]
     return reduce(DataFrame.unionByName, parts).select("column", "numbers", *rounded)
 
 

@@ -28,7 +28,7 @@ def fixed(column: str, action: str):
         out = fx.fix_column(dirty(spark, sf), column, action, dirty_rules())
         value = F.col(column)
         if dict(out.dtypes)[column] == "double":
-            value = F.round(value, 4)
+            value = F.round(value, 6)
         return out.select(F.col(ROW_ID).alias("row_id"), value.alias(column))
     return run
 
@@ -39,7 +39,7 @@ FIXES = {
     "fix_cast_numeric": ("total_price", "cast_numeric", with_dirty(
         f"SELECT row_id, {NUM} AS total_price FROM dirty")),
     "fix_impute_median": ("total_price", "impute_median", with_dirty(
-        f"SELECT row_id, round(coalesce({NUM}, med), 4) AS total_price FROM dirty CROSS JOIN q", QUARTILES)),
+        f"SELECT row_id, round(coalesce({NUM}, med), 6) AS total_price FROM dirty CROSS JOIN q", QUARTILES)),
     "fix_impute_mode": ("status", "impute_mode", with_dirty(
         f"""SELECT row_id, CASE WHEN {present_sql('status')} THEN status ELSE m END AS status FROM dirty CROSS JOIN (
         SELECT trim(status) AS m FROM dirty WHERE {present_sql('status')} GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)""")),
@@ -48,7 +48,7 @@ FIXES = {
         SELECT trim(customer_id) AS m FROM dirty WHERE {present_sql('customer_id')} GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)""")),
     "fix_clip_iqr": ("total_price", "clip_iqr", with_dirty(
         f"""SELECT row_id, round(CASE WHEN {NUM} < q1 - 1.5 * (q3 - q1) THEN q1 - 1.5 * (q3 - q1)
-        WHEN {NUM} > q3 + 1.5 * (q3 - q1) THEN q3 + 1.5 * (q3 - q1) ELSE {NUM} END, 4) AS total_price
+        WHEN {NUM} > q3 + 1.5 * (q3 - q1) THEN q3 + 1.5 * (q3 - q1) ELSE {NUM} END, 6) AS total_price
         FROM dirty CROSS JOIN q""", QUARTILES)),
     "fix_clip_to_min": ("total_price", "clip_to_min", with_dirty(
         f"SELECT row_id, CASE WHEN {NUM} < 0 THEN 0.0 ELSE {NUM} END::DOUBLE AS total_price FROM dirty")),
@@ -64,12 +64,12 @@ for _name, (_column, _action, _sql) in FIXES.items():
 
 
 @query("fix_clip_iqr_events", """
-SELECT event_id, round(CASE WHEN value > hi THEN hi WHEN value < lo THEN lo ELSE value END, 4) AS value FROM events, (
+SELECT event_id, round(CASE WHEN value > hi THEN hi WHEN value < lo THEN lo ELSE value END, 6) AS value FROM events, (
   SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM (
     SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events))""")
 def fix_clip_iqr_events(spark, sf):
     events = table(spark, sf, "events").select("event_id", "value")
-    return fx.fix_column(events, "value", "clip_iqr").select("event_id", F.round("value", 4).alias("value"))
+    return fx.fix_column(events, "value", "clip_iqr").select("event_id", F.round("value", 6).alias("value"))
 
 
 @query("fix_impute_median_labels", """
@@ -140,12 +140,12 @@ f AS (SELECT quantile_cont(low, 0.25) AS q1, quantile_cont(low, 0.75) AS q3 FROM
 
 @query("plan_applied", with_dirty("""
 SELECT row_id, order_id, status, order_date, round(CASE WHEN low > q3 + 1.5 * (q3 - q1) THEN q3 + 1.5 * (q3 - q1)
-  WHEN low < q1 - 1.5 * (q3 - q1) THEN q1 - 1.5 * (q3 - q1) ELSE low END, 4) AS total_price FROM step5 CROSS JOIN f""", CHAIN))
+  WHEN low < q1 - 1.5 * (q3 - q1) THEN q1 - 1.5 * (q3 - q1) ELSE low END, 6) AS total_price FROM step5 CROSS JOIN f""", CHAIN))
 def plan_applied(spark, sf):
     """A whole plan compiled into stages and run in order."""
     out, _ = apply_steps(dirty(spark, sf), "dirty", STEPS, dirty_rules())
     return out.select(F.col(ROW_ID).alias("row_id"), "order_id", "status", "order_date",
-                      F.round("total_price", 4).alias("total_price"))
+                      F.round("total_price", 6).alias("total_price"))
 
 
 @query("plan_log", with_dirty(f"""
