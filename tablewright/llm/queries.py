@@ -9,6 +9,7 @@ from tablewright.llm.chat import rotate
 from tablewright.llm.common import table
 from tablewright.llm.mixing import mix_sources
 from tablewright.llm.quality import quality
+from tablewright.llm.simhash import near_duplicates
 from tablewright.llm.urlfilter import filter_urls
 
 QUERIES, ORACLE = {}, {}
@@ -23,6 +24,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_simhash_near_dedup")
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query("op3_quality_rules")
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
