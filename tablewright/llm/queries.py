@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.chat import rotate
 from tablewright.llm.common import table
+from tablewright.llm.lm import score_documents
 from tablewright.llm.mixing import mix_sources
 from tablewright.llm.packing import pack
 from tablewright.llm.quality import quality
@@ -43,6 +44,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+@query("op5_lattice_scores")
+def op5_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 MIXING_SQL = r"""
 WITH sizes AS (SELECT source, CAST(sum(coalesce(length(text), 0)) AS BIGINT) AS size FROM documents GROUP BY source),
 rates AS (SELECT source, CASE WHEN size > 0 THEN 1.0 / (SELECT count(*) FROM sizes WHERE size > 0)
