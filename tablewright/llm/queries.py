@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.chat import rotate
 from tablewright.llm.common import table
+from tablewright.llm.line_dedup import drop_recurring
 from tablewright.llm.lm import score_documents
 from tablewright.llm.mixing import mix_sources
 from tablewright.llm.packing import pack
@@ -26,6 +27,38 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+LINE_SQL = r"""
+WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
+                      generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+normed AS (SELECT doc_id, pos, raw,
+                  trim(regexp_replace(regexp_replace(raw, '[0-9]+', '0', 'g'), '[ 	-]+', ' ', 'g')) AS norm FROM lines),
+parsed AS (SELECT *, string_split(norm, ' ') AS tokens, len(string_split(norm, ' ')) AS n FROM normed
+           WHERE len(string_split(norm, ' ')) >= 5
+             AND 2 * (length(norm) - length(replace(norm, '0', ''))) <= len(string_split(norm, ' '))),
+by_line AS (SELECT norm, any_value(n) AS n, any_value(tokens) AS tokens, any_value(n || ':' || array_to_string(tokens[1:3], ' ')) AS leaf,
+                   min(doc_id) AS first, max(doc_id) AS last FROM parsed GROUP BY norm),
+leaves AS (SELECT leaf FROM by_line GROUP BY leaf HAVING count(*) > 1 AND min(first) != max(last)),
+spelled AS (SELECT norm, leaf, n, first, last, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place
+            FROM by_line WHERE leaf IN (SELECT leaf FROM leaves)),
+held AS (SELECT *, min(first) OVER w != max(last) OVER w AS constant FROM spelled WINDOW w AS (PARTITION BY leaf, place, token)),
+general AS (SELECT norm, any_value(leaf) || ':' || string_agg(CASE WHEN constant THEN token ELSE '<*>' END, ' ' ORDER BY place) AS template
+            FROM held GROUP BY norm
+            HAVING count(*) FILTER (constant) < count(*) AND count(*) FILTER (constant) >= 0.8 * count(*)),
+named AS (SELECT b.norm, coalesce(template, b.norm) AS template, first, last FROM by_line b LEFT JOIN general g ON b.norm = g.norm),
+recurring AS (SELECT template, min(first) AS keeper FROM named GROUP BY template HAVING min(first) != max(last)),
+losing AS (SELECT norm, keeper FROM named JOIN recurring USING (template)),
+judged AS (SELECT l.doc_id, l.pos, l.raw, keeper IS NOT NULL AND keeper != l.doc_id AS gone
+           FROM normed l LEFT JOIN losing USING (norm))
+SELECT doc_id, coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text, count(*) AS n_lines,
+       count(*) FILTER (gone) AS n_dropped FROM judged GROUP BY doc_id
+"""
+
+
+@query("op1_line_dedup", LINE_SQL)
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op2_simhash_near_dedup")
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
