@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.llm.ann import nearest
 from tablewright.llm.chat import rotate
 from tablewright.llm.common import table
 from tablewright.llm.line_dedup import drop_recurring
@@ -31,7 +32,8 @@ LINE_SQL = r"""
 WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
                       generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
 normed AS (SELECT doc_id, pos, raw,
-                  trim(regexp_replace(regexp_replace(raw, '[0-9]+', '0', 'g'), '[ 	-]+', ' ', 'g')) AS norm FROM lines),
+                  trim(regexp_replace(regexp_replace(raw, '[0-9]+', '0', 'g'), '[ 	-
+]+', ' ', 'g')) AS norm FROM lines),
 parsed AS (SELECT *, string_split(norm, ' ') AS tokens, len(string_split(norm, ' ')) AS n FROM normed
            WHERE len(string_split(norm, ' ')) >= 5
              AND 2 * (length(norm) - length(replace(norm, '0', ''))) <= len(string_split(norm, ' '))),
@@ -129,6 +131,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), rules)
 
 
+@query("op8_nearest_neighbours")
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), every=20)
+
+
 CHAT_SQL = r"""
 WITH said AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role,
                      replace(replace(coalesce(text, ''), '<|', '< |'), '|>', '| >') AS body FROM conversations),
