@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.ann import nearest
 from tablewright.llm.chat import rotate
 from tablewright.llm.common import table
+from tablewright.llm.html import extract
 from tablewright.llm.line_dedup import drop_recurring
 from tablewright.llm.lm import score_documents
 from tablewright.llm.mixing import mix_sources
@@ -159,3 +160,8 @@ def op9_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = rotate(table(spark, sf_dir, "conversations"))
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
     return seen.withColumn("spans", spans)
+
+
+@query("op10_html_extraction")
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
