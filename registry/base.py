@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.session import tune
+from tablewright.session import own_work_folder, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,7 +17,7 @@ def query(name: str, sql: str | None = None):
     """Register a query; ``sql`` is what DuckDB should return for it."""
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(tune(spark), sf_dir)
+            return build(own_work_folder(tune(spark)), sf_dir)
 
         QUERIES[name] = run
         if sql is not None:

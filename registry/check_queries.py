@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registry.base import query
-from registry.dirty import CELLS_SQL, COLUMNS, dirty, dirty_rules, spread, stamp_sql, table, with_dirty
+from registry.dirty import CELLS_SQL, COLUMNS, dirty, dirty_rules, stamp_sql, table, with_dirty
 from registry.profile_queries import FACTS_SQL, LABEL_SQL
 from tablewright.constants import ROW_ID
 from tablewright.operators import checks as ck
@@ -247,7 +247,7 @@ def duplicate_issues(spark, sf):
 
 def _priced_lines(spark, sf):
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-    return spread(table(spark, sf, "lineitem")).select(
+    return table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_extendedprice", (1 - F.col("l_discount")).alias("factor"),
         F.when(F.col("l_orderkey") % 125 == 0, net * 3).otherwise(net).alias("net"), "l_tax", "l_discount", "l_shipdate")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registry.base import query
-from registry.dirty import CELLS_SQL, COLUMNS, dirty, dirty_rules, spread, stamp_sql, table, with_dirty
+from registry.dirty import CELLS_SQL, COLUMNS, dirty, dirty_rules, stamp_sql, table, with_dirty
 from registry.profile_queries import FACTS_SQL
 from tablewright.constants import ROW_ID
 from tablewright.operators import corrupt as co
@@ -94,7 +94,7 @@ def events_hot_key(spark, sf):
 
 def clean(spark, sf) -> DataFrame:
     """Orders as clean text."""
-    o = spread(table(spark, sf, "orders"))
+    o = table(spark, sf, "orders")
     return o.select(
         F.col("o_orderkey").alias(ROW_ID), F.concat(F.lit("ORD-"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0")).alias("order_id"),
         F.col("o_orderstatus").alias("status"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
@@ -251,5 +251,5 @@ def documents_csv_round_trip(spark, sf):
     """Whole texts with quotes and line breaks survive the trip through CSV."""
     path = new_path(spark, "csv")
     write_fixed(table(spark, sf, "documents").select("doc_id", "text", "lang"), path, "csv")
-    return read_csv(spark, path).data.select("doc_id", F.md5("text").alias("text_md5"), "lang")
+    return read_csv(spark, path, multi_line=True).data.select("doc_id", F.md5("text").alias("text_md5"), "lang")
 

@@ -47,7 +47,7 @@ def plan_routes(spark, sf):
 
 @query("plan_default", with_plan("""
 SELECT 'dirty' AS dataset, issue_index, CAST(row_number() OVER (ORDER BY agent_no, issue_index) AS INTEGER) AS step, agent,
-  coalesce(fallback, 'ignore') AS action, 'deterministic fallback for ' || issue_type AS rationale, false AS overridden FROM routed"""))
+  coalesce(fallback, 'ignore') AS action, 'default for ' || issue_type AS rationale, false AS overridden FROM routed"""))
 def plan_default(spark, sf):
     return pl.default_plan(dirty_issues(spark, sf))
 
@@ -77,9 +77,8 @@ judged AS (SELECT *, action0 = 'ignore' AND fallback IS NOT NULL AND list_contai
 SELECT issue_index, agent,
   CASE WHEN agent = 'Anomaly' THEN coalesce(fallback, 'ignore') WHEN override THEN fallback ELSE action0 END AS action,
   agent <> 'Anomaly' AND override AS overridden,
-  CASE WHEN agent = 'Anomaly' THEN 'deterministic fallback for ' || issue_type
-    WHEN override THEN 'override: ignore was proposed without an evidence-based reason; applying default ''' || fallback
-      || '''. Original rationale: ' || why ELSE why END AS rationale FROM judged""", VALIDATED_SQL))
+  CASE WHEN agent = 'Anomaly' THEN 'default for ' || issue_type
+    WHEN override THEN fallback || ' instead of ignore, which the planner explained by: ' || why ELSE why END AS rationale FROM judged""", VALIDATED_SQL))
 def plan_validated(spark, sf):
     issues = dirty_issues(spark, sf)
     plan = pl.validated_plan(issues, _proposal(issues))

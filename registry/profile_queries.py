@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from registry.base import query
 from registry.dirty import (
-    CELLS_SQL, COLUMNS, POSITION_SQL, TOKENS_SQL, dirty, disguised_sql, number_sql, present_sql, spread,
+    CELLS_SQL, COLUMNS, POSITION_SQL, TOKENS_SQL, dirty, disguised_sql, number_sql, present_sql,
     stamp_sql, table, with_dirty)
 from tablewright.constants import ROW_ID
 from tablewright.functions import temporal as tp
@@ -95,7 +95,7 @@ SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS iso, strftime(ts, '%d/%m/%
   strftime(ts, '%Y-%m-%d') AS us_date FROM events""")
 def timestamp_layouts(spark, sf):
     """Every event time written three ways, classified, and read back."""
-    e = spread(table(spark, sf, "events"))
+    e = table(spark, sf, "events")
     text = e.select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("a"),
                     F.date_format("ts", "dd/MM/yyyy HH:mm").alias("b"), F.date_format("ts", "MMM d, yyyy").alias("c"))
     (a, a_shape, a_stamp), (b, b_shape, b_stamp), (c, c_shape, c_stamp) = (temporal(x) for x in "abc")

@@ -26,14 +26,13 @@ DATETIME_ISO_FRACTION = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}\.\d+\z"
 DATETIME_US = r"^[A-Za-z]{3,9}\.?\s+\d{1,2},?\s+\d{4}( \d{2}:\d{2}(:\d{2})?)?\z"
 # ---- End of fixed values ------------------------------------------------------
 
-LONGEST_LAYOUT = 40
-
 # Layouts read without a regular expression.
 _ISO_DATES = ("9999-99-99", "9999-9-9", "9999-9-99", "9999-99-9")
 _SLASHED_DATES = ("99/99/9999", "9/99/9999", "99/9/9999", "9/9/9999")
 _DASHED_DATES = ("99-99-9999", "9-99-9999", "99-9-9999", "9-9-9999", "99-99-99", "9-99-99", "99-9-99", "9-9-99")
 # Everything else that may be a date has a clock, a zone or a month name.
-_TIME = r"(\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)"
+# Digits of a second beyond the sixth are read over.
+_TIME = r"(\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)\d*"
 _RARE = r"^(\d{1,4}[-/]\d{1,2}[-/]\d{1,4}[T ]|\d{1,2}\s+[A-Za-z]{3}|[A-Za-z]{3,9}\.?\s+\d)"
 _ISO_TIME = rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}})[T ]{_TIME}(?:Z|[+-]\d{{2}}:?\d{{2}})?\z"
 _EU_TIME = rf"^(\d{{1,2}})/(\d{{1,2}})/(\d{{4}}) {_TIME}\z"
@@ -42,10 +41,9 @@ _NAME_DAY = rf"^([A-Za-z]{{3,9}})\.?\s+(\d{{1,2}}),?\s+(\d{{4}})(?: {_TIME})?\z"
 
 
 def layout(c: Column | str, stripped: bool = False) -> Column:
-    """Text with every digit as 9; NULL unless it starts with a digit and is short."""
+    """Text with every digit as 9; NULL unless it starts with a digit."""
     text = _col(c) if stripped else as_text(c)
-    short = F.ascii(text).between(48, 57) & (F.octet_length(text) <= LONGEST_LAYOUT)
-    return F.when(short, F.translate(text, "0123456789", "9999999999"))
+    return F.when(F.ascii(text).between(48, 57), F.translate(text, "0123456789", "9999999999"))
 
 
 def _text_and_shape(c: Column | str, shape: Column | None) -> tuple[Column, Column]:
@@ -100,7 +98,7 @@ def parse_timestamp(c: Column | str, shape: Column | None = None) -> Column:
             .when(shape == "99/9999", F.concat(F.substring(text, 4, 4), F.lit("-"), F.substring(text, 1, 2),
                                                F.lit("-01")))
             .when(shape.isin(*_DASHED_DATES), F.when(F.length(year) == 4, F.concat_ws("-", year, month, day)).otherwise(short))
-            .when(F.octet_length(text).between(8, LONGEST_LAYOUT) & text.rlike(_RARE), F.btrim(rare)))
+            .when((F.octet_length(text) >= 8) & text.rlike(_RARE), F.btrim(rare)))
     return iso.try_cast("timestamp_ntz")
 
 

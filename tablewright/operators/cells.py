@@ -18,6 +18,9 @@ from tablewright.functions.temporal import layout, parse_timestamp
 from tablewright.functions.text import as_text
 from tablewright.tables import col, column_groups, is_numeric_type
 
+CELL_TYPES = {"column": "string", "value": "string", "text": "string", "token": "string", "number": "double",
+              "layout": "string", "is_typed": "boolean"}
+
 
 def _unpivot(df: DataFrame, columns: Sequence[str], cast: str, value: str) -> DataFrame:
     keep = [ROW_ID] if ROW_ID in df.columns else []
@@ -68,6 +71,8 @@ def typed_cells(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
         parts.append(cells.select(
             *keep, "column", F.col("number").cast("string").alias("value"), nothing.alias("text"),
             nothing.alias("token"), "number", nothing.alias("layout"), F.lit(True).alias("is_typed")))
+    if not parts:
+        return df.select(*keep, *[F.lit(None).cast(t).alias(n) for n, t in CELL_TYPES.items()]).where("false")
     return reduce(DataFrame.unionByName, parts)
 
 

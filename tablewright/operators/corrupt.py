@@ -19,7 +19,7 @@ from tablewright.operators.cells import numbers, temporal, with_temporal
 from tablewright.operators.cross import applicable, ISSUE_OF_RULE
 from tablewright.operators.events import dominant_labels, empty_events, labelled_cells
 from tablewright.operators.rules import CrossRule, Rules
-from tablewright.tables import BROADCAST_ROWS, col, column_groups, is_numeric_type, is_small
+from tablewright.tables import col, column_groups, is_numeric_type, materialize
 
 PRIME = 2_147_483_647
 MULTIPLIER = 1_103_515_245
@@ -158,9 +158,8 @@ def inject_key_conflict(df: DataFrame, dataset: str, rules: Rules, rate: float,
     keys = [k for k in rules.keys if k in df.columns]
     if not keys:
         return df, empty_events(df).drop("issue_type")
-    pairs = duplicate_pairs(df, keys, rate, seed)
-    right = F.broadcast(pairs) if is_small(pairs, BROADCAST_ROWS) else pairs
-    joined = df.join(right, df[ROW_ID] == right["dst"], "left")
+    pairs = materialize(duplicate_pairs(df, keys, rate, seed), "pairs")
+    joined = df.join(pairs, df[ROW_ID] == pairs["dst"], "left")
     hit, new, changed = F.col("dst").isNotNull(), {}, F.lit(False)
     for k in keys:
         new[k] = F.when(hit, F.col(f"`key:{k}`")).otherwise(col(k))

@@ -14,11 +14,11 @@ from tablewright.operators.rules import CrossRule
 from tablewright.tables import col, is_numeric_type
 
 ISSUE_OF_RULE = {
-    "le": ("logical_count_violation", "critical", "`{0}` cannot be greater than `{1}`."),
-    "year_matches": ("year_date_mismatch", "high", "`{1}` does not match the year extracted from `{0}`."),
-    "period_matches": ("month_year_period_mismatch", "high", "`{2}` and `{1}` are inconsistent with `{0}`."),
-    "product_matches": ("product_mismatch", "high", "`{0}` is not the product of `{1}` and `{2}`."),
-    "date_order": ("date_order_violation", "high", "`{0}` is later than `{1}`."),
+    "le": ("logical_count_violation", "critical", "`{0}` exceeds `{1}` in some rows."),
+    "year_matches": ("year_date_mismatch", "high", "In some rows `{1}` is another year than that of `{0}`."),
+    "period_matches": ("month_year_period_mismatch", "high", "In some rows `{0}` is another month than `{1}` and `{2}` say."),
+    "product_matches": ("product_mismatch", "high", "`{0}` differs from `{1}` times `{2}` in some rows."),
+    "date_order": ("date_order_violation", "high", "`{0}` comes after `{1}` in some rows."),
 }
 
 

@@ -1,9 +1,8 @@
 """Exact duplicates and key conflicts without gathering a group in one task.
 
-Rows are first grouped by a 64-bit hash, which shuffles eight bytes per row after map-side
-combining. Only rows whose hash repeats are compared on all columns, so a hash collision can
-never make a false duplicate. When the repeated hashes are too many to broadcast, rows are
-grouped by all columns directly, which also combines copies on the map side.
+Rows are first grouped by a 64-bit hash, which shuffles eight bytes per row after map-side combining. The
+repeated hashes are written, so Spark knows their size: it broadcasts few of them and shuffles many. Only rows
+whose hash repeats are compared on all columns, so a hash collision can never make a false duplicate.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.constants import ROW_ID
-from tablewright.tables import BROADCAST_ROWS, col, data_columns, is_small, materialize
+from tablewright.tables import col, data_columns, materialize
 
 _HASH = "_row_hash"
 
@@ -32,17 +31,14 @@ def repeated_hashes(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def duplicate_groups(df: DataFrame, columns: Sequence[str] | None = None,
-                     limit: int = BROADCAST_ROWS, hashes: DataFrame | None = None) -> DataFrame:
+                     hashes: DataFrame | None = None) -> DataFrame:
     """One row per group of equal rows: the columns, ``n`` and the first row id.
 
     NULLs are equal to each other here. ``hashes`` may pass the repeated hashes if known.
     """
     names = _columns_to_group(df, columns)
     hashes = repeated_hashes(df, names) if hashes is None else hashes
-    rows = df
-    if is_small(hashes, limit):
-        rows = (df.withColumn(_HASH, F.xxhash64(*[col(c) for c in names]))
-                  .join(F.broadcast(hashes), _HASH, "left_semi"))
+    rows = df.withColumn(_HASH, F.xxhash64(*[col(c) for c in names])).join(hashes, _HASH, "left_semi")
     first = [F.min(ROW_ID).alias("first_row")] if ROW_ID in df.columns else []
     return rows.groupBy(*[col(c) for c in names]).agg(F.count("*").alias("n"), *first).where("n > 1")
 
@@ -54,8 +50,8 @@ def key_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def drop_duplicates(df: DataFrame, columns: Sequence[str] | None = None,
-                    limit: int = BROADCAST_ROWS, hashes: DataFrame | None = None) -> DataFrame:
-    """Keep the first of equal rows (lowest row id). Rows with a unique hash are not shuffled.
+                    hashes: DataFrame | None = None) -> DataFrame:
+    """Keep the first of equal rows (lowest row id). Rows with a unique hash are compared with no other.
 
     ``columns`` names the columns that make rows equal (all data columns by default).
     """
@@ -72,8 +68,6 @@ def drop_duplicates(df: DataFrame, columns: Sequence[str] | None = None,
         return kept.select(*[col(c) for c in names], *row_id,
                            *[F.col("_kept")[c].alias(c) for c in others]).select(*[col(c) for c in df.columns])
 
-    if not is_small(hashes, limit):
-        return materialize(firsts(with_hash), "deduplicated")
-    suspects = with_hash.join(F.broadcast(hashes), _HASH, "left_semi")
-    unique = with_hash.join(F.broadcast(hashes), _HASH, "left_anti").drop(_HASH)
+    suspects = with_hash.join(hashes, _HASH, "left_semi")
+    unique = with_hash.join(hashes, _HASH, "left_anti").drop(_HASH)
     return unique.unionByName(firsts(suspects))

@@ -23,7 +23,7 @@ from tablewright.operators.checks import iqr_fences
 from tablewright.operators.cross import ISSUE_OF_RULE
 from tablewright.operators.duplicates import key_groups
 from tablewright.operators.rules import CrossRule, Rules
-from tablewright.tables import col, column_groups, rows_of_groups, small_frame
+from tablewright.tables import col, column_groups, materialize, rows_of_groups, small_frame
 
 EVENT_COLUMNS = ("dataset", "error_type", "issue_type", "columns", "event_key", "row_id")
 
@@ -124,7 +124,7 @@ def key_conflict_events(df: DataFrame, dataset: str, rules: Rules) -> DataFrame:
     if not keys:
         return empty_events(df)
     narrow = df.select(ROW_ID, *[col(k) for k in keys])
-    shared = key_groups(df.select(*[col(k) for k in keys]), keys).drop("n")
+    shared = materialize(key_groups(df.select(*[col(k) for k in keys]), keys).drop("n"), "keys")
     members = rows_of_groups(narrow, shared, keys)
     return _events(members, dataset, "semantic_duplicate", "duplicate_business_keys",
                    F.lit(",".join(sorted(keys))), key_of(keys))

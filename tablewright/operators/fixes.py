@@ -73,7 +73,7 @@ def cast_numeric(cell: Cell, ctx: Context) -> Fixed:
 def impute_median(cell: Cell, ctx: Context) -> Fixed:
     median = ctx.stats.get("median")
     if median is None:
-        return Fixed(cell, applied=False, reason="no numeric data")
+        return Fixed(cell, applied=False, reason="no numbers")
     number = cell.number
     return Fixed(Cell(F.coalesce(number, F.lit(median)), True), number.isNull(), value=str(median))
 
@@ -81,7 +81,7 @@ def impute_median(cell: Cell, ctx: Context) -> Fixed:
 def impute_mode(cell: Cell, ctx: Context) -> Fixed:
     mode = ctx.stats.get("mode")
     if mode is None:
-        return Fixed(cell, applied=False, reason="all values missing")
+        return Fixed(cell, applied=False, reason="no value to fill in")
     known = cell.number.isNotNull() if cell.is_number else is_present(cell.value)
     return Fixed(Cell(F.when(known, cell.value).otherwise(F.lit(mode)), cell.is_number), ~known, value=str(mode))
 
@@ -89,7 +89,7 @@ def impute_mode(cell: Cell, ctx: Context) -> Fixed:
 def clip_iqr(cell: Cell, ctx: Context) -> Fixed:
     q1, q3 = ctx.stats.get("q1"), ctx.stats.get("q3")
     if q1 is None:
-        return Fixed(cell, applied=False, reason="no numeric data")
+        return Fixed(cell, applied=False, reason="no numbers")
     lower, upper = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     number = cell.number
     clipped = F.when(number < lower, F.lit(lower)).when(number > upper, F.lit(upper)).otherwise(number)
@@ -99,7 +99,7 @@ def clip_iqr(cell: Cell, ctx: Context) -> Fixed:
 def clip_to_min(cell: Cell, ctx: Context) -> Fixed:
     minimum = ctx.rules.minimum(ctx.column)
     if minimum is None:
-        return Fixed(cell, applied=False, reason="no min rule for column")
+        return Fixed(cell, applied=False, reason="no minimum declared")
     number = cell.number
     below = number < minimum
     return Fixed(Cell(F.when(below, F.lit(float(minimum))).otherwise(number), True), below, lower=float(minimum))

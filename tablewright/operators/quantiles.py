@@ -17,7 +17,7 @@ from tablewright.tables import col, small_frame
 
 BLOCK_ROWS = 1_000_000
 ACCURACY = 10_000
-MAX_ROUNDS = 6
+MAX_ROUNDS = 12
 
 
 def _bracket_rounds(nums, brackets, block_rows, accuracy):
@@ -28,7 +28,7 @@ def _bracket_rounds(nums, brackets, block_rows, accuracy):
             return
         sketches = []
         for i, b in enumerate(wide):
-            margin = 3.0 / accuracy
+            margin = b["margin"] / accuracy
             lo_share = (b["lo_rank"] - b["below"]) / b["inside"]
             hi_share = (b["hi_rank"] - b["below"]) / b["inside"]
             shares = [max(0.0, lo_share - margin), min(1.0, hi_share + margin)]
@@ -41,11 +41,13 @@ def _bracket_rounds(nums, brackets, block_rows, accuracy):
         proof = nums.agg(*counts).first()
         for i, b in enumerate(wide):
             below, upto = proof[f"{i}lo"], proof[f"{i}hi"]
-            if below <= b["lo_rank"] and b["hi_rank"] < upto and upto - below < b["inside"]:
+            if not (below <= b["lo_rank"] and b["hi_rank"] < upto):
+                b["margin"] *= 8  # the sketch missed: take more room and try again
+            elif upto - below < b["inside"]:
                 b["lo"], b["hi"] = found[str(i)]
                 b["below"], b["inside"] = below, upto - below
             else:
-                b["done"] = True
+                b["done"] = True  # a few values hold these rows, so their counted values are few
         brackets = [b for b in brackets if not b.get("done")]
 
 
@@ -85,7 +87,7 @@ def exact_quantiles(
                 continue
             position = (counts[c] - 1) * p
             brackets.append({"id": len(brackets), "column": c, "p": p, "lo": None, "hi": None,
-                             "below": 0, "inside": counts[c], "position": position,
+                             "below": 0, "inside": counts[c], "position": position, "margin": 3.0,
                              "lo_rank": math.floor(position), "hi_rank": math.ceil(position)})
     if not brackets:
         return out

@@ -12,6 +12,8 @@ import re
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from tablewright.operators.fixes import (
     ACTIONS, COLUMN_FIXES, NEEDS, Fixed, apply_fix, drop_unexpected_columns, start_cell,
     statistics)
 from tablewright.operators.rules import Rules
-from tablewright.tables import col, small_frame
+from tablewright.tables import col, materialize, small_frame
 
 LOG_SCHEMA = (
     "dataset string, seq bigint, pass int, agent string, action string, column string, "
@@ -59,7 +61,7 @@ def residual_steps(issues: DataFrame) -> list[Step]:
         action = CATALOGUE[r["issue_type"]][2]
         if action and action != "ignore":
             steps.append(Step(action, r["issue_type"], tuple(r["columns"] or ()), "SecondPass",
-                              f"second-pass deterministic fallback ({action}) for {r['issue_type']}"))
+                              f"still {r['issue_type']} after the first pass"))
     return steps
 
 
@@ -85,6 +87,20 @@ class _Stage:
         return apply_fix(frame, step.column, step.action, self.rules, stats, f"_touched_{number}")
 
     def finish(self) -> DataFrame:
+        """Apply what waits. If that fails, its corrections are tried one by one; one that fails alone is
+        logged with the reason, and the run goes on without it."""
+        try:
+            return self._finish()
+        except (PySparkException, Py4JJavaError) as error:
+            if len(self.waiting) == 1:
+                self.waiting[0][1].update(applied=False, rows_affected=0, reason=_reason(error))
+                return self.frame
+        frame = self.frame
+        for waiting in self.waiting:
+            frame = _Stage(frame, self.rules, [waiting]).finish()
+        return frame
+
+    def _finish(self) -> DataFrame:
         if not self.waiting:
             return self.frame
         # Statistics are taken on each column as the stat-free actions before left it.
@@ -109,6 +125,10 @@ class _Stage:
         return frame.select(*[col(c) for c in self.frame.columns])
 
 
+def _reason(error: Exception) -> str:
+    return "failed: " + str(error).strip().splitlines()[0][:200]
+
+
 def _renamed_copies(df: DataFrame, names: Iterable[str]) -> list[str]:
     """Columns the CSV reader renamed because their header repeated an earlier one."""
     return [c for c in df.columns if any(re.fullmatch(re.escape(n) + r"\.\d+", c) for n in names)]
@@ -134,8 +154,8 @@ def apply_steps(df: DataFrame, dataset: str, steps: list[Step], rules: Rules, pa
 
     for step in steps:
         if step.action in COLUMN_FIXES and (step.column is None or step.column not in frame.columns):
-            reason = ("missing column reference in audit issue" if step.column is None
-                      else f"column `{step.column}` not found in dataframe")
+            reason = ("the issue names no column" if step.column is None
+                      else f"no column `{step.column}`")
             if log_skipped:
                 entries.append(fresh(step, applied=False, reason=reason))
             continue
@@ -148,12 +168,19 @@ def apply_steps(df: DataFrame, dataset: str, steps: list[Step], rules: Rules, pa
         elif step.action in ("drop_duplicates", "keep_first_by_key"):
             frame = stage.finish()
             keys = None if step.action == "drop_duplicates" else list(step.columns)
-            if keys is not None or frame is not deduplicated:
-                hashes = repeated_hashes(frame, keys)
-                if not hashes.isEmpty():
-                    copies = duplicate_groups(frame, keys, hashes=hashes).agg(F.sum(F.col("n") - 1).alias("n"))
-                    entry["rows_affected"] = copies.first()["n"] or 0
-                    frame = drop_duplicates(frame, keys, hashes=hashes)
+            absent = [c for c in keys or () if c not in frame.columns]
+            if absent or keys == []:
+                entry.update(applied=False, reason=f"no column `{absent[0]}`" if absent else "the issue names no column")
+            elif keys is not None or frame is not deduplicated:
+                try:
+                    hashes = repeated_hashes(frame, keys)
+                    if not hashes.isEmpty():
+                        copies = duplicate_groups(frame, keys, hashes=hashes).agg(F.sum(F.col("n") - 1).alias("n")).first()["n"]
+                        # Written, so that later statistics don't drop the copies again.
+                        frame = materialize(drop_duplicates(frame, keys, hashes=hashes), "deduplicated")
+                        entry["rows_affected"] = copies or 0
+                except (PySparkException, Py4JJavaError) as error:
+                    entry.update(applied=False, reason=_reason(error))
             deduplicated = frame if keys is None else deduplicated
             stage = close(frame)
         elif step.action == "drop_unexpected_columns":
@@ -164,7 +191,7 @@ def apply_steps(df: DataFrame, dataset: str, steps: list[Step], rules: Rules, pa
             entry.update(columns=doomed, rows_affected=0)
             stage = close(frame)
         else:
-            entry.update(applied=False, reason="deferred or low-priority" if step.action == "ignore"
+            entry.update(applied=False, reason="nothing to do by plan" if step.action == "ignore"
                          else f"unknown action {step.action}")
         entries.append(entry)
     frame = stage.finish()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Methods above 8,000 bytes of code are never compiled by the JVM's JIT. Stages with many text
@@ -15,6 +17,13 @@ SETTINGS = {
 }
 
 
+def own_work_folder(spark: SparkSession) -> SparkSession:
+    """Give a local session (tests, benches) a folder for intermediate tables of its own if it names none."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tablewright-"))
+    return spark
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to a session."""
     for key, value in SETTINGS.items():

@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.constants import CSV_NULLS
-from tablewright.tables import col
+from tablewright.tables import col, materialize, small_frame
+
+_RECORD, _FILE = "_corrupt_record", "_file"
 
 
 @dataclass(frozen=True)
 class CsvTable:
-    """A CSV table and its header as written, repeated names included."""
+    """A CSV table, its header as written (repeated names included), and the rows that don't fit it."""
 
     data: DataFrame
     header: tuple[str, ...]
+    bad: DataFrame | None = None
 
 
 def _unique(names: list[str]) -> list[str]:
@@ -32,24 +37,92 @@ def _unique(names: list[str]) -> list[str]:
     return out
 
 
-def read_csv(spark: SparkSession, path: str, nulls: tuple[str, ...] = CSV_NULLS, **options) -> CsvTable:
+def _headers(spark: SparkSession, path: str, options: dict) -> dict[tuple[str, ...], str]:
+    """Each header that some file has, with one such file's path: a distributed read of first lines."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("start"),
+                                         F.monotonically_increasing_id().alias("at")).where("start = 0")
+    firsts = lines.groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    found = {}
+    for r in firsts.groupBy("line").agg(F.min("file").alias("file")).orderBy("file").collect():
+        line = r["line"].removeprefix("﻿")
+        if line.count(options["quote"]) % 2:
+            raise ValueError(f"header with a line break in {r['file']}")
+        cells = next(csv.reader([line], delimiter=options.get("sep", ","), quotechar=options["quote"]), [])
+        found.setdefault(tuple(cells), r["file"])
+    return found
+
+
+def _bad(names: list[str], options: dict) -> Column:
+    """Rows that lose something when read under these names: a cell too many, or a quote that never closes.
+
+    Cells that are missing at the end of a row are null, as usual.
+    """
+    wider = ", ".join(f"c{i} string" for i in range(len(names) + 1))
+    keep = {k: str(v) for k, v in options.items() if k != "multiLine"}
+    record = F.col(_RECORD)
+    surplus = F.from_csv(record, wider, keep)[f"c{len(names)}"].isNotNull()
+    quotes = F.length(record) - F.length(F.replace(record, F.lit(options["quote"]), F.lit("")))
+    return F.coalesce(record.isNotNull() & (surplus | (quotes % 2 == 1)), F.lit(False))
+
+
+def read_csv(spark: SparkSession, path: str, nulls: tuple[str, ...] = CSV_NULLS, multi_line: bool = False,
+             keep_bad: bool = False, **options) -> CsvTable:
     """Read a CSV with header, all columns as text, usual NULL spellings as NULL.
 
-    Raises on an empty table. No row cap. The header line is read by the CSV reader itself, so
-    quoted names work, and repeated names are renamed instead of merged.
+    Files of one folder may have their columns in any order, they meet by name; other sets of names raise, and
+    so do an empty table and rows with more cells than the header or an unclosed quote. ``keep_bad`` hands
+    such rows out as ``bad`` (file, record, first_cell) instead. Files are split over tasks unless ``multi_line`` says
+    that quoted cells can hold line breaks. No row cap. Repeated names are renamed instead of merged.
     """
-    reader_options = {"quote": '"', "escape": '"', "multiLine": True, **options}
-    head = spark.read.options(**{**reader_options, "header": False, "inferSchema": False}).csv(path).limit(1).collect()
-    if not head:
+    reader = {"quote": '"', "escape": '"', "multiLine": multi_line, **options}
+    headers = _headers(spark, path, reader)
+    if not headers or not any(headers):
         raise ValueError(f"CSV is empty: {path}")
-    header = tuple("" if h is None else h for h in head[0])
-    names = _unique([h if h else f"Unnamed: {i}" for i, h in enumerate(header)])
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = spark.read.options(**{**reader_options, "header": True, "enforceSchema": True}).schema(schema).csv(path)
-    data = raw.select(*[F.when(~col(n).isin(*nulls), col(n)).alias(n) for n in names])
-    if data.isEmpty():
+    named = {h: _unique([n if n else f"Unnamed: {i}" for i, n in enumerate(h)]) for h in headers}
+    header = next(iter(headers))
+    names = named[header]
+    if len({frozenset(n) for n in named.values()}) > 1:
+        raise ValueError("files have different columns: " + "; ".join(f"{headers[h]}: {', '.join(h)}" for h in headers))
+    parts = []
+    for own in named.values():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*own, _RECORD]])
+        raw = (spark.read.options(**{**reader, "header": True, "enforceSchema": True, "mode": "PERMISSIVE",
+                                     "columnNameOfCorruptRecord": _RECORD, "columnPruning": False})
+               .schema(schema).csv(path))
+        if len(named) > 1:
+            files = _files_of(spark, path, own, named, reader)
+            raw = raw.withColumn(_FILE, F.col("_metadata.file_path")).join(files, _FILE, "left_semi")
+        else:
+            raw = raw.withColumn(_FILE, F.col("_metadata.file_path"))
+        parts.append(raw.withColumn("_bad", _bad(own, reader)))
+    rows = reduce(DataFrame.unionByName, parts)
+    counts = rows.agg(F.count(col(names[0])).alias("seen"), F.count("*").alias("rows"), F.count_if("_bad").alias("bad")).first()
+    if not counts["rows"]:
         raise ValueError(f"CSV has no rows: {path}")
-    return CsvTable(data, header)
+    if counts["bad"] and not keep_bad:
+        example = rows.where("_bad").select(_FILE, _RECORD, col(names[0])).first()
+        raise ValueError(f"{counts['bad']} rows don't fit the header, for instance in {example[0]}: {example[1][:200]}")
+    data = rows.where("not _bad").select(*[F.when(~col(n).isin(*nulls), col(n)).alias(n) for n in names])
+    # Written, as Spark reads no raw CSV for its bad records alone.
+    found = rows.where("_bad").select(F.col(_FILE).alias("file"), F.col(_RECORD).alias("record"), col(names[0]).alias("first_cell"))
+    bad = materialize(found, "bad-rows") if counts["bad"] else small_frame(spark, [], "file string, record string, first_cell string")
+    return CsvTable(data, header, bad)
+
+
+def _files_of(spark: SparkSession, path: str, own: list[str], named: dict, options: dict) -> DataFrame:
+    """The files whose header gives just these names, as a table."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias(_FILE),
+                                         F.col("_metadata.file_block_start").alias("start"),
+                                         F.monotonically_increasing_id().alias("at")).where("start = 0")
+    firsts = lines.groupBy(_FILE).agg(F.min_by("value", "at").alias("line"))
+    wanted = [list(h) for h, n in named.items() if n == own]
+    cells = ", ".join(f"c{i} string" for i in range(len(own)))
+    keep = {k: str(v) for k, v in options.items() if k != "multiLine"}
+    parsed = F.from_csv(F.regexp_replace("line", "^﻿", ""), cells, keep)
+    same = reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [F.coalesce(parsed[f"c{i}"], F.lit("")) == n for i, n in enumerate(h)])
+                                       for h in wanted])
+    return firsts.where(same).select(_FILE)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

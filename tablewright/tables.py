@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Sequence
 
@@ -14,24 +13,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tablewright.constants import ROW_ID
 
-# A side is broadcast only after a count proved that it has at most this many rows.
-BROADCAST_ROWS = 1_000_000
-# Number of ways a hot key is split when its group is joined back to its rows.
-SALTS = 32
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for durable intermediate tables: the one the cluster names in spark.checkpoint.dir.
-
-    Only a local session without that setting gets a temporary folder.
-    """
+    """Folder for intermediate tables: the one the cluster names in spark.checkpoint.dir."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tablewright-"))
-    return spark.conf.get("spark.checkpoint.dir")
+    if not configured:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return configured
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -65,18 +52,21 @@ def local_rows(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
 
 
-def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Does the table have at most ``limit`` rows? Counts no further than that."""
-    return df.select(F.lit(1)).limit(limit + 1).count() <= limit
-
-
 def with_row_id(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Add ``_row_id``: the user's integer key when there is one, else a number fixed by writing
-    the table once, so that recomputed partitions can never renumber rows."""
+    """Add ``_row_id``: the user's key when it is a whole number, else a number fixed by writing the table
+    once, so that recomputed partitions can never renumber rows.
+
+    Numbers given by writing follow the order in which Spark reads the splits, which for several files is not
+    the files' order. A key must be unique and not null; a key of another type is checked and stays data.
+    """
     if ROW_ID in df.columns:
         return df
     if key is not None:
-        return df.withColumn(ROW_ID, F.col(key).cast("long"))
+        counts = df.agg(F.count("*").alias("rows"), F.count(col(key)).alias("keys"), F.count_distinct(col(key)).alias("distinct")).first()
+        if not counts["rows"] == counts["keys"] == counts["distinct"]:
+            raise ValueError(f"row key {key!r}: {counts['rows']} rows, {counts['keys']} keys, {counts['distinct']} distinct ones")
+        if isinstance(df.schema[key].dataType, T.IntegralType):
+            return df.withColumn(ROW_ID, col(key).cast("long"))
     return materialize(df.withColumn(ROW_ID, F.monotonically_increasing_id()), "rows")
 
 
@@ -117,24 +107,13 @@ def col(name: str):
 def rows_of_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose (null-safe) key is in ``groups``, with the other columns of ``groups`` attached.
 
-    ``groups`` holds one row per key. A key may own a third of all rows, so a plain shuffle join
-    would put those rows in one task: groups proven small are broadcast, larger ones are joined
-    on the key plus a salt, which spreads every key over ``SALTS`` tasks.
+    ``groups`` holds one row per key and should be a written table, whose size Spark knows: a small one is
+    broadcast below Spark's own limit of bytes. Otherwise both sides are shuffled, and as a key has one row on
+    the side of the groups, adaptive execution splits the rows of a hot key over as many tasks as they need.
     """
     left, right = df.alias("l"), groups.alias("r")
-
-    def same_key():
-        on = F.lit(True)
-        for k in keys:
-            on = on & F.col(f"l.{quoted(k)}").eqNullSafe(F.col(f"r.{quoted(k)}"))
-        return on
-
-    extra = [F.col(f"r.{quoted(c)}") for c in groups.columns if c not in keys]
-    if is_small(groups):
-        joined = left.join(F.broadcast(right), same_key())
-    else:
-        left = df.withColumn("_salt", F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(SALTS))).alias("l")
-        salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-        right = groups.withColumn("_salt", salts).alias("r")
-        joined = left.join(right, same_key() & (F.col("l._salt") == F.col("r._salt")))
-    return joined.select(*[F.col(f"l.{quoted(c)}") for c in df.columns], *extra)
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(f"l.{quoted(k)}").eqNullSafe(F.col(f"r.{quoted(k)}"))
+    return left.join(right, on).select(*[F.col(f"l.{quoted(c)}") for c in df.columns],
+                                       *[F.col(f"r.{quoted(c)}") for c in groups.columns if c not in keys])

@@ -17,5 +17,5 @@ def spark():
                .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
-    from tablewright.session import tune
-    return tune(session)
+    from tablewright.session import own_work_folder, tune
+    return own_work_folder(tune(session))

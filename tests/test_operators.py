@@ -18,9 +18,12 @@ from tablewright.operators.rules import with_fallback_key
 from tablewright.operators.score import datasets_frame, reliability, sub_scores
 from tablewright.plans import planner as pl
 from tablewright.plans.apply import Step, apply_steps
+from tablewright.plans.run import STAGES
 from tablewright.sources import read_csv, write_fixed, write_result
-from tablewright.streaming import STAGES
-from tablewright.tables import local_rows, new_path, rows_of_groups, small_frame
+from tablewright.operators.profile import profile
+from tablewright.functions.temporal import classify_format, parse_timestamp
+from tablewright.functions.text import as_text
+from tablewright.tables import local_rows, new_path, rows_of_groups, small_frame, with_row_id
 
 # One anomaly per row, as in the fixture of the orders table.
 SHOWCASE = [
@@ -140,10 +143,11 @@ def test_duplicates_hot_group_both_ways(spark):
         if seen[(a, b)] == 1:
             firsts.append(i)
     want = {k: n for k, n in seen.items() if n > 1}
-    for limit in (0, 10**6):
-        groups = duplicate_groups(df, limit=limit).collect()
+    for threshold in ("-1", "10m"):  # shuffled, and broadcast
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        groups = duplicate_groups(df).collect()
         assert {(r["a"], r["b"]): r["n"] for r in groups} == want
-        assert sorted(r[ROW_ID] for r in drop_duplicates(df, limit=limit).collect()) == firsts
+        assert sorted(r[ROW_ID] for r in drop_duplicates(df).collect()) == firsts
 
 
 def test_hot_key_members_salted_and_broadcast(spark, monkeypatch):
@@ -152,10 +156,6 @@ def test_hot_key_members_salted_and_broadcast(spark, monkeypatch):
     rules = Rules((ColumnRule("k", key_rank=1),))
     want = sorted(i for i, k in rows if k in ("hot", None))
     assert sorted(r["row_id"] for r in key_conflict_events(df, "t", rules).collect()) == want
-    import tablewright.tables as tables
-
-    monkeypatch.setattr(tables, "is_small", lambda *a, **k: False)
-    assert sorted(r["row_id"] for r in key_conflict_events(df, "t", rules).collect()) == want
     groups = df.groupBy("k").agg(F.count("*").alias("n"))
     assert rows_of_groups(df, groups, ["k"]).count() == 300
 
@@ -182,9 +182,9 @@ def test_fixes_without_data_are_logged_as_not_applied(spark):
         Step("clip_iqr", "t", ("gone",)), Step("clip_iqr", "t", ()), Step("ignore", "t", ("a",))]
     out, log = apply_steps(df, "t", steps, Rules())
     assert [(e[9], e[13]) for e in log] == [
-        (False, "no numeric data"), (False, "no numeric data"), (False, "no min rule for column"),
-        (False, "column `gone` not found in dataframe"), (False, "missing column reference in audit issue"),
-        (False, "deferred or low-priority")]
+        (False, "no numbers"), (False, "no numbers"), (False, "no minimum declared"),
+        (False, "no column `gone`"), (False, "the issue names no column"),
+        (False, "nothing to do by plan")]
     assert out.collect() == df.collect()
 
 
@@ -216,7 +216,7 @@ def test_plan_validation(spark):
     assert (plan[0]["action"], plan[0]["overridden"]) == ("clip_iqr", True)
     assert (plan[1]["action"], plan[1]["overridden"]) == ("ignore", False)
     assert plan[2]["action"] == "ignore"
-    assert plan[3]["action"] == "normalize_dates" and plan[3]["rationale"].startswith("deterministic fallback")
+    assert plan[3]["action"] == "normalize_dates" and plan[3]["rationale"].startswith("default for")
     assert [r["agent"] for r in pl.default_plan(issues).orderBy("step").collect()] == ["Consistency"] + ["Anomaly"] * 3
 
 
@@ -266,7 +266,7 @@ def test_corruption_is_repeatable(clean):
 def test_csv_keeps_text_and_repeated_headers(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text('id,price,price,note\n1,"52.87 EUR",NA,"line one\nline ""two"""\n2,"1.234,56",x,\n')
-    table = read_csv(spark, str(path))
+    table = read_csv(spark, str(path), multi_line=True)
     assert table.header == ("id", "price", "price", "note")
     assert [tuple(r) for r in table.data.orderBy("id").collect()] == [
         ("1", "52.87 EUR", None, 'line one\nline "two"'), ("2", "1.234,56", "x", None)]
@@ -288,3 +288,58 @@ def test_audit_options_leave_out_samples(orders):
     full = audit(orders, "orders", ORDER_RULES)
     key = ["issue_index", "issue_type", "row_count"]
     assert plain.select(*key).collect() == full.select(*key).collect()
+
+
+def folder(tmp_path, **files):
+    for name, text in files.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    return str(tmp_path)
+
+
+def test_csv_rows_that_do_not_fit(spark, tmp_path):
+    path = folder(tmp_path, a='a,b\n1,2\n3,4,5\n6\n"x,7\n"q ""z""",8\n')
+    with pytest.raises(ValueError, match="2 rows"):
+        read_csv(spark, path)
+    table = read_csv(spark, path, keep_bad=True)
+    assert sorted(map(tuple, table.data.collect()), key=str) == [("1", "2"), ("6", None), ('q "z"', "8")]
+    assert sorted(r["record"] for r in table.bad.collect()) == ['"x,7', "3,4,5"]
+
+
+def test_csv_files_meet_by_name(spark, tmp_path):
+    table = read_csv(spark, folder(tmp_path, a="a,b\n1,2\n", b="b,a\n3,4\n"))
+    assert sorted(tuple(r) for r in table.data.select("a", "b").collect()) == [("1", "2"), ("4", "3")]
+
+
+@pytest.mark.parametrize("files, error", [({"a": "a,b\n1,2\n", "b": "b,c\n3,4\n"}, "different columns"), ({"a": "a,b\n"}, "no rows"),
+                                          ({"a": ""}, "empty"), ({"a": '"a\nb",c\n1,2\n'}, "line break")])
+def test_csv_that_cannot_be_read(spark, tmp_path, files, error):
+    with pytest.raises(ValueError, match=error):
+        read_csv(spark, folder(tmp_path, **files))
+
+
+def test_tables_without_scalar_columns_or_issues(spark):
+    nested = spark.createDataFrame([(1, [1, 2]), (2, None)], f"{ROW_ID} bigint, xs array<int>")
+    assert profile(nested, "t").count() == 1 and audit(nested, "t", Rules()).count() == 0
+
+
+def test_row_keys(spark):
+    frame = spark.createDataFrame([("ORD-1", 1), ("ORD-2", 1)], "k string, n int")
+    kept = with_row_id(frame, "k")
+    assert kept.columns == ["k", "n", ROW_ID] and kept.select(ROW_ID).distinct().count() == 2
+    for rows in ([("a", 1), ("a", 2)], [("a", 1), (None, 2)]):
+        with pytest.raises(ValueError, match="row key"):
+            with_row_id(spark.createDataFrame(rows, "k string, n int"), "k")
+
+
+def test_long_fractions_are_dates(spark):
+    frame = spark.createDataFrame([("2024-01-02T03:04:05." + "1" * 25,), ("2024-01-02",), ("　 ",)], "d string")
+    row = frame.select(classify_format("d", "datetime").alias("label"), parse_timestamp("d").alias("stamp"), as_text("d").alias("text")).collect()
+    assert row[0]["label"] == "iso_datetime" and str(row[0]["stamp"]) == "2024-01-02 03:04:05.111111" and row[2]["text"] == ""
+
+
+def test_a_failing_step_is_logged_and_the_run_goes_on(spark):
+    frame = small_frame(spark, [(0, "a", "1"), (1, "a", "x"), (2, "b", "2")], f"{ROW_ID} bigint, k string, v string")
+    steps = [Step("keep_first_by_key", "duplicate_business_keys", ("gone",)), Step("keep_first_by_key", "duplicate_business_keys", ("k",)),
+             Step("cast_numeric", "semantic_type_mismatch", ("v",))]
+    fixed, log = apply_steps(frame, "t", steps, Rules())
+    assert [(r[9], r[13]) for r in log][:2] == [(False, "no column `gone`"), (True, None)] and fixed.count() == 2
