@@ -5,6 +5,6 @@ from __future__ import annotations
 
 def load():
     """(queries, oracle SQL) of all query modules."""
-    from registry import base, check_queries, event_queries, fix_queries, plan_queries, profile_queries  # noqa: F401
+    from registry import base, check_queries, event_queries, fix_queries, plan_queries, profile_queries, quality_queries, source_queries  # noqa: F401
 
     return base.QUERIES, base.ORACLE

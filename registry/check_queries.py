@@ -14,7 +14,7 @@ from registry.profile_queries import FACTS_SQL, LABEL_SQL
 from tablewright.constants import ROW_ID
 from tablewright.operators import checks as ck
 from tablewright.operators import cross
-from tablewright.operators.duplicates import duplicate_groups, key_groups
+from tablewright.operators.duplicates import duplicate_groups, key_groups, repeated_hashes
 from tablewright.operators.issues import issues_summary, severity_breakdown
 from tablewright.operators.rules import ColumnRule, CrossRule, Rules
 from tablewright.tables import local_rows, small_frame
@@ -224,7 +224,7 @@ SELECT order_id, min(row_id) AS first_row, count(*) AS n FROM dirty GROUP BY ord
   order_date, order_period, order_year, total_price, note HAVING count(*) > 1"""))
 def exact_duplicates_unbroadcast(spark, sf):
     """The way taken when too many hashes repeat to broadcast them."""
-    return duplicate_groups(dirty(spark, sf), limit=0).select("order_id", "first_row", "n")
+    return duplicate_groups(dirty(spark, sf), hashes=repeated_hashes(dirty(spark, sf)).hint("merge")).select("order_id", "first_row", "n")
 
 
 @query("duplicate_texts", """

@@ -12,7 +12,7 @@ from tablewright.constants import ROW_ID
 from tablewright.operators import fixes as fx
 from tablewright.operators import report
 from tablewright.operators.checks import AuditOptions
-from tablewright.operators.duplicates import drop_duplicates
+from tablewright.operators.duplicates import drop_duplicates, repeated_hashes
 from tablewright.plans.apply import Step, apply_steps, log_frame
 from tablewright.plans.run import run_quality
 
@@ -54,8 +54,6 @@ FIXES = {
         f"SELECT row_id, CASE WHEN {NUM} < 0 THEN 0.0 ELSE {NUM} END::DOUBLE AS total_price FROM dirty")),
     "fix_normalize_dates": ("order_date", "normalize_dates", with_dirty(
         f"SELECT row_id, coalesce(strftime({stamp_sql('order_date')}, '%Y-%m-%d'), order_date) AS order_date FROM dirty")),
-    "fix_normalize_periods": ("order_period", "normalize_dates", with_dirty(
-        "SELECT row_id, order_period FROM dirty")),
     "fix_normalize_categorical": ("priority", "normalize_categorical", with_dirty(
         f"SELECT row_id, {TITLE_SQL.format('trim(priority)')} AS priority FROM dirty")),
 }
@@ -63,6 +61,16 @@ for _name, (_column, _action, _sql) in FIXES.items():
     query(_name, _sql)(fixed(_column, _action))
 
 
+@query("fix_normalize_periods", with_dirty("SELECT row_id, order_period FROM dirty"))
+def fix_normalize_periods(spark, sf):
+    """Periods written in three layouts come out in one."""
+    period, third = F.col("order_period"), (F.col(ROW_ID) / 10).cast("long") % 3
+    mixed = (F.when(third == 0, F.concat(F.substring(period, 6, 2), F.lit("/"), F.substring(period, 1, 4)))
+             .when(third == 1, F.replace(period, F.lit("-"), F.lit("/"))).otherwise(period))
+    d = dirty(spark, sf).withColumn("order_period", mixed)
+    return fx.fix_column(d, "order_period", "normalize_dates", dirty_rules()).select(F.col(ROW_ID).alias("row_id"), "order_period")
+
+
 @query("fix_clip_iqr_events", """
 SELECT event_id, round(CASE WHEN value > hi THEN hi WHEN value < lo THEN lo ELSE value END, 6) AS value FROM events, (
   SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM (
@@ -100,7 +108,9 @@ def fix_drop_duplicates(spark, sf):
 
 @query("fix_drop_duplicates_unbroadcast", DEDUP_SQL)
 def fix_drop_duplicates_unbroadcast(spark, sf):
-    return drop_duplicates(dirty(spark, sf), limit=0).select(F.col(ROW_ID).alias("row_id"), "order_id", "status")
+    """The same with the hashes joined by shuffle and sort."""
+    d = dirty(spark, sf)
+    return drop_duplicates(d, hashes=repeated_hashes(d).hint("merge")).select(F.col(ROW_ID).alias("row_id"), "order_id", "status")
 
 
 @query("fix_keep_first_by_key", with_dirty(
@@ -148,7 +158,7 @@ def plan_applied(spark, sf):
                       F.round("total_price", 6).alias("total_price"))
 
 
-@query("plan_log", with_dirty(f"""
+PLAN_LOG_SQL = f"""
 SELECT 1::BIGINT AS seq, 'impute_mode' AS action, 'status' AS "column", count(*) AS rows_affected, true AS applied FROM dirty WHERE NOT {present_sql('status')}
 UNION ALL SELECT 2, 'ignore', 'note', 0, false
 UNION ALL SELECT 3, 'normalize_dates', 'order_date', count(*), true FROM dirty WHERE strftime({stamp_sql('order_date')}, '%Y-%m-%d') <> order_date
@@ -158,7 +168,10 @@ UNION ALL SELECT 6, 'cast_numeric', 'total_price', count(*), true FROM step4 WHE
 UNION ALL SELECT 7, 'clip_to_min', 'total_price', count(*), true FROM step5 WHERE num < 0
 UNION ALL SELECT 8, 'clip_iqr', 'total_price', count(*), true FROM step5 CROSS JOIN f
   WHERE low NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)
-UNION ALL SELECT 9, 'clip_iqr', 'ghost', 0, false""", CHAIN))
+UNION ALL SELECT 9, 'clip_iqr', 'ghost', 0, false"""
+
+
+@query("plan_log", with_dirty(PLAN_LOG_SQL, CHAIN))
 def plan_log(spark, sf):
     d = dirty(spark, sf)
     _, entries = apply_steps(d, "dirty", STEPS, dirty_rules())

@@ -7,33 +7,47 @@ from pyspark.sql import functions as F
 
 from registry.base import query
 from registry.check_queries import dirty_issues, with_audit
-from tablewright.constants import (
-    ALLOWED_ACTIONS, CATALOGUE, DEAD_COMPLETENESS, IGNORE_KEYWORDS, PLANNERS, SEVERITY_PENALTY, WEIGHTS)
 from tablewright.operators import report
 from tablewright.operators import score as sc
 from tablewright.plans import planner as pl
 
 
-def _values(rows) -> str:
-    def text(v):
-        return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
-    return ", ".join("(" + ", ".join(text(v) for v in r) + ")" for r in rows)
-
-
-CATALOGUE_SQL = f"""
-kinds AS (SELECT * FROM (VALUES {_values((t, a, d, ' '.join(ALLOWED_ACTIONS[a])) for t, (_, a, d, _x) in CATALOGUE.items())})
-  v(issue_type, agent, fallback, allowed)),
-dims AS (SELECT * FROM (VALUES {_values((t, dim) for t, c in CATALOGUE.items() for dim in c[3])}) v(issue_type, dimension)),
-routed AS (SELECT issues.*, agent, fallback, allowed, list_position(['{"','".join(PLANNERS)}'], agent) AS agent_no
+# Routes, dimensions and weights written out, so that a wrong entry in the package shows.
+CATALOGUE_SQL = """
+kinds AS (SELECT *, CASE agent WHEN 'Schema' THEN 'drop_unexpected_columns cast_numeric normalize_dates ignore'
+    WHEN 'Completeness' THEN 'impute_median impute_mode ignore'
+    WHEN 'Consistency' THEN 'normalize_dates drop_duplicates normalize_categorical ignore'
+    ELSE 'clip_iqr clip_to_min cast_numeric strip_currency ignore' END AS allowed FROM (VALUES
+  ('missing_required_columns', 'Schema', NULL), ('duplicate_column_names', 'Schema', 'drop_unexpected_columns'),
+  ('semantic_type_mismatch', 'Schema', 'cast_numeric'), ('naming_convention_violation', 'Schema', NULL),
+  ('missing_mandatory_values', 'Completeness', 'impute_mode'), ('missing_optional_values', 'Completeness', NULL),
+  ('sparse_column', 'Completeness', NULL), ('invalid_format_values', 'Consistency', 'normalize_dates'),
+  ('mixed_format_family', 'Consistency', 'normalize_dates'),
+  ('categorical_variant_inconsistency', 'Consistency', 'normalize_categorical'), ('categorical_rare_value', 'Anomaly', 'ignore'),
+  ('non_numeric_values_in_numeric_field', 'Anomaly', 'cast_numeric'), ('forbidden_token_in_numeric_field', 'Anomaly', 'strip_currency'),
+  ('value_below_minimum', 'Anomaly', 'clip_to_min'), ('iqr_outliers', 'Anomaly', 'clip_iqr'),
+  ('exact_duplicate_rows', 'Consistency', 'drop_duplicates'), ('duplicate_business_keys', 'Consistency', 'drop_duplicates'),
+  ('year_date_mismatch', 'Consistency', NULL)) v(issue_type, agent, fallback)),
+dims AS (SELECT * FROM (VALUES
+  ('semantic_type_mismatch', 'validity'), ('naming_convention_violation', 'validity'), ('missing_mandatory_values', 'completeness'),
+  ('missing_optional_values', 'completeness'), ('sparse_column', 'completeness'), ('invalid_format_values', 'consistency'),
+  ('mixed_format_family', 'consistency'), ('categorical_variant_inconsistency', 'consistency'), ('categorical_rare_value', 'accuracy'),
+  ('non_numeric_values_in_numeric_field', 'accuracy'), ('forbidden_token_in_numeric_field', 'accuracy'),
+  ('value_below_minimum', 'accuracy'), ('iqr_outliers', 'accuracy'), ('exact_duplicate_rows', 'consistency'),
+  ('exact_duplicate_rows', 'uniqueness'), ('duplicate_business_keys', 'consistency'), ('duplicate_business_keys', 'uniqueness'),
+  ('year_date_mismatch', 'consistency')) v(issue_type, dimension)),
+routed AS (SELECT issues.*, agent, fallback, allowed,
+    list_position(['Schema', 'Completeness', 'Consistency', 'Anomaly'], agent) AS agent_no
   FROM issues JOIN kinds USING (issue_type))"""
-EXEMPT = (f"(issue_type = 'naming_convention_violation' OR (issue_type = 'sparse_column' AND completeness < {DEAD_COMPLETENESS}) "
-          f"OR (issue_type LIKE 'missing_%_values' AND missing_ratio > {1 - DEAD_COMPLETENESS}))")
-PENALTY = "CASE severity " + " ".join(f"WHEN '{s}' THEN {p}" for s, p in SEVERITY_PENALTY.items()) + " ELSE 0.05 END"
+EXEMPT = ("(issue_type = 'naming_convention_violation' OR (issue_type = 'sparse_column' AND completeness < 0.05) "
+          "OR (issue_type LIKE 'missing_%_values' AND missing_ratio > 0.95))")
+PENALTY = "CASE severity WHEN 'critical' THEN 0.40 WHEN 'high' THEN 0.20 WHEN 'medium' THEN 0.08 WHEN 'low' THEN 0.02 ELSE 0.05 END"
 SCORES_SQL = f"""
 penalties AS (SELECT dimension, count(*) AS n, greatest(0, round(1 - sum(CASE WHEN {EXEMPT} THEN 0 ELSE {PENALTY} END), 3)) AS s
   FROM issues JOIN dims USING (issue_type) GROUP BY dimension),
 scored AS (SELECT d AS dimension, w, coalesce(n, 0) AS issues, coalesce(s, 1.0)::DOUBLE AS sub_score
-  FROM (VALUES {', '.join(f"('{d}', {w})" for d, w in WEIGHTS.items())}) v(d, w) LEFT JOIN penalties ON d = dimension)"""
+  FROM (VALUES ('completeness', 0.30), ('consistency', 0.25), ('validity', 0.20), ('uniqueness', 0.15), ('accuracy', 0.10)) v(d, w)
+  LEFT JOIN penalties ON d = dimension)"""
 
 
 def with_plan(body: str, *extra: str) -> str:
@@ -70,7 +84,7 @@ proposed AS (SELECT *, CASE issue_index % 3 WHEN 0 THEN coalesce(fallback, 'igno
 checked AS (SELECT *, CASE WHEN list_contains(string_split(allowed, ' '), asked) THEN asked ELSE 'ignore' END AS action0 FROM proposed),
 judged AS (SELECT *, action0 = 'ignore' AND fallback IS NOT NULL AND list_contains(string_split(allowed, ' '), fallback)
   AND NOT (""" + EXEMPT.replace("completeness <", "coalesce(completeness, 1) <").replace("missing_ratio >", "coalesce(missing_ratio, 0) >") + """)
-  AND NOT (""" + " OR ".join("contains(lower(why), '" + k.replace("'", "''") + "')" for k in IGNORE_KEYWORDS) + """) AS override FROM checked)"""
+  AND NOT (""" + "contains(lower(why), 'identifier') OR contains(lower(why), 'not meaningful')" + """) AS override FROM checked)"""
 
 
 @query("plan_validated", with_plan("""

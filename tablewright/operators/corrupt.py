@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.constants import ROW_ID
-from tablewright.functions.temporal import classify_format, parse_date_year, parse_year_month, render_alternative
+from tablewright.functions.temporal import (
+    classify_format, parse_date_year, parse_timestamp, parse_year_month, render_alternative)
 from tablewright.functions.numeric import parse_number_loose
 from tablewright.functions.text import as_text, is_present
 from tablewright.operators.cells import numbers, temporal, with_temporal
@@ -179,29 +180,43 @@ def inject_key_conflict(df: DataFrame, dataset: str, rules: Rules, rate: float,
     return bad, truth
 
 
-def inject_cross_error(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: int):
-    """Break the first applicable count, year or period rule in the chosen rows."""
-    usable = [r for r in applicable(df, rules.cross) if r.kind in ("le", "year_matches", "period_matches")]
-    if not usable:
-        return df, empty_events(df).drop("issue_type")
-    rule: CrossRule = usable[0]
+def _broken(df: DataFrame, rule: CrossRule) -> tuple[Column, dict[str, Column]]:
+    """(where the rule can be broken, the new cells that break it)."""
     number, c = _number_of(df), rule.columns
     if rule.kind == "le":
-        limit = F.greatest(F.lit(0.0), number(c[1]))
-        ok = number(c[1]).isNotNull()
-        new = {c[0]: _as_cell(df, c[0], limit + F.greatest(F.lit(1.0), limit * 0.5 + 1))}
-    elif rule.kind == "year_matches":
+        above = F.abs(number(c[1])) * 2 + 10
+        return number(c[1]).isNotNull(), {c[0]: _as_cell(df, c[0], above)}
+    if rule.kind == "year_matches":
         year = parse_date_year(col(c[0]))
-        ok, new = year.isNotNull() & is_present(col(c[0])), {c[1]: (year + 1).cast("string")}
-    else:
+        return year.isNotNull() & is_present(col(c[0])), {c[1]: (year + 1).cast("string")}
+    if rule.kind == "period_matches":
         part = parse_year_month(col(c[0]))
-        ok = part.isNotNull() & is_present(col(c[0]))
-        month = F.when(part["month"] != 1, F.lit(1)).otherwise(F.lit(2))
-        new = {c[1]: part["year"].cast("string"), c[2]: month.cast("string")}
-    hit = chosen(rate, seed) & F.coalesce(ok, F.lit(False))
-    bad = _replace(df, {k: F.when(hit, v).otherwise(col(k)) for k, v in new.items()})
-    truth = _truth(df.where(hit), dataset, "crossfield_inconsistency", ",".join(sorted(c)))
-    return bad, truth
+        return part.isNotNull() & is_present(col(c[0])), {
+            c[1]: part["year"].cast("string"), c[2]: F.when(part["month"] != 1, F.lit(1)).otherwise(F.lit(2)).cast("string")}
+    if rule.kind == "product_matches":
+        product = number(c[1]) * number(c[2])
+        return product.isNotNull(), {c[0]: _as_cell(df, c[0], product + F.abs(product) * 0.5 + 1)}
+    first, second = parse_timestamp(col(c[0])), parse_timestamp(col(c[1]))
+    late = second + F.expr("INTERVAL 30 DAYS")
+    if dict(df.dtypes)[c[0]] == "string":
+        late = F.date_format(late, "yyyy-MM-dd")
+    return first.isNotNull() & second.isNotNull(), {c[0]: late}
+
+
+def inject_cross_error(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: int):
+    """Break cross-column rules; all applicable ones share the chosen rows out by slots."""
+    usable = applicable(df, rules.cross)
+    if not usable:
+        return df, empty_events(df).drop("issue_type")
+    new, hits = {}, []
+    for slot, rule in enumerate(usable):
+        ok, cells = _broken(df, rule)
+        hits.append(chosen(rate, seed, slot, len(usable)) & F.coalesce(ok, F.lit(False)))
+        for c, value in cells.items():
+            new[c] = F.when(hits[-1], value.cast(df.schema[c].dataType)).otherwise(new.get(c, col(c)))
+    broken = F.array_compact(F.array(*[F.when(h, F.lit(",".join(sorted(r.columns)))) for h, r in zip(hits, usable, strict=True)]))
+    truth = _truth(df.select(ROW_ID, F.explode(broken).alias("columns")), dataset, "crossfield_inconsistency", F.col("columns"))
+    return _replace(df, new), truth
 
 
 INJECTORS = {

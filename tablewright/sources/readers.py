@@ -103,7 +103,11 @@ def read_csv(spark: SparkSession, path: str, nulls: tuple[str, ...] = CSV_NULLS,
     if counts["bad"] and not keep_bad:
         example = rows.where("_bad").select(_FILE, _RECORD, col(names[0])).first()
         raise ValueError(f"{counts['bad']} rows don't fit the header, for instance in {example[0]}: {example[1][:200]}")
-    data = rows.where("not _bad").select(*[F.when(~col(n).isin(*nulls), col(n)).alias(n) for n in names])
+    if counts["bad"]:
+        rows_kept = materialize(rows.where("not _bad").select(*[col(n) for n in names]), "good-rows")
+    else:
+        rows_kept = reduce(DataFrame.unionByName, [p.select(*[col(n) for n in names]) for p in parts])
+    data = rows_kept.select(*[F.when(~col(n).isin(*nulls), col(n)).alias(n) for n in names])
     # Written, as Spark reads no raw CSV for its bad records alone.
     found = rows.where("_bad").select(F.col(_FILE).alias("file"), F.col(_RECORD).alias("record"), col(names[0]).alias("first_cell"))
     bad = materialize(found, "bad-rows") if counts["bad"] else small_frame(spark, [], "file string, record string, first_cell string")
