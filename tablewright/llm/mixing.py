@@ -74,13 +74,13 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, epochs: float
     """
     docs = docs.drop("_copy", "_rate", "_order")
     rates = cut(repetition_rates(docs, uniform_weights(docs) if weights is None else weights, epochs)
-                .select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), F.col("low").alias("_low"),
-                        F.col("cdf").alias("_cdf")), "rates")
+                .select(F.col("source").alias("__llm_source"), F.col("rate").alias("_rate"), F.col("low").alias("__llm_low"),
+                        F.col("cdf").alias("__llm_cdf")), "rates")
     u = hash_number(F.lit(seed), F.col("doc_id"))
-    counted = (docs.join(rates, F.col("source").eqNullSafe(F.col("_source")))
-               .withColumn("_count", F.col("_low") + F.size(F.filter("_cdf", lambda p: p < u)))
-               .where("_count > 0").drop("_source", "_low", "_cdf"))
-    copies = counted.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_count") - 1))).drop("_count")
+    counted = (docs.join(rates, F.col("source").eqNullSafe(F.col("__llm_source")))
+               .withColumn("__llm_count", F.col("__llm_low") + F.size(F.filter("__llm_cdf", lambda p: p < u)))
+               .where("__llm_count > 0").drop("__llm_source", "__llm_low", "__llm_cdf"))
+    copies = counted.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("__llm_count") - 1))).drop("__llm_count")
     order = F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
                               F.col("_copy").cast("string")))
     return copies.withColumn("_order", order).orderBy("_order")

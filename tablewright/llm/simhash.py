@@ -241,7 +241,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that represent their component: the least id; of equal ids one text, once."""
     reps = near_duplicates(docs, id_col, text_col).select(
-        F.col("rep.id").alias("_rep_id"), F.col("rep.hash").alias("_rep_hash")).distinct()
-    named = docs.withColumn("_hash", F.xxhash64(F.col(f"`{text_col}`")))
-    kept = named.join(reps, F.col(f"`{id_col}`").eqNullSafe(F.col("_rep_id")) & (F.col("_hash") == F.col("_rep_hash")), "left_semi")
-    return kept.dropDuplicates([id_col, "_hash"]).drop("_hash")
+        F.col("rep.id").alias("__llm_rep_id"), F.col("rep.hash").alias("__llm_rep_hash")).distinct()
+    named = docs.withColumn("__llm_hash", F.xxhash64(F.col(f"`{text_col}`")))
+    kept = named.join(reps, F.col(f"`{id_col}`").eqNullSafe(F.col("__llm_rep_id")) & (F.col("__llm_hash") == F.col("__llm_rep_hash")), "left_semi")
+    return kept.dropDuplicates([id_col, "__llm_hash"]).drop("__llm_hash")

@@ -143,3 +143,14 @@ def test_run_keeps_no_copy_and_loses_no_document(spark, tmp_path):
     spark.createDataFrame(corpus(), "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert got and set(got[0].asDict()) == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
+
+
+def test_stages_leave_further_columns_out(spark):
+    text = "One sentence with a good many words in it, so that the rules are content with what they see here today."
+    docs = spark.createDataFrame([(1, text, "en", "a", 3, "x", "y", 1, True)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, clean_text string, hash string, "
+                                 "piece int, kept boolean")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, "")
+        assert got.columns == docs.columns[:5] and (name == "source_mixing" or got.first().text == text)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == 1
