@@ -59,3 +59,29 @@ def batches(rows: Iterator[dict] | Iterator[tuple], schema: pa.Schema, size: int
             block = []
     if block:
         yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in block], schema=schema)
+
+
+#: 64-bit words of a bitmap: half a megabyte, whatever number of keys it has seen.
+BITMAP_WORDS = 1 << 16
+
+
+def bitmap(keys: DataFrame, *columns: str) -> DataFrame:
+    """One row: a bitmap of fixed size of the keys' hashes. It lets a scan leave out most rows that a join would
+    drop, before they are shuffled; with very many keys it lets all through."""
+    place = _place(*columns)
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+    seen = keys.select(F.floor(place / 64).cast("long").alias("word"), one.alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    every = keys.sparkSession.range(BITMAP_WORDS).withColumnRenamed("id", "word").join(seen, "word", "left")
+    words = F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+    return cut(every.agg(F.transform(words, lambda w: w["bits"]).alias("bitmap")), "bitmap")
+
+
+def _place(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns, F.lit("bitmap")), F.lit(64 * BITMAP_WORDS))
+
+
+def maybe_in(found: DataFrame, *columns: str) -> Column:
+    """False only for rows whose key the bitmap has not seen."""
+    place = _place(*columns)
+    word = F.element_at(found.scalar(), F.floor(place / 64).cast("int") + 1)
+    return F.call_function("shiftrightunsigned", word, F.pmod(place, F.lit(64)).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1

@@ -9,56 +9,55 @@ lose theirs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import cut
+from tablewright.llm.common import bitmap, cut, maybe_in
 
 #: Shorter lines are no templates; tokens that lead to a leaf; least share of constant tokens.
 MIN_TOKENS, DEPTH, SIMILARITY = 5, 3, 0.8
-SPACES = r"[\x20\x09-\x0D]+"
-
-
-def masked(line: Column) -> Column:
-    """The line's tokens, single-spaced, with runs of digits as 0."""
-    return F.trim(F.regexp_replace(F.regexp_replace(line, "[0-9]+", "0"), SPACES, " "))
+#: What a single space replaces: runs of white space but line ends, and other white space than a space.
+SPACES = r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]"
+LINE = ("line1", "line2")
 
 
 def _parsed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, hash, pos, norm, n, line, leaf) of the lines that can be templates: long enough, not mere figures."""
+    """(doc, hash, pos, norm, n, line1, line2, leaf) of the lines that can be templates: long enough, not mere figures.
+
+    norm: the line's tokens, single-spaced, runs of digits as 0; line1 and line2 are its hashes, leaf that of its
+    number of tokens and first tokens. The whole text is masked before it is split, so that this is done once.
+    """
     text = F.col(f"`{text_col}`")
-    lines = (docs.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    plain = F.regexp_replace(F.regexp_replace(text, "[0-9]+", "0"), SPACES, " ")
+    lines = (docs.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(text).alias("hash"), plain.alias("plain"))
              .where("doc is not null")
-             .select("doc", "hash", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
-             .select("doc", "hash", "pos", masked(F.col("raw")).alias("norm")))
+             .select("doc", "hash", F.posexplode(F.split("plain", "\n")).alias("pos", "raw"))
+             .select("doc", "hash", "pos", F.trim("raw").alias("norm")))
     count = lambda mark: F.length("norm") - F.length(F.replace("norm", F.lit(mark)))
     lines = lines.withColumn("n", count(" ") + 1).where((F.col("n") >= MIN_TOKENS) & (2 * count("0") <= F.col("n")))
-    return lines.select("*", F.unhex(F.md5("norm")).alias("line"),
+    return lines.select("*", F.xxhash64("norm").alias("line1"), F.xxhash64("norm", F.lit(1)).alias("line2"),
                         F.xxhash64("n", F.substring_index("norm", " ", DEPTH)).alias("leaf"))
 
 
 def _generalised(docs: DataFrame, by_line: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(line, template) for lines with variable fields, in leaves that several lines of several documents reach."""
-    leaves = (by_line.groupBy("leaf").agg(F.count("*").alias("lines"), F.min("first").alias("first"), F.max("last").alias("last"))
-              .where("lines > 1 and first != last").select("leaf"))
-    wanted = cut(by_line.join(leaves, "leaf", "left_semi"), "wanted")
-    ids = wanted.select(F.col("first").alias("_id")).distinct()
-    some = docs.join(ids, F.col(f"`{id_col}`") == F.col("_id"), "left_semi")
-    # A line's text comes from the first document that has it.
-    texts = (_parsed(some, id_col, text_col).join(wanted.select(F.col("line").alias("l"), F.col("first"), F.col("last")),
-                                                  (F.col("line") == F.col("l")) & (F.col("doc") == F.col("first")))
-             .groupBy("line").agg(F.first("norm").alias("norm"), F.first("leaf").alias("leaf"), F.first("first").alias("first"),
-                                  F.first("last").alias("last")))
-    tokens = cut(texts.select("line", "leaf", "first", "last", F.posexplode(F.split("norm", " ")).alias("at", "token"))
-                 .select("line", "leaf", "at", "first", "last", F.xxhash64("leaf", "at", "token").alias("key")), "tokens")
+    """(line1, line2, x, y, first, last) for lines with variable fields, in leaves that several lines of several
+    documents reach; x and y are the template's hashes."""
+    leaves = cut(by_line.groupBy("leaf").agg(F.count("*").alias("lines"), F.min("first").alias("first"), F.max("last").alias("last"))
+                 .where("lines > 1 and first != last").select("leaf"), "leaves")
+    wanted = cut(by_line.where(maybe_in(bitmap(leaves, "leaf"), "leaf")).join(leaves, "leaf", "left_semi"), "wanted")
+    some = _parsed(docs, id_col, text_col).where(maybe_in(bitmap(wanted, *LINE), *LINE)).select(*LINE, "norm", "leaf")
+    # A line is the same text wherever it stands: one of its rows will do.
+    texts = some.join(wanted.select(*LINE, "first", "last"), list(LINE)).dropDuplicates(list(LINE))
+    tokens = cut(texts.select(*LINE, "leaf", "first", "last", F.posexplode(F.split("norm", " ")).alias("at", "token"))
+                 .select(*LINE, "at", "leaf", "first", "last", F.xxhash64("leaf", "at", "token").alias("key")), "tokens")
     constant = (tokens.groupBy("key").agg(F.min("first").alias("a"), F.max("last").alias("b"))
                 .where("a != b").select(F.col("key").alias("constant")))
     held = tokens.join(constant, F.col("key") == F.col("constant"), "left")
     field = F.coalesce("constant", F.xxhash64("leaf", "at", F.lit("<*>"), F.lit(1)))
-    return (held.groupBy("line").agg(F.count("*").alias("n"), F.count("constant").alias("constants"), F.first("leaf").alias("leaf"),
-                                     F.bit_xor(field).alias("x"), F.bit_xor(F.xxhash64(field, F.lit("second"))).alias("y"))
-            .where((F.col("constants") < F.col("n")) & (F.col("constants") >= SIMILARITY * F.col("n")))
-            .select("line", F.unhex(F.md5(F.concat_ws(":", "n", "leaf", "x", "y"))).alias("template")))
+    return cut(held.groupBy(*LINE).agg(
+        F.count("*").alias("n"), F.count("constant").alias("constants"), F.bit_xor(field).alias("x"),
+        F.bit_xor(F.xxhash64(field, F.lit("second"))).alias("y"), F.min("first").alias("first"), F.max("last").alias("last"))
+        .where((F.col("constants") < F.col("n")) & (F.col("constants") >= SIMILARITY * F.col("n"))).drop("n", "constants"), "templates")
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -72,24 +71,26 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     input named n_lines or n_dropped are replaced.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    seen = cut(_parsed(docs, id_col, text_col).select("doc", "hash", "pos", "line", "leaf"), "lines")
-    by_line = cut(seen.groupBy("line", "leaf").agg(F.min("doc").alias("first"), F.max("doc").alias("last")), "by_line")
-    templates = _generalised(docs, by_line, id_col, text_col)
-    named = cut(by_line.join(templates, "line", "left").select("line", "first", "last", F.coalesce("template", "line").alias("template")),
-                "templates")
-    recurring = (named.groupBy("template").agg(F.min("first").alias("keeper"), F.max("last").alias("last"))
-                 .where("keeper != last").select("template", "keeper"))
-    losing = named.where("template is not null").select("line", "template").join(recurring, "template").select("line", "keeper")
-    drops = (seen.join(losing, "line").where("doc != keeper")
-             .groupBy("doc", "hash").agg(F.collect_set("pos").alias("_drop"))
-             .withColumnRenamed("doc", "_doc").withColumnRenamed("hash", "_hash"))
+    seen = cut(_parsed(docs, id_col, text_col).select("doc", "hash", "pos", *LINE, "leaf"), "lines")
+    by_line = cut(seen.groupBy(*LINE).agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.max("leaf").alias("leaf")), "by_line")
+    general = _generalised(docs, by_line, id_col, text_col)
+    keepers = general.groupBy("x", "y").agg(F.min("first").alias("keeper"), F.max("last").alias("end")).where("keeper != end")
+    losing = cut(general.join(keepers, ["x", "y"]).select(*LINE, "keeper").unionByName(
+        by_line.where("first != last").join(general, list(LINE), "left_anti").select(*LINE, F.col("first").alias("keeper"))), "losing")
+    drops = cut(seen.where(maybe_in(bitmap(losing, *LINE), *LINE)).join(losing, list(LINE)).where("doc != keeper")
+                .groupBy("doc", "hash").agg(F.collect_set("pos").alias("__llm_drop"))
+                .withColumnRenamed("doc", "__llm_doc").withColumnRenamed("hash", "__llm_hash"), "drops")
     text = F.col(f"`{text_col}`")
-    joined = docs.withColumn("_own", F.xxhash64(text)).join(
-        drops, (F.col(f"`{id_col}`") == F.col("_doc")) & (F.col("_own") == F.col("_hash")), "left")
+    named = docs.withColumn("__llm_own", F.xxhash64(text))
+    # Only documents that may lose lines are shuffled to meet their lists.
+    hit = maybe_in(bitmap(drops.select("__llm_hash"), "__llm_hash"), "__llm_own")
+    joined = named.where(hit).join(drops, (F.col(f"`{id_col}`") == F.col("__llm_doc")) & (F.col("__llm_own") == F.col("__llm_hash")), "left")
+    rest = named.where(~hit).withColumn("__llm_drop", F.lit(None).cast("array<int>"))
+    joined = joined.select(*rest.columns).unionByName(rest)
     lines = F.split(text, "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop"))
-    kept = F.when(F.col("_drop").isNull(), text).otherwise(
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__llm_drop"))
+    kept = F.when(F.col("__llm_drop").isNull(), text).otherwise(
         F.array_join(F.transform(left, lambda i: F.element_at(lines, i + 1)), "\n"))
     return joined.select(*[kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
                          F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-                         F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"))
+                         F.coalesce(F.size("__llm_drop"), F.lit(0)).cast("long").alias("n_dropped"))
