@@ -30,6 +30,8 @@ REPLICAS, BOUNDARY = 3, 1.2
 SAMPLE_RECALL = 0.97
 #: Vectors of a block; neighbours of a centroid in the graph; centroids expanded in one step.
 BLOCK, DEGREE, STEP = 8_192, 24, 4
+#: Points that walk the graph at once.
+WALKERS = 256
 #: Queries whose nearest a task holds before it hands them on.
 HELD_QUERIES = 50_000
 
@@ -53,6 +55,9 @@ class Index:
 
     def search(self, points: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """(distances, lists): the nearest centroids that a best-first walk on the graph finds, nearest first."""
+        if len(points) > WALKERS:
+            parts = [self.search(points[i:i + WALKERS], width) for i in range(0, len(points), WALKERS)]
+            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         n, k = len(points), len(self.centroids)
         width = min(width, k)
         known = np.full((n, k), np.inf)
@@ -183,7 +188,8 @@ def nearest(vectors: DataFrame, every: int, k: int = 20, id_col: str = "vec_id",
     usable = usable.where(F.size("vector") == shape.d)
     share = min(1.0, SAMPLE / shape.n)
     picked = usable.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
-    sample = np.array([r.vector for r in picked.limit(2 * SAMPLE).collect()] or [usable.first().vector])
+    sampled = picked.select("vector").limit(2 * SAMPLE).toArrow().column(0).combine_chunks()
+    sample = _matrix(sampled) if len(sampled) else np.array([usable.first().vector])
     lists = int(min(max(1, shape.n // list_size), max(1, len(sample) // 8)))
     index = spark.sparkContext.broadcast(fit(sample, shape.longest, lists, k))
     homes = cut(usable.mapInArrow(_home(index), "list int, id long, vector array<double>"), "homes")
