@@ -39,6 +39,8 @@ def main() -> None:
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     queries = load()[0]
+    # Untimed: starts Python workers, loads classes and compiles what all queries share.
+    queries["completeness_profile"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for name in HEADLINES:
         start = time.perf_counter()

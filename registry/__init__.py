@@ -5,6 +5,7 @@ from __future__ import annotations
 
 def load():
     """(queries, oracle SQL) of all query modules."""
-    from registry import base, check_queries, event_queries, fix_queries, plan_queries, profile_queries, quality_queries, source_queries  # noqa: F401
+    from registry import (  # noqa: F401
+        base, check_queries, event_queries, fix_queries, plan_queries, profile_queries, quality_queries, run_queries, source_queries)
 
     return base.QUERIES, base.ORACLE
