@@ -68,7 +68,33 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-@query("op3_quality_rules")
+QUALITY_SQL = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+counts AS (SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols FROM texts),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM texts)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (
+  SELECT doc_id, unnest(range(i, i + 8)) AS p FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1) GROUP BY doc_id),
+lines AS (SELECT doc_id, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts)),
+judged AS (SELECT doc_id, line, len(w) AS n, len(w) > 0 AND (
+    regexp_matches(lower(line), 'lorem ipsum|javascript|terms of use|terms of service|privacy policy|cookie policy|uses cookies|use cookies|all rights reserved|licensed under|released under the|click here|sign in to|log in to|subscribe to our|share this|read more|skip to content|powered by|copyright ©')
+    OR (len(w) > 1 AND len(list_filter(w, lambda x: regexp_full_match(x, '[|•·»›>/\\→←–—-]+'))) > 0.2 * len(w))
+    OR length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) > 0.5 * len(w)
+    OR (len(w) > 1 AND len(list_filter(w, lambda x: ends_with(x, '!!'))) > 0.5 * len(w))
+    OR (len(w) >= 12 AND NOT regexp_matches(rtrim(line), '[.!?…。！？:;"''”’»)\]][^\p{L}\p{N}_]*$'))) AS fails FROM lines),
+by_doc AS (SELECT doc_id, count(*) FILTER (n > 0) AS n_lines, count(*) FILTER (fails) AS n_lines_dropped,
+                  coalesce(sum(n) FILTER (fails), 0)::BIGINT AS n_words_lost,
+                  count(*) FILTER (n > 0) - count(DISTINCT line) FILTER (n > 0) AS n_dup_lines, sum(n) AS words FROM judged GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+       n_words < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * n_words) AND NOT n_words_lost > 0.5 * words AS kept,
+       n_lines, n_lines_dropped, n_words_lost
+FROM counts JOIN by_doc USING (doc_id) LEFT JOIN covered USING (doc_id)
+"""
+
+
+@query("op3_quality_rules", QUALITY_SQL)
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
