@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tablewright.llm.common import cut
+from tablewright.llm.common import bitmap, cut, maybe_in
 
 BITS, RADIUS, SHINGLE, SEED = 64, 3, 3, 42
 #: Distinct fingerprints for a prefix of the shuffle, on average.
@@ -240,8 +240,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that represent their component: the least id; of equal ids one text, once."""
-    reps = near_duplicates(docs, id_col, text_col).select(
-        F.col("rep.id").alias("__llm_rep_id"), F.col("rep.hash").alias("__llm_rep_hash")).distinct()
-    named = docs.withColumn("__llm_hash", F.xxhash64(F.col(f"`{text_col}`")))
-    kept = named.join(reps, F.col(f"`{id_col}`").eqNullSafe(F.col("__llm_rep_id")) & (F.col("__llm_hash") == F.col("__llm_rep_hash")), "left_semi")
-    return kept.dropDuplicates([id_col, "__llm_hash"]).drop("__llm_hash")
+    found = cut(near_duplicates(docs, id_col, text_col).select("id", "hash", "rep"), "classes")
+    own = F.struct("id", "hash").eqNullSafe(F.col("rep"))
+    losers = cut(found.where(~own).select("id", "hash").distinct(), "losers")
+    repeated = cut(found.where(own).groupBy("id", "hash").agg(F.count("*").alias("n")).where("n > 1").select("id", "hash"), "repeated")
+    named = docs.withColumn("__llm_id", F.col(f"`{id_col}`")).withColumn("__llm_hash", F.xxhash64(F.col(f"`{text_col}`")))
+
+    def same(keys: DataFrame):
+        return F.col("__llm_id").eqNullSafe(keys["id"]) & (F.col("__llm_hash") == keys["hash"])
+
+    # Only rows that may go, or that may be there twice, are shuffled.
+    suspect = maybe_in(bitmap(losers.union(repeated), "id", "hash"), "__llm_id", "__llm_hash")
+    checked = named.where(suspect).join(losers, same(losers), "left_anti").dropDuplicates(["__llm_id", "__llm_hash"])
+    return named.where(~suspect).unionByName(checked).drop("__llm_id", "__llm_hash")
