@@ -46,8 +46,8 @@ def _generalised(docs: DataFrame, by_line: DataFrame, id_col: str, text_col: str
                  .where("lines > 1 and first != last").select("leaf"), "leaves")
     wanted = cut(by_line.where(maybe_in(bitmap(leaves, "leaf"), "leaf")).join(leaves, "leaf", "left_semi"), "wanted")
     some = _parsed(docs, id_col, text_col).where(maybe_in(bitmap(wanted, *LINE), *LINE)).select(*LINE, "norm", "leaf")
-    # A line is the same text wherever it stands: one of its rows will do.
-    texts = some.join(wanted.select(*LINE, "first", "last"), list(LINE)).dropDuplicates(list(LINE))
+    # A line is the same text wherever it stands: one of its rows will do, found in each task before the shuffle.
+    texts = some.dropDuplicates(list(LINE)).join(wanted.select(*LINE, "first", "last"), list(LINE))
     tokens = cut(texts.select(*LINE, "leaf", "first", "last", F.posexplode(F.split("norm", " ")).alias("at", "token"))
                  .select(*LINE, "at", "leaf", "first", "last", F.xxhash64("leaf", "at", "token").alias("key")), "tokens")
     constant = (tokens.groupBy("key").agg(F.min("first").alias("a"), F.max("last").alias("b"))
