@@ -4,7 +4,8 @@ The pieces of an existing vocabulary get unigram scores from the training words;
 sum over all ways to spell its words by pieces, found by a forward recursion over each word in log space. Next to
 it stands a plain word model with add-one smoothing. Both count over the whole training part of the corpus.
 
-Frequent words (a bounded number of bounded length) are known to every task; a rare word's count comes by a join.
+Each distinct word's likelihood is worked out once. Frequent words (a bounded number of bounded length) are known to
+every task; a rare word's count and likelihood come by a join.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from tablewright.llm.common import cut
 
 #: Words known to every task, and the most bytes that such a word can have.
 HOT_WORDS, HOT_BYTES = 200_000, 48
-#: Distinct words a task counts, and words whose likelihood it keeps, before it starts anew.
+#: Distinct words a task counts before it hands them on.
 TASK_WORDS = 400_000
 WORD_START, END_PIECE = "▁", 2
 
@@ -56,16 +57,11 @@ class Lattice:
                 for k in range(1, len(piece)):
                     self.table.setdefault(piece[:k], None)  # a prefix of pieces
                 self.table[piece] = score
-        self.end, self.seen = float(scores[END_PIECE]), {}
+        self.end = float(scores[END_PIECE])
 
-    def word(self, word: bytes) -> float:
+    def word(self, word: str) -> float:
         """All segmentations of the word with its start mark; a character without a piece is spelled in bytes."""
-        known = self.seen.get(word)
-        if known is None:
-            if len(self.seen) >= TASK_WORDS:
-                self.seen.clear()
-            known = self.seen[word] = self._forward(WORD_START + word.decode("utf-8"))
-        return known
+        return self._forward(WORD_START + word)
 
     def _forward(self, text: str) -> float:
         n, table, nothing = len(text), self.table, -math.inf
@@ -113,24 +109,27 @@ def score_documents(docs: DataFrame, vocabulary: str | None = None, id_col: str
     ends = rows.where(~F.col("held_out")).count()
     n, v = totals[0] + ends, totals[1] + (ends > 0)
     scores = piece_scores(words, ends, vocabulary)
+    words = cut(words.mapInArrow(_likelihoods(scores, vocabulary), "word string, c long, likelihood double"), "likelihoods")
     # At most HOT_WORDS rows of at most HOT_BYTES bytes.
-    hot = (words.where(F.octet_length("word") <= HOT_BYTES).orderBy(F.desc("c"), "word").limit(HOT_WORDS)).toArrow()
+    hot = (words.where(F.octet_length("word") <= HOT_BYTES).orderBy(F.desc("c"), "word").limit(HOT_WORDS)).toArrow().to_pydict()
     shared = rows.sparkSession.sparkContext.broadcast(
-        (dict(zip((w.encode() for w in hot.column("word").to_pylist()), hot.column("c").to_pylist(), strict=True)), scores))
+        {w.encode(): (c, z) for w, c, z in zip(hot["word"], hot["c"], hot["likelihood"], strict=True)})
     spelled = StructType([
         StructField("row", LongType()), rows.schema["id"], StructField("held_out", BooleanType()), StructField("word", StringType()),
         StructField("n", IntegerType()), StructField("n_tokens", LongType()), StructField("n_known", LongType()),
         StructField("base_score", DoubleType()), StructField("score", DoubleType())])
     parts = cut(rows.withColumn("row", F.monotonically_increasing_id()).select("row", "id", "held_out", "text")
-                .mapInArrow(_scorer(shared, n, v, ends, vocabulary, to_arrow_schema(spelled)), spelled), "scores")
+                .mapInArrow(_scorer(shared, n, v, ends, float(scores[END_PIECE]), to_arrow_schema(spelled)), spelled), "scores")
+    times = F.col("n")
     rare = (parts.where("word is not null").select("row", "word", "n").join(words, "word")
-            .groupBy("row").agg(F.sum(F.col("n") * F.log10((F.col("c") + 1) / float(n + v + 1))).alias("rare_score"),
-                                F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known")))
+            .groupBy("row").agg(F.sum(times * F.log10((F.col("c") + 1) / float(n + v + 1))).alias("rare_base"),
+                                F.sum(times * F.col("likelihood")).alias("rare_score"),
+                                F.sum(F.when(F.col("c") > 0, times).otherwise(0)).alias("rare_known")))
     whole = parts.where("word is null").join(rare, "row", "left")
-    return whole.select(F.col("id").alias(id_col), "held_out", "n_tokens",
-                        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-                        F.lit(n).cast("long").alias("train_tokens"),
-                        (F.col("base_score") + F.coalesce("rare_score", F.lit(0.0))).alias("base_score"), "score")
+    more = lambda name: F.coalesce(name, F.lit(0))
+    return whole.select(F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("n_known") + more("rare_known")).alias("n_known"),
+                        F.lit(n).cast("long").alias("train_tokens"), (F.col("base_score") + more("rare_base")).alias("base_score"),
+                        ((F.col("score") + more("rare_score")) / math.log(10)).alias("score"))
 
 
 def _count_words(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,25 +179,35 @@ def piece_scores(words: DataFrame, ends: int, vocabulary: str | None = None) ->
     return np.log(counts) - math.log(counts.sum())
 
 
-def _scorer(shared, n: int, v: int, ends: int, vocabulary: str | None, schema: pa.Schema):
+def _likelihoods(scores: np.ndarray, vocabulary: str | None):
+    def weigh(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(scores, vocabulary)
+        for batch in found:
+            weights = pa.array([lattice.word(w) for w in batch.column(0).to_pylist()], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, weights], names=["word", "c", "likelihood"])
+
+    return weigh
+
+
+def _scorer(shared, n: int, v: int, ends: int, end_score: float, schema: pa.Schema):
+    """A row with what the frequent words add up to for each document, and one for each of its rare words."""
     def score(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, scores = shared.value
-        lattice, whole = Lattice(scores, vocabulary), math.log10(n + v + 1)
+        hot, whole = shared.value, math.log10(n + v + 1)
         for batch in found:
             cells: list[list] = [[] for _ in schema]
             for row, id_, held_out, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 words = words_of(text)
-                base, total, known = math.log10(ends + 1) - whole, lattice.end, int(ends > 0)
+                base, total, known = math.log10(ends + 1) - whole, end_score, int(ends > 0)
                 for word, k in Counter(words).items():
-                    total += k * lattice.word(word)
-                    c = hot.get(word)
-                    if c is None:
-                        for cell, value in zip(cells, (row, None, None, word.decode(), k, None, None, None, None), strict=True):
-                            cell.append(value)
-                    else:
+                    if word in hot:
+                        c, likelihood = hot[word]
                         base += k * (math.log10(c + 1) - whole)
+                        total += k * likelihood
                         known += k * (c > 0)
-                for cell, value in zip(cells, (row, id_, held_out, None, None, len(words) + 1, known, base, total / math.log(10)), strict=True):
+                    else:
+                        for cell, value in zip(cells, (row, None, None, word.decode(), k, None, None, None, None), strict=True):
+                            cell.append(value)
+                for cell, value in zip(cells, (row, id_, held_out, None, None, len(words) + 1, known, base, total), strict=True):
                     cell.append(value)
                 if len(cells[0]) > 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, schema.types, strict=True)], schema=schema)
