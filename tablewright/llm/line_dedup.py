@@ -5,11 +5,16 @@ lead to a leaf of the tree. In a leaf, a token is constant at its position if tw
 else it is a variable field. Lines with the same constants in the same places are one template, if most of its
 tokens are constant. A template met in several documents recurs: the first document keeps its lines, all others
 lose theirs.
+
+That is the query's rule, as its SQL has it. ``by_similarity`` decides by likeness instead: lines of a leaf that agree
+in most tokens are variants. They meet by equal segments, one of which two such lines share at least, and are compared
+with the first lines of the segment; in leaves of any size they also meet by templates that leave out one token or the
+rarest ones. All this goes by distinct lines, so copies of a line, or of a field's value, change nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import bitmap, cut, maybe_in
@@ -20,8 +25,11 @@ MIN_TOKENS, DEPTH, SIMILARITY = 5, 3, 0.8
 SPACES = r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]"
 LINE = ("line1", "line2")
 
+#: Lines of a segment that all others of it are compared with, at most.
+HUBS = 8
+
 
-def _parsed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _parsed(docs: DataFrame, id_col: str, text_col: str, by_similarity: bool) -> DataFrame:
     """(doc, hash, pos, norm, n, line1, line2, leaf) of the lines that can be templates: long enough, not mere figures.
 
     norm: the line's tokens, single-spaced, runs of digits as 0; line1 and line2 are its hashes, leaf that of its
@@ -39,17 +47,72 @@ def _parsed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         F.xxhash64("n", F.substring_index("norm", " ", DEPTH)).alias("leaf"))
 
 
-def _generalised(docs: DataFrame, by_line: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(line1, line2, x, y, first, last) for lines with variable fields, in leaves that several lines of several
-    documents reach; x and y are the template's hashes."""
+def _texts(docs: DataFrame, by_line: DataFrame, id_col: str, text_col: str, by_similarity: bool) -> DataFrame:
+    """(line1, line2, norm, leaf, first, last) of lines in leaves that several lines of several documents reach."""
     leaves = cut(by_line.groupBy("leaf").agg(F.count("*").alias("lines"), F.min("first").alias("first"), F.max("last").alias("last"))
                  .where("lines > 1 and first != last").select("leaf"), "leaves")
     wanted = cut(by_line.where(maybe_in(bitmap(leaves, "leaf"), "leaf")).join(leaves, "leaf", "left_semi"), "wanted")
-    some = _parsed(docs, id_col, text_col).where(maybe_in(bitmap(wanted, *LINE), *LINE)).select(*LINE, "norm", "leaf")
+    some = _parsed(docs, id_col, text_col, by_similarity).where(maybe_in(bitmap(wanted, *LINE), *LINE)).select(*LINE, "norm", "leaf")
     # A line is the same text wherever it stands: one of its rows will do, found in each task before the shuffle.
-    texts = some.dropDuplicates(list(LINE)).join(wanted.select(*LINE, "first", "last"), list(LINE))
-    tokens = cut(texts.select(*LINE, "leaf", "first", "last", F.posexplode(F.split("norm", " ")).alias("at", "token"))
-                 .select(*LINE, "at", "leaf", "first", "last", F.xxhash64("leaf", "at", "token").alias("key")), "tokens")
+    return some.dropDuplicates(list(LINE)).join(wanted.select(*LINE, "first", "last"), list(LINE))
+
+
+def _spelled(texts: DataFrame) -> DataFrame:
+    return texts.select(*LINE, "leaf", "first", "last", F.posexplode(F.split("norm", " ")).alias("at", "token"))
+
+
+def _tokens(texts: DataFrame) -> DataFrame:
+    words = F.split("norm", " ")
+    spelled = texts.select(*LINE, "leaf", "first", "last", F.size(words).alias("n"), F.posexplode(words).alias("at", "token"))
+    return cut(spelled.select(*LINE, "first", "last", "n", "at", F.xxhash64("leaf", "at", "token").alias("key"),
+                              F.xxhash64("leaf", "at", "token", F.lit("second")).alias("key2")), "tokens")
+
+
+def _alike(texts: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(line1, line2, keeper): the least document of a line that agrees with this one in most tokens."""
+    differ = F.floor((1 - SIMILARITY) * F.col("n") + F.lit(1e-9))  # so many at most; one segment more
+    segment = F.floor((F.col("at") - DEPTH) * (differ + 1) / (F.col("n") - DEPTH))
+    segments = cut(tokens.where(F.col("at") >= DEPTH).groupBy(*LINE, segment.alias("segment")).agg(
+        F.bit_xor("key").alias("bucket"), F.min("first").alias("first")), "segments")
+    hubs = (segments.groupBy("bucket", F.pmod(F.xxhash64("line1", "segment"), F.lit(HUBS)).alias("of"))
+            .agg(F.min(F.struct("first", *LINE)).alias("hub"), F.count("*").alias("n")))
+    # A hub that is alone in its bucket is met by nobody.
+    shared = cut(hubs.join(hubs.groupBy("bucket").agg(F.sum("n").alias("all")).where("all > 1"), "bucket").select("bucket", "hub"), "hubs")
+    met = (segments.where(maybe_in(bitmap(shared, "bucket"), "bucket")).join(shared, "bucket")
+           .select(*LINE, F.col("hub.line1").alias("hub1"), F.col("hub.line2").alias("hub2"))
+           .where("line1 != hub1 or line2 != hub2").distinct())
+    own, other = texts.select(*LINE, "norm", "first"), texts.select(F.col("line1").alias("hub1"), F.col("line2").alias("hub2"),
+                                                                    F.col("norm").alias("hub"), F.col("first").alias("hub_first"))
+    both = met.join(own, list(LINE)).join(other, ["hub1", "hub2"])
+    same = F.zip_with(F.split("norm", " "), F.split("hub", " "), lambda a, b: F.when(a == b, 1).otherwise(0))
+    near = both.where(F.aggregate(same, F.lit(0), lambda n, x: n + x) >= SIMILARITY * F.size(same))
+    keeper = F.least("first", "hub_first").alias("keeper")
+    pairs = F.array(F.struct(*LINE, keeper), F.struct(F.col("hub1").alias("line1"), F.col("hub2").alias("line2"), keeper))
+    return near.select(F.explode(pairs).alias("p")).select("p.*").groupBy(*LINE).agg(F.min("keeper").alias("keeper"))
+
+
+def _variants(tokens: DataFrame) -> DataFrame:
+    """(line1, line2, x, y, first, last): the templates that a line may have, x and y being hashes of the constant tokens.
+
+    With one token left out, or with all that fewer lines have than some number. A token that no other line has is
+    no constant, so that a line with two of these needs no template that leaves out just one.
+    """
+    held = tokens.join(tokens.groupBy("key").agg(F.count("*").alias("held")), "key")
+    line = Window.partitionBy(*LINE)
+    rare = line.orderBy("held").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    held = held.select("*", F.bit_xor("key").over(line).alias("x"), F.bit_xor("key2").over(line).alias("y"),
+                       F.count(F.when(F.col("held") == 1, 1)).over(line).alias("own"), F.count("*").over(rare).alias("rare"),
+                       F.bit_xor("key").over(rare).alias("rare_x"), F.bit_xor("key2").over(rare).alias("rare_y"))
+    but_one = (F.col("at") >= DEPTH) & ((F.col("own") == 0) | ((F.col("own") == 1) & (F.col("held") == 1)))
+    but_rare = F.col("n") - F.col("rare") >= SIMILARITY * F.col("n")
+    less = lambda x, y: F.struct(F.col("x").bitwiseXOR(F.col(x)).alias("x"), F.col("y").bitwiseXOR(F.col(y)).alias("y"))
+    found = F.array_compact(F.array(F.when(but_one, less("key", "key2")), F.when(but_rare, less("rare_x", "rare_y"))))
+    return cut(held.select(*LINE, "first", "last", F.explode(found).alias("t")).select(*LINE, "t.x", "t.y", "first", "last").distinct(), "variants")
+
+
+def _generalised(spelled: DataFrame) -> DataFrame:
+    """(line1, line2, x, y, first, last) for lines with variable fields; x and y are the template's hashes."""
+    tokens = cut(spelled.select(*LINE, "at", "leaf", "first", "last", F.xxhash64("leaf", "at", "token").alias("key")), "tokens")
     constant = (tokens.groupBy("key").agg(F.min("first").alias("a"), F.max("last").alias("b"))
                 .where("a != b").select(F.col("key").alias("constant")))
     held = tokens.join(constant, F.col("key") == F.col("constant"), "left")
@@ -60,23 +123,35 @@ def _generalised(docs: DataFrame, by_line: DataFrame, id_col: str, text_col: str
         .where((F.col("constants") < F.col("n")) & (F.col("constants") >= SIMILARITY * F.col("n"))).drop("n", "constants"), "templates")
 
 
-def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_similarity: bool = False) -> DataFrame:
     """The input's columns, the text without dropped lines, with ``n_lines`` and ``n_dropped``.
 
     A line of MIN_TOKENS tokens or more goes if its template occurs in another document with a smaller id.
-    Shorter lines, lines of mere figures and blank lines always stay. Lines are split at ``\\n``.
+    Shorter lines, lines of mere figures and blank lines always stay. Lines are split at ``\\n``. With ``by_similarity``
+    a line may have several templates, and goes if one of them does; the line that it is like may go for another one.
 
     Rows with one doc_id are one document; repeated rows are treated alike. Rows without doc_id are left as they
     are and don't count. A null text stays null with 0 lines; an empty table gives an empty table. Columns of the
     input named n_lines or n_dropped are replaced.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    seen = cut(_parsed(docs, id_col, text_col).select("doc", "hash", "pos", *LINE, "leaf"), "lines")
+    seen = cut(_parsed(docs, id_col, text_col, by_similarity).select("doc", "hash", "pos", *LINE, "leaf"), "lines")
     by_line = cut(seen.groupBy(*LINE).agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.max("leaf").alias("leaf")), "by_line")
-    general = _generalised(docs, by_line, id_col, text_col)
+    texts = _texts(docs, by_line, id_col, text_col, by_similarity)
+    exact = by_line.where("first != last").select(*LINE, F.col("first").alias("keeper"))
+    if by_similarity:
+        texts = cut(texts, "texts")
+        tokens = _tokens(texts)
+        general = _variants(tokens)
+        exact = exact.unionByName(_alike(texts, tokens))
+    else:
+        general = _generalised(_spelled(texts))
+        exact = exact.join(general, list(LINE), "left_anti")
     keepers = general.groupBy("x", "y").agg(F.min("first").alias("keeper"), F.max("last").alias("end")).where("keeper != end")
-    losing = cut(general.join(keepers, ["x", "y"]).select(*LINE, "keeper").unionByName(
-        by_line.where("first != last").join(general, list(LINE), "left_anti").select(*LINE, F.col("first").alias("keeper"))), "losing")
+    losing = general.join(keepers, ["x", "y"]).select(*LINE, "keeper").unionByName(exact)
+    if by_similarity:
+        losing = losing.groupBy(*LINE).agg(F.min("keeper").alias("keeper"))
+    losing = cut(losing, "losing")
     drops = cut(seen.where(maybe_in(bitmap(losing, *LINE), *LINE)).join(losing, list(LINE)).where("doc != keeper")
                 .groupBy("doc", "hash").agg(F.collect_set("pos").alias("__llm_drop"))
                 .withColumnRenamed("doc", "__llm_doc").withColumnRenamed("hash", "__llm_hash"), "drops")

@@ -70,6 +70,17 @@ def test_line_dedup_rows(spark):
     assert drop_recurring(frame.limit(0)).count() == 0
 
 
+def test_line_dedup_by_similarity(spark):
+    rows = [(8, "in this room user bob has left us"), (9, "in this room user eve has left us"), (11, "in this room user bob has left us"),
+            (12, "in this room user eve has left us"), (13, "in this room there was nobody but us"),
+            (20, "the report of may was sent to ann in oslo today"), (21, "the report of may was sent to bob in rome today"),
+            (22, "the report of june was sent to bob in oslo today"), (23, "the report of june was sent to bob in oslo today")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in drop_recurring(frame, by_similarity=True).collect() if r.n_dropped} == {9, 11, 12, 21, 22, 23}
+    assert {r.doc_id for r in drop_recurring(frame).collect() if r.n_dropped} == {11, 12, 23}  # as the SQL has it
+    assert drop_recurring(frame.limit(0), by_similarity=True).count() == 0
+
+
 def test_mixing_rates_and_rows(spark):
     rng = random.Random(9)
     rows = [(i, "x" * rng.randint(1, 9), "a" if i % 3 else "b") for i in range(3000)] + [(5000, "xyz", None), (None, "x", "a"), (5001, None, "c")]
