@@ -38,6 +38,9 @@ class LineRules:
     unfinished_words: int = 12
     max_lost_share: float = 0.5        # words of a document in failing lines
     boilerplate: tuple[str, ...] = BOILERPLATE
+    #: Judge long lines by their sentences and phrases by whole words; the query's SQL doesn't.
+    by_sentence: bool = False
+    phrase_words: int = 25             # a line with more words is no boilerplate, by sentence
 
 
 def words_of(text: str) -> list[bytes]:
@@ -92,6 +95,89 @@ def unfinished(line: str, n_words: int, rules: LineRules) -> bool:
     return n_words >= rules.unfinished_words and not _FINISHED.search(line.rstrip()[-40:])
 
 
+#: Further scripts' ends of sentences and closing brackets, beside those of _FINISHED.
+_MARKS = ".!?…。！？；：｡．؟۔؛।॥։።፧။།៕"
+_ENDS = re.compile(rf"[{_MARKS}:;\"'”’»)\]」』）】》]+[^\w]*$")
+_SENTENCE = re.compile(rf"[{_MARKS}]+[\"'”’»)\]」』）】》]*(?:\s+|(?<=[。！？｡．])(?=\w))")
+#: Wider lines are not set to a width, so they are no parts of a wrapped sentence.
+WRAPPED = 120
+_PHRASES: dict[tuple[str, ...], re.Pattern] = {}
+
+
+def _phrase(rules: LineRules) -> re.Pattern:
+    if rules.boilerplate not in _PHRASES:
+        _PHRASES[rules.boilerplate] = re.compile("|".join(rf"(?<!\w){re.escape(p)}(?!\w)" for p in rules.boilerplate) or r"(?!)")
+    return _PHRASES[rules.boilerplate]
+
+
+def _tail(line: str) -> int:
+    """Where the line's last sentence, which has no end mark, begins."""
+    at = 0
+    for m in _SENTENCE.finditer(line):
+        at = m.end()
+    return at
+
+
+def _goes_on(lines: list[str], i: int, width: int) -> bool:
+    """The line is wrapped: the next one begins with a small letter, or its first word had no room in this one."""
+    following = lines[i + 1].strip() if i + 1 < len(lines) else ""
+    if not following or len(lines[i]) > WRAPPED:
+        return False
+    return following[0].islower() or len(lines[i].rstrip()) + 1 + len(following.split(None, 1)[0]) > width
+
+
+def _unended(lines: list[str], rules: LineRules) -> set[int]:
+    """The lines that are long enough to need an end mark, have none, and don't go on to a line with one."""
+    out, i = set(), 0
+    need = [len(words_of(x)) >= rules.unfinished_words and not _ENDS.search(x) for x in lines]
+    start = [0] * len(lines)  # of the paragraph; its longest line shows how wide it is set
+    width: dict[int, int] = {}
+    for k, x in enumerate(lines):
+        start[k] = start[k - 1] if k and x.strip() and lines[k - 1].strip() else k
+        width[start[k]] = max(width.get(start[k], 0), len(x.rstrip()))
+    while i < len(lines):
+        if not need[i]:
+            i += 1
+            continue
+        stop = i
+        while need[stop] and _goes_on(lines, stop, width[start[i]]):
+            stop += 1
+        if need[stop] and _tail(lines[stop]) == 0 or stop == i:
+            out.update(range(i, stop + 1))
+        elif need[stop]:  # the wrapped sentence ends within the last line, whose own tail has no end
+            out.add(stop)
+        elif not _ENDS.search(lines[stop]) and _tail(lines[stop]) == 0:  # goes on to a short line without a mark
+            out.update(range(i, stop))
+        i = stop + 1
+    return out
+
+
+def clean_by_sentence(text: str, rules: LineRules) -> tuple[str, int, int, int, bool]:
+    """As :func:`clean`; of a long line without an end mark only the unfinished sentence is charged and cut. A line
+    counts as dropped when all of it goes."""
+    kept, total, dropped, lost, words = [], 0, 0, 0, 0
+    lines = text.split("\n")
+    unended = _unended(lines, rules)
+    for i, line in enumerate(lines):
+        n = len(words_of(line))
+        total, words = total + (n > 0), words + n
+        rule = failing(line, rules) if n else None
+        if rule in (None, "punctuation"):
+            at = _tail(line) if i in unended else len(line)
+            tail = len(words_of(line[at:]))
+            if tail < rules.unfinished_words:  # as a short line, it needs no mark
+                kept.append(line)
+                continue
+            lost += tail
+            if at:
+                kept.append(line[:at].rstrip(SPACE))
+                continue
+        else:
+            lost += n
+        dropped += 1
+    return "\n".join(kept), total, dropped, lost, lost > rules.max_lost_share * words
+
+
 def failing(line: str, rules: LineRules) -> str | None:
     """The rule that a line fails, or None. A line without a word passes."""
     n = len(words_of(line))
@@ -99,7 +185,7 @@ def failing(line: str, rules: LineRules) -> str | None:
     if n == 0:
         return None
     low = line.lower()
-    if any(phrase in low for phrase in rules.boilerplate):
+    if n <= rules.phrase_words and _phrase(rules).search(low) if rules.by_sentence else any(phrase in low for phrase in rules.boilerplate):
         return "boilerplate"
     if n > 1 and sum(1 for w in words if _SEPARATOR.fullmatch(w)) > rules.max_separator_share * n:
         return "navigation"
@@ -112,6 +198,8 @@ def failing(line: str, rules: LineRules) -> str | None:
 
 def clean(text: str, rules: LineRules) -> tuple[str, int, int, int, bool]:
     """(text without failing lines, lines with a word, lines dropped, words lost, loses too much)."""
+    if rules.by_sentence:
+        return clean_by_sentence(text, rules)
     kept, lines, dropped, lost, words = [], 0, 0, 0, 0
     low = text.lower()
     # What no line of the document can hold, no line need be searched for.

@@ -48,6 +48,22 @@ def test_line_rules(line, rule):
     assert clean(line, LineRules())[2] == (rule is not None)
 
 
+def test_by_sentence():
+    rules = LineRules(by_sentence=True)
+    whole = "The first sentence of this line is long enough to be read. The second one of it is, too, and ends here."
+    tail = " this part has a good many words in it and never comes to an"
+    assert clean(whole + tail, rules) == (whole, 1, 0, 14, False)
+    assert clean(whole + " and a short rest", rules)[:3] == (whole + " and a short rest", 1, 0)
+    assert clean(tail.strip(), rules)[2] == 1 and clean("Released under the MIT License.", rules)[2] == 1
+    for line in ("A design in Tokyo.", "Much bread more.", "The catalog in Tokyo is old.", "I read more than you do. " * 6):
+        assert clean(line, rules) == (line, 1, 0, 0, False)
+    wrapped = ("this is a text that was set to a width of some seventy letters or so\nand goes on from line to line with many words in it "
+               "until the end\nof its last sentence is there, after some more of the words it has.")
+    assert clean(wrapped, rules)[0] == wrapped and clean(wrapped.rstrip(".") + " more", rules)[1:3] == (3, 3)
+    arabic = "كلمة " * 14 + "كلمة؟"
+    assert clean(arabic, rules)[0] == arabic and clean("x " * 14 + ". " + "_ " * 50, rules)[2] == 0
+
+
 def test_quality_rows(spark):
     prose = "One line of prose with quite a few good words in it, as it should be, and a second part that says something new. "
     rows = [(1, prose), (1, prose), (2, None), (None, prose), (3, "x | " * 300), (4, "a b " * 50_000)]
