@@ -24,6 +24,8 @@ MIN_TOKENS, DEPTH, SIMILARITY = 5, 3, 0.8
 #: What a single space replaces: runs of white space but line ends, and other white space than a space.
 SPACES = r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]"
 LINE = ("line1", "line2")
+#: A token of digits and marks, after masking.
+FIGURE = r"(?<![^ ])(?=[^ ]*0)[^\p{L} ]++(?![^ ])"
 
 #: Lines of a segment that all others of it are compared with, at most.
 HUBS = 8
@@ -35,6 +37,8 @@ def _parsed(docs: DataFrame, id_col: str, text_col: str, by_similarity: bool) ->
     norm: the line's tokens, single-spaced, runs of digits as 0; line1 and line2 are its hashes, leaf that of its
     number of tokens and first tokens. The whole text is masked before it is split, so that this is done once.
     """
+    if by_similarity:
+        return _worded(docs, id_col, text_col)
     text = F.col(f"`{text_col}`")
     plain = F.regexp_replace(F.regexp_replace(text, "[0-9]+", "0"), SPACES, " ")
     lines = (docs.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(text).alias("hash"), plain.alias("plain"))
@@ -47,6 +51,26 @@ def _parsed(docs: DataFrame, id_col: str, text_col: str, by_similarity: bool) ->
                         F.xxhash64("n", F.substring_index("norm", " ", DEPTH)).alias("leaf"))
 
 
+def _worded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """As _parsed, but figures are tokens of digits and marks. A line mostly of figures that has a word keeps its
+    digits and is a leaf of its own, so that it meets its exact copies only."""
+    text = F.col(f"`{text_col}`")
+    spaced = F.regexp_replace(text, SPACES, " ")
+    both = F.arrays_zip(F.split(F.regexp_replace(spaced, "[0-9]+", "0"), "\n").alias("masked"), F.split(spaced, "\n").alias("raw"))
+    lines = (docs.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(text).alias("hash"), both.alias("both"))
+             .where("doc is not null")
+             .select("doc", "hash", F.posexplode("both").alias("pos", "both"))
+             .select("doc", "hash", "pos", F.trim("both.masked").alias("masked"), F.trim("both.raw").alias("raw")))
+    count = lambda mark: F.length("masked") - F.length(F.replace("masked", F.lit(mark)))
+    # No more figures than zeros: the expression is for the few lines with many zeros.
+    prose = (2 * count("0") <= F.col("n")) | (2 * F.regexp_count("masked", F.lit(FIGURE)) <= F.col("n"))
+    lines = lines.withColumn("n", count(" ") + 1).where(F.col("n") >= MIN_TOKENS).withColumn("prose", prose)
+    lines = lines.where(F.col("prose") | F.col("raw").rlike(r"\p{L}")).withColumn("norm", F.when(F.col("prose"), F.col("masked")).otherwise(F.col("raw")))
+    leaf = F.when(F.col("prose"), F.xxhash64("n", F.substring_index("norm", " ", DEPTH))).otherwise(F.xxhash64("norm", F.lit("figures")))
+    return lines.select("doc", "hash", "pos", "norm", "n", F.xxhash64("norm").alias("line1"), F.xxhash64("norm", F.lit(1)).alias("line2"),
+                        leaf.alias("leaf"))
+
+
 def _texts(docs: DataFrame, by_line: DataFrame, id_col: str, text_col: str, by_similarity: bool) -> DataFrame:
     """(line1, line2, norm, leaf, first, last) of lines in leaves that several lines of several documents reach."""
     leaves = cut(by_line.groupBy("leaf").agg(F.count("*").alias("lines"), F.min("first").alias("first"), F.max("last").alias("last"))

@@ -97,6 +97,15 @@ def test_line_dedup_by_similarity(spark):
     assert drop_recurring(frame.limit(0), by_similarity=True).count() == 0
 
 
+def test_line_dedup_figures(spark):
+    log = '0.0.0.0 GET from 10.1.2.3 at 2024-01-02T10:11:12 was {} by user 17'
+    token = 'token = "7abc3ff9ca1fb22e1c" From reha reenti oution thti.'
+    rows = [(1, f"{log.format('served')}\n1 2 3 4 5 6\n12 34 56 total 78 90"), (2, f"{log.format('served')}\n1 2 3 4 5 6\n12 34 56 total 78 90"),
+            (3, token), (4, token), (5, "12 34 56 total 78 91")]
+    got = {r.doc_id: r.text for r in drop_recurring(spark.createDataFrame(rows, "doc_id long, text string"), by_similarity=True).collect()}
+    assert got == {1: rows[0][1], 2: "1 2 3 4 5 6", 3: token, 4: "", 5: rows[4][1]}
+
+
 def test_mixing_rates_and_rows(spark):
     rng = random.Random(9)
     rows = [(i, "x" * rng.randint(1, 9), "a" if i % 3 else "b") for i in range(3000)] + [(5000, "xyz", None), (None, "x", "a"), (5001, None, "c")]
