@@ -25,6 +25,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 LABELLED_PAGES = 4_096
 #: Score of a word and a tag without any labelled page.
 WORD, TAG = 1.0, -3.25
+#: No learned score is lower: what no labelled page has inside would else sink with the number of pages.
+LEAST = -4.0
 #: Elements whose content is never text; that never close; that are furniture of a page; that end a block.
 RAW = frozenset("script style noscript template textarea title svg math iframe object".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -60,6 +62,7 @@ class Token:
     words: int
     ends_block: bool
     content: bool    # inside the page's own article or main element
+    owner: int       # number of that element on the page, also for furniture in it; else 0
 
 
 def _is_furniture(name: str, attributes: str, in_content: bool) -> bool:
@@ -78,8 +81,8 @@ def _is_furniture(name: str, attributes: str, in_content: bool) -> bool:
 def tokens(page: str) -> list[Token]:
     """The page's tags and runs of text, in order; comments, declarations and raw elements are none."""
     out: list[Token] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: (name, furniture in or above, content in or above)
-    at, n = 0, len(page)
+    stack: list[tuple[str, bool, bool, int]] = []  # open elements: (name, furniture in or above, content in or above, owner)
+    at, n, owners = 0, len(page), 0
     while at < n:
         m = _TOKEN.match(page, at)
         if m is None:  # a tag without its end
@@ -88,12 +91,12 @@ def tokens(page: str) -> list[Token]:
         close, name, attributes, text = m.groups()
         if text == "<" and (m := _BROKEN_TAG.match(page, at - 1)):
             at, (close, name, attributes), text = m.end(), m.groups(), None
-        furniture, content = stack[-1][1:] if stack else (False, False)
+        furniture, content, owner = stack[-1][1:] if stack else (False, False, 0)
         if text is not None:
             text = entities.unescape(text)
             count = len(text.split())
             kind = "word:furniture" if furniture else "word:link" if any(s[0] == "a" for s in stack[-4:]) else "word"
-            out.append(Token(kind, text, count, False, content))
+            out.append(Token(kind, text, count, False, content, owner))
             continue
         if name is None:
             continue
@@ -102,7 +105,7 @@ def tokens(page: str) -> list[Token]:
             if any(s[0] == name for s in stack):
                 while stack.pop()[0] != name:
                     pass
-            out.append(Token("/" + name, "", 0, name in BLOCKS, content))
+            out.append(Token("/" + name, "", 0, name in BLOCKS, content, owner))
             continue
         while stack and name in CLOSED_BY.get(stack[-1][0], ()):
             stack.pop()
@@ -113,14 +116,18 @@ def tokens(page: str) -> list[Token]:
                     break
                 if stack[depth][0] in BLOCKS or stack[depth][0] in FURNITURE:
                     break
-        furniture, content = stack[-1][1:] if stack else (False, False)
-        out.append(Token(name, "", 0, name in BLOCKS, content))
+        furniture, content, owner = stack[-1][1:] if stack else (False, False, 0)
+        out.append(Token(name, "", 0, name in BLOCKS, content, owner))
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
             at = end.end() if end else n
         elif name not in VOID and not attributes.rstrip().endswith("/"):
             furniture = furniture or _is_furniture(name, attributes, content)
-            stack.append((name, furniture, not furniture and (content or bool(_LABEL.fullmatch(name)))))
+            content = not furniture and (content or bool(_LABEL.fullmatch(name)))
+            if content and not owner:
+                owners += 1
+                owner = owners
+            stack.append((name, furniture, content, owner))
     return out
 
 
@@ -135,7 +142,7 @@ def learned(counts: Iterable[tuple[str, bool, int]]) -> dict[str, float]:
     kinds = set(inside) | set(outside)
     a, b = sum(inside.values()) + len(kinds), sum(outside.values()) + len(kinds)
     scores = {k: math.log((inside[k] + 1) / a) - math.log((outside[k] + 1) / b) for k in kinds}
-    return {k: min(max(s, 0.05), 4.0) if k == "word" else min(s, -0.05) for k, s in scores.items()}
+    return {k: min(max(s, 0.05), 4.0) if k == "word" else max(min(s, -0.05), LEAST) for k, s in scores.items()}
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -154,12 +161,16 @@ def main_text(page: str | None, scores: dict[str, float]) -> str:
     """Blocks of the best region, without furniture, joined by two line ends."""
     row = tokens(page or "")
     default = {"word": scores.get("word", WORD), "word:link": scores.get("word:link", -0.5), "word:furniture": scores.get("word:furniture", -2.0)}
-    start, end = best_region([default[t.kind] * t.words if t.kind in default else scores.get(t.kind, TAG) for t in row])
+    # Furniture in the article neither counts against its two sides nor parts them.
+    start, end = best_region([0.0 if t.owner and not t.content else default[t.kind] * t.words if t.kind in default
+                              else scores.get(t.kind, TAG) for t in row])
     # The region's first and last block are taken whole: a heading of few words costs its tags more than it scores.
-    owned = next((t.content for t in row[start:end] if t.kind == "word" and t.words), False)
-    while start and (row[start - 1].content if owned else not (row[start - 1].ends_block or row[start - 1].kind == "word:furniture")):
+    first = next((t for t in row[start:end] if t.kind == "word" and t.words), None)
+    last = next((t for t in reversed(row[start:end]) if t.content), first)
+    owned = first is not None and first.content
+    while start and (row[start - 1].owner == first.owner if owned else not (row[start - 1].ends_block or row[start - 1].kind == "word:furniture")):
         start -= 1
-    while end < len(row) and (row[end].content if owned else not (row[end].ends_block or row[end].kind == "word:furniture")):
+    while end < len(row) and (row[end].owner == last.owner if owned else not (row[end].ends_block or row[end].kind == "word:furniture")):
         end += 1
     blocks, block = [], []
     for t in row[start:end]:

@@ -53,6 +53,16 @@ def test_broken_and_long(scores):
     main_text("<div>" * 5_000 + "deep words", scores)
 
 
+@pytest.mark.parametrize("sides", [(3, 60), (60, 3), (2, 2)])
+def test_furniture_inside_the_article(scores, sides):
+    parts = [" ".join(f"{side}{i}" for i in range(n)) for side, n in zip("ab", sides)]
+    for box in ("<div class='ad'>" + "buy this now " * 30 + "</div>", "<form><p>" + "get our news by mail " * 20 + "<button>Go</button></p></form>"):
+        text = f"<body><nav>Home</nav><article><p>{parts[0]}</p>{box}<p>{parts[1]}</p></article><footer>All rights</footer></body>"
+        assert main_text(text, scores) == "\n\n".join(parts)
+        assert main_text(text, scores | {"word:furniture": -12.8}) == "\n\n".join(parts)
+    assert min(learned([("word", True, 10 ** 9), ("word:furniture", False, 10 ** 9), ("nav", False, 10 ** 6)]).values()) >= -4
+
+
 def test_best_region_equals_brute_force():
     rng = random.Random(7)
     for _ in range(300):
