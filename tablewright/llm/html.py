@@ -28,7 +28,15 @@ WORD, TAG = 1.0, -3.25
 #: No learned score is lower: what no labelled page has inside would else sink with the number of pages.
 LEAST = -4.0
 #: Elements whose content is never text; that never close; that are furniture of a page; that end a block.
-RAW = frozenset("script style noscript template textarea title svg math iframe object".split())
+RAW = frozenset("script style noscript template textarea title iframe".split())
+#: Elements with markup of their own that is no text; of a formula just the words are taken, each once.
+UNREAD, FORMULA = frozenset("svg object annotation annotation-xml".split()), "math"
+FOREIGN = frozenset(("svg", FORMULA))
+#: Tags of a page that foreign markup can't have, but in these elements of it.
+BREAKOUT = frozenset("article main section nav header footer aside blockquote body br center code dd div dl dt em embed figure form h1 h2 h3 h4 "
+                     "h5 h6 hr img li menu ol p pre ruby span strong table ul".split())
+INTEGRATES = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml object".split())
+WRAPPER_LEVEL, LAYOUT_LEVEL, HARD_LEVEL = 1, 2, 3
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 FURNITURE = frozenset("nav header footer aside form menu dialog button select".split())
 BLOCKS = frozenset(
@@ -47,7 +55,10 @@ MARKS = frozenset(
     "complementary contentinfo search dialog alert response responses discussion aside".split())
 #: The same, outside content only; and what makes a class speak of something else, as in with-sidebar.
 OUTER_MARKS, NEGATIONS = frozenset("header top side".split()), frozenset("has with no without is not".split())
+#: Furniture that may be wrapped around a whole page, by name or by words of a class that speak of its layout.
+WRAPPERS, LAYOUT = frozenset(["form"]), frozenset("sidebar nav navbar header top side toolbar banner search overlay modal".split())
 _LABEL = re.compile(r"article|main", re.I)
+_ARTICLE = re.compile(r"<(?:article|main)[\s/>]", re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|([^<]+|<)", re.S)
 _BROKEN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")  # quotes that don't match
 _HINTS = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -65,12 +76,12 @@ class Token:
     owner: int       # number of that element on the page, also for furniture in it; else 0
 
 
-def _is_furniture(name: str, attributes: str, in_content: bool) -> bool:
-    if name in FURNITURE and not (name == "header" and in_content):
+def _is_furniture(name: str, attributes: str, in_content: bool, allowed: frozenset = frozenset()) -> bool:
+    if name in FURNITURE and not (name == "header" and in_content) and name not in allowed:
         return True
     if name in ("body", "html") or not attributes:
         return False
-    marks = MARKS if in_content else MARKS | OUTER_MARKS
+    marks = (MARKS if in_content else MARKS | OUTER_MARKS) - allowed
     for hint in " ".join("".join(m) for m in _HINTS.findall(attributes)).split():
         parts = _PARTS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", hint).lower())
         if parts and parts[0] not in NEGATIONS and not marks.isdisjoint(parts):
@@ -79,9 +90,19 @@ def _is_furniture(name: str, attributes: str, in_content: bool) -> bool:
 
 
 def tokens(page: str) -> list[Token]:
-    """The page's tags and runs of text, in order; comments, declarations and raw elements are none."""
+    """The page's tags and runs of text, in order; comments, declarations and raw elements are none.
+
+    An article in a wrapper whose class speaks of layout counts if the page has no other."""
+    out = _tokens(page, False)
+    if not any(t.content for t in out) and _ARTICLE.search(page):
+        out = _tokens(page, True)
+    return out
+
+
+def _tokens(page: str, in_wrapper: bool) -> list[Token]:
     out: list[Token] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # open elements: (name, furniture in or above, content in or above, owner)
+    # Open elements: (name, level of furniture in or above, content in or above, owner, "unread" or "formula" in or above).
+    stack: list[tuple[str, int, bool, int, str]] = []
     at, n, owners = 0, len(page), 0
     while at < n:
         m = _TOKEN.match(page, at)
@@ -91,12 +112,13 @@ def tokens(page: str) -> list[Token]:
         close, name, attributes, text = m.groups()
         if text == "<" and (m := _BROKEN_TAG.match(page, at - 1)):
             at, (close, name, attributes), text = m.end(), m.groups(), None
-        furniture, content, owner = stack[-1][1:] if stack else (False, False, 0)
+        level, content, owner, foreign = stack[-1][1:] if stack else (0, False, 0, "")
         if text is not None:
-            text = entities.unescape(text)
-            count = len(text.split())
-            kind = "word:furniture" if furniture else "word:link" if any(s[0] == "a" for s in stack[-4:]) else "word"
-            out.append(Token(kind, text, count, False, content, owner))
+            if foreign != "unread":
+                text = entities.unescape(text)
+                count = len(text.split())
+                kind = "word:furniture" if level else "word:link" if any(s[0] == "a" for s in stack[-4:]) else "word"
+                out.append(Token(kind, text, count, False, content, owner))
             continue
         if name is None:
             continue
@@ -105,8 +127,16 @@ def tokens(page: str) -> list[Token]:
             if any(s[0] == name for s in stack):
                 while stack.pop()[0] != name:
                     pass
-            out.append(Token("/" + name, "", 0, name in BLOCKS, content, owner))
+            if not (stack and stack[-1][4]) and name not in UNREAD and name not in FOREIGN:
+                out.append(Token("/" + name, "", 0, name in BLOCKS, content, owner))
             continue
+        if foreign and name in BREAKOUT:  # markup that was never closed ends where the page's own goes on
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth][0] in INTEGRATES:
+                    break
+                if stack[depth][0] in FOREIGN:
+                    del stack[depth:]
+                    break
         while stack and name in CLOSED_BY.get(stack[-1][0], ()):
             stack.pop()
         if name in BLOCKS:  # formatting that was never closed ends with its block's paragraph
@@ -116,21 +146,36 @@ def tokens(page: str) -> list[Token]:
                     break
                 if stack[depth][0] in BLOCKS or stack[depth][0] in FURNITURE:
                     break
-        furniture, content, owner = stack[-1][1:] if stack else (False, False, 0)
-        out.append(Token(name, "", 0, name in BLOCKS, content, owner))
-        if name in RAW:
+        level, content, owner, foreign = stack[-1][1:] if stack else (0, False, 0, "")
+        if not foreign and name != FORMULA:
+            out.append(Token(name, "", 0, name in BLOCKS, content, owner))
+        closed = name in VOID or attributes.rstrip().endswith("/")
+        if name in RAW and not (foreign and closed):
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
             at = end.end() if end else n
-        elif name not in VOID and not attributes.rstrip().endswith("/"):
-            furniture = furniture or _is_furniture(name, attributes, content)
-            content = not furniture and (content or bool(_LABEL.fullmatch(name)))
+        elif not closed:
+            own = 0 if foreign else _level(name, attributes, content)
+            if not owner and _LABEL.fullmatch(name) and level <= (LAYOUT_LEVEL if in_wrapper or name == "main" else WRAPPER_LEVEL):
+                level = 0
+            level = max(level, own)
+            content = not level and (content or bool(_LABEL.fullmatch(name)))
             if content and not owner:
                 owners += 1
                 owner = owners
-            stack.append((name, furniture, content, owner))
+            foreign = "unread" if foreign == "unread" or name in UNREAD else "formula" if foreign or name == FORMULA else ""
+            stack.append((name, level, content, owner, foreign))
     return out
 
 
+def _level(name: str, attributes: str, in_content: bool) -> int:
+    """0: no furniture; WRAPPER_LEVEL, LAYOUT_LEVEL: may be around a page's article by its name, by its class; HARD_LEVEL."""
+    if not _is_furniture(name, attributes, in_content):
+        return 0
+    if not _is_furniture(name, attributes, in_content, WRAPPERS):
+        return WRAPPER_LEVEL
+    return HARD_LEVEL if _is_furniture(name, attributes, in_content, WRAPPERS | LAYOUT) else LAYOUT_LEVEL
+
+
 def learned(counts: Iterable[tuple[str, bool, int]]) -> dict[str, float]:
     """Scores from (kind, inside content, number): log-likelihood ratios, smoothed; words of content stay positive
     and tags negative."""
@@ -209,7 +254,7 @@ def learn(pages: DataFrame, html_col: str = "html", labelled: int = LABELLED_PAG
     return learned([(r.kind, r.content, r.n) for r in totals.collect()])
 
 
-KNOWN = BLOCKS | RAW | VOID | FURNITURE | frozenset(
+KNOWN = BLOCKS | RAW | UNREAD | VOID | FURNITURE | frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font head i ins kbd label mark output q s samp small span strike strong sub sup time "
     "tt u var".split())
 

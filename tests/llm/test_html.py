@@ -63,6 +63,26 @@ def test_furniture_inside_the_article(scores, sides):
     assert min(learned([("word", True, 10 ** 9), ("word:furniture", False, 10 ** 9), ("nav", False, 10 ** 6)]).values()) >= -4
 
 
+@pytest.mark.parametrize("odd", ["<svg class=x viewBox='0 0 1 1'/>", "<math/>", "<div><svg><path d='M0'><text>icon</text></div>",
+                                 "<div><object data=x>no plugin here</div>", "<svg><title>t</title><path/></svg>", "<svg><g>"])
+def test_foreign_elements(scores, odd):
+    text = "<p>All of these words are there.</p><p>And these ones are, too.</p>"
+    want = "All of these words are there.\n\nAnd these ones are, too."
+    assert main_text(f"<body>{odd}<article>{text}</article></body>", scores) == want
+    assert main_text(f"<body><article>{odd}{text}</article></body>", scores) == want
+
+
+def test_formula_and_wrappers(scores):
+    formula = ("<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding='application/x-tex'>x=2</annotation>"
+               "</semantics></math>")
+    assert main_text(f"<article><p>We know that {formula} holds here.</p></article>", scores) == "We know that x=2 holds here."
+    article = "<article><p>The story of the day is told in these words.</p></article>"
+    want = "The story of the day is told in these words."
+    for wrap in ("<form id=f>{}</form>", "<div class='layout sidebar-right'>{}</div>", "<form><div class='page top'>{}</div></form>"):
+        assert main_text("<body>" + wrap.format(f"<nav>Home</nav>{article}<footer>All rights</footer>") + "</body>", scores) == want
+    assert main_text(f"<body><aside>{article}</aside><div class='related'>{article}</div></body>", scores) == ""
+
+
 def test_best_region_equals_brute_force():
     rng = random.Random(7)
     for _ in range(300):
