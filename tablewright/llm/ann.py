@@ -178,7 +178,8 @@ def nearest(vectors: DataFrame, every: int, k: int = 20, id_col: str = "vec_id",
     length, and rows without id take no part. Rows with one id count as one vector, by its best score. Every
     usable row is indexed; the sample only shapes the lists. Empty and one-row tables give an empty table.
     """
-    usable = _usable(vectors, id_col, vector_col)
+    # A row that is there again is the same vector: it must not fill lists, or cuts of the best.
+    usable = cut(_usable(vectors, id_col, vector_col).dropDuplicates(["id", "vector"]), "usable")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
     shape = (usable.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n"), F.max(norm).alias("longest"))
              .orderBy(F.desc("n"), "d").first())
@@ -193,10 +194,16 @@ def nearest(vectors: DataFrame, every: int, k: int = 20, id_col: str = "vec_id",
     lists = int(min(max(1, shape.n // list_size), max(1, len(sample) // 8)))
     index = spark.sparkContext.broadcast(fit(sample, shape.longest, lists, k))
     homes = cut(usable.mapInArrow(_home(index), "list int, id long, vector array<double>"), "homes")
+    # One id counts once in a list, however many vectors it has there, and REPLICAS times at most in all of them, so
+    # that lists of REPLICAS * k + 1 hold more than k ids.
+    placed = homes.groupBy("list", "id").agg(F.count("*").alias("rows"))
+    spread = placed.groupBy("id").agg(F.count("*").alias("lists")).where(F.col("lists") > REPLICAS)
+    share = F.coalesce(REPLICAS / F.col("lists"), F.lit(1.0))
     # One row for each list: at most SAMPLE / 4.
-    counts = {r.list: r.n for r in homes.groupBy("list").agg(F.count("*").alias("n")).collect()}
-    sizes = np.array([counts.get(i, 0) for i in range(len(index.value.centroids))])
-    blocks = np.maximum(1, -(-sizes // BLOCK))
+    counts = {r.list: r for r in placed.join(spread, "id", "left").groupBy("list").agg(
+        F.sum("rows").alias("rows"), F.sum(share).alias("ids")).collect()}
+    rows, sizes = (np.array([counts[i][c] if i in counts else 0 for i in range(len(index.value.centroids))]) for c in ("rows", "ids"))
+    blocks = np.maximum(1, -(-rows // BLOCK))
     dealt = homes.mapInArrow(_deal(blocks), "list int, block int, kind int, id long, vector array<double>")
     asked = (usable.where(F.pmod("id", F.lit(every)) == 0)
              .mapInArrow(_ask(index, sizes, blocks, REPLICAS * k + 1), "list int, block int, kind int, id long, vector array<double>"))
@@ -269,7 +276,7 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 
 def _meet(k: int):
     def meet(found: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, vectors, held = None, [], [], {}
+        at, ids, vectors, held, groups = None, [], [], {}, None
 
         def flush() -> Iterator[pa.RecordBatch]:
             queries = np.repeat(np.fromiter(held, np.int64, len(held)), [len(h[0]) for h in held.values()])
@@ -288,17 +295,22 @@ def _meet(k: int):
                     continue
                 place = (lists[part[0]], blocks[part[0]])
                 if place != at:
-                    at, ids, vectors = place, [], []
+                    at, ids, vectors, groups = place, [], [], None
                 if kinds[part[0]] == 0:
                     ids.append(own[part])
                     vectors.append(rows[part].copy())
                     continue
                 if not ids:
                     continue
-                if len(ids) > 1:
-                    ids, vectors = [np.concatenate(ids)], [np.concatenate(vectors)]
+                if groups is None:  # all of the block is there: the rows of an id side by side
+                    order = np.argsort(np.concatenate(ids), kind="stable")
+                    ids, vectors = [np.concatenate(ids)[order]], [np.concatenate(vectors)[order]]
+                    groups = np.flatnonzero(np.r_[True, ids[0][1:] != ids[0][:-1]])
                 rough = rows[part] @ vectors[0].T
-                least = np.partition(rough, max(0, rough.shape[1] - k - 1), axis=1)[:, max(0, rough.shape[1] - k - 1)]
+                # The cut is made over ids: the query's own one and k others.
+                by_id = rough if len(groups) == len(ids[0]) else np.maximum.reduceat(rough, groups, axis=1)
+                cut_at = max(0, by_id.shape[1] - k - 1)
+                least = np.partition(by_id, cut_at, axis=1)[:, cut_at]
                 slack = 1e-9 * np.abs(rough).max(axis=1)
                 for q, scores, least_, slack_, vector in zip(own[part].tolist(), rough, least, slack, rows[part], strict=True):
                     near = np.flatnonzero((scores >= least_ - slack_) & (ids[0] != q))

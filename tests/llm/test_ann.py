@@ -58,6 +58,22 @@ def test_ties_and_unusable_rows(spark):
     assert {q for q, _ in got} == {0, 20, 40}
 
 
+@pytest.mark.parametrize("noise", [0, 1e-3])
+def test_an_id_with_many_rows(spark, noise):
+    rng = np.random.default_rng(6)
+    rows = [(i, v.tolist()) for i, v in enumerate(clustered(rng, 400))]
+    rows += [(i, (2 * np.array(rows[i][1]) + noise * rng.normal(size=8)).tolist()) for i in (0, 7, 20) for _ in range(150)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = {}
+    for r in ann.nearest(frame, 20, list_size=2000).collect():  # one list, so that all is met
+        found.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    want = {q: [i for _, i in best] for q, best in brute(rows, 20, 20).items()}
+    assert found.keys() == want.keys() and all(len(x) == 20 for x in found.values())
+    for q in want:
+        if q not in (0, 20):  # of several rows of a query the best score of any counts
+            assert [found[q][n + 1] for n in range(20)] == want[q]
+
+
 def test_few_rows(spark):
     schema = "vec_id long, embedding array<float>"
     assert ann.nearest(spark.createDataFrame([], schema), 20).count() == 0
