@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,3 +86,24 @@ def maybe_in(found: DataFrame, *columns: str) -> Column:
     place = _place(*columns)
     word = F.element_at(found.scalar(), F.floor(place / 64).cast("int") + 1)
     return F.call_function("shiftrightunsigned", word, F.pmod(place, F.lit(64)).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+
+
+def text_groups(texts: Iterable[str], gap: re.Pattern, size: int = 1 << 20) -> Iterator[list[tuple[int, str]]]:
+    """(number of the text, part of it) in groups of about ``size`` characters. Longer texts are cut at gaps, and what
+    the gap matches is left out; a stretch without any gap stays whole."""
+    group, held = [], 0
+    for number, text in enumerate(texts):
+        at = 0
+        while True:
+            found = gap.search(text, at + size) if len(text) - at > size else None
+            part = text[at:found.start() if found else len(text)]
+            if held and held + len(part) > size:
+                yield group
+                group, held = [], 0
+            group.append((number, part))
+            held += len(part)
+            if not found:
+                break
+            at = found.end()
+    if group:
+        yield group

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.llm.align import align_documents
 from tablewright.llm.ann import nearest
 from tablewright.llm.chat import rotate
 from tablewright.llm.common import table
 from tablewright.llm.html import extract
+from tablewright.llm.langid import predict_languages
 from tablewright.llm.line_dedup import drop_recurring
 from tablewright.llm.lm import score_documents
 from tablewright.llm.mixing import mix_sources
 from tablewright.llm.packing import pack
 from tablewright.llm.quality import quality
+from tablewright.llm.search import search
 from tablewright.llm.simhash import near_duplicates
 from tablewright.llm.urlfilter import filter_urls
 
@@ -191,3 +194,37 @@ def op9_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_html_extraction")
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(table(spark, sf_dir, "documents"))
+
+
+SEARCH_SQL = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+sizes AS (SELECT doc_id, len(w)::BIGINT AS n, w FROM words WHERE len(w) > 0),
+totals AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM sizes),
+asked AS (SELECT item_id, term, count(*)::BIGINT AS times FROM (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term),
+held AS (SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, n, unnest(w) AS term FROM sizes)
+         WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, n, term),
+weights AS (SELECT term, floor(1000 * ln((2 * (SELECT nn FROM totals) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM held GROUP BY term),
+impacts AS (SELECT doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * nn) // ll))) AS impact
+            FROM held JOIN weights USING (term) CROSS JOIN totals),
+scores AS (SELECT item_id, doc_id, sum(times * impact)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+@query("op12_ranked_search", SEARCH_SQL)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_language_id")
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(table(spark, sf_dir, "documents"))
