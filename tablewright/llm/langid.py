@@ -23,7 +23,7 @@ from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField,
 from tablewright.llm.common import cut, text_groups
 
 #: Distinct words and characters that a task counts before it spells them, and words and their characters that it keeps weighed.
-TASK_WORDS, TASK_CHARS, KEPT_WORDS, KEPT_CHARS = 200_000, 32_000_000, 200_000, 8_000_000
+TASK_WORDS, TASK_CHARS, KEPT_WORDS, KEPT_CHARS = 200_000, 32_000_000, 400_000, 8_000_000
 #: Words from this length on are weighed one by one.
 LONG = 64
 #: Numbers of the model, a piece of a language being one: it is sent to every task.
@@ -136,20 +136,12 @@ class Lattice:
                 for k in range(1, len(piece)):
                     self.table.setdefault(piece[:k], -1)  # a prefix of pieces
                 self.table[piece] = i
-        self.longest = max(map(len, self.table))
-
-    def _arcs(self, text: str, i: int) -> Iterator[tuple[int, int]]:
-        """(end, piece) of the pieces that start at i; end 0: the character has none and is spelled in bytes."""
-        single = False
-        for j in range(i + 1, len(text) + 1):
-            piece = self.table.get(text[i:j])
-            if piece is None:
-                break
-            if piece >= 0:
-                single = single or j == i + 1
-                yield j, piece
-        if not single:
-            yield 0, 0
+        # The prefixes as the nodes of a tree: the edge from a node by a character is one sorted number.
+        nodes = {"": 0} | {prefix: n for n, prefix in enumerate(self.table, 1)}
+        edges = np.array([nodes[p[:-1]] << 21 | ord(p[-1]) for p in self.table], np.int64)
+        order = np.argsort(edges)
+        self.edges, self.child = edges[order], order + 1
+        self.piece_of = np.array([-1, *self.table.values()], np.int64)
 
     def _spelled(self, character: str) -> np.ndarray:
         return self.scores[self.bytes[list(character.encode("utf-8", "replace"))]].sum(axis=0)
@@ -168,30 +160,57 @@ class Lattice:
 
     def _together(self, texts: list[str]) -> np.ndarray:
         """Short texts position by position: of all texts at once those pieces that start at a place and have one length."""
-        arcs: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
-        spelled: dict[int, tuple[list[int], list[np.ndarray]]] = {}
-        for n, text in enumerate(texts):
-            for i in range(len(text)):
-                for j, piece in self._arcs(text, i):
-                    if j:
-                        who, what = arcs.setdefault((i, j - i), ([], []))
-                        what.append(piece)
-                    else:
-                        who, what = spelled.setdefault(i, ([], []))
-                        what.append(self._spelled(text[i]))
-                    who.append(n)
-        longest = max(map(len, texts))
+        sizes = np.array([len(t) for t in texts])
+        code = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+        text, start = np.repeat(np.arange(len(texts)), sizes), np.cumsum(sizes) - sizes
+        offset = np.arange(len(code)) - start[text]
+        # Pieces by their length: from every place down the tree, as long as it has an edge and the text goes on.
+        at, node, pieces, single = np.arange(len(code)), np.zeros(len(code), np.int64), [], np.zeros(len(code), bool)
+        while len(at):
+            d = len(pieces)
+            edge = node << 21 | code[at + d]
+            place = np.minimum(np.searchsorted(self.edges, edge), len(self.edges) - 1)
+            found = self.edges[place] == edge
+            at, node = at[found], self.child[place[found]]
+            piece = self.piece_of[node]
+            pieces.append((at[piece >= 0], self.scores, piece[piece >= 0]))
+            if not d:
+                single[at[piece >= 0]] = True
+            on = sizes[text[at]] > offset[at] + d + 1
+            at, node = at[on], node[on]
+        bare = np.flatnonzero(~single)
+        kinds, kind = np.unique(code[bare], return_inverse=True)
+        in_bytes = np.zeros((len(kinds), self.scores.shape[1]))
+        for n, k in enumerate(kinds):
+            in_bytes[n] = self._spelled(chr(k))
+        steps = [(1, bare, in_bytes, kind)]
+        steps += [(d, *arcs) for d, arcs in enumerate(pieces, 1)]
+        longest = int(sizes.max())
+        ordered = []
+        for d, where, table, row in steps:
+            order = np.argsort(offset[where], kind="stable")
+            ordered.append((d, text[where[order]], table, row[order], np.searchsorted(offset[where[order]], np.arange(longest + 1))))
         alpha = np.full((longest + 1, len(texts), self.scores.shape[1]), -np.inf)
         alpha[0] = 0
         for i in range(longest):
-            for d in range(1, self.longest + 1):
-                if (i, d) in arcs:
-                    who, what = arcs[i, d]
-                    alpha[i + d, who] = np.logaddexp(alpha[i + d, who], alpha[i, who] + self.scores[what])
-            if i in spelled:
-                who, what = spelled[i]
-                alpha[i + 1, who] = np.logaddexp(alpha[i + 1, who], alpha[i, who] + np.array(what))
-        return alpha[[len(t) for t in texts], np.arange(len(texts))]
+            for d, who, table, row, bounds in ordered:
+                part = slice(bounds[i], bounds[i + 1])
+                if part.start < part.stop:
+                    alpha[i + d, who[part]] = np.logaddexp(alpha[i + d, who[part]], alpha[i, who[part]] + table[row[part]])
+        return alpha[sizes, np.arange(len(texts))]
+
+    def _arcs(self, text: str, i: int) -> Iterator[tuple[int, int]]:
+        """(end, piece) of the pieces that start at i; end 0: the character has none and is spelled in bytes."""
+        single = False
+        for j in range(i + 1, len(text) + 1):
+            piece = self.table.get(text[i:j])
+            if piece is None:
+                break
+            if piece >= 0:
+                single = single or j == i + 1
+                yield j, piece
+        if not single:
+            yield 0, 0
 
     def _alone(self, text: str) -> np.ndarray:
         """A text of any length, keeping as many places as the longest piece has."""
