@@ -90,6 +90,8 @@ class Tokenizers:
         for entry, i in self.a.get_vocab().items():
             self.a_bytes[i] = bytes(byte_of[c] for c in entry) if all(c in byte_of for c in entry) else entry.encode()
         self.b_bytes = [self._piece_bytes(i) for i in range(self.width)]
+        self.a_text, self.b_text = [str(i) for i in range(len(self.a_bytes))], [str(i) for i in range(self.width)]
+        self.a_size, self.b_size = np.array(list(map(len, self.a_bytes))), np.array(list(map(len, self.b_bytes)))
         self.young: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
         self.chars = 0
@@ -115,10 +117,38 @@ class Tokenizers:
                     new.append(s)
         if new:
             a = self.a.encode_batch_fast([" " + s for s in new], add_special_tokens=False)
-            for s, x, y in zip(new, a, self.b.encode(new, num_threads=1), strict=True):
-                young[s] = self.overlay(" " + s, x.ids, y)
+            young.update(zip(new, self.overlays([" " + s for s in new], [x.ids for x in a], self.b.encode(new, num_threads=1)), strict=True))
         return young
 
+    def overlays(self, texts: list[str], a_ids: list[list[int]], b_ids: list[list[int]]) -> list[tuple | None]:
+        """``overlay`` of many texts: laid end to end they are one text, as every text ends a token of both."""
+        raws = [t.encode("utf-8", "replace") for t in texts]
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a_ids, b_ids))
+        stop, raw = np.cumsum(list(map(len, raws))), b"".join(raws)
+        ends, tokens = [], []
+        for ids, flat, sizes, entries in ((a_ids, a, self.a_size, self.a_bytes), (b_ids, b, self.b_size, self.b_bytes)):
+            end, token = np.cumsum(sizes[flat]), np.cumsum(list(map(len, ids)))
+            if (token[0] == 0 or (np.diff(token) == 0).any() or (end[token - 1] != stop).any()
+                    or b"".join(map(entries.__getitem__, flat.tolist())) != raw):
+                return [self.overlay(*x) for x in zip(texts, a_ids, b_ids, strict=True)]
+            ends.append(end)
+            tokens.append(token)
+        both = np.union1d(*ends)
+        links = (a[np.searchsorted(ends[0], both)] * self.width + b[np.searchsorted(ends[1], both)]).tolist()
+        shared = np.intersect1d(*ends, assume_unique=True)
+        names_a, names_b = ([names[i] for i in flat.tolist()] for names, flat in ((self.a_text, a), (self.b_text, b)))
+        groups, p, r = [], 0, 0
+        for q, s in zip((np.searchsorted(ends[0], shared) + 1).tolist(), (np.searchsorted(ends[1], shared) + 1).tolist(), strict=True):
+            left = names_a[p] if q - p == 1 else ",".join(names_a[p:q])
+            groups.append(f"{left}|{names_b[r]}" if s - r == 1 else f"{left}|{','.join(names_b[r:s])}")
+            p, r = q, s
+        out, link, group = [], 0, 0
+        for n_a, n_b, link_stop, group_stop in zip(map(len, a_ids), map(len, b_ids), (np.searchsorted(both, stop) + 1).tolist(),
+                                                   (np.searchsorted(shared, stop) + 1).tolist(), strict=True):
+            out.append((n_a, n_b, group_stop - group, links[link:link_stop], ";".join(groups[group:group_stop])))
+            link, group = link_stop, group_stop
+        return out
+
     def overlay(self, text: str, a: list[int], b: list[int]) -> tuple | None:
         raw, la, lb = text.encode("utf-8", "replace"), self.a_bytes, self.b_bytes
         if b"".join([la[x] for x in a]) != raw or b"".join([lb[x] for x in b]) != raw:
