@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tablewright.llm import align as al
@@ -72,8 +73,16 @@ def test_long_texts_in_parts_and_few_kept_stretches(monkeypatch):
             assert held.measures()[:5] == (0, 0, 0, 0, "")
         else:
             a, b, groups, links, spelled = whole
-            assert held.measures()[:5] == (a, b, groups, len(links), hashlib.sha256(spelled.encode()).hexdigest())
-            assert dict(zip(*(x.tolist() for x in held.measures()[5:]), strict=True)) == Counter(links)
+            pairs = np.frombuffer(links, np.int64).tolist()
+            assert held.measures()[:5] == (a, b, groups, len(pairs), hashlib.sha256(spelled.encode()).hexdigest())
+            assert dict(zip(*(x.tolist() for x in held.measures()[5:]), strict=True)) == Counter(pairs)
+
+
+def test_the_quick_encoder_is_the_files_own():
+    both = al._tokenizers((None, None))
+    texts = [" " + t for t in sample() if t] + ["<|endoftext|> x", "a\u2028b  \u00a0c", "\U0001F600 \u200d", "é" * 500, "0123456789 " * 50, "\t\t\r\n\n  x"]
+    assert [both.a_ids(t) for t in texts] == [both.a.encode(t, add_special_tokens=False).ids for t in texts]
+    assert both.a_ids.__self__.name == "from-file"
 
 
 def test_no_piece_goes_on_after_a_space():
