@@ -14,7 +14,7 @@ rarest ones. All this goes by distinct lines, so copies of a line, or of a field
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import bitmap, cut, maybe_in
@@ -31,36 +31,50 @@ FIGURE = r"(?<![^ ])(?=[^ ]*0)[^\p{L} ]++(?![^ ])"
 HUBS = 8
 
 
-def _parsed(docs: DataFrame, id_col: str, text_col: str, by_similarity: bool) -> DataFrame:
+def _split(docs: DataFrame, id_col: str, text_col: str, places: DataFrame | None, *forms) -> DataFrame:
+    """(doc, hash, pos, each form of the line): the text's lines, put into one form or several.
+
+    Forms are made of whole texts before these are split. With a bitmap of ``places``, hashes of (hash, pos), texts are
+    split first and just the lines at these places are put into form.
+    """
+    text = F.col(f"`{text_col}`")
+    named = docs.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(text).alias("hash"), text.alias("text")).where("doc is not null")
+    if places is not None:
+        lines = named.select("doc", "hash", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+        lines = lines.withColumn("place", F.xxhash64("hash", "pos")).where(maybe_in(places, "place"))
+        return lines.select("doc", "hash", "pos", *[F.trim(form(F.col("line"))).alias(f"form{i}") for i, form in enumerate(forms)])
+    split = F.arrays_zip(*[F.split(form(F.col("text")), "\n").alias(f"form{i}") for i, form in enumerate(forms)])
+    lines = named.select("doc", "hash", F.posexplode(split).alias("pos", "line"))
+    return lines.select("doc", "hash", "pos", *[F.trim(f"line.form{i}").alias(f"form{i}") for i in range(len(forms))])
+
+
+def _spaced(c: Column) -> Column:
+    return F.regexp_replace(c, SPACES, " ")
+
+
+def _masked(c: Column) -> Column:
+    return _spaced(F.regexp_replace(c, "[0-9]+", "0"))
+
+
+def _parsed(docs: DataFrame, id_col: str, text_col: str, by_similarity: bool, places: DataFrame | None = None) -> DataFrame:
     """(doc, hash, pos, norm, n, line1, line2, leaf) of the lines that can be templates: long enough, not mere figures.
 
     norm: the line's tokens, single-spaced, runs of digits as 0; line1 and line2 are its hashes, leaf that of its
-    number of tokens and first tokens. The whole text is masked before it is split, so that this is done once.
+    number of tokens and first tokens.
     """
     if by_similarity:
-        return _worded(docs, id_col, text_col)
-    text = F.col(f"`{text_col}`")
-    plain = F.regexp_replace(F.regexp_replace(text, "[0-9]+", "0"), SPACES, " ")
-    lines = (docs.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(text).alias("hash"), plain.alias("plain"))
-             .where("doc is not null")
-             .select("doc", "hash", F.posexplode(F.split("plain", "\n")).alias("pos", "raw"))
-             .select("doc", "hash", "pos", F.trim("raw").alias("norm")))
+        return _worded(docs, id_col, text_col, places)
+    lines = _split(docs, id_col, text_col, places, _masked).withColumnRenamed("form0", "norm")
     count = lambda mark: F.length("norm") - F.length(F.replace("norm", F.lit(mark)))
     lines = lines.withColumn("n", count(" ") + 1).where((F.col("n") >= MIN_TOKENS) & (2 * count("0") <= F.col("n")))
     return lines.select("*", F.xxhash64("norm").alias("line1"), F.xxhash64("norm", F.lit(1)).alias("line2"),
                         F.xxhash64("n", F.substring_index("norm", " ", DEPTH)).alias("leaf"))
 
 
-def _worded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _worded(docs: DataFrame, id_col: str, text_col: str, places: DataFrame | None) -> DataFrame:
     """As _parsed, but figures are tokens of digits and marks. A line mostly of figures that has a word keeps its
     digits and is a leaf of its own, so that it meets its exact copies only."""
-    text = F.col(f"`{text_col}`")
-    spaced = F.regexp_replace(text, SPACES, " ")
-    both = F.arrays_zip(F.split(F.regexp_replace(spaced, "[0-9]+", "0"), "\n").alias("masked"), F.split(spaced, "\n").alias("raw"))
-    lines = (docs.select(F.col(f"`{id_col}`").alias("doc"), F.xxhash64(text).alias("hash"), both.alias("both"))
-             .where("doc is not null")
-             .select("doc", "hash", F.posexplode("both").alias("pos", "both"))
-             .select("doc", "hash", "pos", F.trim("both.masked").alias("masked"), F.trim("both.raw").alias("raw")))
+    lines = _split(docs, id_col, text_col, places, _masked, _spaced).withColumnsRenamed({"form0": "masked", "form1": "raw"})
     count = lambda mark: F.length("masked") - F.length(F.replace("masked", F.lit(mark)))
     # No more figures than zeros: the expression is for the few lines with many zeros.
     prose = (2 * count("0") <= F.col("n")) | (2 * F.regexp_count("masked", F.lit(FIGURE)) <= F.col("n"))
@@ -71,13 +85,17 @@ def _worded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         leaf.alias("leaf"))
 
 
-def _texts(docs: DataFrame, by_line: DataFrame, id_col: str, text_col: str, by_similarity: bool) -> DataFrame:
-    """(line1, line2, norm, leaf, first, last) of lines in leaves that several lines of several documents reach."""
+def _wanted(by_line: DataFrame) -> DataFrame:
+    """Rows of by_line in leaves that several lines of several documents reach."""
     leaves = cut(by_line.groupBy("leaf").agg(F.count("*").alias("lines"), F.min("first").alias("first"), F.max("last").alias("last"))
                  .where("lines > 1 and first != last").select("leaf"), "leaves")
-    wanted = cut(by_line.where(maybe_in(bitmap(leaves, "leaf"), "leaf")).join(leaves, "leaf", "left_semi"), "wanted")
-    some = _parsed(docs, id_col, text_col, by_similarity).where(maybe_in(bitmap(wanted, *LINE), *LINE)).select(*LINE, "norm", "leaf")
-    # A line is the same text wherever it stands: one of its rows will do, found in each task before the shuffle.
+    return cut(by_line.where(maybe_in(bitmap(leaves, "leaf"), "leaf")).join(leaves, "leaf", "left_semi"), "wanted")
+
+
+def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, by_similarity: bool) -> DataFrame:
+    """(line1, line2, norm, leaf, first, last) of the wanted lines, each read where it stands once."""
+    some = _parsed(docs, id_col, text_col, by_similarity, bitmap(wanted, "place")).select(*LINE, "norm", "leaf")
+    # Other lines at these places by chance have no match; found twice, a line is the same text.
     return some.dropDuplicates(list(LINE)).join(wanted.select(*LINE, "first", "last"), list(LINE))
 
 
@@ -134,17 +152,18 @@ def _variants(tokens: DataFrame) -> DataFrame:
     return cut(held.select(*LINE, "first", "last", F.explode(found).alias("t")).select(*LINE, "t.x", "t.y", "first", "last").distinct(), "variants")
 
 
-def _generalised(spelled: DataFrame) -> DataFrame:
-    """(line1, line2, x, y, first, last) for lines with variable fields; x and y are the template's hashes."""
-    tokens = cut(spelled.select(*LINE, "at", "leaf", "first", "last", F.xxhash64("leaf", "at", "token").alias("key")), "tokens")
+def _generalised(spelled: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(line1, line2, x, y, first, last) for lines with variable fields; x and y are the template's hashes: those of its
+    constant tokens, whose places in the leaf leave the fields' places."""
+    tokens = cut(spelled.select(*LINE, "first", "last", F.xxhash64("leaf", "at", "token").alias("key")), "tokens")
     constant = (tokens.groupBy("key").agg(F.min("first").alias("a"), F.max("last").alias("b"))
                 .where("a != b").select(F.col("key").alias("constant")))
-    held = tokens.join(constant, F.col("key") == F.col("constant"), "left")
-    field = F.coalesce("constant", F.xxhash64("leaf", "at", F.lit("<*>"), F.lit(1)))
-    return cut(held.groupBy(*LINE).agg(
-        F.count("*").alias("n"), F.count("constant").alias("constants"), F.bit_xor(field).alias("x"),
-        F.bit_xor(F.xxhash64(field, F.lit("second"))).alias("y"), F.min("first").alias("first"), F.max("last").alias("last"))
-        .where((F.col("constants") < F.col("n")) & (F.col("constants") >= SIMILARITY * F.col("n"))).drop("n", "constants"), "templates")
+    held = tokens.select(*LINE, "key").join(constant, F.col("key") == F.col("constant"), "left").select(*LINE, "constant")
+    second = F.when(F.col("constant").isNotNull(), F.xxhash64("constant", F.lit("second")))
+    found = held.groupBy(*LINE).agg(
+        F.count("*").alias("n"), F.count("constant").alias("constants"), F.bit_xor("constant").alias("x"), F.bit_xor(second).alias("y"))
+    found = found.where((F.col("constants") < F.col("n")) & (F.col("constants") >= SIMILARITY * F.col("n"))).drop("n", "constants")
+    return cut(found.join(wanted.select(*LINE, "first", "last"), list(LINE)), "templates")
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_similarity: bool = False) -> DataFrame:
@@ -160,8 +179,11 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     docs = docs.drop("n_lines", "n_dropped")
     seen = cut(_parsed(docs, id_col, text_col, by_similarity).select("doc", "hash", "pos", *LINE, "leaf"), "lines")
-    by_line = cut(seen.groupBy(*LINE).agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.max("leaf").alias("leaf")), "by_line")
-    texts = _texts(docs, by_line, id_col, text_col, by_similarity)
+    # One of a line's places, for reading it there once more.
+    by_line = cut(seen.groupBy(*LINE).agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.max("leaf").alias("leaf"),
+                                          F.max(F.xxhash64("hash", "pos")).alias("place")), "by_line")
+    wanted = _wanted(by_line)
+    texts = _texts(docs, wanted, id_col, text_col, by_similarity)
     exact = by_line.where("first != last").select(*LINE, F.col("first").alias("keeper"))
     if by_similarity:
         texts = cut(texts, "texts")
@@ -169,7 +191,7 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         general = _variants(tokens)
         exact = exact.unionByName(_alike(texts, tokens))
     else:
-        general = _generalised(_spelled(texts))
+        general = _generalised(_spelled(texts), wanted)
         exact = exact.join(general, list(LINE), "left_anti")
     keepers = general.groupBy("x", "y").agg(F.min("first").alias("keeper"), F.max("last").alias("end")).where("keeper != end")
     losing = general.join(keepers, ["x", "y"]).select(*LINE, "keeper").unionByName(exact)
