@@ -99,10 +99,42 @@ def tokens(page: str) -> list[Token]:
     return out
 
 
+class _Open(list):
+    """Open elements: (name, level of furniture in or above, content in or above, owner, "unread" or "formula" in or above).
+
+    Counts each name and keeps, for every element, the place of the nearest one at or above it that ends a paragraph's
+    formatting and of the nearest one that foreign markup ends at, so that no depth of elements makes a tag costly."""
+
+    def __init__(self):
+        super().__init__()
+        self.names: Counter = Counter()
+        self.block_at, self.foreign_at = [], []
+
+    def push(self, element: tuple[str, int, bool, int, str]) -> None:
+        name, here = element[0], len(self)
+        self.names[name] += 1
+        self.block_at.append(here if name in BLOCKS or name in FURNITURE else self.block_at[-1] if here else -1)
+        self.foreign_at.append(here if name in INTEGRATES or name in FOREIGN else self.foreign_at[-1] if here else -1)
+        self.append(element)
+
+    def cut(self, depth: int) -> None:
+        for element in self[depth:]:
+            self.names[element[0]] -= 1
+        for kept in (self, self.block_at, self.foreign_at):
+            del kept[depth:]
+
+    def close(self, name: str) -> None:
+        """Up to the last open element of this name, if there is one."""
+        if self.names[name]:
+            depth = len(self) - 1
+            while self[depth][0] != name:
+                depth -= 1
+            self.cut(depth)
+
+
 def _tokens(page: str, in_wrapper: bool) -> list[Token]:
     out: list[Token] = []
-    # Open elements: (name, level of furniture in or above, content in or above, owner, "unread" or "formula" in or above).
-    stack: list[tuple[str, int, bool, int, str]] = []
+    stack = _Open()
     at, n, owners = 0, len(page), 0
     while at < n:
         m = _TOKEN.match(page, at)
@@ -124,28 +156,20 @@ def _tokens(page: str, in_wrapper: bool) -> list[Token]:
             continue
         name = name.lower()
         if close:
-            if any(s[0] == name for s in stack):
-                while stack.pop()[0] != name:
-                    pass
+            stack.close(name)
             if not (stack and stack[-1][4]) and name not in UNREAD and name not in FOREIGN:
                 out.append(Token("/" + name, "", 0, name in BLOCKS, content, owner))
             continue
         if foreign and name in BREAKOUT:  # markup that was never closed ends where the page's own goes on
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] in INTEGRATES:
-                    break
-                if stack[depth][0] in FOREIGN:
-                    del stack[depth:]
-                    break
+            depth = stack.foreign_at[-1]
+            if depth >= 0 and stack[depth][0] not in INTEGRATES:
+                stack.cut(depth)
         while stack and name in CLOSED_BY.get(stack[-1][0], ()):
-            stack.pop()
-        if name in BLOCKS:  # formatting that was never closed ends with its block's paragraph
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == "p" and name in CLOSED_BY["p"]:
-                    del stack[depth:]
-                    break
-                if stack[depth][0] in BLOCKS or stack[depth][0] in FURNITURE:
-                    break
+            stack.cut(len(stack) - 1)
+        if name in BLOCKS and stack:  # formatting that was never closed ends with its block's paragraph
+            depth = stack.block_at[-1]
+            if depth >= 0 and stack[depth][0] == "p" and name in CLOSED_BY["p"]:
+                stack.cut(depth)
         level, content, owner, foreign = stack[-1][1:] if stack else (0, False, 0, "")
         if not foreign and name != FORMULA:
             out.append(Token(name, "", 0, name in BLOCKS, content, owner))
@@ -163,7 +187,7 @@ def _tokens(page: str, in_wrapper: bool) -> list[Token]:
                 owners += 1
                 owner = owners
             foreign = "unread" if foreign == "unread" or name in UNREAD else "formula" if foreign or name == FORMULA else ""
-            stack.append((name, level, content, owner, foreign))
+            stack.push((name, level, content, owner, foreign))
     return out
 
 

@@ -88,17 +88,30 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 
 _SEPARATOR = re.compile(r"[|•·»›>/\\→←–—-]+")
 _SEPARATES = re.compile(r"(?<!\S)[|•·»›>/\\→←–—-]")
-_FINISHED = re.compile(r"[.!?…。！？:;\"'”’»)\]]+[^\w]*$")
+#: One of these, and no letter or digit after it, ends a line.
+_FINAL = frozenset(".!?…。！？:;\"'”’»)]")
+
+
+def ends_with_mark(line: str, marks: frozenset[str]) -> bool:
+    """One of the marks comes after the last letter, digit or underscore. Read from the end as far as need be."""
+    for c in reversed(line):
+        if c in marks:
+            return True
+        if c.isalnum() or c == "_":
+            return False
+    return False
 
 
 def unfinished(line: str, n_words: int, rules: LineRules) -> bool:
-    return n_words >= rules.unfinished_words and not _FINISHED.search(line.rstrip()[-40:])
+    return n_words >= rules.unfinished_words and not ends_with_mark(line, _FINAL)
 
 
-#: Further scripts' ends of sentences and closing brackets, beside those of _FINISHED.
+#: Further scripts' ends of sentences and closing brackets, beside those of _FINAL.
 _MARKS = ".!?…。！？；：｡．؟۔؛।॥։።፧။།៕"
-_ENDS = re.compile(rf"[{_MARKS}:;\"'”’»)\]」』）】》]+[^\w]*$")
-_SENTENCE = re.compile(rf"[{_MARKS}]+[\"'”’»)\]」』）】》]*(?:\s+|(?<=[。！？｡．])(?=\w))")
+_CLOSING = "\"'”’»)]」』）】》"
+_ENDS = frozenset(_MARKS + ":;" + _CLOSING)
+#: From the first of several marks on, and without going back, so that runs of marks of any length are read once.
+_SENTENCE = re.compile(rf"(?<![{_MARKS}])[{_MARKS}]++[{re.escape(_CLOSING)}]*+(?:\s++|(?<=[。！？｡．])(?=\w))")
 #: Wider lines are not set to a width, so they are no parts of a wrapped sentence.
 WRAPPED = 120
 _PHRASES: dict[tuple[str, ...], re.Pattern] = {}
@@ -129,7 +142,7 @@ def _goes_on(lines: list[str], i: int, width: int) -> bool:
 def _unended(lines: list[str], rules: LineRules) -> set[int]:
     """The lines that are long enough to need an end mark, have none, and don't go on to a line with one."""
     out, i = set(), 0
-    need = [len(words_of(x)) >= rules.unfinished_words and not _ENDS.search(x) for x in lines]
+    need = [len(words_of(x)) >= rules.unfinished_words and not ends_with_mark(x, _ENDS) for x in lines]
     start = [0] * len(lines)  # of the paragraph; its longest line shows how wide it is set
     width: dict[int, int] = {}
     for k, x in enumerate(lines):
@@ -146,7 +159,7 @@ def _unended(lines: list[str], rules: LineRules) -> set[int]:
             out.update(range(i, stop + 1))
         elif need[stop]:  # the wrapped sentence ends within the last line, whose own tail has no end
             out.add(stop)
-        elif not _ENDS.search(lines[stop]) and _tail(lines[stop]) == 0:  # goes on to a short line without a mark
+        elif not ends_with_mark(lines[stop], _ENDS) and _tail(lines[stop]) == 0:  # goes on to a short line without a mark
             out.update(range(i, stop))
         i = stop + 1
     return out

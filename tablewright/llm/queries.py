@@ -134,7 +134,7 @@ FROM counts, LATERAL (SELECT unnest(range(0, n)) AS c)
 @query("op6_mix_sources", MIXING_SQL)
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "source", F.length("text").cast("long").alias("n_chars"), F.col("_copy").alias("copy"),
+    return mixed.select("doc_id", "source", F.length("text").cast("long").alias("n_chars"), F.col("_copy").cast("int").alias("copy"),
                         F.col("_order").alias("shuffle_key"))
 
 

@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 import pytest
 
@@ -53,6 +54,14 @@ def test_broken_and_long(scores):
     main_text("<div>" * 5_000 + "deep words", scores)
 
 
+@pytest.mark.parametrize("odd", ["<i>" * 60_000 + "</b>" * 60_000, "<i>" * 60_000 + "<p>word</p>" * 20_000, "<i>" * 60_000 + "<div></div>" * 20_000,
+                                 "<svg>" + "<g>" * 60_000 + "<p>word" * 20_000, "<" * 500_000, " " * 1_000_000, "<a>" * 200_000, "." * 1_000_000])
+def test_time_grows_with_the_page_alone(scores, odd):
+    start = time.process_time()
+    main_text(f"<body>{odd}<article><p>The words of the page are these.</p></article></body>", scores)
+    assert time.process_time() - start < 8
+
+
 @pytest.mark.parametrize("sides", [(3, 60), (60, 3), (2, 2)])
 def test_furniture_inside_the_article(scores, sides):
     parts = [" ".join(f"{side}{i}" for i in range(n)) for side, n in zip("ab", sides)]

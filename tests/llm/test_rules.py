@@ -2,17 +2,22 @@
 
 import math
 import random
+import re
+import time
 from collections import Counter
+from statistics import NormalDist
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from oracle import compare, connect
+from tablewright.llm import quality as quality_module
 from tablewright.llm import queries
 from tablewright.llm.chat import rotate
 from tablewright.llm.line_dedup import drop_recurring
-from tablewright.llm.mixing import mix_sources, repetition_rates
+from tablewright.llm.mixing import large_count, mix_sources, normal_quantile, repetition_rates
 from tablewright.llm.quality import LineRules, base_counts, clean, failing, quality, repeated_words
 from tablewright.llm.urlfilter import filter_urls
 
@@ -64,6 +69,30 @@ def test_by_sentence():
     assert clean(arabic, rules)[0] == arabic and clean("x " * 14 + ". " + "_ " * 50, rules)[2] == 0
 
 
+@pytest.mark.parametrize("odd", ["." * 1_000_000 + "a", "a" + "." * 1_000_000, "!)" * 400_000 + "x", " " * 1_000_000 + "z", ". " * 400_000 + "end", "x\n" * 300_000,
+                                 "。" * 500_000 + "。a", "~ " * 500_000])
+@pytest.mark.parametrize("by_sentence", [False, True])
+def test_time_grows_with_the_line_alone(odd, by_sentence):
+    start = time.process_time()
+    clean("some words that begin the line and are more than twelve of them here " + odd, LineRules(by_sentence=by_sentence))
+    assert time.process_time() - start < 4
+
+
+def test_the_whole_end_of_a_line_is_read():
+    line = "this line has a good many words in it and comes to an end." + " ~" * 30
+    assert failing(line, LineRules()) is None and failing(line.replace(".", ""), LineRules()) == "punctuation"
+    assert clean(line, LineRules(by_sentence=True))[2] == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from(".!?)\"。؟ a_é~"), max_size=30))
+def test_ends_equal_the_plain_patterns(line):
+    marks = re.escape("".join(quality_module._FINAL))
+    assert quality_module.ends_with_mark(line, quality_module._FINAL) == bool(re.search(rf"[{marks}]+[^\w]*$", line))
+    plain = re.compile(rf"[{quality_module._MARKS}]+[{re.escape(quality_module._CLOSING)}]*(?:\s+|(?<=[。！？｡．])(?=\w))")
+    assert quality_module._tail(line) == max([0, *(m.end() for m in plain.finditer(line))])
+
+
 def test_quality_rows(spark):
     prose = "One line of prose with quite a few good words in it, as it should be, and a second part that says something new. "
     rows = [(1, prose), (1, prose), (2, None), (None, prose), (3, "x | " * 300), (4, "a b " * 50_000)]
@@ -133,6 +162,40 @@ def test_mixing_rates_and_rows(spark):
     assert mix_sources(frame.limit(0)).count() == 0
 
 
+def test_rates_of_any_size(spark):
+    """A source of three letters against one of 3e10: the rate is some 1e10 and has no table."""
+    sizes = spark.createDataFrame([("tiny", "abc"), ("huge", "x" * 1000)], "source string, text string")
+    weights = spark.createDataFrame([("tiny", 1.0), ("huge", 1e-7)], "source string, weight double")
+    rates = {r.source: r for r in repetition_rates(sizes, weights, 1e8).collect()}
+    assert rates["tiny"].rate == pytest.approx(1003 / 3 * 1e8, rel=1e-6) and rates["tiny"].cdf == []
+    us = [1e-12, 0.001, 0.02, 0.3, 0.5, 0.9, 0.99, 1 - 1e-9]
+    frame = spark.createDataFrame([(rate, u) for rate in (2e4, 1e10) for u in us], "rate double, u double")
+    got = frame.select("rate", "u", large_count(F.col("rate"), F.col("u")).alias("n"), normal_quantile(F.col("u")).alias("z")).collect()
+    for r in got:
+        assert r.z == pytest.approx(NormalDist().inv_cdf(r.u), abs=1e-7)
+        assert abs(r.n - (r.rate + math.sqrt(r.rate) * r.z)) < 2 + r.z * r.z / 5
+    for r in got[:len(us)]:  # the exact inverse, by adding up from far below
+        k = int(r.rate - 12 * math.sqrt(r.rate))
+        p = math.exp(k * math.log(r.rate) - r.rate - math.lgamma(k + 1))
+        total = p
+        while total < r.u:
+            k += 1
+            p *= r.rate / k
+            total += p
+        assert abs(r.n - k) <= (1 if r.u < 1 - 1e-6 else 2)
+
+
+def test_many_copies_are_made_in_pieces(spark, monkeypatch):
+    from tablewright.llm import mixing
+
+    rows = [(i, "word " * 40, "large") for i in range(200)] + [(900, "w", "small"), (901, "w", "small")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    whole = Counter((r.doc_id, r._copy, r._order) for r in mix_sources(frame).collect())
+    monkeypatch.setattr(mixing, "PIECE", 7)
+    assert Counter((r.doc_id, r._copy, r._order) for r in mix_sources(frame).collect()) == whole
+    assert max(c for i, c, _ in whole if i == 900) > 9_000 and set(whole.values()) == {1}
+
+
 def plain_verdict(url, rules):
     host = path = ""
     if url is not None and "://" in url:
