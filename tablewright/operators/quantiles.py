@@ -2,7 +2,9 @@
 
 A mergeable sketch brackets each wanted rank, one counting pass proves the bracket, and this
 repeats until a bracket holds few rows. Only the distinct values inside the last brackets are
-then sorted. A value that fills a third of the table collapses to one counted value.
+then sorted. A value that fills a third of the table collapses to one counted value. Brackets that
+do not settle are sorted by ranges: each range counts its rows, and the counts of all ranges tell
+the one that holds a rank, so that no task gets more than its range.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.tables import col, small_frame
+from tablewright.tables import col, materialize, small_frame
 
 BLOCK_ROWS = 1_000_000
 ACCURACY = 10_000
@@ -59,6 +61,21 @@ def _inside(b):
     return F.when(ok, c)
 
 
+def _brackets(columns, probs, counts) -> tuple[dict, list[dict]]:
+    """(results of empty columns, one bracket over the whole column for each other column and probability)"""
+    out, brackets = {}, []
+    for c in columns:
+        for p in probs:
+            if not counts[c]:
+                out[(c, p)] = None
+                continue
+            position = (counts[c] - 1) * p
+            brackets.append({"id": len(brackets), "column": c, "p": p, "lo": None, "hi": None,
+                             "below": 0, "inside": counts[c], "position": position, "margin": 3.0,
+                             "lo_rank": math.floor(position), "hi_rank": math.ceil(position)})
+    return out, brackets
+
+
 def exact_quantiles(
     nums: DataFrame,
     columns: Sequence[str],
@@ -66,55 +83,94 @@ def exact_quantiles(
     counts: Mapping[str, int] | None = None,
     block_rows: int = BLOCK_ROWS,
     accuracy: int = ACCURACY,
+    distinct: dict[str, int] | None = None,
 ) -> dict[tuple[str, float], float | None]:
     """Linear-interpolation quantiles of double columns, as ``{(column, p): value}``.
 
-    ``counts`` may pass the known non-null counts and saves one scan.
+    ``counts`` may pass the known non-null counts and saves one scan. ``distinct``, if given, gets the number of
+    distinct values of those columns of which all values were sorted.
     """
-    spark = nums.sparkSession
     if not columns:
         return {}
     nums = nums.select(*[col(c) for c in columns])
     if counts is None:
         row = nums.agg(*[F.count(col(c)).alias(str(i)) for i, c in enumerate(columns)]).first()
         counts = {c: row[str(i)] for i, c in enumerate(columns)}
-    out: dict[tuple[str, float], float | None] = {}
-    brackets = []
-    for c in columns:
-        for p in probs:
-            if not counts[c]:
-                out[(c, p)] = None
-                continue
-            position = (counts[c] - 1) * p
-            brackets.append({"id": len(brackets), "column": c, "p": p, "lo": None, "hi": None,
-                             "below": 0, "inside": counts[c], "position": position, "margin": 3.0,
-                             "lo_rank": math.floor(position), "hi_rank": math.ceil(position)})
+    out, brackets = _brackets(columns, probs, counts)
     if not brackets:
         return out
     _bracket_rounds(nums, brackets, block_rows, accuracy)
-
-    # One row per (column, distinct value, bracket); brackets of a column not yet narrowed
-    # share its whole value list.
-    spans = small_frame(spark, 
-        [(b["id"], b["column"], b["lo"], b["hi"], b["below"], b["lo_rank"], b["hi_rank"])
-         for b in brackets],
-        "id int, column string, lo double, hi double, below bigint, lo_rank bigint, hi_rank bigint")
     cells = nums.unpivot([], [col(c) for c in columns], "column", "number").where("number is not null")
+    spans = _spans(nums, brackets)
     keep = F.broadcast(spans.groupBy("column").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
     wanted = F.exists("spans", lambda s: s["lo"].isNull() | F.col("number").between(s["lo"], s["hi"]))
-    values = (cells.join(keep, "column").where(wanted)
-                   .groupBy("column", "number").agg(F.count("*").alias("n")))
-    ranked = (values.join(F.broadcast(spans), "column")
-                    .where(F.col("lo").isNull() | F.col("number").between(F.col("lo"), F.col("hi"))))
-    upto = F.sum("n").over(Window.partitionBy("id").orderBy("number")
-                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = ranked.withColumn("upto", F.col("below") + upto).withColumn("start", F.col("upto") - F.col("n"))
+    values = cells.join(keep, "column").where(wanted).groupBy("column", "number").agg(F.count("*").alias("n"))
+    return out | _read_ranks(values, spans, brackets, block_rows, distinct)
+
+
+def counted_quantiles(
+    values: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    counts: Mapping[str, int],
+    block_rows: int = BLOCK_ROWS,
+    distinct: dict[str, int] | None = None,
+) -> dict[tuple[str, float], float | None]:
+    """As ``exact_quantiles``, of distinct values that are counted already: (column, number, n)."""
+    out, brackets = _brackets(columns, probs, counts)
+    return out | _read_ranks(values, _spans(values, brackets), brackets, block_rows, distinct) if brackets else out
 
-    def at(rank):
-        return F.max(F.when((F.col("start") <= F.col(rank)) & (F.col(rank) < F.col("upto")), F.col("number")))
 
-    found = {r["id"]: r for r in ranked.groupBy("id").agg(at("lo_rank").alias("lo"), at("hi_rank").alias("hi")).collect()}
+def _spans(df: DataFrame, brackets) -> DataFrame:
+    return small_frame(
+        df.sparkSession, [(b["id"], b["column"], b["lo"], b["hi"], b["below"], b["lo_rank"], b["hi_rank"]) for b in brackets],
+        "id int, column string, lo double, hi double, below bigint, lo_rank bigint, hi_rank bigint")
+
+
+def _read_ranks(values, spans, brackets, block_rows, distinct) -> dict:
+    """The values at the brackets' ranks. One row per (column, distinct value, bracket); brackets of a column that was not
+    narrowed share its whole value list."""
+    ranked = (values.join(F.broadcast(spans), "column")
+              .where(F.col("lo").isNull() | F.col("number").between(F.col("lo"), F.col("hi"))))
+    if max(b["inside"] for b in brackets) > block_rows:
+        found = _ranks_by_ranges(ranked.select("id", "number", "n"), brackets)
+    else:
+        upto = F.sum("n").over(Window.partitionBy("id").orderBy("number")
+                               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        ranked = ranked.withColumn("upto", F.col("below") + upto).withColumn("start", F.col("upto") - F.col("n"))
+        found = {r["id"]: (r["lo"], r["hi"], r["values"]) for r in ranked.groupBy("id").agg(
+            _at("lo_rank").alias("lo"), _at("hi_rank").alias("hi"), F.count("*").alias("values")).collect()}
+    out = {}
     for b in brackets:
-        r, share = found[b["id"]], b["position"] - b["lo_rank"]
-        out[(b["column"], b["p"])] = r["lo"] + (r["hi"] - r["lo"]) * share
+        lo, hi, n = found[b["id"]]
+        out[(b["column"], b["p"])] = lo + (hi - lo) * (b["position"] - b["lo_rank"])
+        if distinct is not None and b["lo"] is None:
+            distinct[b["column"]] = n
     return out
+
+
+def _at(rank):
+    return F.max(F.when((F.col("start") <= F.col(rank)) & (F.col(rank) < F.col("upto")), F.col("number")))
+
+
+def _ranks_by_ranges(ranked, brackets) -> dict[int, tuple]:
+    """{id: (value at the lower rank, at the upper rank, distinct values)} by range partitions of (id, value) and their
+    row counts. The driver gets a row for each partition and bracket; a window sees one range at a time."""
+    spread = materialize(ranked.repartitionByRange("id", "number").withColumn("part", F.spark_partition_id()), "ranges")
+    parts = {}
+    for r in spread.groupBy("id", "part").agg(F.sum("n").alias("rows"), F.count("*").alias("values"), F.min("number").alias("least")).collect():
+        parts.setdefault(r["id"], []).append((r["least"], r["part"], r["rows"], r["values"]))
+    wanted = []
+    for b in brackets:
+        start = b["below"]
+        for _, part, rows, _ in sorted(parts[b["id"]]):
+            for name in ("lo_rank", "hi_rank"):
+                if start <= b[name] < start + rows:
+                    wanted.append((b["id"], part, name, start, b[name]))
+            start += rows
+    asked = small_frame(ranked.sparkSession, wanted, "id int, part int, name string, before bigint, rank bigint")
+    upto = F.sum("n").over(Window.partitionBy("id", "part", "name").orderBy("number").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = (spread.join(F.broadcast(asked), ["id", "part"]).withColumn("upto", F.col("before") + upto)
+            .withColumn("start", F.col("upto") - F.col("n")))
+    at = {(r["id"], r["name"]): r["value"] for r in rows.groupBy("id", "name").agg(_at("rank").alias("value")).collect()}
+    return {i: (at[(i, "lo_rank")], at[(i, "hi_rank")], sum(p[3] for p in found)) for i, found in parts.items()}
