@@ -16,7 +16,7 @@ from tablewright.constants import DISGUISED_NULLS, ROW_ID
 from tablewright.functions.numeric import parse_number_loose
 from tablewright.functions.temporal import layout, parse_timestamp
 from tablewright.functions.text import as_text
-from tablewright.tables import col, column_groups, is_numeric_type
+from tablewright.tables import col, column_groups, is_numeric_type, materialize
 
 CELL_TYPES = {"column": "string", "value": "string", "text": "string", "token": "string", "number": "double",
               "layout": "string", "is_typed": "boolean"}
@@ -52,30 +52,87 @@ def typed_cells(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     Text and numeric columns are unpivoted apart: each branch scans only its own columns, and
     typed numbers are never parsed from text (their text, token and layout are NULL).
     """
-    text, numeric, _ = column_groups(df)
-    if columns is not None:
-        text = [c for c in text if c in columns]
-        numeric = [c for c in numeric if c in columns]
+    text, numeric = _scalar_columns(df, columns)
     keep = [ROW_ID] if ROW_ID in df.columns else []
     parts = []
     if text:
-        cells = _unpivot(df, text, "string", "value").withColumn("text", as_text("value"))
-        parts.append(cells.select(
-            *keep, "column", "value", "text", F.lower("text").alias("token"),
-            parse_number_loose("text", stripped=True).alias("number"),
-            layout("text", stripped=True).alias("layout"),
-            F.lit(False).alias("is_typed")))
+        parts.append(_typed_text(_unpivot(df, text, "string", "value"), keep))
     if numeric:
         cells = numbers(df, numeric, keep).unpivot(keep, [col(c) for c in numeric], "column", "number")
-        nothing = F.lit(None).cast("string")
-        parts.append(cells.select(
-            *keep, "column", F.col("number").cast("string").alias("value"), nothing.alias("text"),
-            nothing.alias("token"), "number", nothing.alias("layout"), F.lit(True).alias("is_typed")))
+        parts.append(_typed_numbers(cells, keep))
     if not parts:
         return df.select(*keep, *[F.lit(None).cast(t).alias(n) for n, t in CELL_TYPES.items()]).where("false")
     return reduce(DataFrame.unionByName, parts)
 
 
+def _scalar_columns(df: DataFrame, columns: Sequence[str] | None) -> tuple[list[str], list[str]]:
+    text, numeric, _ = column_groups(df)
+    return [c for c in text if columns is None or c in columns], [c for c in numeric if columns is None or c in columns]
+
+
+def _typed_text(cells: DataFrame, keep: Sequence[str]) -> DataFrame:
+    cells = cells.withColumn("text", as_text("value"))
+    return cells.select(
+        *keep, "column", "value", "text", F.lower("text").alias("token"),
+        parse_number_loose("text", stripped=True).alias("number"),
+        layout("text", stripped=True).alias("layout"),
+        F.lit(False).alias("is_typed"))
+
+
+def _typed_numbers(cells: DataFrame, keep: Sequence[str]) -> DataFrame:
+    nothing = F.lit(None).cast("string")
+    return cells.select(
+        *keep, "column", F.col("number").cast("string").alias("value"), nothing.alias("text"),
+        nothing.alias("token"), "number", nothing.alias("layout"), F.lit(True).alias("is_typed"))
+
+
+# ---------------------------------------------------------------- distinct cells with their counts
+
+def value_table(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., column, value, n, seen) of every scalar column: each distinct cell, the rows that hold it and the first of
+    them (0 without row ids). Written once.
+
+    One scan and one map-side-combined aggregate. What a profile or an audit asks of single columns (counts, types,
+    layouts, distinct values, quartiles, samples) is read from here, so each distinct cell is parsed once.
+    """
+    text, numeric = _scalar_columns(df, columns)
+    wanted = [c for c in df.columns if c in text + numeric and c not in by]
+    keep = [*by, *([ROW_ID] if ROW_ID in df.columns else [])]
+    if not wanted:
+        return df.select(*[col(c) for c in by], *[F.lit(None).cast(t).alias(n) for n, t in (
+            ("column", "string"), ("value", "string"), ("n", "bigint"), ("seen", "bigint"))]).where("false")
+    plain = df.select(*[col(c) for c in keep], *[
+        (F.nanvl(col(c).cast("double"), F.lit(None).cast("double")) if c in numeric else col(c)).cast("string").alias(c) for c in wanted])
+    cells = plain.unpivot([col(c) for c in keep], [col(c) for c in wanted], "column", "value")
+    seen = F.min(ROW_ID) if ROW_ID in df.columns else F.lit(0)
+    return materialize(cells.groupBy(*by, "column", "value").agg(F.count("*").alias("n"), seen.cast("long").alias("seen")), "values")
+
+
+def typed_values(values: DataFrame, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The columns of ``typed_cells`` for each row of the value table of ``df``, with its other columns."""
+    text, numeric = _scalar_columns(df, columns)
+    keep = [c for c in values.columns if c not in ("column", "value")]
+    parts = []
+    if text:
+        parts.append(_typed_text(values.where(F.col("column").isin(*text)), keep))
+    if numeric:
+        cells = values.where(F.col("column").isin(*numeric)).withColumn("number", F.col("value").cast("double"))
+        parts.append(_typed_numbers(cells, keep))
+    if not parts:
+        return values.select(*keep, *[F.lit(None).cast(t).alias(n) for n, t in CELL_TYPES.items()]).where("false")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def counted_cells(df: DataFrame, values: DataFrame | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+    """Typed cells with ``n``, the rows that each stands for: those of a value table, else every cell as one."""
+    return typed_cells(df, columns).withColumn("n", F.lit(1)) if values is None else typed_values(values, df, columns)
+
+
+def rows_where(condition: Column) -> Column:
+    """Rows of counted cells that meet a condition."""
+    return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0).cast("long"))
+
+
 def is_null() -> Column:
     """Real NULL of a typed cell."""
     return F.col("text").isNull() & (~F.col("is_typed") | F.col("number").isNull())

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from tablewright.constants import DISGUISED_NULLS, FORBIDDEN_SYMBOLS, ROW_ID, TOKEN_PATTERNS
 from tablewright.functions import temporal as tp
 from tablewright.operators.cells import (
-    cell_text, is_disguised_cell, is_filled, is_null, is_present_cell, numbers, typed_cells)
+    cell_text, counted_cells, is_disguised_cell, is_filled, is_null, is_present_cell, numbers, rows_where, typed_cells,
+    typed_values, value_table)
 from tablewright.operators.quantiles import exact_quantiles
 from tablewright.functions.text import lookup
 from tablewright.tables import col, column_groups, data_columns, is_numeric_type, small_frame
@@ -20,6 +21,8 @@ SEMANTIC_SHARE = 0.90
 KIND_SHARE = 0.85
 TIME_SHARE = 0.20
 HEAD_ROWS = 1_000
+#: Keys of a range whose rows share a fingerprint.
+RANGE_ROWS = 1 << 20
 
 
 def _count(condition: Column) -> Column:
@@ -30,28 +33,28 @@ def _share(part: str, whole: str) -> Column:
     return F.coalesce(F.try_divide(F.col(part), F.col(whole)), F.lit(0.0))
 
 
-def column_counts(df: DataFrame, tokens: Sequence[str] = DISGUISED_NULLS) -> DataFrame:
-    """One row of counts per scalar column, from one scan and one narrow shuffle."""
+def column_counts(df: DataFrame, tokens: Sequence[str] = DISGUISED_NULLS, values: DataFrame | None = None) -> DataFrame:
+    """One row of counts per scalar column, from one scan (or the table's distinct ``values``) and one narrow shuffle."""
     shape, text, number = F.col("layout"), F.col("text"), F.col("number")
-    cells = (typed_cells(df).withColumn("stamp", tp.parse_timestamp("text", shape))
+    cells = (counted_cells(df, values).withColumn("stamp", tp.parse_timestamp("text", shape))
              .withColumn("filled", is_filled()).withColumn("present", is_present_cell(tokens)))
     filled, present = F.col("filled"), F.col("present")
     return cells.groupBy("column").agg(
-        F.count("*").alias("total"),
-        _count(is_null()).alias("real_nulls"),
-        _count(is_disguised_cell(tokens)).alias("disguised_nulls"),
-        _count(filled).alias("filled"),
-        _count(filled & number.isNotNull()).alias("numeric_cells"),
-        _count(filled & F.col("stamp").isNotNull()).alias("date_cells"),
-        _count(filled & (text.contains(":") | text.contains("T"))).alias("time_cells"),
-        _count(filled & tp.is_year(text, shape)).alias("year_cells"),
-        _count(filled & tp.is_month(text)).alias("month_cells"),
-        _count(filled & tp.is_period(shape)).alias("period_cells"),
-        _count(filled & tp.is_plain_date(shape)).alias("plain_date_cells"),
-        _count(present).alias("present_count"),
-        _count(present & number.isNotNull()).alias("present_numeric"),
-        _count(present & (number >= 0)).alias("present_nonnegative"),
-        *[_count(text.contains(t) if t in FORBIDDEN_SYMBOLS else text.rlike(TOKEN_PATTERNS[t])).alias(f"token_{i}")
+        F.sum("n").alias("total"),
+        rows_where(is_null()).alias("real_nulls"),
+        rows_where(is_disguised_cell(tokens)).alias("disguised_nulls"),
+        rows_where(filled).alias("filled"),
+        rows_where(filled & number.isNotNull()).alias("numeric_cells"),
+        rows_where(filled & F.col("stamp").isNotNull()).alias("date_cells"),
+        rows_where(filled & (text.contains(":") | text.contains("T"))).alias("time_cells"),
+        rows_where(filled & tp.is_year(text, shape)).alias("year_cells"),
+        rows_where(filled & tp.is_month(text)).alias("month_cells"),
+        rows_where(filled & tp.is_period(shape)).alias("period_cells"),
+        rows_where(filled & tp.is_plain_date(shape)).alias("plain_date_cells"),
+        rows_where(present).alias("present_count"),
+        rows_where(present & number.isNotNull()).alias("present_numeric"),
+        rows_where(present & (number >= 0)).alias("present_nonnegative"),
+        *[rows_where(text.contains(t) if t in FORBIDDEN_SYMBOLS else text.rlike(TOKEN_PATTERNS[t])).alias(f"token_{i}")
           for i, t in enumerate(TOKEN_PATTERNS)])
 
 
@@ -80,13 +83,13 @@ def temporal_kind() -> Column:
 
 
 def distinct_counts(df: DataFrame, tokens: Sequence[str] = DISGUISED_NULLS, approximate: bool = False,
-                    columns: Sequence[str] | None = None) -> DataFrame:
+                    columns: Sequence[str] | None = None, values: DataFrame | None = None) -> DataFrame:
     """Distinct present values per column.
 
     Exact by default: values are combined on the map side, then spread by (column, value), so
     neither a frequent value nor a wide column lands in one task.
     """
-    cells = typed_cells(df, columns).where(is_present_cell(tokens)).select("column", cell_text().alias("text"))
+    cells = counted_cells(df, values, columns).where(is_present_cell(tokens)).select("column", cell_text().alias("text"))
     if approximate:
         return cells.groupBy("column").agg(F.approx_count_distinct("text").alias("nunique_present"))
     return (cells.groupBy("column", "text").agg(F.lit(1).alias("one"))
@@ -94,8 +97,9 @@ def distinct_counts(df: DataFrame, tokens: Sequence[str] = DISGUISED_NULLS, appr
 
 
 def first_seen(values: DataFrame, group: Sequence[str], n: int) -> DataFrame:
-    """Arrays of the first ``n`` distinct texts per group, in row order when rows have ids."""
-    order = [F.min(ROW_ID).alias("seen")] if ROW_ID in values.columns else [F.lit(0).alias("seen")]
+    """Arrays of the first ``n`` distinct texts per group, in row order when rows have ids (or were ``seen`` first)."""
+    place = next((c for c in (ROW_ID, "seen") if c in values.columns), None)
+    order = [F.min(place).alias("seen") if place else F.lit(0).alias("seen")]
     firsts = values.groupBy(*group, "text").agg(*order)
     rank = F.row_number().over(Window.partitionBy(*group).orderBy("seen", "text"))
     return (firsts.withColumn("rank", rank).where(F.col("rank") <= n)
@@ -104,10 +108,10 @@ def first_seen(values: DataFrame, group: Sequence[str], n: int) -> DataFrame:
                   .select(*group, F.col("ranked.text").alias("samples")))
 
 
-def column_samples(df: DataFrame, columns: Sequence[str] | None = None, n: int = 5) -> DataFrame:
+def column_samples(df: DataFrame, columns: Sequence[str] | None = None, n: int = 5, values: DataFrame | None = None) -> DataFrame:
     """The first ``n`` distinct non-empty texts of each column, as (column, samples).
 
-    A column that shows ``n`` distinct texts in the first rows is settled by them; only the
+    They are read from the table's distinct ``values`` if those are given. Without them, a column that shows ``n`` distinct texts in the first rows is settled by them; only the
     others, which repeat few values, are grouped as a whole.
     """
     text, numeric, _ = column_groups(df)
@@ -115,6 +119,9 @@ def column_samples(df: DataFrame, columns: Sequence[str] | None = None, n: int =
     spark = df.sparkSession
     if not wanted:
         return small_frame(spark, [], "column string, samples array<string>")
+    if values is not None:
+        cells = typed_values(values, df, wanted).where(is_filled())
+        return first_seen(cells.select("seen", "column", cell_text().alias("text")), ["column"], n)
     narrow = df.select(*[col(c) for c in df.columns if c in wanted or c == ROW_ID])
 
     def samples_of(frame, cols):
@@ -147,7 +154,8 @@ def profile(
     samples: int = 5,
 ) -> DataFrame:
     """Profile of every column: completeness, type, uniqueness, parse rates, tokens, samples."""
-    counts = column_counts(df, tokens)
+    values = None if approximate else value_table(df)
+    counts = column_counts(df, tokens, values)
     _, _, nested = column_groups(df)
     if nested:
         # Nested columns get null counts only.
@@ -165,8 +173,8 @@ def profile(
     kind = F.col("semantic_type")
     return (
         counts.withColumn("position", lookup({c: i for i, c in enumerate(data_columns(df))}, "column", "int"))
-        .join(distinct_counts(df, tokens, approximate), "column", "left")
-        .join(column_samples(df, n=samples), "column", "left")
+        .join(distinct_counts(df, tokens, approximate, values=values), "column", "left")
+        .join(column_samples(df, n=samples, values=values), "column", "left")
         .withColumn("semantic_type", semantic_type(date_first))
         .select(
             F.lit(dataset).alias("dataset"), "column", "position", "semantic_type",
@@ -272,9 +280,33 @@ def preview_rows(df: DataFrame, n: int = 8) -> DataFrame:
 
 def content_fingerprint(df: DataFrame) -> DataFrame:
     """Order-free fingerprint of the rows: count, xor and sum of two row hashes, and a digest."""
+    return df.agg(*_multiset_hash(df)).select("rows", _digest(df).alias("fingerprint"))
+
+
+def _multiset_hash(df: DataFrame) -> list[Column]:
+    """Aggregates that don't depend on the order of the rows, but on how often each occurs."""
     columns = [col(c) for c in data_columns(df)]
-    one, two = F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
-    facts = df.agg(F.count("*").alias("rows"), F.bit_xor(one).alias("xor_hash"),
-                   F.sum(two.cast("decimal(38,0)")).alias("sum_hash"))
-    digest = F.sha1(F.concat_ws("|", F.lit(",".join(data_columns(df))), "rows", "xor_hash", "sum_hash"))
-    return facts.select("rows", digest.alias("fingerprint"))
+    return [F.count("*").alias("rows"), F.bit_xor(F.xxhash64(*columns)).alias("xor_hash"),
+            F.sum(F.xxhash64(F.lit(1), *columns).cast("decimal(38,0)")).alias("sum_hash")]
+
+
+def _digest(df: DataFrame) -> Column:
+    return F.sha1(F.concat_ws("|", F.lit(",".join(data_columns(df))), "rows", "xor_hash", "sum_hash"))
+
+
+def range_fingerprints(df: DataFrame, width: int = RANGE_ROWS, key: str = ROW_ID) -> DataFrame:
+    """(range, rows, fingerprint) of every range of ``width`` keys; a null key is range null. Rows combine on the map
+    side, so a task hands on one row a range."""
+    place = F.floor(col(key) / F.lit(width)).cast("long").alias("range")
+    return df.groupBy(place).agg(*_multiset_hash(df)).select("range", "rows", _digest(df).alias("fingerprint"))
+
+
+def differing_ranges(one: DataFrame, other: DataFrame, width: int = RANGE_ROWS, key: str = ROW_ID) -> DataFrame:
+    """(range, rows, other_rows) of the key ranges in which two versions of a table hold different rows; 0 rows where a
+    version has none. Equal versions, in whatever order, have no such range."""
+    left = range_fingerprints(one, width, key).select(F.struct("range").alias("place"), "rows", "fingerprint")
+    right = range_fingerprints(other, width, key).select(
+        F.struct("range").alias("place"), F.col("rows").alias("other_rows"), F.col("fingerprint").alias("other_fingerprint"))
+    both = left.join(right, "place", "full_outer").where(~F.col("fingerprint").eqNullSafe(F.col("other_fingerprint")))
+    zero = F.lit(0).cast("long")
+    return both.select("place.range", F.coalesce("rows", zero).alias("rows"), F.coalesce("other_rows", zero).alias("other_rows"))
