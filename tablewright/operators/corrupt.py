@@ -1,12 +1,14 @@
 """Seeded corruption of a clean table: one error family at a time, with the truth.
 
 Rows are chosen at a rate by a multiplicative hash of the row id, so the choice needs no
-shuffle, is the same on every retry, and grows with the table.
+shuffle, is the same on every retry, and grows with the table. The seed may be a column: copies of a
+table that are stacked, told apart by the columns ``by``, are then corrupted each in its own way at once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,26 +29,30 @@ MULTIPLIER = 1_103_515_245
 STREAM = 69_069
 
 
-def mix(seed: int, row_id: Column | str = ROW_ID) -> Column:
+Seed = int | Column
+
+
+def mix(seed: Seed, row_id: Column | str = ROW_ID) -> Column:
     """Evenly spread number in [0, PRIME) from a row id and a seed."""
     row_id = F.col(row_id) if isinstance(row_id, str) else row_id
     start = F.pmod(row_id.cast("long"), F.lit(PRIME))
-    once = F.pmod(start * MULTIPLIER + (seed * STREAM + 1) % PRIME, F.lit(PRIME))
+    shift = (seed * STREAM + 1) % PRIME if isinstance(seed, int) else F.pmod(seed.cast("long") * STREAM + 1, F.lit(PRIME))
+    once = F.pmod(start * MULTIPLIER + shift, F.lit(PRIME))
     return F.pmod(once * MULTIPLIER + 12_345, F.lit(PRIME))
 
 
-def chosen(rate: float, seed: int, slot: int = 0, slots: int = 1) -> Column:
+def chosen(rate: float, seed: Seed, slot: int = 0, slots: int = 1) -> Column:
     """True for the given share of rows; disjoint ``slots`` share that share out."""
     width = int(rate * PRIME) // slots
     return (mix(seed) >= slot * width) & (mix(seed) < (slot + 1) * width)
 
 
 def _truth(rows: DataFrame, dataset: str, family: str, columns: str | Column, event: Column | None = None,
-           row_id: Column | None = None) -> DataFrame:
+           row_id: Column | None = None, by: Sequence[str] = ()) -> DataFrame:
     row_id = F.col(ROW_ID) if row_id is None else row_id
     event = row_id.cast("string") if event is None else event
     columns = F.lit(columns) if isinstance(columns, str) else columns
-    return rows.select(F.lit(dataset).alias("dataset"), F.lit(family).alias("error_type"),
+    return rows.select(*[col(b) for b in by], F.lit(dataset).alias("dataset"), F.lit(family).alias("error_type"),
                        columns.alias("columns"), event.alias("event_key"), row_id.cast("long").alias("row_id"))
 
 
@@ -55,56 +61,61 @@ def _replace(df: DataFrame, new: dict[str, Column]) -> DataFrame:
     return df.select(*[new[c].cast(types[c]).alias(c) if c in new else col(c) for c in df.columns])
 
 
-def _spread(columns: Sequence[str], rate: float, seed: int, allowed: dict[str, Column]) -> dict[str, Column]:
+def _spread(columns: Sequence[str], rate: float, seed: Seed, allowed: dict[str, Column]) -> dict[str, Column]:
     """Which rows to corrupt in which column: every chosen row is corrupted in one column."""
     return {c: chosen(rate, seed, i, len(columns)) & F.coalesce(allowed[c], F.lit(False))
             for i, c in enumerate(columns)}
 
 
-def _apply(df: DataFrame, dataset: str, family: str, hits: dict[str, Column], new: dict[str, Column]):
+def _one_table(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One of the stacked copies."""
+    return reduce(lambda d, b: d.where(col(b) == 0), by, df)
+
+
+def _apply(df: DataFrame, dataset: str, family: str, hits: dict[str, Column], new: dict[str, Column], by: Sequence[str] = ()):
     """Corrupt the hit cells; the truth comes from the same conditions on the clean table."""
     bad = _replace(df, {c: F.when(hits[c], new[c]).otherwise(col(c).cast("string") if not is_numeric_type(
         df.schema[c].dataType) else col(c)) for c in hits})
     changed = F.array_compact(F.array(*[F.when(hits[c], F.lit(c)) for c in hits]))
-    truth = _truth(df.select(ROW_ID, F.explode(changed).alias("columns")), dataset, family, F.col("columns"))
+    truth = _truth(df.select(*[col(b) for b in by], ROW_ID, F.explode(changed).alias("columns")), dataset, family, F.col("columns"), by=by)
     return bad, truth
 
 
-def inject_disguised_null(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: int):
+def inject_disguised_null(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = ()):
     """``N.D.`` into present text cells."""
-    text, _, _ = column_groups(df)
+    text = [c for c in column_groups(df)[0] if c not in by]
     hits = _spread(text, rate, seed, {c: is_present(col(c)) for c in text})
-    return _apply(df, dataset, "disguisednull", hits, {c: F.lit("N.D.") for c in text})
+    return _apply(df, dataset, "disguisednull", hits, {c: F.lit("N.D.") for c in text}, by)
 
 
-def inject_outlier(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: int):
+def inject_outlier(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = ()):
     """A number a hundred times the largest of its column, plus a million."""
     columns = [r.column for r in rules.numeric if r.column in df.columns]
-    nums = numbers(df, columns)
+    nums = numbers(_one_table(df, by), columns)
     facts = nums.agg(*[F.max(F.abs(col(c))).alias(c) for c in columns],
                      *[F.count(col(c)).alias(f"n:{c}") for c in columns]).first() if columns else None
     columns = [c for c in columns if facts[f"n:{c}"] >= 8]
     number = _number_of(df)
     hits = _spread(columns, rate, seed, {c: number(c).isNotNull() for c in columns})
     new = {c: F.lit(facts[c] * 100 + 1_000_000) for c in columns}
-    return _apply(df, dataset, "iqr_outlier", hits, {c: _as_cell(df, c, new[c]) for c in columns})
+    return _apply(df, dataset, "iqr_outlier", hits, {c: _as_cell(df, c, new[c]) for c in columns}, by)
 
 
-def inject_below_minimum(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: int):
+def inject_below_minimum(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = ()):
     """A readable but impossible number: the negative of the cell, at most -1."""
     columns = [r.column for r in rules.numeric if r.min_value is not None and r.column in df.columns]
     number = _number_of(df)
     hits = _spread(columns, rate, seed, {c: number(c).isNotNull() for c in columns})
     new = {c: -F.greatest(F.lit(1.0), F.abs(number(c))) for c in columns}
-    return _apply(df, dataset, "wrong_but_parseable", hits, {c: _as_cell(df, c, new[c]) for c in columns})
+    return _apply(df, dataset, "wrong_but_parseable", hits, {c: _as_cell(df, c, new[c]) for c in columns}, by)
 
 
-def inject_date_layout(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: int):
+def inject_date_layout(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = ()):
     """Another layout of the same date into cells of the dominant layout."""
     formats = {c: k for c, k in rules.formats.items() if c in df.columns and k in ("date", "period", "datetime")}
     if not formats:
-        return df, empty_events(df).drop("issue_type")
-    dominant = {r["column"]: r["dominant"] for r in dominant_labels(labelled_cells(df, formats)).collect()}
+        return df, empty_events(df, by).drop("issue_type")
+    dominant = {r["column"]: r["dominant"] for r in dominant_labels(labelled_cells(_one_table(df, by), formats)).collect()}
     columns = [c for c in formats if c in dominant]
     frame, new, ok = with_temporal(df, columns), {}, {}
     for c in columns:
@@ -114,7 +125,7 @@ def inject_date_layout(df: DataFrame, dataset: str, rules: Rules, rate: float, s
         ok[c] = (classify_format(text, formats[c], stamp, shape) == dominant[c]) & (new[c] != text)
     hits = _spread(columns, rate, seed, ok)
     frame = frame.withColumns({f"_hit:{c}": hits[c] for c in columns})
-    bad, truth = _apply(frame, dataset, "mixed_date_format", {c: col(f"_hit:{c}") for c in columns}, new)
+    bad, truth = _apply(frame, dataset, "mixed_date_format", {c: col(f"_hit:{c}") for c in columns}, new, by)
     return bad.select(*[col(c) for c in df.columns]), truth
 
 
@@ -130,20 +141,21 @@ def _as_cell(df: DataFrame, column: str, number: Column) -> Column:
     return F.format_string("%.2f", number)
 
 
-def duplicate_pairs(df: DataFrame, keys: Sequence[str], rate: float, seed: int) -> DataFrame:
-    """(src, dst, key...) pairs of different rows: in every hash bucket the row with the lowest
+def duplicate_pairs(df: DataFrame, keys: Sequence[str], rate: float, seed: Seed, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., src, dst, key...) pairs of different rows: in every hash bucket the row with the lowest
     mixed id gives its key to the row with the highest. One aggregation, no self join."""
-    total = df.count()
+    total = _one_table(df, by).count()
     buckets = max(1, int(total * rate))
-    usable = df.where(_all_present(keys)).select(ROW_ID, *[col(k) for k in keys])
+    usable = df.where(_all_present(keys))
     bucket = F.pmod(mix(seed), F.lit(buckets)).alias("bucket")
     order = mix(seed + 1)
-    pairs = usable.select(bucket, order.alias("order"), ROW_ID, F.struct(*[col(k) for k in keys]).alias("key")) \
-        .groupBy("bucket").agg(
+    pairs = usable.select(*[col(b).alias(f"by:{b}") for b in by], bucket, order.alias("order"), ROW_ID,
+                          F.struct(*[col(k) for k in keys]).alias("key")) \
+        .groupBy(*[col(f"by:{b}") for b in by], "bucket").agg(
             F.min(F.struct("order", ROW_ID, "key")).alias("src"),
             F.max(F.struct("order", ROW_ID)).alias("dst"))
     return (pairs.where(F.col(f"src.{ROW_ID}") != F.col(f"dst.{ROW_ID}"))
-                 .select(F.col(f"src.{ROW_ID}").alias("src"), F.col(f"dst.{ROW_ID}").alias("dst"),
+                 .select(*[col(f"by:{b}") for b in by], F.col(f"src.{ROW_ID}").alias("src"), F.col(f"dst.{ROW_ID}").alias("dst"),
                          *[F.col("src.key")[k].alias(f"key:{k}") for k in keys]))
 
 
@@ -154,18 +166,19 @@ def _all_present(keys: Sequence[str]) -> Column:
     return out
 
 
-def inject_key_conflict(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: int):
+def inject_key_conflict(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = ()):
     """Another row's business key, with the first filled payload cell changed."""
     keys = [k for k in rules.keys if k in df.columns]
     if not keys:
-        return df, empty_events(df).drop("issue_type")
-    pairs = materialize(duplicate_pairs(df, keys, rate, seed), "pairs")
-    joined = df.join(pairs, df[ROW_ID] == pairs["dst"], "left")
+        return df, empty_events(df, by).drop("issue_type")
+    pairs = materialize(duplicate_pairs(df, keys, rate, seed, by), "pairs")
+    same = reduce(lambda on, b: on & (df[b] == pairs[f"by:{b}"]), by, df[ROW_ID] == pairs["dst"])
+    joined = df.join(pairs, same, "left")
     hit, new, changed = F.col("dst").isNotNull(), {}, F.lit(False)
     for k in keys:
         new[k] = F.when(hit, F.col(f"`key:{k}`")).otherwise(col(k))
     for c in df.columns:
-        if c in keys or c == ROW_ID or c not in sum(column_groups(df)[:2], []):
+        if c in keys or c in by or c == ROW_ID or c not in sum(column_groups(df)[:2], []):
             continue
         filled = is_present(col(c))
         altered = (col(c) + 1) if is_numeric_type(df.schema[c].dataType) else F.concat(as_text(col(c)), F.lit("_alt"))
@@ -173,10 +186,10 @@ def inject_key_conflict(df: DataFrame, dataset: str, rules: Rules, rate: float,
         changed = changed | filled
     types = {f.name: f.dataType for f in df.schema.fields}
     bad = joined.select(*[new[c].cast(types[c]).alias(c) if c in new else col(c) for c in df.columns])
-    members = pairs.select(F.explode(F.array("src", "dst")).alias("row"),
+    members = pairs.select(*[col(f"by:{b}").alias(b) for b in by], F.explode(F.array("src", "dst")).alias("row"),
                            F.to_json(F.struct(*[F.col(f"`key:{k}`").alias(k) for k in keys]),
                                      {"ignoreNullFields": "false"}).alias("key"))
-    truth = _truth(members, dataset, "semantic_duplicate", ",".join(sorted(keys)), F.col("key"), F.col("row"))
+    truth = _truth(members, dataset, "semantic_duplicate", ",".join(sorted(keys)), F.col("key"), F.col("row"), by)
     return bad, truth
 
 
@@ -203,11 +216,11 @@ def _broken(df: DataFrame, rule: CrossRule) -> tuple[Column, dict[str, Column]]:
     return first.isNotNull() & second.isNotNull(), {c[0]: late}
 
 
-def inject_cross_error(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: int):
+def inject_cross_error(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = ()):
     """Break cross-column rules; all applicable ones share the chosen rows out by slots."""
     usable = applicable(df, rules.cross)
     if not usable:
-        return df, empty_events(df).drop("issue_type")
+        return df, empty_events(df, by).drop("issue_type")
     new, hits = {}, []
     for slot, rule in enumerate(usable):
         ok, cells = _broken(df, rule)
@@ -215,7 +228,8 @@ def inject_cross_error(df: DataFrame, dataset: str, rules: Rules, rate: float, s
         for c, value in cells.items():
             new[c] = F.when(hits[-1], value.cast(df.schema[c].dataType)).otherwise(new.get(c, col(c)))
     broken = F.array_compact(F.array(*[F.when(h, F.lit(",".join(sorted(r.columns)))) for h, r in zip(hits, usable, strict=True)]))
-    truth = _truth(df.select(ROW_ID, F.explode(broken).alias("columns")), dataset, "crossfield_inconsistency", F.col("columns"))
+    truth = _truth(df.select(*[col(b) for b in by], ROW_ID, F.explode(broken).alias("columns")), dataset, "crossfield_inconsistency",
+                   F.col("columns"), by=by)
     return _replace(df, new), truth
 
 
@@ -240,3 +254,22 @@ EXPECTED_ISSUES = {
 def corrupt(df: DataFrame, dataset: str, rules: Rules, family: str, rate: float = 0.01, seed: int = 42):
     """(corrupted table, truth events) for one error family."""
     return INJECTORS[family](df, dataset, rules, rate, seed)
+
+
+TRIAL = "_trial"
+
+
+def corrupt_trials(df: DataFrame, dataset: str, rules: Rules, families: Sequence[str], rate: float = 0.01, seed: int = 42,
+                   trials: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(corrupted copies stacked in one table, truth events), both with the trial in ``_trial`` as ``family:number``.
+
+    Every family corrupts ``trials`` copies of the table, each with a seed of its own, in one pass over the table.
+    """
+    bad, truth = [], []
+    copies = df.withColumn(TRIAL, F.explode(F.sequence(F.lit(0), F.lit(trials - 1))))
+    for i, family in enumerate(families):
+        found, real = INJECTORS[family](copies, dataset, rules, rate, F.lit(seed + i) + F.col(TRIAL) * len(families), (TRIAL,))
+        name = F.concat(F.lit(f"{family}:"), F.col(TRIAL).cast("string"))
+        bad.append(found.withColumn(TRIAL, name))
+        truth.append(real.withColumn(TRIAL, name))
+    return reduce(DataFrame.unionByName, bad), reduce(DataFrame.unionByName, truth)

@@ -11,36 +11,75 @@ from pyspark.sql import functions as F
 from tablewright.constants import ROW_ID
 from tablewright.functions.text import plain_double
 from tablewright.operators.checks import AuditOptions, audit
-from tablewright.operators.corrupt import EXPECTED_ISSUES, INJECTORS, corrupt, mix
-from tablewright.operators.events import DETECTORS, _events, detect_events, empty_events
+from tablewright.operators.corrupt import EXPECTED_ISSUES, INJECTORS, TRIAL, corrupt_trials, mix
+from tablewright.operators.events import FAMILIES, _events, detect_events, empty_events
 from tablewright.operators.profile import profile
 from tablewright.operators.rules import CrossRule, Rules, discover_rules, with_fallback_key
 from tablewright.tables import col, column_groups, data_columns, is_numeric_type, materialize, small_frame
 
 _IDENTITY = ["dataset", "error_type", "columns", "members", "first_row", "last_row", "digest"]
+_OWNER = ["dataset", "error_type", "columns", "event_key"]
+
+
+def _digest() -> Column:
+    row_hash = F.xxhash64("row_id")
+    return F.concat_ws(":", F.bit_xor(row_hash), F.sum(row_hash.cast("decimal(38,0)")))
+
+
+def event_sets(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per event (with the columns ``by``): dataset, family, columns, its set of rows, and ``same``.
+
+    Two events have the same set of rows exactly if all of ``_IDENTITY`` and ``same`` are equal. Up to two rows the size
+    and the ends say that. Larger events whose size, ends and digest agree are compared by their members: those
+    that share all rows with the first of them have its name, the others are compared among themselves.
+    """
+    owner = [*by, *_OWNER]
+    members = materialize(events.select(*owner, "row_id").groupBy(*owner, "row_id").agg(F.lit(1).alias("one")).drop("one"), "members")
+    sizes = members.groupBy(*owner).agg(
+        F.count("*").alias("members"), F.min("row_id").alias("first_row"), F.max("row_id").alias("last_row"), _digest().alias("digest"))
+    parts = [sizes.where("members <= 2").withColumn("same", F.lit(""))]
+    left = materialize(sizes.where("members > 2").withColumn("event", _name(owner)), "sets")
+    while not left.isEmpty():
+        firsts = left.groupBy(*_IDENTITY).agg(F.min("event").alias("same"))
+        asked = left.join(firsts, _IDENTITY)
+        named = members.withColumn("event", _name(owner)).select("event", "row_id")
+        mine = named.join(asked.where("event != same").select("event", "same"), "event")
+        theirs = named.join(firsts.select(F.col("same").alias("event")), "event").withColumnRenamed("event", "same")
+        shared = mine.join(theirs, ["same", "row_id"]).groupBy("event").agg(F.count("*").alias("shared"))
+        judged = materialize(asked.join(shared, "event", "left").withColumn(
+            "equal", (F.col("event") == F.col("same")) | (F.coalesce("shared", F.lit(0)) == F.col("members"))), "judged")
+        parts.append(judged.where("equal").select(*parts[0].columns))
+        left = judged.where("not equal").select(*left.columns)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _name(owner: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*[col(c) for c in owner]))
 
 
 def event_signatures(events: DataFrame) -> DataFrame:
-    """One row per event, identified by dataset, family, columns and its set of rows.
+    """One row per distinct event: dataset, family, columns and what tells its set of rows."""
+    return event_sets(events).select(*_IDENTITY, "same").distinct().drop("same")
+
 
-    The set is reduced to size, lowest and highest row and a digest, all of which combine on the
-    map side. Up to two rows this is exact; truth events never have more.
+def match_events(truth: DataFrame, baseline: DataFrame, detected: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Event identity columns plus ``outcome``: tp, fp or fn. Events of the clean table are no findings.
+
+    ``by`` names columns of truth and detected events that tell stacked tables apart; they lead the result.
     """
-    distinct = events.groupBy("dataset", "error_type", "columns", "event_key", "row_id").agg(F.lit(1).alias("one"))
-    row_hash = F.xxhash64("row_id")
-    return (distinct.groupBy("dataset", "error_type", "columns", "event_key").agg(
-        F.count("*").alias("members"), F.min("row_id").alias("first_row"), F.max("row_id").alias("last_row"),
-        F.concat_ws(":", F.bit_xor(row_hash), F.sum(row_hash.cast("decimal(38,0)"))).alias("digest"))
-        .select(*_IDENTITY).distinct())
+    side, identity = "_side", [*_IDENTITY, "same"]
 
+    def of(events, name):
+        stacked = events if set(by) <= set(events.columns) else events.withColumns({b: F.lit("") for b in by})
+        return stacked.select(F.lit(name).alias(side), *[col(b) for b in by], *_OWNER, "row_id")
 
-def match_events(truth: DataFrame, baseline: DataFrame, detected: DataFrame) -> DataFrame:
-    """Event identity columns plus ``outcome``: tp, fp or fn. Events of the clean table are no findings."""
-    new = event_signatures(detected).join(event_signatures(baseline), _IDENTITY, "left_anti")
-    both = new.withColumn("found", F.lit(True)).join(
-        event_signatures(truth).withColumn("real", F.lit(True)), _IDENTITY, "full_outer")
+    sets = event_sets(of(truth, "truth").unionByName(of(baseline, "baseline")).unionByName(of(detected, "found")), (side, *by))
+    sets = materialize(sets.select(side, *by, *identity).distinct(), "sides")
+    new = sets.where(col(side) == "found").join(sets.where(col(side) == "baseline").select(*identity), identity, "left_anti")
+    both = new.drop(side).withColumn("found", F.lit(True)).join(
+        sets.where(col(side) == "truth").drop(side).withColumn("real", F.lit(True)), [*by, *identity], "full_outer")
     outcome = (F.when(F.col("found") & F.col("real"), "tp").when(F.col("found"), "fp").otherwise("fn"))
-    return both.select(*_IDENTITY, outcome.alias("outcome"))
+    return both.select(*by, *_IDENTITY, outcome.alias("outcome"))
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -82,47 +121,55 @@ def evaluate(
     families: Sequence[str] = tuple(INJECTORS),
     rate: float = 0.01,
     seed: int = 42,
-    detectors: Sequence[str] = tuple(DETECTORS),
+    detectors: Sequence[str] = FAMILIES,
     with_audit: bool = False,
     detect=detect_events,
+    trials: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
     """(metrics per family and overall, trial outcomes).
 
-    Every family corrupts the whole table once at ``rate``. ``with_audit`` also reports whether
-    the audit of the corrupted table raised an issue of the expected type.
+    Every family corrupts the whole table ``trials`` times at ``rate``, each time other rows. All corrupted tables are
+    stacked, and one pass of the detectors judges each by its own values; outcomes are summed over the trials, whose
+    number is in ``runs`` if there are several. ``with_audit`` also reports how often the audit of a corrupted table
+    raised an issue of the expected type.
     """
-    baseline = materialize(detect(df, dataset, rules, detectors), "baseline")
-    outcomes, hits = [], []
-    for i, family in enumerate(families):
-        bad, truth = corrupt(df, dataset, rules, family, rate, seed + i)
-        bad = materialize(bad, "corrupted")
-        found = match_events(truth, baseline, detect(bad, dataset, rules, detectors))
-        outcomes.append(found.withColumn("family", F.lit(family)))
-        if with_audit:
-            types = audit(bad, dataset, rules, AuditOptions(samples=False)).select("issue_type").distinct()
-            hits.append((family, 1, int(not types.where(F.col("issue_type").isin(*EXPECTED_ISSUES[family])).isEmpty())))
-    trials = materialize(reduce(DataFrame.unionByName, outcomes), "trials")
-    metrics = detection_metrics(trials)
+    baseline = detect(df, dataset, rules, detectors)
+    bad, truth = corrupt_trials(df, dataset, rules, families, rate, seed, trials)
+    bad = materialize(bad, "corrupted")
+    matched = match_events(truth, baseline, detect(bad, dataset, rules, detectors, by=(TRIAL,)), (TRIAL,))
+    family, number = F.substring_index(TRIAL, ":", 1), F.substring_index(TRIAL, ":", -1).cast("int")
+    outcomes = materialize(matched.select(*_IDENTITY, "outcome", family.alias("family"), number.alias("trial")), "trials")
+    metrics = detection_metrics(outcomes)
     if with_audit:
+        hits = []
+        for name in families:
+            found = 0
+            for k in range(trials):
+                issues = audit(bad.where(F.col(TRIAL) == f"{name}:{k}").drop(TRIAL), dataset, rules, AuditOptions(samples=False))
+                found += int(not issues.where(F.col("issue_type").isin(*EXPECTED_ISSUES[name])).isEmpty())
+            hits.append((name, trials, found))
         hit = small_frame(df.sparkSession, hits, "family string, runs int, issue_hits int")
         overall = hit.agg(F.lit("overall").alias("family"), F.sum("runs").cast("int").alias("runs"),
                           F.sum("issue_hits").cast("int").alias("issue_hits"))
         both = hit.unionByName(overall).withColumn("issue_hit_rate", F.round(F.col("issue_hits") / F.col("runs"), 4))
         metrics = metrics.join(F.broadcast(both), "family", "left")
-    return metrics, trials
+    elif trials > 1:
+        counted = outcomes.select("family", "trial").distinct().rollup("family").agg(F.count("*").cast("int").alias("runs"))
+        metrics = metrics.join(counted.withColumn("family", F.coalesce("family", F.lit("overall"))), "family", "left")
+    return metrics, outcomes
 
 
 # ---------------------------------------------------------------- baselines
 
-def no_op_events(df: DataFrame, dataset: str, rules: Rules, families: Sequence[str] = ()) -> DataFrame:
+def no_op_events(df: DataFrame, dataset: str, rules: Rules, families: Sequence[str] = (), by: Sequence[str] = ()) -> DataFrame:
     """Detector that finds nothing."""
-    return empty_events(df)
+    return empty_events(df, by)
 
 
-def naive_events(df: DataFrame, dataset: str, rules: Rules, families: Sequence[str] = ()) -> DataFrame:
+def naive_events(df: DataFrame, dataset: str, rules: Rules, families: Sequence[str] = (), by: Sequence[str] = ()) -> DataFrame:
     """Detector that knows only real NULLs and strict number casts."""
     text, numeric, _ = column_groups(df)
-    keep = [c for c in data_columns(df) if c in text + numeric]
+    keep = [c for c in data_columns(df) if c in text + numeric and c not in by]
     rule_columns = [r.column for r in rules.numeric if r.column in text]
     problems = F.array_compact(F.array(
         *[F.when(col(c).isNull(), F.struct(F.lit("disguisednull").alias("family"), F.lit(c).alias("column")))
@@ -130,5 +177,5 @@ def naive_events(df: DataFrame, dataset: str, rules: Rules, families: Sequence[s
         *[F.when(col(c).isNotNull() & plain_double(col(c)).isNull(),
                  F.struct(F.lit("wrong_but_parseable").alias("family"), F.lit(c).alias("column")))
           for c in rule_columns if not is_numeric_type(df.schema[c].dataType)]))
-    rows = df.select(ROW_ID, F.explode(problems).alias("e"))
-    return _events(rows, dataset, F.col("e.family"), "naive", F.col("e.column"))
+    rows = df.select(*[col(b) for b in by], ROW_ID, F.explode(problems).alias("e"))
+    return _events(rows, dataset, F.col("e.family"), "naive", F.col("e.column"), by=by)

@@ -4,6 +4,9 @@ One row per affected row: ``(dataset, error_type, issue_type, columns, event_key
 event about one cell has one member; a key conflict has one member per row that shares the key.
 The long form keeps a key that owns a third of the table distributed, which an array of its row
 ids would not.
+
+What a cell is held against (fences, usual layouts, shared keys) comes from the table's distinct values. One more scan
+spells every row's cells and broken rules, and one projection emits the events of all families that need just them.
 """
 
 from __future__ import annotations
@@ -13,104 +16,158 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.constants import DISGUISED_NULLS, ROW_ID
-from tablewright.functions.temporal import classify_format
+from tablewright.functions.numeric import parse_number_loose
+from tablewright.functions.temporal import classify_format, layout, parse_timestamp
+from tablewright.functions.text import as_text, lookup
 from tablewright.operators import cross as cross_rules
-from tablewright.operators.cells import (
-    is_disguised_cell, numbers, temporal, text_cells, typed_cells, with_temporal)
-from tablewright.operators.checks import iqr_fences
+from tablewright.operators.cells import temporal, text_cells, typed_values, value_table, with_temporal
+from tablewright.operators.checks import number_counts
 from tablewright.operators.cross import ISSUE_OF_RULE
 from tablewright.operators.duplicates import key_groups
-from tablewright.operators.rules import CrossRule, Rules
-from tablewright.tables import col, column_groups, materialize, rows_of_groups, small_frame
+from tablewright.operators.quantiles import counted_quantiles
+from tablewright.operators.rules import Rules
+from tablewright.tables import col, column_groups, is_numeric_type, materialize, rows_of_groups, small_frame
 
 EVENT_COLUMNS = ("dataset", "error_type", "issue_type", "columns", "event_key", "row_id")
+FAMILIES = ("disguisednull", "iqr_outlier", "mixed_date_format", "wrong_but_parseable", "semantic_duplicate",
+            "crossfield_inconsistency")
+NO_LAYOUT = ("missing", "invalid", "unknown")
 
 
 def _events(rows: DataFrame, dataset: str, family: str | Column, issue_type: str | Column, columns: Column,
-            key: Column | None = None) -> DataFrame:
+            key: Column | None = None, by: Sequence[str] = ()) -> DataFrame:
     issue = F.lit(issue_type) if isinstance(issue_type, str) else issue_type
     family = F.lit(family) if isinstance(family, str) else family
     key = F.col(ROW_ID).cast("string") if key is None else key
     return rows.select(
-        F.lit(dataset).alias("dataset"), family.alias("error_type"), issue.alias("issue_type"),
+        *[col(b) for b in by], F.lit(dataset).alias("dataset"), family.alias("error_type"), issue.alias("issue_type"),
         columns.alias("columns"), key.alias("event_key"), F.col(ROW_ID).cast("long").alias("row_id"))
 
 
-def empty_events(df: DataFrame) -> DataFrame:
-    return small_frame(df.sparkSession, 
-        [], "dataset string, error_type string, issue_type string, columns string, event_key string, row_id bigint")
-
+def empty_events(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    schema = T.StructType([*[df.schema[b] for b in by], *T.StructType.fromDDL(
+        "dataset string, error_type string, issue_type string, columns string, event_key string, row_id bigint")])
+    return small_frame(df.sparkSession, [], schema)
 
-def disguised_null_events(df: DataFrame, dataset: str, rules: Rules = Rules(),
-                          tokens: Sequence[str] = DISGUISED_NULLS) -> DataFrame:
-    """Cells that hold a disguised null."""
-    text, _, _ = column_groups(df)
-    if not text:
-        return empty_events(df)
-    required = [r.column for r in rules.columns if r.required]
-    issue = (F.when(F.col("column").isin(*required), "missing_mandatory_values") if required
-             else F.when(F.lit(False), "")).otherwise("missing_optional_values")
-    return _events(typed_cells(df, text).where(is_disguised_cell(tokens)), dataset, "disguisednull", issue,
-                   F.col("column"))
-
-
-def outlier_events(df: DataFrame, dataset: str, rules: Rules, whisker: float = 1.5) -> DataFrame:
-    """Numbers outside the IQR fences of their column."""
-    fences = iqr_fences(df, [r.column for r in rules.numeric if r.column in df.columns], whisker)
-    bounds = {r["column"]: r for r in fences.collect()}
-    if not bounds:
-        return empty_events(df)
-    columns = list(bounds)
-    cells = numbers(df, columns, [ROW_ID]).unpivot([ROW_ID], [col(c) for c in columns], "column", "number")
-    out = cells.join(F.broadcast(fences), "column").where(
-        ~F.col("number").between(F.col("lower_bound"), F.col("upper_bound")))
-    return _events(out, dataset, "iqr_outlier", "iqr_outliers", F.col("column"))
-
-
-def below_minimum_events(df: DataFrame, dataset: str, rules: Rules) -> DataFrame:
-    """Numbers below the minimum rule of their column."""
-    limits = {r.column: r.min_value for r in rules.numeric if r.min_value is not None and r.column in df.columns}
-    if not limits:
-        return empty_events(df)
-    bound = small_frame(df.sparkSession, list(limits.items()), "column string, min_value double")
-    cells = numbers(df, list(limits), [ROW_ID]).unpivot([ROW_ID], [col(c) for c in limits], "column", "number")
-    out = cells.join(F.broadcast(bound), "column").where("number < min_value")
-    return _events(out, dataset, "wrong_but_parseable", "value_below_minimum", F.col("column"))
 
+# ---------------------------------------------------------------- what cells are held against
 
 def labelled_cells(df: DataFrame, formats: dict[str, str]) -> DataFrame:
-    """(_row_id, column, label) of the temporal columns."""
+    """(_row_id, column, value, kind, label, n) of the temporal columns."""
     kinds = small_frame(df.sparkSession, list(formats.items()), "column string, kind string")
     cells = with_temporal(text_cells(df, list(formats)).join(F.broadcast(kinds), "column"), ["value"])
     text, shape, stamp = temporal("value")
     return cells.select(ROW_ID, "column", "value", "kind",
-                        classify_format(text, F.col("kind"), stamp, shape).alias("label"))
+                        classify_format(text, F.col("kind"), stamp, shape).alias("label"), F.lit(1).alias("n"))
 
 
-def dominant_labels(labelled: DataFrame) -> DataFrame:
-    """(column, dominant, labels): most frequent valid layout of each column, first name on ties."""
-    counts = (labelled.where(~F.col("label").isin("missing", "invalid", "unknown"))
-                      .groupBy("column", "label").agg(F.count("*").alias("n")))
-    best = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "label"))
-    labels = F.count("*").over(Window.partitionBy("column"))
+def labelled_values(values: DataFrame, df: DataFrame, formats: dict[str, str]) -> DataFrame:
+    """The layouts of a value table's temporal cells, with the rows that have them."""
+    cells = typed_values(values, df, list(formats)).withColumn("kind", lookup(formats, "column", "string"))
+    cells = cells.withColumn("text", F.coalesce("text", "value")).withColumn("layout", layout("text", stripped=True))
+    cells = cells.withColumn("stamp", parse_timestamp("text", F.col("layout")))
+    return cells.withColumn("label", classify_format("text", F.col("kind"), F.col("stamp"), F.col("layout")))
+
+
+def dominant_labels(labelled: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., column, dominant, labels): most frequent valid layout of each column, first name on ties."""
+    group = [*by, "column"]
+    counts = labelled.where(~F.col("label").isin(*NO_LAYOUT)).groupBy(*group, "label").agg(F.sum("n").alias("n"))
+    best = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("n"), "label"))
+    labels = F.count("*").over(Window.partitionBy(*group))
     return (counts.withColumn("labels", labels).withColumn("rank", best).where("rank = 1")
-                  .select("column", F.col("label").alias("dominant"), "labels"))
+                  .select(*group, F.col("label").alias("dominant"), "labels"))
+
+
+def grouped_fences(values: DataFrame, df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),
+                   whisker: float = 1.5) -> dict[tuple, tuple[float, float]]:
+    """{(by..., column): (lower, upper fence)} of columns with 8 numbers, 4 distinct ones and a spread."""
+    counted = number_counts(values, df, columns, by)
+    group = [*by, "column"]
+    # One row for each column and stacked table.
+    sizes = {tuple(r[g] for g in group): r["n"] for r in counted.groupBy(*group).agg(F.sum("n").alias("n")).collect()}
+    named = {"\x1f".join(map(str, k)): k for k, n in sizes.items() if n >= 8}
+    if not named:
+        return {}
+    numbered = counted.select(F.concat_ws("\x1f", *[col(g).cast("string") for g in group]).alias("column"), "number", "n")
+    distinct: dict[str, int] = {}
+    found = counted_quantiles(numbered, list(named), [0.25, 0.75], {n: sizes[k] for n, k in named.items()}, distinct=distinct)
+    fences = {}
+    for name, key in named.items():
+        q1, q3 = found[(name, 0.25)], found[(name, 0.75)]
+        if q1 != q3 and distinct[name] >= 4:
+            fences[key] = (q1 - whisker * (q3 - q1), q3 + whisker * (q3 - q1))
+    return fences
+
+
+# ---------------------------------------------------------------- one pass over the rows
+
+def _limits(df: DataFrame, by: Sequence[str], fences: dict[tuple, tuple], dominant: dict[tuple, tuple]) -> DataFrame:
+    """(by..., column, lower_bound, upper_bound, dominant, labels), one row for each column and stacked table."""
+    rows = [(*k, *fences.get(k, (None, None)), *dominant.get(k, (None, None))) for k in fences.keys() | dominant.keys()]
+    schema = T.StructType([*[df.schema[b] for b in by], *T.StructType.fromDDL(
+        "column string, lower_bound double, upper_bound double, dominant string, labels bigint")])
+    return small_frame(df.sparkSession, rows, schema)
+
+
+def local_events(df: DataFrame, dataset: str, rules: Rules, families: Sequence[str], by: Sequence[str],
+                 limits: DataFrame, formats: dict[str, str], tokens: Sequence[str] = DISGUISED_NULLS) -> DataFrame:
+    """Events of the families that look at one row: every row is read once, as its cells and the rules it breaks."""
+    text = [c for c in column_groups(df)[0] if c not in by] if "disguisednull" in families else []
+    ranges = [r.column for r in rules.numeric if r.column in df.columns] if "iqr_outlier" in families else []
+    lows = ({r.column: r.min_value for r in rules.numeric if r.min_value is not None and r.column in df.columns}
+            if "wrong_but_parseable" in families else {})
+    cross = cross_rules.applicable(df, rules.cross) if "crossfield_inconsistency" in families else []
+    types = {f.name: f.dataType for f in df.schema.fields}
+    typed = [c for c in (*ranges, *lows) if is_numeric_type(types[c])]
+    wanted = [c for c in df.columns if c in {*text, *ranges, *lows, *formats}]
+    if not wanted and not cross:
+        return empty_events(df, by)
+
+    def cell(c):
+        value = F.nanvl(col(c).cast("double"), F.lit(None).cast("double")) if c in typed else col(c)
+        return F.struct(F.lit(c).alias("column"), value.cast("string").alias("value"), F.lit(None).cast("string").alias("issue"))
+
+    def broken(r):
+        return F.when(cross_rules.violation(df, r), F.struct(
+            F.lit(",".join(sorted(r.columns))).alias("column"), F.lit(None).cast("string").alias("value"),
+            F.lit(ISSUE_OF_RULE[r.kind][0]).alias("issue")))
+
+    found = F.array_compact(F.array(*map(cell, wanted), *map(broken, cross)))
+    cells = df.select(*[col(b) for b in by], ROW_ID, F.explode(found).alias("cell")).select(*[col(b) for b in by], ROW_ID, "cell.*")
+    column, plain = F.col("column"), F.col("issue").isNull()
+    is_number = plain & column.isin(*{*ranges, *lows}) if ranges or lows else F.lit(False)
+    is_typed = column.isin(*typed) if typed else F.lit(False)
+    cells = (cells.join(F.broadcast(limits), [*by, "column"], "left").withColumn("text", as_text("value"))
+             .withColumn("kind", F.when(plain, lookup(formats, "column", "string")))
+             .withColumn("low", F.when(plain, lookup(lows, "column", "double")))
+             .withColumn("number", F.when(is_number, F.when(is_typed, F.col("value").try_cast("double")).otherwise(
+                 parse_number_loose("text", stripped=True))))
+             .withColumn("shape", F.when(F.col("kind").isNotNull(), layout("text", stripped=True)))
+             .withColumn("stamp", F.when(F.col("kind").isNotNull(), parse_timestamp("text", F.col("shape"))))
+             .withColumn("label", F.when(F.col("kind").isNotNull(), classify_format("text", F.col("kind"), F.col("stamp"), F.col("shape")))))
+    label, number = F.col("label"), F.col("number")
+    mixed = (label != F.col("dominant")) & (F.col("labels") > 1) & ~label.isin(*NO_LAYOUT)
+    layout_issue = F.when(label == "invalid", "invalid_format_values").when(mixed, "mixed_format_family")
+    required = [r.column for r in rules.columns if r.required]
+    null_issue = F.when(column.isin(*required) if required else F.lit(False), "missing_mandatory_values").otherwise("missing_optional_values")
+    outside = column.isin(*ranges) & ~number.between(F.col("lower_bound"), F.col("upper_bound")) if ranges else F.lit(False)
 
+    def event(condition, family, issue):
+        return F.when(condition, F.struct(F.lit(family).alias("family"), issue.alias("issue")))
 
-def date_layout_events(df: DataFrame, dataset: str, rules: Rules) -> DataFrame:
-    """Invalid temporal cells, and valid ones that leave the dominant layout of their column."""
-    formats = {c: k for c, k in rules.formats.items() if c in df.columns}
-    if not formats:
-        return empty_events(df)
-    labelled = labelled_cells(df, formats)
-    joined = labelled.join(F.broadcast(dominant_labels(labelled)), "column", "left")
-    mixed = ((F.col("label") != F.col("dominant")) & (F.col("labels") > 1)
-             & ~F.col("label").isin("missing", "invalid", "unknown"))
-    issue = F.when(F.col("label") == "invalid", "invalid_format_values").when(mixed, "mixed_format_family")
-    out = joined.withColumn("issue", issue).where("issue is not null")
-    return _events(out, dataset, "mixed_date_format", F.col("issue"), F.col("column"))
+    disguised = plain & column.isin(*text) & F.lower("text").isin(*tokens) if text else F.lit(False)
+    events = F.array_compact(F.array(
+        event(disguised, "disguisednull", null_issue),
+        event(outside, "iqr_outlier", F.lit("iqr_outliers")),
+        event(number < F.col("low"), "wrong_but_parseable", F.lit("value_below_minimum")),
+        event(layout_issue.isNotNull(), "mixed_date_format", layout_issue),
+        event(~plain, "crossfield_inconsistency", F.col("issue"))))
+    rows = cells.select(*[col(b) for b in by], ROW_ID, "column", F.explode(events).alias("event"))
+    return _events(rows, dataset, F.col("event.family"), F.col("event.issue"), F.col("column"), by=by)
 
 
 def key_of(keys: Sequence[str]) -> Column:
@@ -118,44 +175,51 @@ def key_of(keys: Sequence[str]) -> Column:
     return F.to_json(F.struct(*[col(k) for k in keys]), {"ignoreNullFields": "false"})
 
 
-def key_conflict_events(df: DataFrame, dataset: str, rules: Rules) -> DataFrame:
-    """Rows that share a business key; one event per key, one member per row."""
+def key_conflict_events(df: DataFrame, dataset: str, rules: Rules, by: Sequence[str] = (), values: DataFrame | None = None) -> DataFrame:
+    """Rows that share a business key; one event per key, one member per row. A key of one text column is counted in the
+    table's distinct ``values`` if those are given."""
     keys = [k for k in rules.keys if k in df.columns]
     if not keys:
-        return empty_events(df)
-    narrow = df.select(ROW_ID, *[col(k) for k in keys])
-    shared = materialize(key_groups(df.select(*[col(k) for k in keys]), keys).drop("n"), "keys")
-    members = rows_of_groups(narrow, shared, keys)
+        return empty_events(df, by)
+    whole = [*by, *keys]
+    if values is not None and _text_key(df, keys):
+        shared = values.where((F.col("column") == keys[0]) & (F.col("n") > 1)).select(*[col(b) for b in by], F.col("value").alias(keys[0]))
+    else:
+        shared = key_groups(df.select(*[col(k) for k in whole]), whole).drop("n")
+    members = rows_of_groups(df.select(ROW_ID, *[col(k) for k in whole]), materialize(shared, "keys"), whole)
     return _events(members, dataset, "semantic_duplicate", "duplicate_business_keys",
-                   F.lit(",".join(sorted(keys))), key_of(keys))
-
-
-def cross_events(df: DataFrame, dataset: str, cross: Sequence[CrossRule]) -> DataFrame:
-    """Rows that break a cross-column rule."""
-    rules = cross_rules.applicable(df, cross)
-    if not rules:
-        return empty_events(df)
-    broken = F.array_compact(F.array(*[
-        F.when(cross_rules.violation(df, r),
-               F.struct(F.lit(ISSUE_OF_RULE[r.kind][0]).alias("issue"),
-                        F.lit(",".join(sorted(r.columns))).alias("columns"))) for r in rules]))
-    out = df.select(ROW_ID, F.explode(broken).alias("e"))
-    return _events(out, dataset, "crossfield_inconsistency", F.col("e.issue"), F.col("e.columns"))
-
-
-DETECTORS = {
-    "disguisednull": lambda df, name, rules: disguised_null_events(df, name, rules),
-    "iqr_outlier": lambda df, name, rules: outlier_events(df, name, rules),
-    "mixed_date_format": lambda df, name, rules: date_layout_events(df, name, rules),
-    "wrong_but_parseable": lambda df, name, rules: below_minimum_events(df, name, rules),
-    "semantic_duplicate": lambda df, name, rules: key_conflict_events(df, name, rules),
-    "crossfield_inconsistency": lambda df, name, rules: cross_events(df, name, rules.cross),
-}
-
-
-def detect_events(df: DataFrame, dataset: str, rules: Rules, families: Sequence[str] = tuple(DETECTORS)) -> DataFrame:
-    """All events of the chosen families."""
-    return reduce(DataFrame.unionByName, [DETECTORS[f](df, dataset, rules) for f in families])
+                   F.lit(",".join(sorted(keys))), key_of(keys), by)
+
+
+def _text_key(df: DataFrame, keys: Sequence[str]) -> bool:
+    return len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, T.StringType)
+
+
+def detect_events(df: DataFrame, dataset: str, rules: Rules, families: Sequence[str] = FAMILIES, by: Sequence[str] = (),
+                  whisker: float = 1.5, tokens: Sequence[str] = DISGUISED_NULLS) -> DataFrame:
+    """All events of the chosen families.
+
+    The table is read three times: for its distinct values (fences, usual layouts, shared keys), for the events of
+    single rows, and for the members of key conflicts. ``by`` names columns that tell tables apart which are stacked in
+    ``df``: each is judged by its own values, and the columns lead its events.
+    """
+    ranges = [r.column for r in rules.numeric if r.column in df.columns] if "iqr_outlier" in families else []
+    formats = {c: k for c, k in rules.formats.items() if c in df.columns} if "mixed_date_format" in families else {}
+    keys = [k for k in rules.keys if k in df.columns] if "semantic_duplicate" in families else []
+    counted = [*ranges, *formats, *(keys if _text_key(df, keys) else [])]
+    values = value_table(df, counted, by) if counted else None
+    fences = grouped_fences(values, df, ranges, by, whisker) if ranges else {}
+    group = [*by, "column"]
+    dominant = {tuple(r[g] for g in group): (r["dominant"], r["labels"])
+                for r in dominant_labels(labelled_values(values, df, formats), by).collect()} if formats else {}
+    parts = [local_events(df, dataset, rules, families, by, _limits(df, by, fences, dominant), formats, tokens)]
+    if keys:
+        parts.append(key_conflict_events(df, dataset, rules, by, values))
+    return reduce(DataFrame.unionByName, parts)
+
+
+#: A detector for each family alone.
+DETECTORS = {family: (lambda df, name, rules, family=family: detect_events(df, name, rules, [family])) for family in FAMILIES}
 
 
 def event_summary(events: DataFrame) -> DataFrame:
