@@ -1,9 +1,10 @@
 """Turn a plan into column expressions and run it.
 
 Actions are gathered into stages. All statistics a stage needs come from one or two aggregate
-jobs, all its corrections are one ``select``, and all its counts one more aggregate. A stage ends
-where an action needs statistics of a column that the stage has already changed through
-statistics, and where rows or columns are dropped.
+jobs. All its corrections are one ``select``, whose rows are written together with a flag for each
+correction that touched them; the counts for the log are read from the flags alone. So a stage is
+worked out once, however many stages follow. A stage ends where an action needs statistics of a
+column that the stage has already changed through statistics, and where rows or columns are dropped.
 """
 
 from __future__ import annotations
@@ -119,6 +120,7 @@ class _Stage:
             frame, fixed = self._apply(frame, i, stats.get(step.column, {}))
             entry.update(applied=fixed.applied, value=fixed.value, lower=fixed.lower, upper=fixed.upper,
                          reason=fixed.reason)
+        frame = materialize(frame, "stage")
         counts = frame.agg(*[F.count_if(f"_touched_{i}").alias(str(i)) for i in range(len(self.waiting))]).first()
         for i, (_, entry) in enumerate(self.waiting):
             entry["rows_affected"] = counts[str(i)]
@@ -136,7 +138,7 @@ def _renamed_copies(df: DataFrame, names: Iterable[str]) -> list[str]:
 
 def apply_steps(df: DataFrame, dataset: str, steps: list[Step], rules: Rules, pass_number: int = 1,
                 first_seq: int = 1, log_skipped: bool = True) -> tuple[DataFrame, list[tuple]]:
-    """Run the steps in order; returns the corrected table and log rows."""
+    """Run the steps in order; returns the corrected table, written wherever a step has changed it, and log rows."""
     entries: list[dict] = []
     frame, stage, deduplicated = df, _Stage(df, rules), None
 

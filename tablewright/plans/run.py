@@ -67,7 +67,7 @@ def iter_quality(
 
     steps = plan_steps(run.plan, run.issues)
     fixed, run.log_rows = apply_steps(run.raw, dataset, steps, run.rules)
-    run.fixed, run.log = materialize(fixed, "pass1"), log_frame(df, run.log_rows)
+    run.fixed, run.log = fixed, log_frame(df, run.log_rows)
     yield "remediation", run
     kept = None if header is None else [h for h in header if h in run.fixed.columns]
     kept = None if kept is None else list(dict.fromkeys(kept))
@@ -76,8 +76,7 @@ def iter_quality(
 
     steps = residual_steps(run.post_issues)
     if steps:
-        fixed, more = apply_steps(run.fixed, dataset, steps, run.rules, 2, len(run.log_rows) + 1, log_skipped=False)
-        run.fixed = materialize(fixed, "pass2")
+        run.fixed, more = apply_steps(run.fixed, dataset, steps, run.rules, 2, len(run.log_rows) + 1, log_skipped=False)
         run.log_rows = run.log_rows + more
         run.log = log_frame(df, run.log_rows)
     yield "second_pass", run
