@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,16 +66,50 @@ def _bad(names: list[str], options: dict) -> Column:
     return F.coalesce(record.isNotNull() & (surplus | (quotes % 2 == 1)), F.lit(False))
 
 
-def read_csv(spark: SparkSession, path: str, nulls: tuple[str, ...] = CSV_NULLS, multi_line: bool = False,
+def _records(spark: SparkSession, path: str, quote: str) -> DataFrame:
+    """(_file, _corrupt_record): the records of CSV files whose quoted cells may hold line breaks, headers left out.
+
+    A line starts a record if the quotes before it in its file are even in number. So each split counts its quotes and,
+    for both ways it may begin, the records that start in it; the sums over the splits before it tell which way holds and
+    the number of its first record. A file is read in as many tasks as it has splits, and only the lines of records with
+    breaks are brought together.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"))
+    lines = lines.withColumn("odd", (F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))) % 2)
+    split = [_FILE, "start"]
+    so_far = Window.partitionBy(*split).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = lines.withColumn("before", (F.sum("odd").over(so_far) - F.col("odd")) % 2)
+    lines = materialize(lines.withColumns({f"starts{k}": F.sum((F.col("before") == k).cast("long")).over(so_far) for k in (0, 1)}), "lines")
+    splits = lines.groupBy(*split).agg(F.sum("odd").alias("quotes"), F.max("starts0").alias("starts0"), F.max("starts1").alias("starts1"))
+    earlier = Window.partitionBy(_FILE).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("open", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+    splits = splits.withColumn("first", F.coalesce(F.sum(F.when(F.col("open") == 0, F.col("starts0")).otherwise(F.col("starts1"))).over(earlier), F.lit(0)))
+    placed = lines.join(splits.select(*split, "open", "first"), split)
+    inside = F.col("before") != F.col("open")
+    record = F.col("first") + F.when(F.col("open") == 0, F.col("starts0")).otherwise(F.col("starts1"))
+    placed = placed.select(_FILE, record.alias("record"), "start", "at", "value", "odd", inside.alias("inside"))
+    whole = ~F.col("inside") & (F.col("odd") == 0)
+    listed = F.sort_array(F.collect_list(F.struct("start", "at", "value")))
+    broken = placed.where(~whole).groupBy(_FILE, "record").agg(F.array_join(F.transform(listed, lambda x: x["value"]), "\n").alias("value"))
+    both = placed.where(whole).select(_FILE, "record", "value").unionByName(broken)
+    return both.where("record > 1").select(_FILE, F.regexp_replace("value", "\r$", "").alias(_RECORD)).where(F.col(_RECORD) != "")
+
+
+def read_csv(spark: SparkSession, path: str, nulls: tuple[str, ...] = CSV_NULLS, multi_line: bool | str = False,
              keep_bad: bool = False, **options) -> CsvTable:
     """Read a CSV with header, all columns as text, usual NULL spellings as NULL.
 
     Files of one folder may have their columns in any order, they meet by name; other sets of names raise, and
     so do an empty table and rows with more cells than the header or an unclosed quote. ``keep_bad`` hands
-    such rows out as ``bad`` (file, record, first_cell) instead. Files are split over tasks unless ``multi_line`` says
-    that quoted cells can hold line breaks. No row cap. Repeated names are renamed instead of merged.
+    such rows out as ``bad`` (file, record, first_cell) instead. ``multi_line`` says that quoted cells can hold line
+    breaks; large files are split over tasks then, too, for which quotes must stand around whole cells and doubled inside
+    them. ``"file"`` reads each file in one task instead, and so does an ``escape`` of its own. No row cap. Repeated
+    names are renamed instead of merged.
     """
-    reader = {"quote": '"', "escape": '"', "multiLine": multi_line, **options}
+    reader = {"quote": '"', "escape": '"', "multiLine": bool(multi_line), **options}
+    by_parity = bool(multi_line) and multi_line != "file" and reader["escape"] == reader["quote"]
     headers = _headers(spark, path, reader)
     if not headers or not any(headers):
         raise ValueError(f"CSV is empty: {path}")
@@ -84,17 +118,20 @@ def read_csv(spark: SparkSession, path: str, nulls: tuple[str, ...] = CSV_NULLS,
     names = named[header]
     if len({frozenset(n) for n in named.values()}) > 1:
         raise ValueError("files have different columns: " + "; ".join(f"{headers[h]}: {', '.join(h)}" for h in headers))
-    parts = []
+    parts, records = [], materialize(_records(spark, path, reader["quote"]), "records") if by_parity else None
     for own in named.values():
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*own, _RECORD]])
-        raw = (spark.read.options(**{**reader, "header": True, "enforceSchema": True, "mode": "PERMISSIVE",
-                                     "columnNameOfCorruptRecord": _RECORD, "columnPruning": False})
-               .schema(schema).csv(path))
-        if len(named) > 1:
-            files = _files_of(spark, path, own, named, reader)
-            raw = raw.withColumn(_FILE, F.col("_metadata.file_path")).join(files, _FILE, "left_semi")
+        if by_parity:
+            keep = {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in reader.items()}
+            cells = F.from_csv(_RECORD, ", ".join(f"c{i} string" for i in range(len(own))), keep)
+            raw = records.withColumn("_cells", cells).select(
+                *[F.col("_cells")[f"c{i}"].alias(n) for i, n in enumerate(own)], _RECORD, _FILE)
         else:
-            raw = raw.withColumn(_FILE, F.col("_metadata.file_path"))
+            raw = (spark.read.options(**{**reader, "header": True, "enforceSchema": True, "mode": "PERMISSIVE",
+                                         "columnNameOfCorruptRecord": _RECORD, "columnPruning": False})
+                   .schema(schema).csv(path)).withColumn(_FILE, F.col("_metadata.file_path"))
+        if len(named) > 1:
+            raw = raw.join(_files_of(spark, path, own, named, reader), _FILE, "left_semi")
         parts.append(raw.withColumn("_bad", _bad(own, reader)))
     rows = reduce(DataFrame.unionByName, parts)
     counts = rows.agg(F.count(col(names[0])).alias("seen"), F.count("*").alias("rows"), F.count_if("_bad").alias("bad")).first()
