@@ -330,6 +330,52 @@ def audit_evidence(spark, sf):
     return dirty_issues(spark, sf, samples=True).withColumn("columns", F.array_join("columns", ","))
 
 
+EVIDENCE = ("real_nulls", "disguised_nulls", "q1", "q3", "lower_bound", "upper_bound", "min_allowed")
+
+
+@query("evidence_numbers", with_audit("""
+SELECT issue_type, columns, key, round(value, 6)::DOUBLE AS value FROM (
+  SELECT issue_type, columns, 'real_nulls' AS key, real_nulls::DOUBLE AS value FROM issues JOIN gaps ON columns = "column" WHERE tool IN ('check_nulls', 'check_sparse_columns')
+  UNION ALL SELECT issue_type, columns, 'disguised_nulls', disguised_nulls FROM issues JOIN gaps ON columns = "column"
+    WHERE tool IN ('check_nulls', 'check_sparse_columns')
+  UNION ALL SELECT issue_type, columns, k, CASE k WHEN 'q1' THEN q1 WHEN 'q3' THEN q3 WHEN 'lower_bound' THEN q1 - 1.5 * (q3 - q1) ELSE q3 + 1.5 * (q3 - q1) END
+    FROM issues JOIN fences ON columns = "column", (SELECT unnest(['q1', 'q3', 'lower_bound', 'upper_bound']) AS k) WHERE tool = 'check_outliers_iqr'
+  UNION ALL SELECT issue_type, columns, 'min_allowed', low FROM issues JOIN minimums ON columns = c WHERE issue_type = 'value_below_minimum'
+  UNION ALL SELECT issue_type, columns, 'sample_rows', least(5, (SELECT count(*) FROM copies)) FROM issues WHERE issue_type = 'exact_duplicate_rows'
+  UNION ALL SELECT issue_type, columns, 'sample_rows', least(5, (SELECT count(*) FROM keys)) FROM issues WHERE issue_type = 'duplicate_business_keys'
+  UNION ALL SELECT issue_type, columns, 'sample_rows', least(10, row_count) FROM issues WHERE tool = 'check_cross_column')"""))
+def evidence_numbers(spark, sf):
+    """The numbers in the evidence of every issue, read out of its text, and how many rows it shows."""
+    issues = dirty_issues(spark, sf, samples=True)
+    found = [F.struct(F.lit(k).alias("key"), F.get_json_object("evidence", f"$.{k}").cast("double").alias("value")) for k in EVIDENCE]
+    shown_rows = F.size(F.from_json(F.get_json_object("evidence", "$.sample_rows"), "array<string>"))
+    found.append(F.struct(F.lit("sample_rows").alias("key"), F.when(shown_rows >= 0, shown_rows).cast("double").alias("value")))
+    rows = issues.select("issue_type", F.array_join("columns", ",").alias("columns"), F.inline(F.array(*found)))
+    return rows.where("value is not null").withColumn("value", F.round("value", 6))
+
+
+@query("evidence_samples", with_audit("""
+SELECT issue_type, columns, string_agg(text, '|' ORDER BY r) AS samples FROM issues JOIN (
+  SELECT "column", text, row_number() OVER (PARTITION BY "column" ORDER BY min(row_id), text) AS r FROM flags WHERE text <> '' GROUP BY "column", text)
+  ON columns = "column" WHERE tool = 'check_nulls' AND r <= 5 GROUP BY issue_type, columns"""))
+def evidence_samples(spark, sf):
+    """The first values that the evidence of columns with missing ones shows."""
+    issues = dirty_issues(spark, sf, samples=True).where("tool = 'check_nulls'")
+    listed = F.from_json(F.get_json_object("evidence", "$.samples"), "array<string>")
+    return issues.select("issue_type", F.array_join("columns", ",").alias("columns"), F.array_join(listed, "|").alias("samples"))
+
+
+@query("audit_discovered_columns", with_audit(
+    "SELECT tool, issue_type, severity, columns, row_count FROM issues WHERE tool NOT IN ('check_duplicates', 'check_cross_column')"))
+def audit_discovered_columns(spark, sf):
+    """The checks of single columns find with discovered rules what they find with those that a user wrote."""
+    from tablewright import audit, discover_rules
+
+    d = dirty(spark, sf)
+    found = audit(d, "dirty", discover_rules(d, "dirty"), ck.AuditOptions(samples=False))
+    return shown(found.where(~F.col("tool").isin("check_duplicates", "check_cross_column")))
+
+
 @query("audit_discovered")
 def audit_discovered(spark, sf):
     """Rules found in the data, then the audit with them."""

@@ -166,13 +166,33 @@ def top_issues(spark, sf):
     return top.select("issue_type", "severity", F.array_join("columns", ",").alias("columns"), "row_count")
 
 
+@query("worst_issues", with_plan("""
+SELECT issue_type, severity, columns, row_count FROM issues ORDER BY list_position(['critical', 'high', 'medium', 'low'], severity),
+  row_count DESC, issue_index LIMIT 25"""))
+def worst_issues(spark, sf):
+    """The report's list in its usual length."""
+    top = report.top_issues(dirty_issues(spark, sf))
+    return top.select("issue_type", "severity", F.array_join("columns", ",").alias("columns"), "row_count")
+
+
 @query("issue_list", with_plan("""
 SELECT 'dirty' AS dataset, issue_index + 1 AS id, tool, issue_type, severity, columns, row_count FROM issues"""))
 def issue_list(spark, sf):
     return report.issue_list(dirty_issues(spark, sf)).drop("message")
 
 
-@query("issue_resolutions")
+def _resolutions_sql() -> str:
+    from registry.fix_queries import CHAIN, PLAN_LOG_SQL, STEPS
+
+    why = ", ".join(f"({n}, '{s.agent}')" for n, s in enumerate(STEPS, 1))
+    return with_plan("""
+SELECT 'dirty' AS dataset, i.first_column, issue_index, issue_type, l.seq, v.agent, l.action, l.rows_affected, l.applied,
+  CASE WHEN l.seq IS NOT NULL THEN '' END AS rationale
+FROM (SELECT *, split_part(columns, ',', 1) AS first_column FROM issues) i LEFT JOIN log l ON l."column" = i.first_column
+LEFT JOIN (VALUES """ + why + ") v(seq, agent) ON v.seq = l.seq", CHAIN, f"log AS ({PLAN_LOG_SQL})")
+
+
+@query("issue_resolutions", _resolutions_sql())
 def issue_resolutions(spark, sf):
     """Issues with the corrections made on their first column."""
     from registry.dirty import dirty, dirty_rules

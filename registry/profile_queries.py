@@ -353,3 +353,35 @@ def stripped_text(spark, sf):
     return table(spark, sf, "documents").select(
         "doc_id", F.length(as_text("text")).cast("long").alias("stripped_chars"),
         F.coalesce(as_text("text") == "", F.lit(True)).alias("is_empty"))
+
+
+@query("fingerprint_permuted", with_dirty("SELECT count(*) AS rows, true AS same, 0::BIGINT AS differing FROM dirty"))
+def fingerprint_permuted(spark, sf):
+    """The same rows in another order have the same fingerprint, as a whole and in every range."""
+    d = dirty(spark, sf)
+    other = d.repartition(7, "status").sortWithinPartitions("total_price")
+    one, two = pf.content_fingerprint(d), pf.content_fingerprint(other).withColumnRenamed("rows", "other_rows")
+    differing = pf.differing_ranges(d, other, 1000).agg(F.count("*").alias("differing"))
+    same = (F.col("fingerprint") == F.col("other_fingerprint")) & (F.col("rows") == F.col("other_rows"))
+    return (one.join(two.withColumnRenamed("fingerprint", "other_fingerprint")).join(differing)
+               .select("rows", same.alias("same"), "differing"))
+
+
+@query("fingerprint_changed_cell", with_dirty("""
+SELECT k // 1000 AS "range", count(*) AS rows, count(*) AS other_rows FROM dirty, (SELECT max(row_id) AS k FROM dirty WHERE note IS NULL)
+WHERE row_id // 1000 = k // 1000 GROUP BY k"""))
+def fingerprint_changed_cell(spark, sf):
+    """One cell of one row is another: just the range of that row differs."""
+    d = dirty(spark, sf)
+    last = d.where("note IS NULL").agg(F.max(ROW_ID)).first()[0]
+    changed = d.withColumn("note", F.when(F.col(ROW_ID) == last, "changed").otherwise(F.col("note")))
+    return pf.differing_ranges(d, changed, 1000)
+
+
+@query("fingerprint_lost_rows", with_dirty("""
+SELECT row_id // 1000 AS "range", count(*) AS rows, count(*) FILTER (row_id % 10 <> 2) AS other_rows FROM dirty GROUP BY 1
+HAVING count(*) <> count(*) FILTER (row_id % 10 <> 2)"""))
+def fingerprint_lost_rows(spark, sf):
+    """The ranges from which the key conflicts were taken out."""
+    d = dirty(spark, sf)
+    return pf.differing_ranges(d, d.where(F.col(ROW_ID) % 10 != 2), 1000)

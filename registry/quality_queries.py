@@ -59,10 +59,12 @@ def changes_sql(family: str, seed: int, rate: float) -> str:
     return ("WITH " if family == "semantic_duplicate" else "") + sql
 
 
-def outcomes_sql(rate: float, seed: int, detect) -> str:
+def outcomes_sql(rate: float, seed: int, detect, runs: int = 1) -> str:
+    """CTEs up to ``counted``: (family, tp, fp, fn) summed over the runs, each with seeds of its own."""
     parts = [CLEAN_SQL.strip(), f"known AS ({detect('clean')})"]
     trials = []
-    for i, family in enumerate(FAMILIES):
+    for i in range(runs * len(FAMILIES)):
+        family = FAMILIES[i % len(FAMILIES)]
         new = ", ".join(f"coalesce(max(h.fixed) FILTER (h.\"column\" = '{c}'), any_value(c.{c})) AS {c}" for c in TEXT_COLUMNS)
         parts.append(f"change{i} AS ({changes_sql(family, seed + i, rate)})")
         parts.append(f"bad{i} AS (SELECT c.row_id, {new} FROM clean c LEFT JOIN change{i} h ON c.row_id = h.row_id GROUP BY c.row_id)")
@@ -77,6 +79,10 @@ def outcomes_sql(rate: float, seed: int, detect) -> str:
         trials.append(f"SELECT '{family}' AS family, (SELECT count(*) FROM (FROM found{i} INTERSECT FROM truth{i})) AS tp, "
                       f"(SELECT count(*) FROM (FROM found{i} EXCEPT FROM truth{i})) AS fp, (SELECT count(*) FROM (FROM truth{i} EXCEPT FROM found{i})) AS fn")
     parts.append("trials AS (" + " UNION ALL ".join(trials) + ")")
+    if runs > 1:
+        parts.append("""counted AS (SELECT coalesce(family, 'overall') AS family, sum(tp)::BIGINT AS tp, sum(fp)::BIGINT AS fp, sum(fn)::BIGINT AS fn,
+          count(*)::INTEGER AS runs FROM trials GROUP BY ROLLUP (family))""")
+        return "WITH " + ", ".join(parts)
     parts.append("""counted AS (SELECT * FROM trials UNION ALL SELECT 'overall', sum(tp)::BIGINT, sum(fp)::BIGINT, sum(fn)::BIGINT FROM trials)""")
     return "WITH " + ", ".join(parts)
 
@@ -99,6 +105,12 @@ def evaluate_again(spark, sf):
     return ev.evaluate(clean(spark, sf), "orders", clean_rules(), rate=0.03, seed=1042)[0]
 
 
+@query("evaluate_trials", outcomes_sql(0.01, 7, events_sql, 5) + METRICS.replace("SELECT family,", "SELECT family, runs,", 1))
+def evaluate_trials(spark, sf):
+    """Five trials of every family, each with rows of its own, in one pass over the stacked tables."""
+    return ev.evaluate(clean(spark, sf), "orders", clean_rules(), rate=0.01, seed=7, trials=5)[0]
+
+
 @query("evaluate_naive", outcomes_sql(0.01, 42, naive_sql) + METRICS)
 def evaluate_naive(spark, sf):
     """The naive detector through the same trials."""

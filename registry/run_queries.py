@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registry.base import query
@@ -12,7 +15,9 @@ from tablewright.constants import ROW_ID
 from tablewright.operators import report
 from tablewright.operators import score as sc
 from tablewright.operators.checks import AuditOptions
-from tablewright.plans.run import run_quality
+from tablewright.plans.run import run_many, run_quality
+from tablewright.sources.writers import write_result
+from tablewright.tables import new_path
 
 
 def _mode(column: str) -> str:
@@ -92,9 +97,12 @@ def run_final_issues(spark, sf):
 _POST = CATALOGUE_SQL.split("routed AS")[0].rstrip().rstrip(",")
 
 
-@query("run_scores", with_dirty("""
+POST_SCORE_SQL = with_dirty("""
 SELECT 'dirty' AS dataset, round(100 * sum(w * sub_score), 1)::DOUBLE AS post_reliability_score,
-  (SELECT count(*) FROM issues) AS issues_post FROM scored""", RUN_SQL, FINAL_SQL, _POST, SCORES_SQL))
+  (SELECT count(*) FROM issues) AS issues_post FROM scored""", RUN_SQL, FINAL_SQL, _POST, SCORES_SQL)
+
+
+@query("run_scores", POST_SCORE_SQL)
 def run_scores(spark, sf):
     """The score after both passes, from the issues really left."""
     return run(spark, sf).scores.select("dataset", "post_reliability_score",
@@ -140,3 +148,31 @@ def run_summary(spark, sf):
 
     return text.select("dataset", *[number(rf"(\d+) {s}").alias(s) for s in ("critical", "high", "medium", "low")],
                        number(r"issues left: (\d+)").alias("left"))
+
+
+def _without_conflicts(sql: str) -> str:
+    """The same over the dirty table without its key conflicts."""
+    return sql.replace("FROM base WHERE k % 300 = 2)", "FROM base WHERE false)").replace("SELECT 'dirty' AS dataset", "SELECT 'unique' AS dataset")
+
+
+@query("scores_of_two_tables", f"SELECT * FROM ({POST_SCORE_SQL}) UNION ALL SELECT * FROM ({_without_conflicts(POST_SCORE_SQL)})")
+def scores_of_two_tables(spark, sf):
+    """Two tables, each corrected and audited again, side by side in one score table."""
+    d = dirty(spark, sf)
+    _, scores = run_many({"dirty": d, "unique": d.where(F.col(ROW_ID) % 10 != 2)}, rules=dirty_rules(), options=AuditOptions(samples=False))
+    return scores.select("dataset", "post_reliability_score", F.col("issues_post").cast("long").alias("issues_post"))
+
+
+@query("bundle_written", with_audit("""
+SELECT 'fixed' AS part, count(*) AS rows FROM pass2 UNION ALL SELECT 'issues', count(*) FROM issues
+UNION ALL SELECT 'post_issues', count(*) FROM left_over UNION ALL SELECT 'scores', 1 UNION ALL SELECT 'summary', 1
+UNION ALL SELECT 'fixed text', count(*) FROM pass2 WHERE status = 'F'""", RUN_SQL, LEFT_SQL))
+def bundle_written(spark, sf):
+    """All tables of a run in one directory, read back."""
+    path = new_path(spark, "bundle")
+    write_result(run(spark, sf), path)
+    fixed = spark.read.option("header", True).csv(f"{path}/fixed")
+    parts = {"fixed": fixed, "fixed text": fixed.where("status = 'F'"),
+             **{n: spark.read.json(f"{path}/{n}") for n in ("issues", "post_issues", "scores", "summary")}}
+    counted = [t.agg(F.count("*").alias("rows")).select(F.lit(n).alias("part"), "rows") for n, t in parts.items()]
+    return reduce(DataFrame.unionByName, counted)

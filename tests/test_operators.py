@@ -8,11 +8,15 @@ from tablewright import AuditOptions, ColumnRule, CrossRule, Rules, audit, disco
 from tablewright.constants import ROW_ID
 from tablewright.operators import checks as ck
 from tablewright.operators.cells import numbers
-from tablewright.operators.corrupt import corrupt
+from tablewright.operators import evaluate as evaluate_module
+from tablewright.operators.bitmaps import bitmap_of
+from tablewright.operators.cells import typed_cells, typed_values, value_table
+from tablewright.operators.corrupt import TRIAL, corrupt, corrupt_trials
 from tablewright.operators.duplicates import drop_duplicates, duplicate_groups
-from tablewright.operators.evaluate import evaluate, event_signatures
-from tablewright.operators.events import key_conflict_events
+from tablewright.operators.evaluate import evaluate, event_signatures, match_events
+from tablewright.operators.events import detect_events, key_conflict_events
 from tablewright.operators.fixes import fix_column, modes, start_cell
+from tablewright.operators import quantiles as quantiles_module
 from tablewright.operators.quantiles import exact_quantiles
 from tablewright.operators.rules import with_fallback_key
 from tablewright.operators.score import datasets_frame, reliability, sub_scores
@@ -23,7 +27,7 @@ from tablewright.sources import read_csv, write_fixed, write_result
 from tablewright.operators.profile import profile
 from tablewright.functions.temporal import classify_format, parse_timestamp
 from tablewright.functions.text import as_text
-from tablewright.tables import local_rows, new_path, rows_of_groups, small_frame, with_row_id
+from tablewright.tables import local_rows, materialize, new_path, rows_of_groups, small_frame, with_row_id
 
 # One anomaly per row, as in the fixture of the orders table.
 SHOWCASE = [
@@ -134,6 +138,111 @@ def test_exact_quantiles_with_a_hot_value(spark, block_rows):
         assert found[("a", p)] == pytest.approx(np.quantile(values, p), rel=1e-12)
 
 
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_quantiles_whose_brackets_do_not_settle(spark, monkeypatch, rounds):
+    """Sorted by ranges with counted offsets: no window or sort sees a column as a whole."""
+    monkeypatch.setattr(quantiles_module, "MAX_ROUNDS", rounds)
+    rng = np.random.default_rng(8)
+    values = [float(x) for x in np.concatenate([rng.normal(0, 1e-9, 3000), rng.lognormal(0, 30, 3000), np.full(3000, 5.0)])]
+    df = small_frame(spark, [(v, -v if v < 1 else None) for v in values], "a double, b double").repartition(4)
+    probs, distinct = [0.0, 0.1, 0.5, 0.66, 1.0], {}
+    found = exact_quantiles(df, ["a", "b"], probs, block_rows=50, accuracy=4, distinct=distinct)
+    for p in probs:
+        assert found[("a", p)] == pytest.approx(np.quantile(values, p), rel=1e-12)
+        assert found[("b", p)] == pytest.approx(np.quantile([-v for v in values if v < 1], p), rel=1e-12)
+    if not rounds:
+        assert distinct == {"a": len(set(values)), "b": len({v for v in values if v < 1})}
+
+
+def test_ranges_spread_an_unreduced_column(spark, monkeypatch):
+    """What is sorted is dealt out by ranges: a task's window gets a part of the column only."""
+    seen = []
+
+    def spy(df, label="table"):
+        out = materialize(df, label)
+        seen.append((label, out))
+        return out
+
+    monkeypatch.setattr(quantiles_module, "materialize", spy)
+    monkeypatch.setattr(quantiles_module, "MAX_ROUNDS", 0)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        values = spark.range(20_000).select(F.lit("a").alias("column"), (F.col("id") * 3 % 20_011).cast("double").alias("number"), F.lit(2).cast("long").alias("n"))
+        found = quantiles_module.counted_quantiles(values, ["a"], [0.5], {"a": 40_000}, block_rows=100)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found[("a", 0.5)] == statistics.median([i * 3 % 20_011 for i in range(20_000)] * 2)
+    sizes = [r["count"] for r in dict(seen)["ranges"].groupBy("part").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 8_000
+
+
+def test_bitmap_holds_all_and_lets_few_others_through(spark):
+    hashes = materialize(spark.range(3000).select(F.xxhash64("id").alias("h")), "hashes")
+    bits = bitmap_of(hashes, "h")
+    row = spark.range(100_000).where(bits.may_hold(F.xxhash64("id"))).agg(F.count("*").alias("n"), F.count_if(F.col("id") < 3000).alias("own")).first()
+    assert row["own"] == 3000 and row["n"] < 3000 + 97_000 * 0.1
+    assert bitmap_of(hashes.limit(0), "h") is None
+
+
+def _executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_suspects_of_duplicates_are_shuffled_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = materialize(spark.range(5000).select(F.col("id").alias(ROW_ID), F.concat(F.lit("v"), F.col("id") % 4990).alias("a"), F.lit("x").alias("b")), "t")
+        kept = drop_duplicates(df)
+        plan = _executed(kept).split("== Initial Plan ==")[0]
+        assert kept.count() == 4990
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Join" not in plan and len([line for line in plan.splitlines() if "Exchange hashpartitioning" in line]) == 1
+
+
+def test_value_table_counts_every_cell_once(spark):
+    rows = [(i, "hot" if i % 3 else f" v{i} ", None if i % 5 == 0 else float(i % 7), i % 2) for i in range(300)]
+    df = small_frame(spark, rows, f"{ROW_ID} bigint, a string, x double, k int")
+    cells = typed_cells(df).drop(ROW_ID)
+    assert sorted(map(str, cells.collect())) == sorted(
+        str(r) for r in typed_values(value_table(df), df).withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n")))).select(*cells.columns).collect())
+    seen = {(r["column"], r["value"]): r["seen"] for r in value_table(df).collect()}
+    assert seen[("a", "hot")] == 1 and seen[("x", None)] == 0 and seen[("k", "1.0")] == 1
+
+
+def test_sorted_text_column_is_not_taken_for_a_category(spark):
+    """The first thousands of rows hold one value, the column as a whole thousands."""
+    df = spark.range(20_000).select(F.col("id").alias(ROW_ID), F.when(F.col("id") < 15_000, "same").otherwise(F.concat(F.lit("v"), "id")).alias("a"),
+                                    F.concat(F.lit("c"), F.col("id") % 200).alias("b"))
+    assert ck.low_cardinality_columns(df, 200) == ["b"]
+    for values in (None, value_table(df)):
+        assert {r["column"] for r in ck.category_values(df, 200, values=values).select("column").distinct().collect()} == {"b"}
+
+
+def scans_of(spark, path, job):
+    """How many scans of files under ``path`` were run by ``job``."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    before = store.executionsCount()
+    job()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    found = 0
+    for i in range(int(before), int(store.executionsCount())):
+        execution = store.executionsList(i, 1).head()
+        nodes = store.planGraph(execution.executionId()).allNodes()
+        found += sum(nodes.apply(k).name().startswith("Scan parquet") and path in nodes.apply(k).desc() for k in range(nodes.size()))
+    return found
+
+
+def test_an_audit_scans_the_table_at_most_five_times(spark, clean):
+    path = "/tmp/" + new_path(spark, "t").rsplit("-", 1)[1][:8]
+    clean.unionByName(clean.limit(20)).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert 2 <= scans_of(spark, path, lambda: audit(df, "t", CLEAN_RULES)) <= 5
+    assert 2 <= scans_of(spark, path, lambda: detect_events(df, "t", CLEAN_RULES).collect()) <= 3
+
+
 def test_duplicates_hot_group_both_ways(spark):
     rows = [(i, "hot", None) if i % 3 == 0 else (i, f"v{i // 2}", "x") for i in range(600)]
     df = small_frame(spark, rows, f"{ROW_ID} bigint, a string, b string").repartition(4)
@@ -256,6 +365,51 @@ def test_detection_quality(clean):
         assert got[family]["tp"] > 0 and got[family]["recall"] == 1.0, family
 
 
+def test_trials_are_summed_and_counted(clean):
+    families = ["disguisednull", "semantic_duplicate"]
+    one, _ = evaluate(clean, "t", CLEAN_RULES, families, rate=0.05, seed=3)
+    many, trials = evaluate(clean, "t", CLEAN_RULES, families, rate=0.05, seed=3, trials=3)
+    alone = [evaluate(clean, "t", CLEAN_RULES, [f], rate=0.05, seed=3 + i + 2 * k)[0].where("family != 'overall'").first()
+             for i, f in enumerate(families) for k in range(3)]
+    got = {r["family"]: r for r in many.collect()}
+    for f in families:
+        assert got[f]["runs"] == 3 and got[f]["recall"] == 1.0
+        assert [got[f][x] for x in ("tp", "fp", "fn")] == [sum(a[x] for a in alone if a["family"] == f) for x in ("tp", "fp", "fn")]
+    assert got["overall"]["runs"] == 6 and trials.select("trial").distinct().count() == 3
+    assert "runs" not in one.columns
+
+
+def _members(spark, events):
+    rows = [("t", "semantic_duplicate", "duplicate_business_keys", "k", key, i) for key, ids in events.items() for i in ids]
+    return spark.createDataFrame(rows, "dataset string, error_type string, issue_type string, columns string, event_key string, row_id bigint")
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_events_of_many_rows_match_by_their_members(spark, monkeypatch, collide):
+    """Sets with equal size and ends, some equal, some not, with a digest that tells nothing."""
+    if collide:
+        monkeypatch.setattr(evaluate_module, "_digest", lambda: F.lit("same"))
+    truth = _members(spark, {"a": [1, 2, 5, 9], "b": [1, 3, 5, 9], "c": [1, 4, 6, 9], "pair": [20, 21], "long": range(100, 400)})
+    found = _members(spark, {"x": [1, 3, 5, 9], "y": [1, 4, 5, 9], "z": [9, 6, 4, 1, 1], "pair2": [20, 21], "old": [1, 7, 8, 9],
+                             "long2": [*range(100, 398), 398, 399], "twin": [1, 3, 5, 9]})
+    base = _members(spark, {"o": [1, 8, 7, 9], "p": [1, 2, 7, 9]})
+    got = match_events(truth, base, found).groupBy("outcome", "members").count().collect()
+    assert {(r["outcome"], r["members"]): r["count"] for r in got} == {
+        ("tp", 4): 2, ("fn", 4): 1, ("fp", 4): 1, ("tp", 2): 1, ("tp", 300): 1}
+
+
+def test_stacked_tables_are_judged_each_by_itself(spark, clean):
+    """Detection over stacked copies gives what detection of each copy gives."""
+    families = ["iqr_outlier", "mixed_date_format", "semantic_duplicate"]
+    bad, _ = corrupt_trials(clean, "t", CLEAN_RULES, families, 0.05, 5, 2)
+    bad = materialize(bad, "bad")
+    together = detect_events(bad, "t", CLEAN_RULES, by=(TRIAL,))
+    for trial in ("iqr_outlier:1", "mixed_date_format:0", "semantic_duplicate:1"):
+        alone = detect_events(bad.where(F.col(TRIAL) == trial).drop(TRIAL), "t", CLEAN_RULES)
+        mine = together.where(F.col(TRIAL) == trial).drop(TRIAL)
+        assert sorted(mine.collect()) == sorted(alone.collect()) and alone.count() > 5
+
+
 def test_corruption_is_repeatable(clean):
     one, truth = corrupt(clean, "t", CLEAN_RULES, "semantic_duplicate", 0.05, 9)
     two, _ = corrupt(clean.repartition(3), "t", CLEAN_RULES, "semantic_duplicate", 0.05, 9)
@@ -305,6 +459,35 @@ def test_csv_rows_that_do_not_fit(spark, tmp_path):
     assert sorted(r["record"] for r in table.bad.collect()) == ['"x,7', "3,4,5"]
 
 
+@pytest.mark.parametrize("split", [100, 1 << 20])
+def test_csv_with_breaks_in_cells_is_split(spark, tmp_path, split):
+    """Quoted breaks, doubled quotes and empty lines, with splits of a few lines, are read as in one task."""
+    import csv
+    import random
+
+    rng = random.Random(split)
+    parts = ["x", "long text", 'a ""', "line\nbreak", "\n\n", "\r\n", '","', "", "é", '"']
+    rows = [[str(i), "".join(rng.choices(parts, k=rng.randint(0, 5))), "".join(rng.choices(parts, k=2))] for i in range(80)]
+    rows += [["hot", "\n" * 200, ""]]
+    for n in range(2):
+        with open(tmp_path / f"{n}.csv", "w", newline="") as f:
+            writer = csv.writer(f, lineterminator="\r\n" if n else "\n")
+            writer.writerows([["id", "a", "b"], *[[f"{n}-{r[0]}", *r[1:]] for r in rows]])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = read_csv(spark, str(tmp_path), nulls=(), multi_line=True).data
+        found = {r["id"]: (r["a"] or "", r["b"] or "") for r in got.collect()}
+        assert got.count() == len(found)
+        whole = {r["id"]: (r["a"] or "", r["b"] or "") for r in read_csv(spark, str(tmp_path), nulls=(), multi_line="file").data.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == {f"{n}-{r[0]}": (r[1], r[2]) for n in range(2) for r in rows}
+    plain = lambda cells: tuple(c.replace("\r\n", "\n") for c in cells)  # noqa: E731  in one task Spark itself changes these
+    assert {k: plain(v) for k, v in found.items()} == {k: plain(v) for k, v in whole.items()}
+
+
 def test_csv_files_meet_by_name(spark, tmp_path):
     table = read_csv(spark, folder(tmp_path, a="a,b\n1,2\n", b="b,a\n3,4\n"))
     assert sorted(tuple(r) for r in table.data.select("a", "b").collect()) == [("1", "2"), ("4", "3")]
