@@ -88,9 +88,13 @@ def _typed_numbers(cells: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- distinct cells with their counts
 
+VALUE_TYPES = {"column": "string", "value": "string", "n": "bigint", "seen": "bigint", "is_typed": "boolean", "text": "string",
+               "layout": "string", "token": "string", "number": "double", "stamp": "timestamp_ntz"}
+
+
 def value_table(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """(by..., column, value, n, seen) of every scalar column: each distinct cell, the rows that hold it and the first of
-    them (0 without row ids). Written once.
+    """(by..., column, value, n, seen, is_typed, text, layout, token, number, stamp) of every scalar column: each distinct
+    cell, the rows that hold it, the first of them (0 without row ids), and what it reads as. Written once.
 
     One scan and one map-side-combined aggregate. What a profile or an audit asks of single columns (counts, types,
     layouts, distinct values, quartiles, samples) is read from here, so each distinct cell is parsed once.
@@ -99,28 +103,30 @@ def value_table(df: DataFrame, columns: Sequence[str] | None = None, by: Sequenc
     wanted = [c for c in df.columns if c in text + numeric and c not in by]
     keep = [*by, *([ROW_ID] if ROW_ID in df.columns else [])]
     if not wanted:
-        return df.select(*[col(c) for c in by], *[F.lit(None).cast(t).alias(n) for n, t in (
-            ("column", "string"), ("value", "string"), ("n", "bigint"), ("seen", "bigint"))]).where("false")
+        return df.select(*[col(c) for c in by], *[F.lit(None).cast(t).alias(n) for n, t in VALUE_TYPES.items()]).where("false")
     plain = df.select(*[col(c) for c in keep], *[
         (F.nanvl(col(c).cast("double"), F.lit(None).cast("double")) if c in numeric else col(c)).cast("string").alias(c) for c in wanted])
     cells = plain.unpivot([col(c) for c in keep], [col(c) for c in wanted], "column", "value")
     seen = F.min(ROW_ID) if ROW_ID in df.columns else F.lit(0)
-    return materialize(cells.groupBy(*by, "column", "value").agg(F.count("*").alias("n"), seen.cast("long").alias("seen")), "values")
+    counted = cells.groupBy(*by, "column", "value").agg(F.count("*").alias("n"), seen.cast("long").alias("seen"))
+    typed = F.col("is_typed")
+    read = (counted.withColumn("is_typed", F.col("column").isin(*numeric) if numeric else F.lit(False))
+            .withColumn("text", F.when(~typed, as_text("value"))).withColumn("layout", layout("text", stripped=True))
+            .withColumn("token", F.lower("text"))
+            .withColumn("number", F.when(typed, F.col("value").try_cast("double")).otherwise(parse_number_loose("text", stripped=True)))
+            .withColumn("stamp", parse_timestamp("text", F.col("layout"))))
+    return materialize(read.select(*[col(c) for c in by], *VALUE_TYPES), "values")
 
 
 def typed_values(values: DataFrame, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """The columns of ``typed_cells`` for each row of the value table of ``df``, with its other columns."""
-    text, numeric = _scalar_columns(df, columns)
-    keep = [c for c in values.columns if c not in ("column", "value")]
-    parts = []
-    if text:
-        parts.append(_typed_text(values.where(F.col("column").isin(*text)), keep))
-    if numeric:
-        cells = values.where(F.col("column").isin(*numeric)).withColumn("number", F.col("value").cast("double"))
-        parts.append(_typed_numbers(cells, keep))
-    if not parts:
-        return values.select(*keep, *[F.lit(None).cast(t).alias(n) for n, t in CELL_TYPES.items()]).where("false")
-    return reduce(DataFrame.unionByName, parts)
+    """The rows of a value table of ``df`` for some columns: typed cells with the rows that each stands for."""
+    wanted = sum(_scalar_columns(df, columns), [])
+    return values.where(F.col("column").isin(*wanted)) if wanted else values.where("false")
+
+
+def with_stamp(cells: DataFrame) -> DataFrame:
+    """Cells with their parsed date, which a value table has already."""
+    return cells if "stamp" in cells.columns else cells.withColumn("stamp", parse_timestamp("text", F.col("layout")))
 
 
 def counted_cells(df: DataFrame, values: DataFrame | None = None, columns: Sequence[str] | None = None) -> DataFrame:

@@ -18,6 +18,8 @@ from tablewright.operators.bitmaps import bitmap_of
 from tablewright.tables import col, data_columns, materialize
 
 _HASH = "_row_hash"
+#: So many repeated hashes are a list in the plan; more are a bitmap.
+FEW = 2_000
 
 
 def _columns_to_group(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
@@ -40,8 +42,11 @@ def repeated_hashes(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 def suspected(df: DataFrame, columns: Sequence[str], hashes: DataFrame | None = None) -> Column:
     """True for all rows that equal another one in these columns, and for hardly any other."""
-    bits = bitmap_of(repeated_hashes(df, columns) if hashes is None else hashes, _HASH)
-    return F.lit(False) if bits is None else bits.may_hold(hash_of(columns))
+    hashes = repeated_hashes(df, columns) if hashes is None else hashes
+    few = [r[_HASH] for r in hashes.limit(FEW + 1).collect()]
+    if len(few) <= FEW:
+        return hash_of(columns).isin(few) if few else F.lit(False)
+    return bitmap_of(hashes, _HASH).may_hold(hash_of(columns))
 
 
 def duplicate_groups(df: DataFrame, columns: Sequence[str] | None = None,

@@ -12,7 +12,7 @@ from tablewright.constants import DISGUISED_NULLS, FORBIDDEN_SYMBOLS, ROW_ID, TO
 from tablewright.functions import temporal as tp
 from tablewright.operators.cells import (
     cell_text, counted_cells, is_disguised_cell, is_filled, is_null, is_present_cell, numbers, rows_where, typed_cells,
-    typed_values, value_table)
+    typed_values, value_table, with_stamp)
 from tablewright.operators.quantiles import exact_quantiles
 from tablewright.functions.text import lookup
 from tablewright.tables import col, column_groups, data_columns, is_numeric_type, small_frame
@@ -36,7 +36,7 @@ def _share(part: str, whole: str) -> Column:
 def column_counts(df: DataFrame, tokens: Sequence[str] = DISGUISED_NULLS, values: DataFrame | None = None) -> DataFrame:
     """One row of counts per scalar column, from one scan (or the table's distinct ``values``) and one narrow shuffle."""
     shape, text, number = F.col("layout"), F.col("text"), F.col("number")
-    cells = (counted_cells(df, values).withColumn("stamp", tp.parse_timestamp("text", shape))
+    cells = (with_stamp(counted_cells(df, values))
              .withColumn("filled", is_filled()).withColumn("present", is_present_cell(tokens)))
     filled, present = F.col("filled"), F.col("present")
     return cells.groupBy("column").agg(

@@ -8,6 +8,7 @@ from tablewright import AuditOptions, ColumnRule, CrossRule, Rules, audit, disco
 from tablewright.constants import ROW_ID
 from tablewright.operators import checks as ck
 from tablewright.operators.cells import numbers
+from tablewright.operators import duplicates as duplicates_module
 from tablewright.operators import evaluate as evaluate_module
 from tablewright.operators.bitmaps import bitmap_of
 from tablewright.operators.cells import typed_cells, typed_values, value_table
@@ -189,7 +190,9 @@ def _executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_only_suspects_of_duplicates_are_shuffled_once(spark):
+@pytest.mark.parametrize("few", [2_000, 0])
+def test_only_suspects_of_duplicates_are_shuffled_once(spark, monkeypatch, few):
+    monkeypatch.setattr(duplicates_module, "FEW", few)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = materialize(spark.range(5000).select(F.col("id").alias(ROW_ID), F.concat(F.lit("v"), F.col("id") % 4990).alias("a"), F.lit("x").alias("b")), "t")
