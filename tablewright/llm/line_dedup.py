@@ -9,11 +9,15 @@ lose theirs.
 That is the query's rule, as its SQL has it. ``by_similarity`` decides by likeness instead: lines of a leaf that agree
 in most tokens are variants. They meet by equal segments, one of which two such lines share at least, and are compared
 with the first lines of the segment; in leaves of any size they also meet by templates that leave out one token or the
-rarest ones. All this goes by distinct lines, so copies of a line, or of a field's value, change nothing.
+rarest ones. Lines that have met no earlier variant so far are compared with all lines of their segments, crowded ones
+being parted into finer segments till few lines are left. All this goes by distinct lines, so copies of a line, or of a
+field's value, change nothing.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,8 +31,9 @@ LINE = ("line1", "line2")
 #: A token of digits and marks, after masking.
 FIGURE = r"(?<![^ ])(?=[^ ]*0)[^\p{L} ]++(?![^ ])"
 
-#: Lines of a segment that all others of it are compared with, at most.
-HUBS = 8
+#: Lines of a segment that all others of it are compared with first; lines of a segment that are few enough to compare
+#: open ones with each. Neither changes a result.
+HUBS, CROWD = 8, 32
 
 
 def _split(docs: DataFrame, id_col: str, text_col: str, places: DataFrame | None, *forms) -> DataFrame:
@@ -110,22 +115,23 @@ def _tokens(texts: DataFrame) -> DataFrame:
                               F.xxhash64("leaf", "at", "token", F.lit("second")).alias("key2")), "tokens")
 
 
-def _alike(texts: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(line1, line2, keeper): the least document of a line that agrees with this one in most tokens."""
-    differ = F.floor((1 - SIMILARITY) * F.col("n") + F.lit(1e-9))  # so many at most; one segment more
-    segment = F.floor((F.col("at") - DEPTH) * (differ + 1) / (F.col("n") - DEPTH))
-    segments = cut(tokens.where(F.col("at") >= DEPTH).groupBy(*LINE, segment.alias("segment")).agg(
+def _differ(n: str) -> Column:
+    """So many tokens may differ at most in lines of n that are alike."""
+    return F.floor((1 - SIMILARITY) * F.col(n) + F.lit(1e-9)).cast("int")
+
+
+def _segments(tokens: DataFrame) -> DataFrame:
+    """(line1, line2, segment, bucket, first): a line's tokens in one segment more than may differ, each with its hash."""
+    segment = F.floor((F.col("at") - DEPTH) * (_differ("n") + 1) / (F.col("n") - DEPTH)).cast("int")
+    return cut(tokens.where(F.col("at") >= DEPTH).groupBy(*LINE, segment.alias("segment")).agg(
         F.bit_xor("key").alias("bucket"), F.min("first").alias("first")), "segments")
-    hubs = (segments.groupBy("bucket", F.pmod(F.xxhash64("line1", "segment"), F.lit(HUBS)).alias("of"))
-            .agg(F.min(F.struct("first", *LINE)).alias("hub"), F.count("*").alias("n")))
-    # A hub that is alone in its bucket is met by nobody.
-    shared = cut(hubs.join(hubs.groupBy("bucket").agg(F.sum("n").alias("all")).where("all > 1"), "bucket").select("bucket", "hub"), "hubs")
-    met = (segments.where(maybe_in(bitmap(shared, "bucket"), "bucket")).join(shared, "bucket")
-           .select(*LINE, F.col("hub.line1").alias("hub1"), F.col("hub.line2").alias("hub2"))
-           .where("line1 != hub1 or line2 != hub2").distinct())
+
+
+def _compared(met: DataFrame, texts: DataFrame) -> DataFrame:
+    """(line1, line2, keeper) for both lines of the pairs (line1, line2, hub1, hub2) that agree in most tokens."""
     own, other = texts.select(*LINE, "norm", "first"), texts.select(F.col("line1").alias("hub1"), F.col("line2").alias("hub2"),
                                                                     F.col("norm").alias("hub"), F.col("first").alias("hub_first"))
-    both = met.join(own, list(LINE)).join(other, ["hub1", "hub2"])
+    both = met.where("line1 != hub1 or line2 != hub2").distinct().join(own, list(LINE)).join(other, ["hub1", "hub2"])
     same = F.zip_with(F.split("norm", " "), F.split("hub", " "), lambda a, b: F.when(a == b, 1).otherwise(0))
     near = both.where(F.aggregate(same, F.lit(0), lambda n, x: n + x) >= SIMILARITY * F.size(same))
     keeper = F.least("first", "hub_first").alias("keeper")
@@ -133,6 +139,66 @@ def _alike(texts: DataFrame, tokens: DataFrame) -> DataFrame:
     return near.select(F.explode(pairs).alias("p")).select("p.*").groupBy(*LINE).agg(F.min("keeper").alias("keeper"))
 
 
+def _alike(texts: DataFrame, segments: DataFrame) -> DataFrame:
+    """(line1, line2, keeper): the least document of a line that agrees with this one in most tokens, if it is the first
+    one of some segment."""
+    hubs = (segments.groupBy("bucket", F.pmod(F.xxhash64("line1", "segment"), F.lit(HUBS)).alias("of"))
+            .agg(F.min(F.struct("first", *LINE)).alias("hub"), F.count("*").alias("n")))
+    # A hub that is alone in its bucket is met by nobody.
+    shared = cut(hubs.join(hubs.groupBy("bucket").agg(F.sum("n").alias("all")).where("all > 1"), "bucket").select("bucket", "hub"), "hubs")
+    met = (segments.where(maybe_in(bitmap(shared, "bucket"), "bucket")).join(shared, "bucket")
+           .select(*LINE, F.col("hub.line1").alias("hub1"), F.col("hub.line2").alias("hub2")))
+    return _compared(met, texts)
+
+
+def _open(rows: DataFrame, losing: DataFrame) -> DataFrame:
+    """Rows with ``open``: whether the line is not known to be like an earlier document's."""
+    known = losing.select(*LINE, "keeper")
+    return rows.join(known, list(LINE), "left").withColumn("open", F.coalesce(F.col("keeper") >= F.col("first"), F.lit(True))).drop("keeper")
+
+
+def _parted(texts: DataFrame, segments: DataFrame, losing: DataFrame) -> DataFrame:
+    """(line1, line2, keeper) for the lines left open, so that no pair of lines alike is missed.
+
+    An open line is compared with all earlier lines of its segment if these are few. Lines of a crowded one are compared
+    with its first line and then parted again: the tokens that vary in it and were not yet equal make segments, one more
+    than may differ, one of which two lines alike share. This ends where no more tokens vary than may differ, as all
+    lines there are like the first. Crowds without an open line are left.
+    """
+    words = texts.select(*LINE, F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)).alias("words"))
+    rows, found = _open(segments, losing), []
+    spelled = False
+    while True:
+        crowds = (rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("first", *LINE)).alias("hub"),
+                                             F.max(F.when(F.col("open"), F.col("first"))).alias("latest")).where("hub.first < latest"))
+        rows = cut(rows.join(crowds, "bucket"), "crowds")
+        few = rows.where(F.col("n") <= CROWD)
+        earlier = few.select("bucket", F.col("first").alias("hub_first"), F.col("line1").alias("hub1"), F.col("line2").alias("hub2"))
+        met = (few.where("open").join(earlier, "bucket").where("hub_first < first").select(*LINE, "hub1", "hub2")
+               .unionByName(rows.where((F.col("n") > CROWD) & F.col("open"))
+                            .select(*LINE, F.col("hub.line1").alias("hub1"), F.col("hub.line2").alias("hub2"))))
+        found.append(cut(_compared(met, texts), "compared"))
+        crowd = rows.where(F.col("n") > CROWD)
+        if crowd.isEmpty():
+            break
+        if not spelled:
+            crowd = crowd.join(words, list(LINE)).withColumn("differ", F.floor((1 - SIMILARITY) * F.size("words") + F.lit(1e-9)).cast("int"))
+            places, size, spelled = F.sequence(F.lit(DEPTH), F.size("words") - 1), F.size("words") - DEPTH, True
+            crowd = crowd.withColumn("free", F.filter(places, lambda at: F.floor((at - DEPTH) * (F.col("differ") + 1) / size) != F.col("segment")))
+        was = crowd.drop("n", "hub", "latest").withColumnRenamed("open", "was")
+        crowd = cut(_open(was, found[-1]).withColumn("open", F.col("open") & F.col("was")).drop("was"), "crowd")
+        tokens = crowd.select("bucket", "words", F.explode("free").alias("at")).select("bucket", "at", F.element_at("words", F.col("at") + 1).alias("token"))
+        vary = (tokens.groupBy("bucket", "at").agg(F.min("token").alias("a"), F.max("token").alias("b")).where("a != b")
+                .groupBy("bucket").agg(F.array_sort(F.collect_list("at")).alias("free")))
+        crowd = crowd.drop("free").join(vary, "bucket").where(F.size("free") > F.col("differ"))
+        crowd = crowd.withColumn("segment", F.explode(F.sequence(F.lit(0), F.col("differ"))))
+        mine = F.filter("free", lambda at, i: F.floor(i * (F.col("differ") + 1) / F.size("free")) == F.col("segment"))
+        crowd = crowd.withColumn("mine", mine)
+        bucket = F.xxhash64("bucket", "segment", F.transform("mine", lambda at: F.element_at("words", at + 1)))
+        rows = crowd.withColumn("bucket", bucket).withColumn("free", F.array_except("free", "mine")).drop("mine")
+    return reduce(DataFrame.unionByName, found)
+
+
 def _variants(tokens: DataFrame) -> DataFrame:
     """(line1, line2, x, y, first, last): the templates that a line may have, x and y being hashes of the constant tokens.
 
@@ -189,14 +255,16 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         texts = cut(texts, "texts")
         tokens = _tokens(texts)
         general = _variants(tokens)
-        exact = exact.unionByName(_alike(texts, tokens))
+        segments = _segments(tokens)
+        exact = exact.unionByName(_alike(texts, segments))
     else:
         general = _generalised(_spelled(texts), wanted)
         exact = exact.join(general, list(LINE), "left_anti")
     keepers = general.groupBy("x", "y").agg(F.min("first").alias("keeper"), F.max("last").alias("end")).where("keeper != end")
     losing = general.join(keepers, ["x", "y"]).select(*LINE, "keeper").unionByName(exact)
     if by_similarity:
-        losing = losing.groupBy(*LINE).agg(F.min("keeper").alias("keeper"))
+        losing = cut(losing.groupBy(*LINE).agg(F.min("keeper").alias("keeper")), "losing_first")
+        losing = losing.unionByName(_parted(texts, segments, losing)).groupBy(*LINE).agg(F.min("keeper").alias("keeper"))
     losing = cut(losing, "losing")
     drops = cut(seen.where(maybe_in(bitmap(losing, *LINE), *LINE)).join(losing, list(LINE)).where("doc != keeper")
                 .groupBy("doc", "hash").agg(F.collect_set("pos").alias("__llm_drop"))

@@ -115,6 +115,18 @@ def test_line_dedup_rows(spark):
     assert drop_recurring(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("vary, values, n, length", [(4, 30, 1200, 10), (7, 6, 300, 10), (2, 60, 300, 5), (9, 4, 200, 24)])
+def test_line_dedup_by_similarity_finds_every_variant_of_a_crowd(spark, vary, values, n, length):
+    rng = random.Random(vary)
+    places = set(rng.sample(range(3, length), min(vary, length - 3)))
+    value = lambda: chr(97 + (k := rng.randrange(values)) % 26) + chr(97 + k // 26)
+    lines = list(dict.fromkeys(tuple(value() if at in places else f"w{chr(97 + at)}" for at in range(length)) for _ in range(n)))
+    want = {i for i, a in enumerate(lines) if any(10 * sum(x == y for x, y in zip(a, b)) >= 8 * length for b in lines[:i])}
+    frame = spark.createDataFrame([(i, " ".join(a)) for i, a in enumerate(lines)], "doc_id long, text string")
+    got = {r.doc_id for r in drop_recurring(frame, by_similarity=True).collect() if r.n_dropped}
+    assert len(want) > n // 20 and (want - got, got - want) == (set(), set())
+
+
 def test_line_dedup_by_similarity(spark):
     rows = [(8, "in this room user bob has left us"), (9, "in this room user eve has left us"), (11, "in this room user bob has left us"),
             (12, "in this room user eve has left us"), (13, "in this room there was nobody but us"),
