@@ -31,8 +31,8 @@ LINE = ("line1", "line2")
 #: A token of digits and marks, after masking.
 FIGURE = r"(?<![^ ])(?=[^ ]*0)[^\p{L} ]++(?![^ ])"
 
-#: Lines of a segment that all others of it are compared with first; lines of a segment that are few enough to compare
-#: open ones with each. Neither changes a result.
+#: Lines of a segment that all others of it are compared with first; open lines of a segment that are few enough to be
+#: compared with each line of it. Neither changes a result.
 HUBS, CROWD = 8, 32
 
 
@@ -160,32 +160,32 @@ def _open(rows: DataFrame, losing: DataFrame) -> DataFrame:
 def _parted(texts: DataFrame, segments: DataFrame, losing: DataFrame) -> DataFrame:
     """(line1, line2, keeper) for the lines left open, so that no pair of lines alike is missed.
 
-    An open line is compared with all earlier lines of its segment if these are few. Lines of a crowded one are compared
-    with its first line and then parted again: the tokens that vary in it and were not yet equal make segments, one more
-    than may differ, one of which two lines alike share. This ends where no more tokens vary than may differ, as all
-    lines there are like the first. Crowds without an open line are left.
+    A segment's open lines are compared with all earlier lines of it if they are few. Where many are open, they are
+    compared with its first line, and all its lines then parted again: the tokens that vary in it and were not yet equal
+    make segments, one more than may differ, one of which two lines alike share. This ends where no more tokens vary
+    than may differ, as all lines there are like the first. Crowds without an open line are left.
     """
     words = texts.select(*LINE, F.transform(F.split("norm", " "), lambda w: F.xxhash64(w)).alias("words"))
     rows, found = _open(segments, losing), []
     spelled = False
     while True:
-        crowds = (rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("first", *LINE)).alias("hub"),
+        crowds = (rows.groupBy("bucket").agg(F.count_if("open").alias("n_open"), F.min(F.struct("first", *LINE)).alias("hub"),
                                              F.max(F.when(F.col("open"), F.col("first"))).alias("latest")).where("hub.first < latest"))
         rows = cut(rows.join(crowds, "bucket"), "crowds")
-        few = rows.where(F.col("n") <= CROWD)
+        few = rows.where(F.col("n_open") <= CROWD)
         earlier = few.select("bucket", F.col("first").alias("hub_first"), F.col("line1").alias("hub1"), F.col("line2").alias("hub2"))
         met = (few.where("open").join(earlier, "bucket").where("hub_first < first").select(*LINE, "hub1", "hub2")
-               .unionByName(rows.where((F.col("n") > CROWD) & F.col("open"))
+               .unionByName(rows.where((F.col("n_open") > CROWD) & F.col("open"))
                             .select(*LINE, F.col("hub.line1").alias("hub1"), F.col("hub.line2").alias("hub2"))))
         found.append(cut(_compared(met, texts), "compared"))
-        crowd = rows.where(F.col("n") > CROWD)
+        crowd = rows.where(F.col("n_open") > CROWD)
         if crowd.isEmpty():
             break
         if not spelled:
             crowd = crowd.join(words, list(LINE)).withColumn("differ", F.floor((1 - SIMILARITY) * F.size("words") + F.lit(1e-9)).cast("int"))
             places, size, spelled = F.sequence(F.lit(DEPTH), F.size("words") - 1), F.size("words") - DEPTH, True
             crowd = crowd.withColumn("free", F.filter(places, lambda at: F.floor((at - DEPTH) * (F.col("differ") + 1) / size) != F.col("segment")))
-        was = crowd.drop("n", "hub", "latest").withColumnRenamed("open", "was")
+        was = crowd.drop("n_open", "hub", "latest").withColumnRenamed("open", "was")
         crowd = cut(_open(was, found[-1]).withColumn("open", F.col("open") & F.col("was")).drop("was"), "crowd")
         tokens = crowd.select("bucket", "words", F.explode("free").alias("at")).select("bucket", "at", F.element_at("words", F.col("at") + 1).alias("token"))
         vary = (tokens.groupBy("bucket", "at").agg(F.min("token").alias("a"), F.max("token").alias("b")).where("a != b")
