@@ -13,7 +13,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,13 +55,20 @@ MARKS = frozenset(
     "complementary contentinfo search dialog alert response responses discussion aside".split())
 #: The same, outside content only; and what makes a class speak of something else, as in with-sidebar.
 OUTER_MARKS, NEGATIONS = frozenset("header top side".split()), frozenset("has with no without is not".split())
+#: Inside content a name marks furniture if it has just such words and these that say nothing of their own; a name with other
+#: words, as in related-work, or of a word that articles use as well is one that links or fields have to bear out.
+GENERIC = frozenset("article articles area bar block body bottom box button buttons container content group header heading icon icons inline inner "
+                    "item items js label left link links list main more news outer page panel post posts right section site slot stories story "
+                    "text title top unit wrap wrapper".split())
+AMBIGUOUS = frozenset("dialog discussion response responses search".split())
+FIELDS = frozenset("input select textarea button".split())
 #: Furniture that may be wrapped around a whole page, by name or by words of a class that speak of its layout.
 WRAPPERS, LAYOUT = frozenset(["form"]), frozenset("sidebar nav navbar header top side toolbar banner search overlay modal".split())
 _LABEL = re.compile(r"article|main", re.I)
 _ARTICLE = re.compile(r"<(?:article|main)[\s/>]", re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|([^<]+|<)", re.S)
 _BROKEN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")  # quotes that don't match
-_HINTS = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_HINTS = re.compile(r"""(?<![\w-])(?:class|id|(role))\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"(?<![\w-])(?:hidden(?![\w-])|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
 _PARTS = re.compile(r"[a-z]+")
 
@@ -82,13 +89,26 @@ def _is_furniture(name: str, attributes: str, in_content: bool, allowed: frozens
     if name in ("body", "html") or not attributes:
         return False
     marks = (MARKS if in_content else MARKS | OUTER_MARKS) - allowed
-    for hint in " ".join("".join(m) for m in _HINTS.findall(attributes)).split():
-        parts = _PARTS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", hint).lower())
-        if parts and parts[0] not in NEGATIONS and not marks.isdisjoint(parts):
+    for is_role, parts in _names(attributes):
+        sure = marks if is_role or not in_content else marks - AMBIGUOUS if (MARKS | GENERIC).issuperset(parts) else ()
+        if parts[0] not in NEGATIONS and not set(sure).isdisjoint(parts):
             return True
     return bool(_HIDDEN.search(attributes))
 
 
+def _names(attributes: str) -> Iterator[tuple[bool, list[str]]]:
+    """(whether it is a role, words) of each class, id and role."""
+    for role, *value in _HINTS.findall(attributes):
+        for hint in "".join(value).split():
+            if parts := _PARTS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", hint).lower()):
+                yield bool(role), parts
+
+
+def _is_suspect(attributes: str) -> bool:
+    """Whether a name inside content has a word of furniture."""
+    return bool(attributes) and any(parts[0] not in NEGATIONS and not MARKS.isdisjoint(parts) for _, parts in _names(attributes))
+
+
 def tokens(page: str) -> list[Token]:
     """The page's tags and runs of text, in order; comments, declarations and raw elements are none.
 
@@ -103,12 +123,21 @@ class _Open(list):
     """Open elements: (name, level of furniture in or above, content in or above, owner, "unread" or "formula" in or above).
 
     Counts each name and keeps, for every element, the place of the nearest one at or above it that ends a paragraph's
-    formatting and of the nearest one that foreign markup ends at, so that no depth of elements makes a tag costly."""
+    formatting and of the nearest one that foreign markup ends at, so that no depth of elements makes a tag costly.
+
+    Watched elements, from ``watch`` on, are furniture if most of their words are links or if they have a field."""
 
     def __init__(self):
         super().__init__()
         self.names: Counter = Counter()
         self.block_at, self.foreign_at = [], []
+        self.n_words = self.n_links = self.n_fields = 0
+        self.watched: list[tuple[int, int, int, int, int]] = []
+        self.furniture: list[tuple[int, int]] = []
+
+    def watch(self, at: int) -> None:
+        """The element that is pushed next, whose tokens begin at ``at``."""
+        self.watched.append((len(self), at, self.n_words, self.n_links, self.n_fields))
 
     def push(self, element: tuple[str, int, bool, int, str]) -> None:
         name, here = element[0], len(self)
@@ -117,19 +146,24 @@ class _Open(list):
         self.foreign_at.append(here if name in INTEGRATES or name in FOREIGN else self.foreign_at[-1] if here else -1)
         self.append(element)
 
-    def cut(self, depth: int) -> None:
+    def cut(self, depth: int, at: int) -> None:
+        """Ends all elements from this depth on, before token ``at``."""
+        while self.watched and self.watched[-1][0] >= depth:
+            _, start, words, links, fields = self.watched.pop()
+            if 2 * (self.n_links - links) > self.n_words - words or self.n_fields > fields:
+                self.furniture.append((start, at))
         for element in self[depth:]:
             self.names[element[0]] -= 1
         for kept in (self, self.block_at, self.foreign_at):
             del kept[depth:]
 
-    def close(self, name: str) -> None:
+    def close(self, name: str, at: int) -> None:
         """Up to the last open element of this name, if there is one."""
         if self.names[name]:
             depth = len(self) - 1
             while self[depth][0] != name:
                 depth -= 1
-            self.cut(depth)
+            self.cut(depth, at)
 
 
 def _tokens(page: str, in_wrapper: bool) -> list[Token]:
@@ -150,29 +184,32 @@ def _tokens(page: str, in_wrapper: bool) -> list[Token]:
                 text = entities.unescape(text)
                 count = len(text.split())
                 kind = "word:furniture" if level else "word:link" if any(s[0] == "a" for s in stack[-4:]) else "word"
+                stack.n_words += count
+                stack.n_links += count if kind == "word:link" else 0
                 out.append(Token(kind, text, count, False, content, owner))
             continue
         if name is None:
             continue
         name = name.lower()
         if close:
-            stack.close(name)
+            stack.close(name, len(out))
             if not (stack and stack[-1][4]) and name not in UNREAD and name not in FOREIGN:
                 out.append(Token("/" + name, "", 0, name in BLOCKS, content, owner))
             continue
         if foreign and name in BREAKOUT:  # markup that was never closed ends where the page's own goes on
             depth = stack.foreign_at[-1]
             if depth >= 0 and stack[depth][0] not in INTEGRATES:
-                stack.cut(depth)
+                stack.cut(depth, len(out))
         while stack and name in CLOSED_BY.get(stack[-1][0], ()):
-            stack.cut(len(stack) - 1)
+            stack.cut(len(stack) - 1, len(out))
         if name in BLOCKS and stack:  # formatting that was never closed ends with its block's paragraph
             depth = stack.block_at[-1]
             if depth >= 0 and stack[depth][0] == "p" and name in CLOSED_BY["p"]:
-                stack.cut(depth)
+                stack.cut(depth, len(out))
         level, content, owner, foreign = stack[-1][1:] if stack else (0, False, 0, "")
         if not foreign and name != FORMULA:
             out.append(Token(name, "", 0, name in BLOCKS, content, owner))
+        stack.n_fields += name in FIELDS
         closed = name in VOID or attributes.rstrip().endswith("/")
         if name in RAW and not (foreign and closed):
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
@@ -187,7 +224,15 @@ def _tokens(page: str, in_wrapper: bool) -> list[Token]:
                 owners += 1
                 owner = owners
             foreign = "unread" if foreign == "unread" or name in UNREAD else "formula" if foreign or name == FORMULA else ""
+            if content and _is_suspect(attributes):
+                stack.watch(len(out))
             stack.push((name, level, content, owner, foreign))
+    stack.cut(0, len(out))
+    done = 0
+    for start, end in sorted(stack.furniture):
+        for i in range(max(start, done), end):
+            out[i] = replace(out[i], kind="word:furniture" if out[i].text else out[i].kind, content=False)
+        done = max(done, end)
     return out
 
 

@@ -1,11 +1,15 @@
 import itertools
+import os
 import random
+import re
 import time
+from collections import Counter
 
 import pytest
 
 from tablewright.llm.html import best_region, extract, learn, learned, main_text, tokens
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 STORY = ["The first paragraph has a good number of words in it.", "A second one &amp; it follows, with a <a href='/x'>link</a> inside.",
          "The last paragraph ends the story of the day."]
 TEXT = "A heading\n\nThe first paragraph has a good number of words in it.\n\nA second one & it follows, with a link inside.\n\n" \
@@ -72,6 +76,39 @@ def test_furniture_inside_the_article(scores, sides):
     assert min(learned([("word", True, 10 ** 9), ("word:furniture", False, 10 ** 9), ("nav", False, 10 ** 6)]).values()) >= -4
 
 
+PROSE = "These words of the article are about the matter itself and have to stay."
+
+
+@pytest.mark.parametrize("open_, name", [("section id='related-work'", "section"), ("section class='discussion'", "section"),
+                                         ("div class='search-algorithm'", "div"), ("p class='notice-period'", "p"),
+                                         ("div class='ad-hoc-methods'", "div"), ("ol class='menu-recipes'", "ol"), ("div class='no-ads'", "div")])
+def test_names_inside_the_article_need_evidence(scores, open_, name):
+    before, after = "<p>Before it there is a sentence.</p>", "<p>After it there is one, too.</p>"
+    want = ["Before it there is a sentence.", PROSE, "After it there is one, too."]
+    assert main_text(f"<article>{before}<{open_}>{PROSE}</{name}>{after}</article>", scores).split("\n\n") == want
+    if name != "p" and "no-ads" not in open_:
+        for box in ("<a href=x>One of ten more stories</a> by us", "Your words <input name=q>"):
+            for end in (f"</{name}>", ""):
+                got = main_text(f"<article>{before}<div><{open_}>{box}{end}</div>{after}</article>", scores).split("\n\n")
+                assert got == [want[0], want[2]]
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-box", "adBanner", "related-posts", "share-buttons", "cookie-notice", "newsletter signup", "comments"])
+def test_names_of_furniture_alone(scores, name):
+    assert main_text(f"<article><p>One sentence here.</p><div class='{name}'>{PROSE}</div><p>Two are here.</p></article>", scores) == \
+        "One sentence here.\n\nTwo are here."
+
+
+def test_pages_without_article_elements(spark):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    scores, words, found, wrong = learn(pages), 0, 0, 0
+    for r in pages.select("html").collect():
+        want = Counter(main_text(r.html, scores).split())
+        got = Counter(main_text(re.sub(r"<(/?)(?:article|main)(?=[\s>])", r"<\1div", r.html or ""), scores).split())
+        words, found, wrong = words + want.total(), found + (want & got).total(), wrong + (got - want).total()
+    assert words > 1000 and found >= 0.95 * words and wrong <= 0.02 * words
+
+
 @pytest.mark.parametrize("odd", ["<svg class=x viewBox='0 0 1 1'/>", "<math/>", "<div><svg><path d='M0'><text>icon</text></div>",
                                  "<div><object data=x>no plugin here</div>", "<svg><title>t</title><path/></svg>", "<svg><g>"])
 def test_foreign_elements(scores, odd):
