@@ -29,7 +29,7 @@ from tablewright.llm.common import cut
 CAPACITY, END_ID = 1024, 2
 #: (groups of large lengths, what a large length exceeds as a part of the capacity): each gives a plan, and the
 #: one with the fewest sequences is taken.
-SCHEMES = ((64, 3), (96, 3), (192, 3), (96, 4))
+SCHEMES = ((64, 3), (128, 3), (192, 3), (192, 4))
 
 
 @lru_cache(maxsize=2)
@@ -217,8 +217,7 @@ def _grouping(counts: dict[int, int], capacity: int, groups: int, small_part: in
         # Fullest configurations first: the longest of each group's pieces go there.
         for column, n in sorted(found, key=lambda x: -sum(k * g[0] for k, g in zip(x[0], members, strict=True))):
             slots = [g for k, g in zip(column, members, strict=True) for _ in range(k)]
-            # Best fit chooses the smallest piece of each configuration by the room that the actual others leave.
-            made.place_configuration(slots[:-1] or slots, n)
+            made.place_configuration(slots, n)
     made.best_fit()
     return made
 
