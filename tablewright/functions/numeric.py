@@ -12,7 +12,8 @@ _CLEAN = r"^-?\d+(\.(\d{1,2}|\d{4,}))?\z"
 # Only text with a digit and no minus sign after it can clean up to a number.
 _CANDIDATE = r"^[^0-9]*[0-9][^-]*\z"
 _THOUSANDS_DOT = r"(?<=\d)\.(?=\d{3}(\D|\z))"
-_CLEANED = r"^-?(\d+\.?\d*|\.\d+)\z"
+# What cleaning leaves that is not one number; cleaned text has digits, points and minus signs only.
+_NO_NUMBER = r"^(?!-?(\d+\.?\d*|\.\d+)\z).*\z"
 
 
 def parse_number_loose(c: Column | str, stripped: bool = False) -> Column:
@@ -20,14 +21,20 @@ def parse_number_loose(c: Column | str, stripped: bool = False) -> Column:
     reads a decimal comma as a point. NULL when what is left is not one number.
 
     Clean literals skip the clean-up and text that cannot become a number is NULL at once, so
-    the clean-up runs on dirty cells only and no cast ever fails (a failed cast is slow).
+    the clean-up runs on dirty cells only and no cast ever fails (a failed cast is slow). Text without
+    a point needs one replacement, and what is cleaned is read once: as NaN where it is no number.
     """
     text = _col(c) if stripped else as_text(c)
-    cleaned = F.regexp_replace(text, r"[€\s\u00a0]+", "")
-    cleaned = F.regexp_replace(cleaned, _THOUSANDS_DOT, "")
-    cleaned = F.regexp_replace(F.translate(cleaned, ",", "."), r"[^0-9.\-]", "")
+    dotted = F.regexp_replace(text, r"[€\s\u00a0]+", "")
+    dotted = F.regexp_replace(dotted, _THOUSANDS_DOT, "")
+    dotted = F.regexp_replace(F.translate(dotted, ",", "."), r"[^0-9.\-]+", "")
+    plain = F.translate(F.regexp_replace(text, r"[^0-9,\-]+", ""), ",", ".")
+
+    def number(cleaned):
+        return F.nanvl(F.regexp_replace(cleaned, _NO_NUMBER, "NaN").try_cast("double"), F.lit(None).cast("double"))
+
     return (F.when(text.rlike(_CLEAN), text.try_cast("double"))
-             .when(text.rlike(_CANDIDATE), F.when(cleaned.rlike(_CLEANED), cleaned.try_cast("double"))))
+             .when(text.rlike(_CANDIDATE), F.when(text.contains("."), number(dotted)).otherwise(number(plain))))
 
 
 def parse_number_currency(c: Column | str) -> Column:

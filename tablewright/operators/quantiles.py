@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from tablewright.tables import col, materialize, small_frame
 
 BLOCK_ROWS = 1_000_000
+#: Counted values of a bracket that one task may sort, and the pieces that a round cuts a wider bracket into.
+BLOCK_VALUES, PIECES = 100_000, 64
 ACCURACY = 10_000
 MAX_ROUNDS = 12
 
@@ -102,10 +104,7 @@ def exact_quantiles(
     _bracket_rounds(nums, brackets, block_rows, accuracy)
     cells = nums.unpivot([], [col(c) for c in columns], "column", "number").where("number is not null")
     spans = _spans(nums, brackets)
-    keep = F.broadcast(spans.groupBy("column").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
-    wanted = F.exists("spans", lambda s: s["lo"].isNull() | F.col("number").between(s["lo"], s["hi"]))
-    values = cells.join(keep, "column").where(wanted).groupBy("column", "number").agg(F.count("*").alias("n"))
-    return out | _read_ranks(values, spans, brackets, block_rows, distinct)
+    return out | _read_ranks(_inside_spans(cells.withColumn("n", F.lit(1)), spans), spans, brackets, block_rows, distinct)
 
 
 def counted_quantiles(
@@ -113,12 +112,63 @@ def counted_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     counts: Mapping[str, int],
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = BLOCK_VALUES,
     distinct: dict[str, int] | None = None,
 ) -> dict[tuple[str, float], float | None]:
-    """As ``exact_quantiles``, of distinct values that are counted already: (column, number, n)."""
+    """As ``exact_quantiles``, of values that are counted already: (column, number, n), a number in one row or in several.
+
+    A bracket with more rows is cut into pieces at quantiles of its values, and the rows of all pieces are counted, which
+    tells the piece that holds a rank. So only the values of that piece are sorted, whatever the rows of each value.
+    ``distinct`` gets the number of distinct values, of a column that was cut at least four if there are four.
+    """
     out, brackets = _brackets(columns, probs, counts)
-    return out | _read_ranks(values, _spans(values, brackets), brackets, block_rows, distinct) if brackets else out
+    if not brackets:
+        return out
+    _piece_rounds(values, brackets, block_rows, distinct)
+    spans = _spans(values, brackets)
+    return out | _read_ranks(_inside_spans(values, spans), spans, brackets, block_rows, distinct)
+
+
+def _piece_rounds(values, brackets, block_rows, distinct) -> None:
+    """Narrow every bracket with more than ``block_rows`` counted values by counting the rows of its pieces."""
+    for _ in range(MAX_ROUNDS):
+        wide = [b for b in brackets if b.get("values", b["inside"]) > block_rows and not b.get("done")]
+        if not wide:
+            return
+        spans = {k: i for i, k in enumerate({(b["column"], b["lo"], b["hi"]): None for b in wide})}
+        limits = small_frame(values.sparkSession, [(i, *k) for k, i in spans.items()], "id int, column string, lo double, hi double")
+        inside = (values.join(F.broadcast(limits), "column").where(F.col("lo").isNull() | F.col("number").between(F.col("lo"), F.col("hi")))
+                  .select("id", "number", "n"))
+        shares = [i / PIECES for i in range(1, PIECES)]
+        cuts = [(r["id"], sorted(set(r["cuts"]))) for r in inside.groupBy("id").agg(
+            F.percentile_approx("number", shares, ACCURACY).alias("cuts")).collect()]
+        cut = F.broadcast(small_frame(values.sparkSession, cuts, "id int, cuts array<double>"))
+        piece = F.size(F.filter("cuts", lambda c: c < F.col("number")))
+        counted: dict[int, list] = {}
+        for r in inside.join(cut, "id").groupBy("id", piece.alias("piece")).agg(
+                F.sum("n").alias("rows"), F.count("*").alias("values"), F.min("number").alias("lo"), F.max("number").alias("hi")).collect():
+            counted.setdefault(r["id"], []).append(r)
+        for b in wide:
+            pieces = sorted(counted[spans[(b["column"], b["lo"], b["hi"])]], key=lambda r: r["piece"])
+            if distinct is not None and b["lo"] is None and b["column"] not in distinct:
+                least = sum(1 + (r["lo"] < r["hi"]) for r in pieces)
+                distinct[b["column"]] = least if least >= 4 else values.where(
+                    F.col("column") == b["column"]).select("number").distinct().limit(4).count()
+            start, held = b["below"], []
+            for r in pieces:
+                if start <= b["hi_rank"] and b["lo_rank"] < start + r["rows"]:
+                    held.append((start, r))
+                start += r["rows"]
+            rows, kept = sum(r["rows"] for _, r in held), sum(r["values"] for _, r in held)
+            b["done"] = kept == sum(r["values"] for r in pieces)  # equal numbers: their one counted value is few
+            b.update(lo=held[0][1]["lo"], hi=held[-1][1]["hi"], below=held[0][0], inside=rows, values=kept)
+
+
+def _inside_spans(cells: DataFrame, spans: DataFrame) -> DataFrame:
+    """(column, number, n) of the distinct numbers inside the brackets."""
+    keep = F.broadcast(spans.groupBy("column").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
+    wanted = F.exists("spans", lambda s: s["lo"].isNull() | F.col("number").between(s["lo"], s["hi"]))
+    return cells.join(keep, "column").where(wanted).groupBy("column", "number").agg(F.sum("n").alias("n"))
 
 
 def _spans(df: DataFrame, brackets) -> DataFrame:
@@ -132,7 +182,7 @@ def _read_ranks(values, spans, brackets, block_rows, distinct) -> dict:
     narrowed share its whole value list."""
     ranked = (values.join(F.broadcast(spans), "column")
               .where(F.col("lo").isNull() | F.col("number").between(F.col("lo"), F.col("hi"))))
-    if max(b["inside"] for b in brackets) > block_rows:
+    if max(b.get("values", b["inside"]) for b in brackets) > block_rows:
         found = _ranks_by_ranges(ranked.select("id", "number", "n"), brackets)
     else:
         upto = F.sum("n").over(Window.partitionBy("id").orderBy("number")
@@ -145,7 +195,7 @@ def _read_ranks(values, spans, brackets, block_rows, distinct) -> dict:
         lo, hi, n = found[b["id"]]
         out[(b["column"], b["p"])] = lo + (hi - lo) * (b["position"] - b["lo_rank"])
         if distinct is not None and b["lo"] is None:
-            distinct[b["column"]] = n
+            distinct.setdefault(b["column"], n)
     return out
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablewright import AuditOptions, ColumnRule, CrossRule, Rules, audit, discover_rules, iter_quality, run_quality
 from tablewright.constants import ROW_ID
+from tablewright.functions.numeric import parse_number_loose
 from tablewright.operators import checks as ck
 from tablewright.operators.cells import numbers
 from tablewright.operators import duplicates as duplicates_module
@@ -529,3 +530,31 @@ def test_a_failing_step_is_logged_and_the_run_goes_on(spark):
              Step("cast_numeric", "semantic_type_mismatch", ("v",))]
     fixed, log = apply_steps(frame, "t", steps, Rules())
     assert [(r[9], r[13]) for r in log][:2] == [(False, "no column `gone`"), (True, None)] and fixed.count() == 2
+
+
+def test_counted_quantiles_sort_only_the_piece_that_holds_the_rank(spark, monkeypatch):
+    """Wide brackets are cut and counted first; one value with most rows, and numbers in several rows, are no matter."""
+    sorted_values = []
+
+    def spy(values, spans, brackets, block_rows, distinct, read=quantiles_module._read_ranks):
+        sorted_values.append(values.count())
+        return read(values, spans, brackets, block_rows, distinct)
+
+    monkeypatch.setattr(quantiles_module, "_read_ranks", spy)
+    rng = np.random.default_rng(3)
+    rows = [("a", float(v), int(n)) for v, n in zip(rng.lognormal(0, 20, 9000), rng.integers(1, 9, 9000))]
+    rows += [("b", float(i % 3), 1) for i in range(4000)] + [("c", float(i), 30_000 if i == 2000 else 1) for i in range(4000)] * 2
+    counts = {c: sum(n for k, _, n in rows if k == c) for c in "abc"}
+    df, distinct, probs = small_frame(spark, rows, "column string, number double, n bigint"), {}, [0.0, 0.25, 0.75, 1.0]
+    found = quantiles_module.counted_quantiles(df, list("abc"), probs, counts, block_rows=200, distinct=distinct)
+    for c in "abc":
+        flat = np.repeat([v for k, v, _ in rows if k == c], [n for k, _, n in rows if k == c])
+        assert [found[(c, p)] for p in probs] == pytest.approx(list(np.quantile(flat, probs)), rel=1e-12)
+    assert distinct["a"] >= 4 and distinct["b"] == 3 and distinct["c"] >= 4
+    assert sorted_values[0] < 3000
+
+
+def test_loose_numbers_without_a_point_are_cleaned_at_once(spark):
+    texts = ["ORD-0012", "€ 1 200", "1.234.567,89 EUR", "7 - 3", "--5", "a.b5", "12,5", "1,2,3", "x", "1.2.3 km", "-", None]
+    found = [r[0] for r in small_frame(spark, [(t,) for t in texts], "t string").select(parse_number_loose("t")).collect()]
+    assert found == [-12.0, 1200.0, 1234567.89, None, None, 0.5, 12.5, None, None, None, None, None]
