@@ -5,8 +5,8 @@ event about one cell has one member; a key conflict has one member per row that
 The long form keeps a key that owns a third of the table distributed, which an array of its row
 ids would not.
 
-What a cell is held against (fences, usual layouts, shared keys) comes from the table's distinct values. One more scan
-spells every row's cells and broken rules, and one projection emits the events of all families that need just them.
+What a cell is held against (fences, usual layouts) is settled first. One more scan reads every row's cells and broken
+rules as columns, and emits the events of all families that need just them.
 """
 
 from __future__ import annotations
@@ -23,13 +23,12 @@ from tablewright.functions.numeric import parse_number_loose
 from tablewright.functions.temporal import classify_format, layout, parse_timestamp
 from tablewright.functions.text import as_text, lookup
 from tablewright.operators import cross as cross_rules
-from tablewright.operators.cells import temporal, text_cells, typed_values, value_table, with_temporal
-from tablewright.operators.checks import number_counts
+from tablewright.operators.cells import numbers, temporal, text_cells, typed_values, value_table, with_temporal
 from tablewright.operators.cross import ISSUE_OF_RULE
-from tablewright.operators.duplicates import key_groups
+from tablewright.operators.duplicates import suspected
 from tablewright.operators.quantiles import counted_quantiles
 from tablewright.operators.rules import Rules
-from tablewright.tables import col, column_groups, is_numeric_type, materialize, rows_of_groups, small_frame
+from tablewright.tables import col, column_groups, is_numeric_type, materialize, quoted, rows_of_groups, small_frame
 
 EVENT_COLUMNS = ("dataset", "error_type", "issue_type", "columns", "event_key", "row_id")
 FAMILIES = ("disguisednull", "iqr_outlier", "mixed_date_format", "wrong_but_parseable", "semantic_duplicate",
@@ -82,17 +81,20 @@ def dominant_labels(labelled: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                   .select(*group, F.col("label").alias("dominant"), "labels"))
 
 
-def grouped_fences(values: DataFrame, df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),
-                   whisker: float = 1.5) -> dict[tuple, tuple[float, float]]:
-    """{(by..., column): (lower, upper fence)} of columns with 8 numbers, 4 distinct ones and a spread."""
-    counted = number_counts(values, df, columns, by)
-    group = [*by, "column"]
-    # One row for each column and stacked table.
-    sizes = {tuple(r[g] for g in group): r["n"] for r in counted.groupBy(*group).agg(F.sum("n").alias("n")).collect()}
+def grouped_fences(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), whisker: float = 1.5) -> dict[tuple, tuple[float, float]]:
+    """{(by..., column): (lower, upper fence)} of columns with 8 numbers, 4 distinct ones and a spread.
+
+    The numbers are read once and written; the quartiles come from counts over them, without a shuffle of the column.
+    """
+    nums = materialize(numbers(df, columns, by), "numbers")
+    # One row for each stacked table.
+    tables = nums.groupBy(*[col(b) for b in by]).agg(*[F.count(col(c)).alias(f"n:{c}") for c in columns]).collect()
+    sizes = {(*[r[b] for b in by], c): r[f"n:{c}"] for r in tables for c in columns}
     named = {"\x1f".join(map(str, k)): k for k, n in sizes.items() if n >= 8}
     if not named:
         return {}
-    numbered = counted.select(F.concat_ws("\x1f", *[col(g).cast("string") for g in group]).alias("column"), "number", "n")
+    cells = nums.unpivot([col(b) for b in by], [col(c) for c in columns], "column", "number").where("number is not null")
+    numbered = cells.select(F.concat_ws("\x1f", *[col(b).cast("string") for b in by], "column").alias("column"), "number", F.lit(1).alias("n"))
     distinct: dict[str, int] = {}
     found = counted_quantiles(numbered, list(named), [0.25, 0.75], {n: sizes[k] for n, k in named.items()}, distinct=distinct)
     fences = {}
@@ -105,69 +107,67 @@ def grouped_fences(values: DataFrame, df: DataFrame, columns: Sequence[str], by:
 
 # ---------------------------------------------------------------- one pass over the rows
 
-def _limits(df: DataFrame, by: Sequence[str], fences: dict[tuple, tuple], dominant: dict[tuple, tuple]) -> DataFrame:
-    """(by..., column, lower_bound, upper_bound, dominant, labels), one row for each column and stacked table."""
-    rows = [(*k, *fences.get(k, (None, None)), *dominant.get(k, (None, None))) for k in fences.keys() | dominant.keys()]
-    schema = T.StructType([*[df.schema[b] for b in by], *T.StructType.fromDDL(
-        "column string, lower_bound double, upper_bound double, dominant string, labels bigint")])
-    return small_frame(df.sparkSession, rows, schema)
+LIMITS = {"low": "double", "high": "double", "usual": "string", "labels": "bigint"}
+
 
+def with_limits(df: DataFrame, by: Sequence[str], columns: Sequence[str], fences: dict[tuple, tuple], dominant: dict[tuple, tuple]) -> DataFrame:
+    """The rows with ``_low:c``, ``_high:c``, ``_usual:c`` and ``_labels:c`` of each column: what its stacked table says."""
+    empty = (None, None)
+    tables = sorted({k[:-1] for k in fences.keys() | dominant.keys()} | (set() if by else {()}))
+    rows = [(*t, *[v for c in columns for v in (*fences.get((*t, c), empty), *dominant.get((*t, c), empty))]) for t in tables]
+    names = [(f"_{n}:{c}", dtype) for c in columns for n, dtype in LIMITS.items()]
+    if not by:
+        return df.withColumns({n: F.lit(v).cast(dtype) for (n, dtype), v in zip(names, rows[0], strict=True)})
+    schema = T.StructType([*[df.schema[b] for b in by], *T.StructType.fromDDL(", ".join(f"{quoted(n)} {t}" for n, t in names))])
+    return df.join(F.broadcast(small_frame(df.sparkSession, rows, schema)), list(by), "left")
 
-def local_events(df: DataFrame, dataset: str, rules: Rules, families: Sequence[str], by: Sequence[str],
-                 limits: DataFrame, formats: dict[str, str], tokens: Sequence[str] = DISGUISED_NULLS) -> DataFrame:
-    """Events of the families that look at one row: every row is read once, as its cells and the rules it breaks."""
+
+def local_events(df: DataFrame, dataset: str, rules: Rules, families: Sequence[str], by: Sequence[str], fences: dict[tuple, tuple],
+                 dominant: dict[tuple, tuple], formats: dict[str, str], tokens: Sequence[str] = DISGUISED_NULLS) -> DataFrame:
+    """Events of the families that look at one row: each cell is parsed once, as columns of its row, and only rows with an
+    event are spelled out."""
     text = [c for c in column_groups(df)[0] if c not in by] if "disguisednull" in families else []
     ranges = [r.column for r in rules.numeric if r.column in df.columns] if "iqr_outlier" in families else []
     lows = ({r.column: r.min_value for r in rules.numeric if r.min_value is not None and r.column in df.columns}
             if "wrong_but_parseable" in families else {})
     cross = cross_rules.applicable(df, rules.cross) if "crossfield_inconsistency" in families else []
     types = {f.name: f.dataType for f in df.schema.fields}
-    typed = [c for c in (*ranges, *lows) if is_numeric_type(types[c])]
-    wanted = [c for c in df.columns if c in {*text, *ranges, *lows, *formats}]
-    if not wanted and not cross:
+    typed = {c for c in (*ranges, *lows) if is_numeric_type(types[c])}
+    if not (text or ranges or lows or formats or cross):
         return empty_events(df, by)
-
-    def cell(c):
-        value = F.nanvl(col(c).cast("double"), F.lit(None).cast("double")) if c in typed else col(c)
-        return F.struct(F.lit(c).alias("column"), value.cast("string").alias("value"), F.lit(None).cast("string").alias("issue"))
-
-    def broken(r):
-        return F.when(cross_rules.violation(df, r), F.struct(
-            F.lit(",".join(sorted(r.columns))).alias("column"), F.lit(None).cast("string").alias("value"),
-            F.lit(ISSUE_OF_RULE[r.kind][0]).alias("issue")))
-
-    found = F.array_compact(F.array(*map(cell, wanted), *map(broken, cross)))
-    cells = df.select(*[col(b) for b in by], ROW_ID, F.explode(found).alias("cell")).select(*[col(b) for b in by], ROW_ID, "cell.*")
-    column, plain = F.col("column"), F.col("issue").isNull()
-    is_number = plain & column.isin(*{*ranges, *lows}) if ranges or lows else F.lit(False)
-    is_typed = column.isin(*typed) if typed else F.lit(False)
-    cells = (cells.join(F.broadcast(limits), [*by, "column"], "left").withColumn("text", as_text("value"))
-             .withColumn("kind", F.when(plain, lookup(formats, "column", "string")))
-             .withColumn("low", F.when(plain, lookup(lows, "column", "double")))
-             .withColumn("number", F.when(is_number, F.when(is_typed, F.col("value").try_cast("double")).otherwise(
-                 parse_number_loose("text", stripped=True))))
-             .withColumn("shape", F.when(F.col("kind").isNotNull(), layout("text", stripped=True)))
-             .withColumn("stamp", F.when(F.col("kind").isNotNull(), parse_timestamp("text", F.col("shape"))))
-             .withColumn("label", F.when(F.col("kind").isNotNull(), classify_format("text", F.col("kind"), F.col("stamp"), F.col("shape")))))
-    label, number = F.col("label"), F.col("number")
-    mixed = (label != F.col("dominant")) & (F.col("labels") > 1) & ~label.isin(*NO_LAYOUT)
-    layout_issue = F.when(label == "invalid", "invalid_format_values").when(mixed, "mixed_format_family")
-    required = [r.column for r in rules.columns if r.required]
-    null_issue = F.when(column.isin(*required) if required else F.lit(False), "missing_mandatory_values").otherwise("missing_optional_values")
-    outside = column.isin(*ranges) & ~number.between(F.col("lower_bound"), F.col("upper_bound")) if ranges else F.lit(False)
-
-    def event(condition, family, issue):
-        return F.when(condition, F.struct(F.lit(family).alias("family"), issue.alias("issue")))
-
-    disguised = plain & column.isin(*text) & F.lower("text").isin(*tokens) if text else F.lit(False)
-    events = F.array_compact(F.array(
-        event(disguised, "disguisednull", null_issue),
-        event(outside, "iqr_outlier", F.lit("iqr_outliers")),
-        event(number < F.col("low"), "wrong_but_parseable", F.lit("value_below_minimum")),
-        event(layout_issue.isNotNull(), "mixed_date_format", layout_issue),
-        event(~plain, "crossfield_inconsistency", F.col("issue"))))
-    rows = cells.select(*[col(b) for b in by], ROW_ID, "column", F.explode(events).alias("event"))
-    return _events(rows, dataset, F.col("event.family"), F.col("event.issue"), F.col("column"), by=by)
+    held = [c for c in df.columns if c in {*ranges, *formats}]
+    rows = with_limits(df, by, held, fences, dominant) if held else df
+    rows = rows.withColumns({f"_text:{c}": as_text(col(c)) for c in df.columns if c in {*text, *ranges, *lows, *formats} - typed})
+    read = {f"_shape:{c}": layout(col(f"_text:{c}"), stripped=True) for c in formats if c not in typed}
+    for c in dict.fromkeys((*ranges, *lows)):
+        read[f"_number:{c}"] = (F.nanvl(col(c).cast("double"), F.lit(None).cast("double")) if c in typed
+                                else parse_number_loose(col(f"_text:{c}"), stripped=True))
+    rows = rows.withColumns(read) if read else rows
+    formats = {c: kind for c, kind in formats.items() if c not in typed}
+    if formats:
+        rows = rows.withColumns({f"_stamp:{c}": parse_timestamp(col(f"_text:{c}"), col(f"_shape:{c}")) for c in formats})
+    late = {f"_label:{c}": classify_format(temporal(c)[0], kind, temporal(c)[2], temporal(c)[1]) for c, kind in formats.items()}
+    late |= {f"_broken:{i}": cross_rules.violation(df, r) for i, r in enumerate(cross)}
+    rows = rows.withColumns(late) if late else rows
+    required = {r.column for r in rules.columns if r.required}
+
+    def event(condition, family, column, issue):
+        issue = F.lit(issue) if isinstance(issue, str) else issue
+        return F.when(condition, F.struct(F.lit(family).alias("family"), F.lit(column).alias("column"), issue.alias("issue")))
+
+    events = [event(F.lower(col(f"_text:{c}")).isin(*tokens), "disguisednull", c,
+                    "missing_mandatory_values" if c in required else "missing_optional_values") for c in text]
+    events += [event(~col(f"_number:{c}").between(col(f"_low:{c}"), col(f"_high:{c}")), "iqr_outlier", c, "iqr_outliers") for c in ranges]
+    events += [event(col(f"_number:{c}") < low, "wrong_but_parseable", c, "value_below_minimum") for c, low in lows.items()]
+    for c in formats:
+        label = col(f"_label:{c}")
+        mixed = (label != col(f"_usual:{c}")) & (col(f"_labels:{c}") > 1) & ~label.isin(*NO_LAYOUT)
+        issue = F.when(label == "invalid", "invalid_format_values").when(mixed, "mixed_format_family")
+        events.append(event(issue.isNotNull(), "mixed_date_format", c, issue))
+    events += [event(col(f"_broken:{i}"), "crossfield_inconsistency", ",".join(sorted(r.columns)), ISSUE_OF_RULE[r.kind][0])
+               for i, r in enumerate(cross)]
+    found = rows.select(*[col(b) for b in by], ROW_ID, F.explode(F.array_compact(F.array(*events))).alias("event"))
+    return _events(found, dataset, F.col("event.family"), F.col("event.issue"), F.col("event.column"), by=by)
 
 
 def key_of(keys: Sequence[str]) -> Column:
@@ -175,46 +175,39 @@ def key_of(keys: Sequence[str]) -> Column:
     return F.to_json(F.struct(*[col(k) for k in keys]), {"ignoreNullFields": "false"})
 
 
-def key_conflict_events(df: DataFrame, dataset: str, rules: Rules, by: Sequence[str] = (), values: DataFrame | None = None) -> DataFrame:
-    """Rows that share a business key; one event per key, one member per row. A key of one text column is counted in the
-    table's distinct ``values`` if those are given."""
+def key_conflict_events(df: DataFrame, dataset: str, rules: Rules, by: Sequence[str] = ()) -> DataFrame:
+    """Rows that share a business key; one event per key, one member per row. Rows whose key's hash is repeated are
+    written, and only these are grouped and joined."""
     keys = [k for k in rules.keys if k in df.columns]
     if not keys:
         return empty_events(df, by)
     whole = [*by, *keys]
-    if values is not None and _text_key(df, keys):
-        shared = values.where((F.col("column") == keys[0]) & (F.col("n") > 1)).select(*[col(b) for b in by], F.col("value").alias(keys[0]))
-    else:
-        shared = key_groups(df.select(*[col(k) for k in whole]), whole).drop("n")
-    members = rows_of_groups(df.select(ROW_ID, *[col(k) for k in whole]), materialize(shared, "keys"), whole)
+    rows = df.select(ROW_ID, *[col(k) for k in whole])
+    suspects = materialize(rows.where(suspected(rows, whole)), "suspects")
+    shared = suspects.groupBy(*[col(k) for k in whole]).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    members = rows_of_groups(suspects, materialize(shared, "keys"), whole)
     return _events(members, dataset, "semantic_duplicate", "duplicate_business_keys",
                    F.lit(",".join(sorted(keys))), key_of(keys), by)
 
 
-def _text_key(df: DataFrame, keys: Sequence[str]) -> bool:
-    return len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, T.StringType)
-
-
 def detect_events(df: DataFrame, dataset: str, rules: Rules, families: Sequence[str] = FAMILIES, by: Sequence[str] = (),
                   whisker: float = 1.5, tokens: Sequence[str] = DISGUISED_NULLS) -> DataFrame:
     """All events of the chosen families.
 
-    The table is read three times: for its distinct values (fences, usual layouts, shared keys), for the events of
-    single rows, and for the members of key conflicts. ``by`` names columns that tell tables apart which are stacked in
-    ``df``: each is judged by its own values, and the columns lead its events.
+    The table is read for what its cells are held against (numbers, and distinct dates), for the events of single rows,
+    and twice in its keys for their conflicts. ``by`` names columns that tell tables apart which are stacked in ``df``:
+    each is judged by its own values, and the columns lead its events.
     """
     ranges = [r.column for r in rules.numeric if r.column in df.columns] if "iqr_outlier" in families else []
     formats = {c: k for c, k in rules.formats.items() if c in df.columns} if "mixed_date_format" in families else {}
     keys = [k for k in rules.keys if k in df.columns] if "semantic_duplicate" in families else []
-    counted = [*ranges, *formats, *(keys if _text_key(df, keys) else [])]
-    values = value_table(df, counted, by) if counted else None
-    fences = grouped_fences(values, df, ranges, by, whisker) if ranges else {}
+    fences = grouped_fences(df, ranges, by, whisker) if ranges else {}
     group = [*by, "column"]
-    dominant = {tuple(r[g] for g in group): (r["dominant"], r["labels"])
-                for r in dominant_labels(labelled_values(values, df, formats), by).collect()} if formats else {}
-    parts = [local_events(df, dataset, rules, families, by, _limits(df, by, fences, dominant), formats, tokens)]
+    dominant = {tuple(r[g] for g in group): (r["dominant"], r["labels"]) for r in dominant_labels(
+        labelled_values(value_table(df, list(formats), by), df, formats), by).collect()} if formats else {}
+    parts = [local_events(df, dataset, rules, families, by, fences, dominant, formats, tokens)]
     if keys:
-        parts.append(key_conflict_events(df, dataset, rules, by, values))
+        parts.append(key_conflict_events(df, dataset, rules, by))
     return reduce(DataFrame.unionByName, parts)
 
 

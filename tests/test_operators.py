@@ -19,6 +19,7 @@ from tablewright.operators.evaluate import evaluate, event_signatures, match_eve
 from tablewright.operators.events import detect_events, key_conflict_events
 from tablewright.operators.fixes import fix_column, modes, start_cell
 from tablewright.operators import quantiles as quantiles_module
+from tablewright.operators import events as events_module
 from tablewright.operators.quantiles import exact_quantiles
 from tablewright.operators.rules import with_fallback_key
 from tablewright.operators.score import datasets_frame, reliability, sub_scores
@@ -558,3 +559,21 @@ def test_loose_numbers_without_a_point_are_cleaned_at_once(spark):
     texts = ["ORD-0012", "€ 1 200", "1.234.567,89 EUR", "7 - 3", "--5", "a.b5", "12,5", "1,2,3", "x", "1.2.3 km", "-", None]
     found = [r[0] for r in small_frame(spark, [(t,) for t in texts], "t string").select(parse_number_loose("t")).collect()]
     assert found == [-12.0, 1200.0, 1234567.89, None, None, 0.5, 12.5, None, None, None, None, None]
+
+
+def test_events_of_keys_group_and_join_only_suspects(spark, monkeypatch):
+    """Rows with a key of their own are neither grouped nor joined; events need no table of all distinct keys."""
+    written = {}
+
+    def spy(df, label="table"):
+        out = materialize(df, label)
+        written[label] = out.count()
+        return out
+
+    monkeypatch.setattr(events_module, "materialize", spy)
+    rows = [(i, f"K{i if i % 100 else 0}", str(i % 50) if i != 77 else "99999") for i in range(1000)]
+    df = materialize(small_frame(spark, rows, f"{ROW_ID} bigint, k string, v string"), "t")
+    rules = Rules((ColumnRule("k", 0, "string", None, True, key_rank=1), ColumnRule("v", 1, "numeric", None, True, 0.0)))
+    found = {(r["error_type"], r["columns"], r["row_id"]) for r in events_module.detect_events(df, "t", rules).collect()}
+    assert found == {("semantic_duplicate", "k", i) for i in range(0, 1000, 100)} | {("iqr_outlier", "v", 77)}
+    assert written["keys"] == 1 and written["suspects"] < 50
