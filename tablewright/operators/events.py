@@ -25,7 +25,7 @@ from tablewright.functions.text import as_text, lookup
 from tablewright.operators import cross as cross_rules
 from tablewright.operators.cells import numbers, temporal, text_cells, typed_values, value_table, with_temporal
 from tablewright.operators.cross import ISSUE_OF_RULE
-from tablewright.operators.duplicates import suspected
+from tablewright.operators.duplicates import hash_of, repeated, suspected
 from tablewright.operators.quantiles import counted_quantiles
 from tablewright.operators.rules import Rules
 from tablewright.tables import col, column_groups, is_numeric_type, materialize, quoted, rows_of_groups, small_frame
@@ -33,6 +33,7 @@ from tablewright.tables import col, column_groups, is_numeric_type, materialize,
 EVENT_COLUMNS = ("dataset", "error_type", "issue_type", "columns", "event_key", "row_id")
 FAMILIES = ("disguisednull", "iqr_outlier", "mixed_date_format", "wrong_but_parseable", "semantic_duplicate",
             "crossfield_inconsistency")
+KEY_HASH = "_key_hash"
 NO_LAYOUT = ("missing", "invalid", "unknown")
 
 
@@ -81,12 +82,17 @@ def dominant_labels(labelled: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                   .select(*group, F.col("label").alias("dominant"), "labels"))
 
 
-def grouped_fences(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), whisker: float = 1.5) -> dict[tuple, tuple[float, float]]:
+def held_facts(df: DataFrame, by: Sequence[str], ranges: Sequence[str], formats: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """(by..., dates, key hash, numbers) of every row, read once and written: what cells and keys are held against."""
+    hashed = df.withColumn(KEY_HASH, hash_of([*by, *keys]))
+    return materialize(numbers(hashed, ranges, [*by, *formats, KEY_HASH]), "facts")
+
+
+def grouped_fences(nums: DataFrame, columns: Sequence[str], by: Sequence[str] = (), whisker: float = 1.5) -> dict[tuple, tuple[float, float]]:
     """{(by..., column): (lower, upper fence)} of columns with 8 numbers, 4 distinct ones and a spread.
 
-    The numbers are read once and written; the quartiles come from counts over them, without a shuffle of the column.
+    ``nums`` holds numbers; the quartiles come from counts over them, without a shuffle of the column.
     """
-    nums = materialize(numbers(df, columns, by), "numbers")
     # One row for each stacked table.
     tables = nums.groupBy(*[col(b) for b in by]).agg(*[F.count(col(c)).alias(f"n:{c}") for c in columns]).collect()
     sizes = {(*[r[b] for b in by], c): r[f"n:{c}"] for r in tables for c in columns}
@@ -175,15 +181,15 @@ def key_of(keys: Sequence[str]) -> Column:
     return F.to_json(F.struct(*[col(k) for k in keys]), {"ignoreNullFields": "false"})
 
 
-def key_conflict_events(df: DataFrame, dataset: str, rules: Rules, by: Sequence[str] = ()) -> DataFrame:
+def key_conflict_events(df: DataFrame, dataset: str, rules: Rules, by: Sequence[str] = (), hashes: DataFrame | None = None) -> DataFrame:
     """Rows that share a business key; one event per key, one member per row. Rows whose key's hash is repeated are
-    written, and only these are grouped and joined."""
+    written, and only these are grouped and joined; ``hashes`` may pass the repeated ones."""
     keys = [k for k in rules.keys if k in df.columns]
     if not keys:
         return empty_events(df, by)
     whole = [*by, *keys]
     rows = df.select(ROW_ID, *[col(k) for k in whole])
-    suspects = materialize(rows.where(suspected(rows, whole)), "suspects")
+    suspects = materialize(rows.where(suspected(rows, whole, hashes)), "suspects")
     shared = suspects.groupBy(*[col(k) for k in whole]).agg(F.count("*").alias("n")).where("n > 1").drop("n")
     members = rows_of_groups(suspects, materialize(shared, "keys"), whole)
     return _events(members, dataset, "semantic_duplicate", "duplicate_business_keys",
@@ -194,20 +200,21 @@ def detect_events(df: DataFrame, dataset: str, rules: Rules, families: Sequence[
                   whisker: float = 1.5, tokens: Sequence[str] = DISGUISED_NULLS) -> DataFrame:
     """All events of the chosen families.
 
-    The table is read for what its cells are held against (numbers, and distinct dates), for the events of single rows,
-    and twice in its keys for their conflicts. ``by`` names columns that tell tables apart which are stacked in ``df``:
+    The table is read three times: for what its cells and keys are held against, for the events of single rows, and for
+    the members of key conflicts. ``by`` names columns that tell tables apart which are stacked in ``df``:
     each is judged by its own values, and the columns lead its events.
     """
     ranges = [r.column for r in rules.numeric if r.column in df.columns] if "iqr_outlier" in families else []
     formats = {c: k for c, k in rules.formats.items() if c in df.columns} if "mixed_date_format" in families else {}
     keys = [k for k in rules.keys if k in df.columns] if "semantic_duplicate" in families else []
-    fences = grouped_fences(df, ranges, by, whisker) if ranges else {}
+    facts = held_facts(df, by, ranges, list(formats), keys) if ranges or formats or keys else None
+    fences = grouped_fences(facts, ranges, by, whisker) if ranges else {}
     group = [*by, "column"]
     dominant = {tuple(r[g] for g in group): (r["dominant"], r["labels"]) for r in dominant_labels(
-        labelled_values(value_table(df, list(formats), by), df, formats), by).collect()} if formats else {}
+        labelled_values(value_table(facts, list(formats), by), df, formats), by).collect()} if formats else {}
     parts = [local_events(df, dataset, rules, families, by, fences, dominant, formats, tokens)]
     if keys:
-        parts.append(key_conflict_events(df, dataset, rules, by))
+        parts.append(key_conflict_events(df, dataset, rules, by, repeated(facts, KEY_HASH)))
     return reduce(DataFrame.unionByName, parts)
 
 
