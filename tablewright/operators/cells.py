@@ -90,32 +90,74 @@ def _typed_numbers(cells: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 VALUE_TYPES = {"column": "string", "value": "string", "n": "bigint", "seen": "bigint", "is_typed": "boolean", "text": "string",
                "layout": "string", "token": "string", "number": "double", "stamp": "timestamp_ntz"}
+#: Rows up to which every column of a value table is grouped.
+GROUPED_ROWS = 100_000
 
 
 def value_table(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """The distinct cells of a table with their counts: both parts that ``value_parts`` writes."""
+    return reduce(DataFrame.unionByName, value_parts(df, columns, by).values())
+
+
+def value_parts(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> dict[bool, DataFrame]:
     """(by..., column, value, n, seen, is_typed, text, layout, token, number, stamp) of every scalar column: each distinct
     cell, the rows that hold it, the first of them (0 without row ids), and what it reads as. Written once.
 
-    One scan and one map-side-combined aggregate. What a profile or an audit asks of single columns (counts, types,
-    layouts, distinct values, quartiles, samples) is read from here, so each distinct cell is parsed once.
+    Two scans (a sketch first) and one map-side-combined aggregate. What a profile or an audit asks of single columns (counts, types,
+    layouts, distinct values, quartiles, samples) is read from here, so each distinct cell is parsed once. Columns that
+    hardly repeat a cell, as a sketch tells, are not shuffled for that: each of their cells is a row with ``n`` of one,
+    so readers add up ``n`` and take a value to stand in several rows. The result tells grouped columns (True) from these.
     """
     text, numeric = _scalar_columns(df, columns)
     wanted = [c for c in df.columns if c in text + numeric and c not in by]
     keep = [*by, *([ROW_ID] if ROW_ID in df.columns else [])]
     if not wanted:
-        return df.select(*[col(c) for c in by], *[F.lit(None).cast(t).alias(n) for n, t in VALUE_TYPES.items()]).where("false")
+        return {True: df.select(*[col(c) for c in by], *[F.lit(None).cast(t).alias(n) for n, t in VALUE_TYPES.items()]).where("false")}
     plain = df.select(*[col(c) for c in keep], *[
         (F.nanvl(col(c).cast("double"), F.lit(None).cast("double")) if c in numeric else col(c)).cast("string").alias(c) for c in wanted])
-    cells = plain.unpivot([col(c) for c in keep], [col(c) for c in wanted], "column", "value")
-    seen = F.min(ROW_ID) if ROW_ID in df.columns else F.lit(0)
-    counted = cells.groupBy(*by, "column", "value").agg(F.count("*").alias("n"), seen.cast("long").alias("seen"))
-    typed = F.col("is_typed")
-    read = (counted.withColumn("is_typed", F.col("column").isin(*numeric) if numeric else F.lit(False))
-            .withColumn("text", F.when(~typed, as_text("value"))).withColumn("layout", layout("text", stripped=True))
-            .withColumn("token", F.lower("text"))
-            .withColumn("number", F.when(typed, F.col("value").try_cast("double")).otherwise(parse_number_loose("text", stripped=True)))
-            .withColumn("stamp", parse_timestamp("text", F.col("layout"))))
-    return materialize(read.select(*[col(c) for c in by], *VALUE_TYPES), "values")
+    alone = _hardly_repeated(plain, wanted, by)
+    parts = {}
+    if len(alone) < len(wanted):
+        seen = F.min(ROW_ID) if ROW_ID in df.columns else F.lit(0)
+        parts[True] = (_long(plain, keep, [c for c in wanted if c not in alone])
+                       .groupBy(*by, "column", "value").agg(F.count("*").alias("n"), seen.cast("long").alias("seen")))
+    if alone:
+        seen = F.col(ROW_ID) if ROW_ID in df.columns else F.lit(0)
+        parts[False] = _long(plain, keep, alone).select(
+            *[col(c) for c in by], "column", "value", F.lit(1).cast("long").alias("n"), seen.cast("long").alias("seen"))
+    # Written apart, so that readers of columns with few values pass over few rows.
+    return {k: _spelled(materialize(_read(part, numeric), "values"), numeric, by) for k, part in parts.items()}
+
+
+def _long(plain: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    return plain.select(*[col(c) for c in [*keep, *columns]]).unpivot([col(c) for c in keep], [col(c) for c in columns], "column", "value")
+
+
+def _hardly_repeated(plain: DataFrame, columns: Sequence[str], by: Sequence[str]) -> list[str]:
+    """Columns of a large table whose distinct stripped cells are over a quarter of its rows, by a sketch: grouping them would
+    shuffle nearly every cell and save little. It decides how a value table is laid out, never what it holds."""
+    cell = [F.xxhash64(*[col(b) for b in by], as_text(col(c))) for c in columns]
+    found = plain.agg(F.count("*").alias("rows"), *[F.approx_count_distinct(c).alias(str(i)) for i, c in enumerate(cell)]).first()
+    return [c for i, c in enumerate(columns) if found["rows"] > GROUPED_ROWS and found[str(i)] > found["rows"] / 4]
+
+
+def _is_typed(numeric: Sequence[str]) -> Column:
+    return F.col("column").isin(*numeric) if numeric else F.lit(False)
+
+
+def _read(counted: DataFrame, numeric: Sequence[str]) -> DataFrame:
+    """Counted cells with their number and date, which are costly to read."""
+    typed = (counted.withColumn("is_typed", _is_typed(numeric)).withColumn("text", F.when(~F.col("is_typed"), as_text("value")))
+             .withColumn("layout", layout("text", stripped=True)))
+    number = F.when(F.col("is_typed"), F.col("value").try_cast("double")).otherwise(parse_number_loose("text", stripped=True))
+    return typed.withColumns({"number": number, "stamp": parse_timestamp("text", F.col("layout"))}).drop("is_typed", "text", "layout")
+
+
+def _spelled(values: DataFrame, numeric: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Written values with what is cheaper to work out than to write."""
+    typed = (values.withColumn("is_typed", _is_typed(numeric)).withColumn("text", F.when(~F.col("is_typed"), as_text("value")))
+             .withColumn("layout", layout("text", stripped=True)).withColumn("token", F.lower("text")))
+    return typed.select(*[col(c) for c in by], *VALUE_TYPES)
 
 
 def typed_values(values: DataFrame, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.numeric import parse_number_loose
-from tablewright.functions.temporal import parse_date_year, parse_timestamp, parse_year, parse_year_month
+from tablewright.functions.temporal import parse_timestamp, parse_year, parse_year_month
 from tablewright.functions.text import is_present, plain_double
+from tablewright.operators.cells import temporal, with_temporal
 from tablewright.operators.rules import CrossRule
 from tablewright.tables import col, is_numeric_type
 
@@ -27,6 +28,15 @@ def applicable(df: DataFrame, rules: Sequence[CrossRule]) -> list[CrossRule]:
     return [r for r in rules if set(r.columns) <= set(df.columns)]
 
 
+#: Places of the columns that a rule reads as dates.
+_DATES = {"year_matches": (0,), "date_order": (0, 1)}
+
+
+def with_dates(df: DataFrame, rules: Sequence[CrossRule]) -> DataFrame:
+    """Add the parsed dates that the rules compare, so that each is worked out once a row; ``violation`` reads them there."""
+    return with_temporal(df, sorted({r.columns[i] for r in rules for i in _DATES.get(r.kind, ())}))
+
+
 def violation(df: DataFrame, rule: CrossRule) -> Column:
     """True where a row breaks the rule; rows with an unreadable side never do."""
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -37,11 +47,14 @@ def violation(df: DataFrame, rule: CrossRule) -> Column:
     def shown(c, value):
         return F.when(is_present(col(c)), value)
 
+    def stamp(c):
+        return temporal(c)[2] if f"_stamp:{c}" in types else parse_timestamp(col(c))
+
     c = rule.columns
     if rule.kind == "le":
         bad = number(c[0]) > number(c[1])
     elif rule.kind == "year_matches":
-        bad = shown(c[0], parse_date_year(col(c[0]))) != shown(c[1], parse_year(col(c[1])))
+        bad = shown(c[0], F.year(stamp(c[0]))) != shown(c[1], parse_year(col(c[1])))
     elif rule.kind == "period_matches":
         part = shown(c[0], parse_year_month(col(c[0])))
         year, month = parse_year(col(c[1])), plain_double(col(c[2]))
@@ -51,7 +64,7 @@ def violation(df: DataFrame, rule: CrossRule) -> Column:
         total, product = number(c[0]), number(c[1]) * number(c[2])
         bad = F.abs(total - product) > F.greatest(F.lit(0.01), F.abs(product) * 0.001)
     elif rule.kind == "date_order":
-        bad = (shown(c[0], parse_timestamp(col(c[0]))) > shown(c[1], parse_timestamp(col(c[1]))))
+        bad = (shown(c[0], stamp(c[0])) > shown(c[1], stamp(c[1])))
     else:
         raise ValueError(f"unknown cross rule: {rule.kind}")
     return F.coalesce(bad, F.lit(False))

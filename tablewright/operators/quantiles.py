@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from tablewright.tables import col, materialize, small_frame
 
-BLOCK_ROWS = 1_000_000
+BLOCK_ROWS = 100_000
 #: Counted values of a bracket that one task may sort, and the pieces that a round cuts a wider bracket into.
-BLOCK_VALUES, PIECES = 100_000, 64
+BLOCK_VALUES, PIECES = 100_000, 256
 ACCURACY = 10_000
 MAX_ROUNDS = 12
 
@@ -140,12 +140,11 @@ def _piece_rounds(values, brackets, block_rows, distinct) -> None:
         inside = (values.join(F.broadcast(limits), "column").where(F.col("lo").isNull() | F.col("number").between(F.col("lo"), F.col("hi")))
                   .select("id", "number", "n"))
         shares = [i / PIECES for i in range(1, PIECES)]
-        cuts = [(r["id"], sorted(set(r["cuts"]))) for r in inside.groupBy("id").agg(
+        cuts = [(r["id"], _padded(sorted(set(r["cuts"])))) for r in inside.groupBy("id").agg(
             F.percentile_approx("number", shares, ACCURACY).alias("cuts")).collect()]
         cut = F.broadcast(small_frame(values.sparkSession, cuts, "id int, cuts array<double>"))
-        piece = F.size(F.filter("cuts", lambda c: c < F.col("number")))
         counted: dict[int, list] = {}
-        for r in inside.join(cut, "id").groupBy("id", piece.alias("piece")).agg(
+        for r in _with_piece(inside.join(cut, "id")).groupBy("id", "piece").agg(
                 F.sum("n").alias("rows"), F.count("*").alias("values"), F.min("number").alias("lo"), F.max("number").alias("hi")).collect():
             counted.setdefault(r["id"], []).append(r)
         for b in wide:
@@ -164,6 +163,19 @@ def _piece_rounds(values, brackets, block_rows, distinct) -> None:
             b.update(lo=held[0][1]["lo"], hi=held[-1][1]["hi"], below=held[0][0], inside=rows, values=kept)
 
 
+def _padded(cuts: list[float]) -> list[float]:
+    return cuts + [math.inf] * (PIECES - 1 - len(cuts))
+
+
+def _with_piece(numbers: DataFrame) -> DataFrame:
+    """Add ``piece``, how many of the row's ``PIECES - 1`` sorted ``cuts`` lie below its number, by halving: a column a step."""
+    out, step = numbers.withColumn("piece", F.lit(0)), PIECES // 2
+    while step:
+        out = out.withColumn("piece", F.col("piece") + F.when(F.get("cuts", F.col("piece") + F.lit(step - 1)) < F.col("number"), step).otherwise(0))
+        step //= 2
+    return out
+
+
 def _inside_spans(cells: DataFrame, spans: DataFrame) -> DataFrame:
     """(column, number, n) of the distinct numbers inside the brackets."""
     keep = F.broadcast(spans.groupBy("column").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.util import inheritable_thread_target
 
 from tablewright.constants import ROW_ID
 
@@ -52,6 +54,13 @@ def local_rows(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
 
 
+def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """The results of jobs that don't need each other, up to four side by side: small ones fill the cores that others leave idle."""
+    with ThreadPoolExecutor(4) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [job.result() for job in started]
+
+
 def with_row_id(df: DataFrame, key: str | None = None) -> DataFrame:
     """Add ``_row_id``: the user's key when it is a whole number, else a number fixed by writing the table
     once, so that recomputed partitions can never renumber rows.
