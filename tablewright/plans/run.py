@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 
@@ -13,7 +13,7 @@ from tablewright.operators.rules import Rules, discover_rules
 from tablewright.operators.score import datasets_frame, score_table
 from tablewright.plans.apply import apply_steps, log_frame, plan_steps, residual_steps
 from tablewright.plans.planner import default_plan, validated_plan
-from tablewright.tables import local_rows, materialize, with_row_id
+from tablewright.tables import local_rows, materialize, together, with_row_id
 
 STAGES = ("ingest", "discover", "audit", "plan", "remediation", "re_audit", "second_pass", "final_audit", "score")
 
@@ -97,6 +97,7 @@ def run_quality(df: DataFrame, dataset: str, rules: Rules | None = None, **optio
 
 
 def run_many(datasets: Mapping[str, DataFrame], **options) -> tuple[dict[str, QualityResult], DataFrame]:
-    """Run several tables; returns the results and one score table for all."""
-    results = {name: run_quality(df, name, **options) for name, df in datasets.items()}
+    """Run several tables, side by side; returns the results and one score table for all."""
+    runs = [partial(run_quality, df, name, **options) for name, df in datasets.items()]
+    results = dict(zip(datasets, together(next(iter(datasets.values())).sparkSession, *runs)))
     return results, reduce(DataFrame.unionByName, [r.scores for r in results.values()])
