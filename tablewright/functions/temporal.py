@@ -130,7 +130,8 @@ def classify_format(c: Column | str, kind: Column | str, stamp: Column | None =
 
 def parse_year(c: Column | str) -> Column:
     """Four-digit year of this or the last century, else NULL."""
-    return F.when(is_year(c), as_text(c).try_cast("int"))
+    text = as_text(c)
+    return F.when(text.rlike(r"^(19|20)[0-9]{2}\z"), text.try_cast("int"))
 
 
 def parse_year_month(c: Column | str, shape: Column | None = None) -> Column:

@@ -69,14 +69,15 @@ def is_present(c: Column | str, tokens: Sequence[str] = DISGUISED_NULLS) -> Colu
 
 
 def title_case(c: Column | str) -> Column:
-    """First letter of every letter run in upper case, the rest lower ("o'neil" -> "O'Neil")."""
-    runs = F.regexp_extract_all(_col(c), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(0))
-    return F.array_join(F.transform(runs, lambda run: F.initcap(run)), "")
+    """First letter of every letter run in upper case, the rest lower ("o'neil" -> "O'Neil"). Text of one run is not taken apart."""
+    text = _col(c)
+    runs = F.regexp_extract_all(text, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(0))
+    return F.when(text.rlike(r"^[A-Za-z]+\z"), F.initcap(text)).otherwise(F.array_join(F.transform(runs, lambda run: F.initcap(run)), ""))
 
 
-def plain_double(c: Column | str) -> Column:
+def plain_double(c: Column | str, stripped: bool = False) -> Column:
     """Strict number: NULL unless the whole text is one plain decimal or scientific literal."""
-    text = as_text(c)
+    text = _col(c) if stripped else as_text(c)
     return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
 
 

@@ -6,7 +6,7 @@ column combines on the map side to one row per column and task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -92,6 +92,8 @@ VALUE_TYPES = {"column": "string", "value": "string", "n": "bigint", "seen": "bi
                "layout": "string", "token": "string", "number": "double", "stamp": "timestamp_ntz"}
 #: Rows up to which every column of a value table is grouped.
 GROUPED_ROWS = 100_000
+#: The sketch of distinct cells counts, of the hashes of all cells, those that this number divides.
+SLICES = 32
 
 
 def value_table(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
@@ -99,7 +101,8 @@ def value_table(df: DataFrame, columns: Sequence[str] | None = None, by: Sequenc
     return reduce(DataFrame.unionByName, value_parts(df, columns, by).values())
 
 
-def value_parts(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> dict[bool, DataFrame]:
+def value_parts(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = (),
+                known: Mapping[bool, DataFrame] | None = None, same: Collection[str] = ()) -> dict[bool, DataFrame]:
     """(by..., column, value, n, seen, is_typed, text, layout, token, number, stamp) of every scalar column: each distinct
     cell, the rows that hold it, the first of them (0 without row ids), and what it reads as. Written once.
 
@@ -107,7 +110,15 @@ def value_parts(df: DataFrame, columns: Sequence[str] | None = None, by: Sequenc
     layouts, distinct values, quartiles, samples) is read from here, so each distinct cell is parsed once. Columns that
     hardly repeat a cell, as a sketch tells, are not shuffled for that: each of their cells is a row with ``n`` of one,
     so readers add up ``n`` and take a value to stand in several rows. The result tells grouped columns (True) from these.
+
+    ``known`` may pass the parts of a table with the same rows, whose columns ``same`` hold the same cells: those columns are
+    taken from there, and only the others are scanned.
     """
+    if known is not None:
+        kept = {k: part.where(F.col("column").isin(*same)) for k, part in known.items()} if same else {}
+        left = [c for c in sum(_scalar_columns(df, columns), []) if c not in same]
+        made = value_parts(df, left, by) if left or not kept else {}
+        return {k: reduce(DataFrame.unionByName, [p[k] for p in (kept, made) if k in p]) for k in (True, False) if k in kept or k in made}
     text, numeric = _scalar_columns(df, columns)
     wanted = [c for c in df.columns if c in text + numeric and c not in by]
     keep = [*by, *([ROW_ID] if ROW_ID in df.columns else [])]
@@ -136,9 +147,13 @@ def _long(plain: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> Data
 def _hardly_repeated(plain: DataFrame, columns: Sequence[str], by: Sequence[str]) -> list[str]:
     """Columns of a large table whose distinct stripped cells are over a quarter of its rows, by a sketch: grouping them would
     shuffle nearly every cell and save little. It decides how a value table is laid out, never what it holds."""
-    cell = [F.xxhash64(*[col(b) for b in by], as_text(col(c))) for c in columns]
-    found = plain.agg(F.count("*").alias("rows"), *[F.approx_count_distinct(c).alias(str(i)) for i, c in enumerate(cell)]).first()
-    return [c for i, c in enumerate(columns) if found["rows"] > GROUPED_ROWS and found[str(i)] > found["rows"] / 4]
+    hashed = plain.select(F.lit(0).cast("long").alias("rows"), *[
+        F.xxhash64(*[col(b) for b in by], as_text(col(c))).alias(f"c{i}") for i, c in enumerate(columns)])
+    kept = hashed.unpivot([], hashed.columns, "place", "hash").where((F.col("hash") % SLICES) == 0)  # "rows" keeps every row
+    found = {r["place"]: r for r in kept.groupBy("place", "hash").agg(F.count("*").alias("n"))
+             .groupBy("place").agg(F.count("*").alias("hashes"), F.sum("n").alias("rows")).collect()}
+    rows = found["rows"]["rows"] if found else 0
+    return [c for i, c in enumerate(columns) if rows > GROUPED_ROWS and f"c{i}" in found and found[f"c{i}"]["hashes"] * SLICES > rows / 4]
 
 
 def _is_typed(numeric: Sequence[str]) -> Column:

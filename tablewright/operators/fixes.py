@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from tablewright.constants import DISGUISED_NULLS, ROW_ID
 from tablewright.functions.numeric import has_currency, parse_number_currency, parse_number_loose
 from tablewright.functions.temporal import parse_timestamp, render_iso
-from tablewright.functions.text import as_text, is_present, title_case, values_equivalent
+from tablewright.functions.text import as_text, is_present, plain_double, title_case, values_equivalent
 from tablewright.operators.cells import temporal, with_temporal
 from tablewright.operators.duplicates import drop_duplicates
 from tablewright.operators.quantiles import exact_quantiles
@@ -54,6 +55,8 @@ class Context:
     rules: Rules
     stats: Mapping[str, object]
     stamp: Column | None = None
+    text: Column | None = None
+    number: Column | None = None
 
 
 def _changed(before: Cell, after: Column) -> Column:
@@ -67,7 +70,15 @@ def strip_currency(cell: Cell, ctx: Context) -> Fixed:
 
 
 def cast_numeric(cell: Cell, ctx: Context) -> Fixed:
-    return Fixed(Cell(cell.number, True), _changed(cell, cell.number))
+    if ctx.number is None:
+        return Fixed(Cell(cell.number, True), _changed(cell, cell.number))
+    return Fixed(Cell(ctx.number, True), ~_says_number(ctx.text, ctx.number))
+
+
+def _says_number(text: Column, number: Column, tolerance: float = 1e-9) -> Column:
+    """As ``values_equivalent`` of a stripped text and the number's own text, which is not spelled out to be read again."""
+    finite = ~number.isin(math.inf, -math.inf)
+    return (text.isNull() & number.isNull()) | F.coalesce(F.abs(plain_double(text, stripped=True) - F.when(finite, number)) < tolerance, F.lit(False))
 
 
 def impute_median(cell: Cell, ctx: Context) -> Fixed:
@@ -137,6 +148,9 @@ TABLE_FIXES = ("drop_duplicates", "drop_unexpected_columns", "keep_first_by_key"
 ACTIONS = (*COLUMN_FIXES, *TABLE_FIXES)
 
 
+_ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+
+
 def start_cell(df: DataFrame, column: str) -> Cell:
     return Cell(col(column), is_numeric_type(df.schema[column].dataType))
 
@@ -185,9 +199,21 @@ def apply_fix(df: DataFrame, column: str, action: str, rules: Rules, stats: Mapp
     """One correction as one projection, optionally with a flag column for the rows it touched."""
     names, frame, stamp = df.columns, df, None
     if action == "normalize_dates":
-        frame = with_temporal(df, [column])
-        stamp = temporal(column)[2]
-    fixed = COLUMN_FIXES[action](start_cell(df, column), Context(column, rules, stats, stamp))
+        # Text in the layout of a date is written as it stands, be it a date or not, so it need not be read.
+        odd = f"_odd:{column}"
+        written = col(column).cast("string")
+        iso = written.rlike(_ISO_DATE) if rules.formats.get(column, "date") == "date" else F.lit(False)
+        frame = with_temporal(df.withColumn(odd, F.when(iso, F.lit(None)).otherwise(written)), [odd])
+        stamp = temporal(odd)[2]
+    cell, text, number = start_cell(df, column), None, None
+    if action == "cast_numeric" and not cell.is_number:
+        text, number = col(f"_text:{column}"), col(f"_number:{column}")
+        frame = df.withColumn(f"_text:{column}", as_text(cell.value)).withColumn(f"_number:{column}", parse_number_loose(text, stripped=True))
+    fixed = COLUMN_FIXES[action](cell, Context(column, rules, stats, stamp, text, number))
+    if action in ("normalize_dates", "normalize_categorical") and fixed.cell is not cell:
+        new = col(f"_new:{column}")
+        frame = frame.withColumn(f"_new:{column}", fixed.cell.value)
+        fixed = replace(fixed, cell=Cell(new, False), touched=~new.eqNullSafe(cell.value.cast("string")))
     touched = fixed.touched if fixed.applied and fixed.touched is not None else F.lit(False)
     flag = [touched.alias(touched_as)] if touched_as else []
     return frame.select(*[fixed.cell.value.alias(c) if c == column else col(c) for c in names], *flag), fixed

@@ -3,8 +3,10 @@
 Actions are gathered into stages. All statistics a stage needs come from one or two aggregate
 jobs. All its corrections are one ``select``, whose rows are written together with a flag for each
 correction that touched them; the counts for the log are read from the flags alone. So a stage is
-worked out once, however many stages follow. A stage ends where an action needs statistics of a
-column that the stage has already changed through statistics, and where rows or columns are dropped.
+worked out once, however many stages follow. A stage that only compares numbers of a written table is
+counted, not written again: reading it costs as little as reading the table. A second pass is counted
+first, as it mostly finds nothing left: what touches no row is left out. A stage ends where an action needs
+statistics of a column that the stage has already changed through statistics, and where rows or columns are dropped.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.constants import CATALOGUE, ROW_ID
-from tablewright.operators.duplicates import drop_duplicates, duplicate_groups, repeated_hashes
+from tablewright.operators.duplicates import drop_duplicates, repeated_hashes
 from tablewright.operators.fixes import (
     ACTIONS, COLUMN_FIXES, NEEDS, Fixed, apply_fix, drop_unexpected_columns, start_cell,
     statistics)
@@ -66,12 +68,29 @@ def residual_steps(issues: DataFrame) -> list[Step]:
     return steps
 
 
+@dataclass
+class Changes:
+    """What corrections did to a table: the columns whose cells may differ, whether rows went, and the repeated hashes
+    of its last rows if they are known."""
+
+    columns: set[str] = field(default_factory=set)
+    rows: bool = False
+    hashes: DataFrame | None = None
+
+
+#: Actions whose flag is raised for every cell that they change, as long as the column keeps its type.
+_FLAG_TELLS_ALL = ("impute_median", "impute_mode", "normalize_dates", "normalize_categorical")
+
+
 @dataclass
 class _Stage:
     """Corrections waiting to be applied in one select."""
 
     frame: DataFrame
     rules: Rules
+    written: bool = False
+    count_first: bool = False
+    changes: Changes = field(default_factory=Changes)
     waiting: list[tuple[Step, dict]] = field(default_factory=list)
 
     def must_end_before(self, step: Step) -> bool:
@@ -98,7 +117,7 @@ class _Stage:
                 return self.frame
         frame = self.frame
         for waiting in self.waiting:
-            frame = _Stage(frame, self.rules, [waiting]).finish()
+            frame = _Stage(frame, self.rules, self.written, self.count_first, self.changes, [waiting]).finish()
         return frame
 
     def _finish(self) -> DataFrame:
@@ -115,16 +134,41 @@ class _Stage:
         if needed:
             stats = statistics(before, {c: (start_cell(before, c), names) for c, names in needed.items()})
 
-        frame = self.frame
-        for i, (step, entry) in enumerate(self.waiting):
+        frame, numbers_only = self._applied(range(len(self.waiting)), stats)
+        flags = [f"_touched_{i}" for i in range(len(self.waiting))]
+        counted = self.count_first or (numbers_only and self.written)
+        if not counted:
+            frame = materialize(frame, "stage")
+        counts = frame.agg(*[F.count_if(f).alias(f) for f in flags]).first()
+        for (_, entry), flag in zip(self.waiting, flags):
+            entry["rows_affected"] = counts[flag]
+        if counted:
+            types = dict(self.frame.dtypes)
+            idle = [i for i, (step, _) in enumerate(self.waiting) if not counts[flags[i]] and step.action in _FLAG_TELLS_ALL
+                    and dict(frame.dtypes)[step.column] == types[step.column]]
+            left = [i for i in range(len(self.waiting)) if i not in idle]
+            frame, numbers_only = self._applied(left, stats) if idle else (frame, numbers_only)
+            if left and not (numbers_only and self.written):
+                frame = materialize(frame, "stage")
+                self.written = True
+            self.changes.columns.update(self.waiting[i][0].column for i in left)
+        else:
+            self.written = True
+            self.changes.columns.update(step.column for step, _ in self.waiting)
+        if self.changes.columns:
+            self.changes.hashes = None
+        return frame.select(*[col(c) for c in self.frame.columns])
+
+    def _applied(self, numbers: Iterable[int], stats: dict) -> tuple[DataFrame, bool]:
+        """The table with some of the corrections and their flags, and whether all of them are of columns of numbers."""
+        frame, numbers_only = self.frame, True
+        for i in numbers:
+            step, entry = self.waiting[i]
+            numbers_only = numbers_only and start_cell(frame, step.column).is_number
             frame, fixed = self._apply(frame, i, stats.get(step.column, {}))
             entry.update(applied=fixed.applied, value=fixed.value, lower=fixed.lower, upper=fixed.upper,
                          reason=fixed.reason)
-        frame = materialize(frame, "stage")
-        counts = frame.agg(*[F.count_if(f"_touched_{i}").alias(str(i)) for i in range(len(self.waiting))]).first()
-        for i, (_, entry) in enumerate(self.waiting):
-            entry["rows_affected"] = counts[str(i)]
-        return frame.select(*[col(c) for c in self.frame.columns])
+        return frame, numbers_only
 
 
 def _reason(error: Exception) -> str:
@@ -137,10 +181,16 @@ def _renamed_copies(df: DataFrame, names: Iterable[str]) -> list[str]:
 
 
 def apply_steps(df: DataFrame, dataset: str, steps: list[Step], rules: Rules, pass_number: int = 1,
-                first_seq: int = 1, log_skipped: bool = True) -> tuple[DataFrame, list[tuple]]:
-    """Run the steps in order; returns the corrected table, written wherever a step has changed it, and log rows."""
+                first_seq: int = 1, log_skipped: bool = True, written: bool = False,
+                changes: Changes | None = None) -> tuple[DataFrame, list[tuple]]:
+    """Run the steps in order; returns the corrected table and log rows.
+
+    The table is written wherever a step has changed more than numbers of a written one; ``written`` says that the
+    given table is one. ``changes``, if given, is told what the steps did.
+    """
     entries: list[dict] = []
-    frame, stage, deduplicated = df, _Stage(df, rules), None
+    changes = Changes() if changes is None else changes
+    frame, stage, deduplicated = df, _Stage(df, rules, written, pass_number > 1, changes), None
 
     def fresh(step: Step, **values) -> dict:
         entry = dict.fromkeys(_LOG_FIELDS)
@@ -152,7 +202,7 @@ def apply_steps(df: DataFrame, dataset: str, steps: list[Step], rules: Rules, pa
         return entry
 
     def close(now: DataFrame) -> _Stage:
-        return _Stage(now, rules)
+        return _Stage(now, rules, stage.written, pass_number > 1, changes)
 
     for step in steps:
         if step.action in COLUMN_FIXES and (step.column is None or step.column not in frame.columns):
@@ -176,11 +226,14 @@ def apply_steps(df: DataFrame, dataset: str, steps: list[Step], rules: Rules, pa
             elif keys is not None or frame is not deduplicated:
                 try:
                     hashes = repeated_hashes(frame, keys)
-                    if not hashes.isEmpty():
-                        copies = duplicate_groups(frame, keys, hashes=hashes).agg(F.sum(F.col("n") - 1).alias("n")).first()["n"]
+                    if hashes.isEmpty():
+                        changes.hashes = hashes if keys is None else changes.hashes
+                    else:
                         # Written, so that later statistics don't drop the copies again.
-                        frame = materialize(drop_duplicates(frame, keys, hashes=hashes), "deduplicated")
-                        entry["rows_affected"] = copies or 0
+                        kept = materialize(drop_duplicates(frame, keys, hashes=hashes), "deduplicated")
+                        entry["rows_affected"] = frame.count() - kept.count()
+                        frame, stage.written = kept, True
+                        changes.rows, changes.hashes = True, None
                 except (PySparkException, Py4JJavaError) as error:
                     entry.update(applied=False, reason=_reason(error))
             deduplicated = frame if keys is None else deduplicated
@@ -190,6 +243,7 @@ def apply_steps(df: DataFrame, dataset: str, steps: list[Step], rules: Rules, pa
             doomed = (_renamed_copies(frame, step.columns) if step.issue_type == "duplicate_column_names"
                       else [c for c in step.columns if c in frame.columns])
             frame = drop_unexpected_columns(frame, doomed)
+            changes.hashes = None if doomed else changes.hashes
             entry.update(columns=doomed, rows_affected=0)
             stage = close(frame)
         else:

@@ -8,10 +8,10 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 
-from tablewright.operators.checks import AuditOptions, audit
+from tablewright.operators.checks import AuditOptions, AuditTables, audit
 from tablewright.operators.rules import Rules, discover_rules
 from tablewright.operators.score import datasets_frame, score_table
-from tablewright.plans.apply import apply_steps, log_frame, plan_steps, residual_steps
+from tablewright.plans.apply import Changes, apply_steps, log_frame, plan_steps, residual_steps
 from tablewright.plans.planner import default_plan, validated_plan
 from tablewright.tables import local_rows, materialize, together, with_row_id
 
@@ -71,17 +71,20 @@ def iter_quality(
     yield "remediation", run
     kept = None if header is None else [h for h in header if h in run.fixed.columns]
     kept = None if kept is None else list(dict.fromkeys(kept))
-    run.post_issues = audit(run.fixed, dataset, run.rules, options, kept)
+    tables, changes = AuditTables(), Changes()
+    run.post_issues = audit(run.fixed, dataset, run.rules, options, kept, tables)
     yield "re_audit", run
 
     steps = residual_steps(run.post_issues)
     if steps:
-        run.fixed, more = apply_steps(run.fixed, dataset, steps, run.rules, 2, len(run.log_rows) + 1, log_skipped=False)
+        run.fixed, more = apply_steps(run.fixed, dataset, steps, run.rules, 2, len(run.log_rows) + 1, log_skipped=False,
+                                      written=run.fixed is not run.raw, changes=changes)
         run.log_rows = run.log_rows + more
         run.log = log_frame(df, run.log_rows)
     yield "second_pass", run
     if steps:
-        run.post_issues = audit(run.fixed, dataset, run.rules, options, kept)
+        tables.hold_for(run.fixed, changes.columns, changes.rows, changes.hashes)
+        run.post_issues = audit(run.fixed, dataset, run.rules, options, kept, tables)
     yield "final_audit", run
     names = datasets_frame(df.sparkSession, dataset)
     run.scores = local_rows(score_table(run.issues, run.post_issues, names, legacy_uniqueness))

@@ -17,6 +17,10 @@ SETTINGS = {
 }
 
 
+#: Tasks that a scan of a large table gets for each core.
+TASKS_A_CORE = 4
+
+
 def own_work_folder(spark: SparkSession) -> SparkSession:
     """Give a local session (tests, benches) a folder for intermediate tables of its own if it names none."""
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
@@ -28,4 +32,6 @@ def tune(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to a session."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    # Scans get several tasks a core, so that a last task does not keep the other cores waiting for a whole round.
+    spark.conf.set("spark.sql.files.minPartitionNum", str(TASKS_A_CORE * spark.sparkContext.defaultParallelism))
     return spark

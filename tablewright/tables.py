@@ -15,6 +15,10 @@ from pyspark.util import inheritable_thread_target
 
 from tablewright.constants import ROW_ID
 
+#: Rows of a file of an intermediate table: files are what scans are dealt by.
+FILE_ROWS = 250_000
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one the cluster names in spark.checkpoint.dir."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -36,7 +40,7 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from tablewright import ColumnRule, CrossRule, Rules
 from tablewright.constants import ROW_ID, WHITESPACE
-from tablewright.functions.text import as_text
-from tablewright.operators import cells, cross, quantiles
+from tablewright.functions.text import as_text, title_case, values_equivalent
+from tablewright.operators import cells, checks, cross, quantiles
 from tablewright.operators.checks import AuditOptions, audit, row_facts
-from tablewright.plans.run import run_many
-from tablewright.tables import small_frame
+from tablewright.operators.fixes import apply_fix
+from tablewright.plans import apply
+from tablewright.plans.apply import Step, apply_steps
+from tablewright.plans.run import run_many, run_quality
+from tablewright.tables import materialize, small_frame
 
 RULES = Rules((ColumnRule("id", 0, "string", None, True, None, (), 1), ColumnRule("price", 1, "numeric", None, True, 0.0, (), None),
                ColumnRule("day", 2, "date", "date", True, None, (), None), ColumnRule("year", 3, "numeric", None, False, None, (), None),
@@ -73,3 +76,48 @@ def test_tables_side_by_side_score_as_alone(orders):
     both = run_many({"one": orders, "two": orders.where("year = '2020'")}, rules=RULES)[1]
     alone = [run_many({"one": orders}, rules=RULES)[1], run_many({"two": orders.where("year = '2020'")}, rules=RULES)[1]]
     assert sorted(both.collect()) == sorted(alone[0].collect() + alone[1].collect())
+
+
+def test_last_audit_reads_again_only_what_the_second_pass_changed(orders, monkeypatch):
+    """Ids and prices are read as numbers again by the second pass; the other columns and the rule keep what the re-audit wrote."""
+    monkeypatch.setattr(cells, "GROUPED_ROWS", 500)
+    scanned, held, first = [], [], checks.value_parts
+    monkeypatch.setattr(checks, "value_parts", lambda df, **known: scanned.append(sorted(known["same"])) or first(df, **known))
+    hold = checks.AuditTables.hold_for
+    monkeypatch.setattr(checks.AuditTables, "hold_for", lambda *args: hold(*args) or held.append(args[0].hashes.keys()))
+    done = run_quality(orders, "t", RULES)
+    assert scanned == [[], [], ["day", "kind", "year"]] and "key_hash" in held[0]
+    fresh = audit(done.fixed, "t", RULES)
+    assert done.post_issues.collect() == fresh.collect() and fresh.count() > 2
+
+
+def test_dropped_rows_hold_nothing(orders):
+    tables = checks.AuditTables()
+    audit(orders, "t", RULES, tables=tables)
+    fewer = orders.where("year = '2020'")
+    tables.hold_for(fewer, (), True, None)
+    assert audit(fewer, "t", RULES, tables=tables).collect() == audit(fewer, "t", RULES).collect()
+
+
+def test_stages_of_numbers_and_idle_second_passes_are_not_written(spark, monkeypatch):
+    rows = [(i, float(i % 50) if i else 1e6, "a" if i else "?", "2020-01-02") for i in range(200)]
+    df = small_frame(spark, rows, f"{ROW_ID} bigint, n double, t string, d string")
+    wrote = []
+    monkeypatch.setattr(apply, "materialize", lambda frame, label: wrote.append(label) or materialize(frame, label))
+    clip, fill, dates = Step("clip_iqr", "t", ("n",)), Step("impute_mode", "t", ("t",)), Step("normalize_dates", "t", ("d",))
+    changes = apply.Changes()
+    out, log = apply_steps(df, "t", [clip, dates], Rules(), 2, written=True, changes=changes)
+    assert wrote == [] and [e[8] for e in log] == [1, 0] and changes.columns == {"n"} and not changes.rows
+    assert out.agg(F.max("n")).first()[0] < 1e6 and sorted(out.drop("n").collect()) == sorted(df.drop("n").collect())
+    out, log = apply_steps(df, "t", [fill, Step("drop_duplicates", "t", ())], Rules(), 2, written=True, changes=changes)
+    assert wrote == ["stage", "deduplicated"] and log[0][8] == 1 and log[1][8] == 200 - out.count() > 0 and changes.rows
+
+
+def test_numbers_read_from_text_are_compared_without_spelling_them(spark):
+    texts = [None, "", "1", " 1.50 ", "1,5", "€ 5", "1e5", "abc", "1.234", "0.1000000001", "1" * 400, "Infinity", "NaN", "-7", "12 EUR"]
+    df = small_frame(spark, list(enumerate(texts)), f"{ROW_ID} bigint, t string")
+    fixed = apply_fix(df, "t", "cast_numeric", Rules(), {}, "touched")[0].join(df.withColumnRenamed("t", "old"), ROW_ID)
+    same = values_equivalent(F.col("old"), F.col("t").cast("string"))
+    assert fixed.where(F.col("touched") == same).count() == 0 and fixed.where("touched").count() > 4
+    one_run = df.select(title_case(F.lit("ABC")).alias("a"), title_case(F.lit("o'NEIL é")).alias("b")).first()
+    assert tuple(one_run) == ("Abc", "O'Neil É")
