@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.constants import DISGUISED_NULLS, ROW_ID
-from tablewright.functions.numeric import parse_number_loose
+from tablewright.functions.numeric import framed_number, parse_number_loose
 from tablewright.functions.temporal import layout, parse_timestamp
 from tablewright.functions.text import as_text
 from tablewright.tables import col, column_groups, is_numeric_type, materialize
@@ -145,10 +145,10 @@ def _long(plain: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> Data
 
 
 def _hardly_repeated(plain: DataFrame, columns: Sequence[str], by: Sequence[str]) -> list[str]:
-    """Columns of a large table whose distinct stripped cells are over a quarter of its rows, by a sketch: grouping them would
+    """Columns of a large table whose distinct cells are over a quarter of its rows, by a sketch: grouping them would
     shuffle nearly every cell and save little. It decides how a value table is laid out, never what it holds."""
     hashed = plain.select(F.lit(0).cast("long").alias("rows"), *[
-        F.xxhash64(*[col(b) for b in by], as_text(col(c))).alias(f"c{i}") for i, c in enumerate(columns)])
+        F.xxhash64(*[col(b) for b in by], col(c)).alias(f"c{i}") for i, c in enumerate(columns)])
     kept = hashed.unpivot([], hashed.columns, "place", "hash").where((F.col("hash") % SLICES) == 0)  # "rows" keeps every row
     found = {r["place"]: r for r in kept.groupBy("place", "hash").agg(F.count("*").alias("n"))
              .groupBy("place").agg(F.count("*").alias("hashes"), F.sum("n").alias("rows")).collect()}
@@ -163,9 +163,10 @@ def _is_typed(numeric: Sequence[str]) -> Column:
 def _read(counted: DataFrame, numeric: Sequence[str]) -> DataFrame:
     """Counted cells with their number and date, which are costly to read."""
     typed = (counted.withColumn("is_typed", _is_typed(numeric)).withColumn("text", F.when(~F.col("is_typed"), as_text("value")))
-             .withColumn("layout", layout("text", stripped=True)))
-    number = F.when(F.col("is_typed"), F.col("value").try_cast("double")).otherwise(parse_number_loose("text", stripped=True))
-    return typed.withColumns({"number": number, "stamp": parse_timestamp("text", F.col("layout"))}).drop("is_typed", "text", "layout")
+             .withColumns({"layout": layout("text", stripped=True), "framed": framed_number("text")}))
+    number = F.when(F.col("is_typed"), F.col("value").try_cast("double")).otherwise(
+        parse_number_loose("text", stripped=True, framed=F.col("framed")))
+    return typed.withColumns({"number": number, "stamp": parse_timestamp("text", F.col("layout"))}).drop("is_typed", "text", "layout", "framed")
 
 
 def _spelled(values: DataFrame, numeric: Sequence[str], by: Sequence[str]) -> DataFrame:

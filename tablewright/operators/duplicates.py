@@ -42,11 +42,15 @@ def repeated_hashes(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 def suspected(df: DataFrame, columns: Sequence[str], hashes: DataFrame | None = None) -> Column:
     """True for all rows that equal another one in these columns, and for hardly any other."""
-    hashes = repeated_hashes(df, columns) if hashes is None else hashes
+    return among(hash_of(columns), repeated_hashes(df, columns) if hashes is None else hashes)
+
+
+def among(hashed: Column, hashes: DataFrame) -> Column:
+    """True for all hashes of a written table of them, and for hardly any other."""
     few = [r[_HASH] for r in hashes.limit(FEW + 1).collect()]
     if len(few) <= FEW:
-        return hash_of(columns).isin(few) if few else F.lit(False)
-    return bitmap_of(hashes, _HASH).may_hold(hash_of(columns))
+        return hashed.isin(few) if few else F.lit(False)
+    return bitmap_of(hashes, _HASH).may_hold(hashed)
 
 
 def duplicate_groups(df: DataFrame, columns: Sequence[str] | None = None,

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.tables import col, materialize, small_frame
@@ -20,6 +21,8 @@ from tablewright.tables import col, materialize, small_frame
 BLOCK_ROWS = 100_000
 #: Counted values of a bracket that one task may sort, and the pieces that a round cuts a wider bracket into.
 BLOCK_VALUES, PIECES = 100_000, 256
+#: Pieces of equal width that the first round cuts a column into whose least and largest number are known.
+EVEN_PIECES = 1_024
 ACCURACY = 10_000
 MAX_ROUNDS = 12
 
@@ -114,24 +117,40 @@ def counted_quantiles(
     counts: Mapping[str, int],
     block_rows: int = BLOCK_VALUES,
     distinct: dict[str, int] | None = None,
+    ends: Mapping[str, tuple[float | None, float | None]] | None = None,
 ) -> dict[tuple[str, float], float | None]:
     """As ``exact_quantiles``, of values that are counted already: (column, number, n), a number in one row or in several.
 
     A bracket with more rows is cut into pieces at quantiles of its values, and the rows of all pieces are counted, which
-    tells the piece that holds a rank. So only the values of that piece are sorted, whatever the rows of each value.
+    tells the piece that holds a rank. Pieces of equal width between the ``ends`` of a column, if known, come first and need
+    no pass to find them; whatever the ends, the pieces are in the order of the numbers. So only the values of that piece are sorted, whatever the rows of each value.
     ``distinct`` gets the number of distinct values, of a column that was cut at least four if there are four.
     """
     out, brackets = _brackets(columns, probs, counts)
     if not brackets:
         return out
-    _piece_rounds(values, brackets, block_rows, distinct)
+    _piece_rounds(values, brackets, block_rows, distinct, ends or {})
     spans = _spans(values, brackets)
     return out | _read_ranks(_inside_spans(values, spans), spans, brackets, block_rows, distinct)
 
 
-def _piece_rounds(values, brackets, block_rows, distinct) -> None:
+def _even_step(ends) -> float | None:
+    """Pieces for each unit between two ends; None without a finite width."""
+    if ends is None or None in ends or not 0 < ends[1] - ends[0] < math.inf:
+        return None
+    step = EVEN_PIECES / (ends[1] - ends[0])
+    return step if 0 < step < math.inf else None
+
+
+def _with_even_piece(numbers: DataFrame) -> DataFrame:
+    """Add ``piece``, the place of the row's number among pieces of equal width: ``step`` a unit, from ``least`` on."""
+    place = F.floor((F.col("number") - F.col("least")) * F.col("step"))
+    return numbers.withColumn("piece", F.greatest(F.lit(0), F.least(F.lit(EVEN_PIECES - 1), place)).cast("int"))
+
+
+def _piece_rounds(values, brackets, block_rows, distinct, ends) -> None:
     """Narrow every bracket with more than ``block_rows`` counted values by counting the rows of its pieces."""
-    for _ in range(MAX_ROUNDS):
+    for turn in range(MAX_ROUNDS):
         wide = [b for b in brackets if b.get("values", b["inside"]) > block_rows and not b.get("done")]
         if not wide:
             return
@@ -139,12 +158,17 @@ def _piece_rounds(values, brackets, block_rows, distinct) -> None:
         limits = small_frame(values.sparkSession, [(i, *k) for k, i in spans.items()], "id int, column string, lo double, hi double")
         inside = (values.join(F.broadcast(limits), "column").where(F.col("lo").isNull() | F.col("number").between(F.col("lo"), F.col("hi")))
                   .select("id", "number", "n"))
-        shares = [i / PIECES for i in range(1, PIECES)]
-        cuts = [(r["id"], _padded(sorted(set(r["cuts"])))) for r in inside.groupBy("id").agg(
-            F.percentile_approx("number", shares, ACCURACY).alias("cuts")).collect()]
-        cut = F.broadcast(small_frame(values.sparkSession, cuts, "id int, cuts array<double>"))
+        even = turn == 0 and all(_even_step(ends.get(b["column"])) for b in wide)
+        if even:
+            steps = [(i, ends[c][0], _even_step(ends[c])) for (c, _, _), i in spans.items()]
+            pieces = _with_even_piece(inside.join(F.broadcast(small_frame(values.sparkSession, steps, "id int, least double, step double")), "id"))
+        else:
+            shares = [i / PIECES for i in range(1, PIECES)]
+            cuts = [(r["id"], _padded(sorted(set(r["cuts"])))) for r in inside.groupBy("id").agg(
+                F.percentile_approx("number", shares, ACCURACY).alias("cuts")).collect()]
+            pieces = _with_piece(inside.join(F.broadcast(small_frame(values.sparkSession, cuts, "id int, cuts array<double>")), "id"))
         counted: dict[int, list] = {}
-        for r in _with_piece(inside.join(cut, "id")).groupBy("id", "piece").agg(
+        for r in pieces.groupBy("id", "piece").agg(
                 F.sum("n").alias("rows"), F.count("*").alias("values"), F.min("number").alias("lo"), F.max("number").alias("hi")).collect():
             counted.setdefault(r["id"], []).append(r)
         for b in wide:
@@ -159,7 +183,7 @@ def _piece_rounds(values, brackets, block_rows, distinct) -> None:
                     held.append((start, r))
                 start += r["rows"]
             rows, kept = sum(r["rows"] for _, r in held), sum(r["values"] for _, r in held)
-            b["done"] = kept == sum(r["values"] for r in pieces)  # equal numbers: their one counted value is few
+            b["done"] = not even and kept == sum(r["values"] for r in pieces)  # equal numbers: their one counted value is few
             b.update(lo=held[0][1]["lo"], hi=held[-1][1]["hi"], below=held[0][0], inside=rows, values=kept)
 
 
@@ -178,8 +202,16 @@ def _with_piece(numbers: DataFrame) -> DataFrame:
 
 def _inside_spans(cells: DataFrame, spans: DataFrame) -> DataFrame:
     """(column, number, n) of the distinct numbers inside the brackets."""
-    keep = F.broadcast(spans.groupBy("column").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
-    wanted = F.exists("spans", lambda s: s["lo"].isNull() | F.col("number").between(s["lo"], s["hi"]))
+    # A condition for each bracket of a column, which is compiled; a function over the list would be interpreted for each cell.
+    of_column: dict[str, list] = {}
+    for r in spans.collect():
+        of_column.setdefault(r["column"], []).append((r["lo"], r["hi"]))
+    most = max(map(len, of_column.values()))
+    ends = ", ".join(f"held{i} boolean, lo{i} double, hi{i} double" for i in range(most))
+    rows = [(c, *sum([(True, *s) for s in found], ()), *(False, None, None) * (most - len(found))) for c, found in of_column.items()]
+    keep = F.broadcast(small_frame(cells.sparkSession, rows, f"column string, {ends}"))
+    wanted = reduce(Column.__or__, [F.col(f"held{i}") & (F.col(f"lo{i}").isNull() | F.col("number").between(F.col(f"lo{i}"), F.col(f"hi{i}")))
+                                    for i in range(most)])
     return cells.join(keep, "column").where(wanted).groupBy("column", "number").agg(F.sum("n").alias("n"))
 
 

@@ -121,3 +121,65 @@ def test_numbers_read_from_text_are_compared_without_spelling_them(spark):
     assert fixed.where(F.col("touched") == same).count() == 0 and fixed.where("touched").count() > 4
     one_run = df.select(title_case(F.lit("ABC")).alias("a"), title_case(F.lit("o'NEIL é")).alias("b")).first()
     assert tuple(one_run) == ("Abc", "O'Neil É")
+
+
+def test_pieces_of_equal_width_give_the_same_quantiles_whatever_the_ends(spark, monkeypatch):
+    numbers = [float(i * i % 701) for i in range(400)] + [1e9] * 3 + [-5.5, 1e-300]
+    rows = [("a", x, 1 + i % 3) for i, x in enumerate(numbers)] + [("b", float(i), 1) for i in range(300)]
+    values = small_frame(spark, rows, "column string, number double, n bigint")
+    counts = {c: sum(n for k, _, n in rows if k == c) for c in "ab"}
+    plain = quantiles.counted_quantiles(values, ["a", "b"], [0.25, 0.75], counts)
+    sketched, found = [], F.percentile_approx
+    monkeypatch.setattr(F, "percentile_approx", lambda *args: sketched.append(args) or found(*args))
+    for ends in ({"a": (-5.5, 1e9), "b": (0.0, 299.0)}, {"a": (3.0, 4.0), "b": (0.0, 1.0)}):
+        assert quantiles.counted_quantiles(values, ["a", "b"], [0.25, 0.75], counts, 50, ends=ends) == plain
+    sketched.clear()
+    assert quantiles.counted_quantiles(values, ["b"], [0.25, 0.75], counts, 50, ends={"b": (0.0, 299.0)}) == {
+        k: v for k, v in plain.items() if k[0] == "b"} and not sketched
+    for ends in ({}, {"b": (None, None)}, {"b": (0.0, float("inf"))}, {"b": (7.0, 7.0)}, {"b": (-1.7e308, 1.7e308)}):
+        assert quantiles._even_step(ends.get("b")) is None
+
+
+def test_columns_without_bad_cells_are_not_read_again(orders, monkeypatch):
+    """All numbers of the years lie inside their fences, so neither outliers nor samples are looked for among them."""
+    looked, first = [], checks.numeric_samples
+    monkeypatch.setattr(checks, "numeric_samples", lambda df, facts, *args, **known: looked.append(
+        {r["column"] for r in facts}) or first(df, facts, *args, **known))
+    rows = [(i, f"{i}", "1" if i != 5 else "1000", "x" if i == 7 else "2") for i in range(40)]
+    df = small_frame(orders.sparkSession, rows, f"{ROW_ID} bigint, plain string, far string, text string")
+    rules = Rules(tuple(ColumnRule(c, i, "numeric", None, False, None, (), None) for i, c in enumerate(("plain", "far", "text"))))
+    values = cells.value_table(df)
+    facts = {r["column"]: r for r in checks.audit_facts(df, rules, values=values).collect()}
+    assert (facts["plain"]["least"], facts["plain"]["largest"]) == (0.0, 39.0)
+    fences = checks.iqr_fences(df, ["plain"], values=values)
+    read, typed = [], checks.typed_values
+    monkeypatch.setattr(checks, "typed_values", lambda v, d, columns=None: read.append(columns) or typed(v, d, columns))
+    known = checks.outlier_counts(df, fences, values, facts).collect()
+    assert read == [] and known == checks.outlier_counts(df, fences, values).collect() and known[0]["outliers"] == 0
+    assert audit(df, "t", rules).count() > 0 and looked == [{"text"}]
+
+
+def test_copies_are_looked_for_among_rows_of_shared_keys(spark, monkeypatch):
+    rows = [(i, f"K{i - (i % 10 == 1)}", "a" if i % 20 < 10 else str(i)) for i in range(300)]
+    df = small_frame(spark, rows, f"{ROW_ID} bigint, id string, text string")
+    facts, hashed, known = row_facts(df, ["id"], []), {}, {}
+    first = checks.repeated
+    monkeypatch.setattr(checks, "repeated", lambda held, name: hashed.update({name: held.count()}) or first(held, name))
+    issues = checks.check_duplicates(df, "t", ["id"], True, facts, known).collect()
+    assert hashed == {"key_hash": 300, "row_hash": 60} and set(known) == {"key_hash", "row_hash"}
+    assert issues == checks.check_duplicates(df, "t", ["id"]).collect() and [r["row_count"] for r in issues] == [30, 60]
+
+
+def test_framed_numbers_read_as_cleaned_ones(spark):
+    texts = ["ORD-0012", "52.87 EUR", "€ 12", "- 5", "x-5", "5-", "1.234 EUR", "x1.2345y", "1,5 EUR", "a1b2", "EUR", "", "-.5", "1.", None]
+    df = small_frame(spark, [(t,) for t in texts], "value string").select(F.lit("c").alias("column"), "value")
+    found = cells._read(df, []).select("value", "number").collect()
+    assert {r["value"]: r["number"] for r in found} == {r["value"]: r["n"] for r in df.select("value", cells.parse_number_loose("value").alias("n")).collect()}
+
+
+def test_broken_rows_alone_keep_their_id_and_cells(spark):
+    df = small_frame(spark, [(5, "2020-01-02", "2020"), (6, "2020-01-02", "2021"), (7, None, "2021")], f"{ROW_ID} bigint, day string, `the.year` string")
+    facts = row_facts(df, (), [CrossRule("year_matches", ("day", "the.year"))])
+    kept = facts.where("broken is not null").collect()
+    assert [(r[ROW_ID], [tuple(b) for b in r["broken"]]) for r in kept] == [(6, [(0, '{"day":"2020-01-02","the.year":"2021"}')])]
+    assert facts.where(f"{ROW_ID} is null").count() == 2
