@@ -19,8 +19,10 @@ from tablewright.functions.temporal import (
 from tablewright.functions.numeric import parse_number_loose
 from tablewright.functions.text import as_text, is_present
 from tablewright.operators.cells import numbers, temporal, with_temporal
+from tablewright.operators.copies import Copies
 from tablewright.operators.cross import applicable, ISSUE_OF_RULE
-from tablewright.operators.events import dominant_labels, empty_events, labelled_cells
+from tablewright.operators.duplicates import _HASH, among
+from tablewright.operators.events import Facts, dominant_labels, empty_events, labelled_cells, numbers_of, table_facts, usual_layouts
 from tablewright.operators.rules import CrossRule, Rules
 from tablewright.tables import col, column_groups, is_numeric_type, materialize
 
@@ -32,15 +34,28 @@ STREAM = 69_069
 Seed = int | Column
 
 
+#: Undoes a multiplication by MULTIPLIER.
+INVERSE = pow(MULTIPLIER, -1, PRIME)
+
+
+def _shift(seed: Seed) -> Column | int:
+    return (seed * STREAM + 1) % PRIME if isinstance(seed, int) else F.pmod(seed.cast("long") * STREAM + 1, F.lit(PRIME))
+
+
 def mix(seed: Seed, row_id: Column | str = ROW_ID) -> Column:
     """Evenly spread number in [0, PRIME) from a row id and a seed."""
     row_id = F.col(row_id) if isinstance(row_id, str) else row_id
     start = F.pmod(row_id.cast("long"), F.lit(PRIME))
-    shift = (seed * STREAM + 1) % PRIME if isinstance(seed, int) else F.pmod(seed.cast("long") * STREAM + 1, F.lit(PRIME))
-    once = F.pmod(start * MULTIPLIER + shift, F.lit(PRIME))
+    once = F.pmod(start * MULTIPLIER + _shift(seed), F.lit(PRIME))
     return F.pmod(once * MULTIPLIER + 12_345, F.lit(PRIME))
 
 
+def unmix(seed: Seed, mixed: Column) -> Column:
+    """What row ids with this mix are modulo PRIME."""
+    once = F.pmod((mixed - 12_345) * INVERSE, F.lit(PRIME))
+    return F.pmod((once - _shift(seed)) * INVERSE, F.lit(PRIME))
+
+
 def chosen(rate: float, seed: Seed, slot: int = 0, slots: int = 1) -> Column:
     """True for the given share of rows; disjoint ``slots`` share that share out."""
     width = int(rate * PRIME) // slots
@@ -81,17 +96,19 @@ def _apply(df: DataFrame, dataset: str, family: str, hits: dict[str, Column], ne
     return bad, truth
 
 
-def inject_disguised_null(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = ()):
+def inject_disguised_null(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = (),
+                          whole: Facts | None = None):
     """``N.D.`` into present text cells."""
     text = [c for c in column_groups(df)[0] if c not in by]
     hits = _spread(text, rate, seed, {c: is_present(col(c)) for c in text})
     return _apply(df, dataset, "disguisednull", hits, {c: F.lit("N.D.") for c in text}, by)
 
 
-def inject_outlier(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = ()):
+def inject_outlier(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = (),
+                   whole: Facts | None = None):
     """A number a hundred times the largest of its column, plus a million."""
     columns = [r.column for r in rules.numeric if r.column in df.columns]
-    nums = numbers(_one_table(df, by), columns)
+    nums = numbers(_one_table(df, by), columns) if whole is None else numbers_of(whole.rows, columns)
     facts = nums.agg(*[F.max(F.abs(col(c))).alias(c) for c in columns],
                      *[F.count(col(c)).alias(f"n:{c}") for c in columns]).first() if columns else None
     columns = [c for c in columns if facts[f"n:{c}"] >= 8]
@@ -101,7 +118,8 @@ def inject_outlier(df: DataFrame, dataset: str, rules: Rules, rate: float, seed:
     return _apply(df, dataset, "iqr_outlier", hits, {c: _as_cell(df, c, new[c]) for c in columns}, by)
 
 
-def inject_below_minimum(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = ()):
+def inject_below_minimum(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = (),
+                         whole: Facts | None = None):
     """A readable but impossible number: the negative of the cell, at most -1."""
     columns = [r.column for r in rules.numeric if r.min_value is not None and r.column in df.columns]
     number = _number_of(df)
@@ -110,12 +128,14 @@ def inject_below_minimum(df: DataFrame, dataset: str, rules: Rules, rate: float,
     return _apply(df, dataset, "wrong_but_parseable", hits, {c: _as_cell(df, c, new[c]) for c in columns}, by)
 
 
-def inject_date_layout(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = ()):
+def inject_date_layout(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = (),
+                       whole: Facts | None = None):
     """Another layout of the same date into cells of the dominant layout."""
     formats = {c: k for c, k in rules.formats.items() if c in df.columns and k in ("date", "period", "datetime")}
     if not formats:
         return df, empty_events(df, by).drop("issue_type")
-    dominant = {r["column"]: r["dominant"] for r in dominant_labels(labelled_cells(_one_table(df, by), formats)).collect()}
+    dominant = ({r["column"]: r["dominant"] for r in dominant_labels(labelled_cells(_one_table(df, by), formats)).collect()} if whole is None
+                else {c: usual for (c,), (usual, _) in usual_layouts(whole.rows, [c for c in formats if f"_label:{c}" in whole.rows.columns]).items()})
     columns = [c for c in formats if c in dominant]
     frame, new, ok = with_temporal(df, columns), {}, {}
     for c in columns:
@@ -143,19 +163,24 @@ def _as_cell(df: DataFrame, column: str, number: Column) -> Column:
 
 def duplicate_pairs(df: DataFrame, keys: Sequence[str], rate: float, seed: Seed, by: Sequence[str] = ()) -> DataFrame:
     """(by..., src, dst, key...) pairs of different rows: in every hash bucket the row with the lowest
-    mixed id gives its key to the row with the highest. One aggregation, no self join."""
-    total = _one_table(df, by).count()
-    buckets = max(1, int(total * rate))
-    usable = df.where(_all_present(keys))
+    mixed id gives its key to the row with the highest. Only mixed ids are aggregated; which rows have the two of a bucket
+    is worked out from these."""
+    whole = _one_table(df, by)
+    buckets = max(1, int(whole.count() * rate))
     bucket = F.pmod(mix(seed), F.lit(buckets)).alias("bucket")
-    order = mix(seed + 1)
-    pairs = usable.select(*[col(b).alias(f"by:{b}") for b in by], bucket, order.alias("order"), ROW_ID,
-                          F.struct(*[col(k) for k in keys]).alias("key")) \
-        .groupBy(*[col(f"by:{b}") for b in by], "bucket").agg(
-            F.min(F.struct("order", ROW_ID, "key")).alias("src"),
-            F.max(F.struct("order", ROW_ID)).alias("dst"))
-    return (pairs.where(F.col(f"src.{ROW_ID}") != F.col(f"dst.{ROW_ID}"))
-                 .select(*[col(f"by:{b}") for b in by], F.col(f"src.{ROW_ID}").alias("src"), F.col(f"dst.{ROW_ID}").alias("dst"),
+    ends = materialize(df.where(_all_present(keys)).select(*[col(b) for b in by], bucket, mix(seed + 1).alias("order"))
+                       .groupBy(*[col(b) for b in by], "bucket").agg(F.min("order").alias("least"), F.max("order").alias("most")), "ends")
+    side = F.explode(F.array(F.struct(F.lit(True).alias("gives"), F.col("least").alias("order")),
+                             F.struct(F.lit(False).alias("gives"), F.col("most").alias("order"))))
+    wanted = ends.select(*[col(b) for b in by], "bucket", side.alias("side"))
+    wanted = wanted.select(*[col(b).alias(f"by:{b}") for b in by], "bucket", "side.gives", unmix(seed + 1, F.col("side.order")).alias("rest"))
+    rows = whole.where(_all_present(keys)).select(ROW_ID, F.struct(*[col(k) for k in keys]).alias("key"),
+                                                  F.pmod(F.col(ROW_ID).cast("long"), F.lit(PRIME)).alias("rest"))
+    rests = materialize(wanted.select(F.xxhash64("rest").alias(_HASH)).distinct(), "hashes")
+    pairs = wanted.join(rows.where(among(F.xxhash64("rest"), rests)), "rest").groupBy(*[col(f"by:{b}") for b in by], "bucket").agg(
+        F.min(F.when(F.col("gives"), F.struct(ROW_ID, "key"))).alias("src"), F.max(F.when(~F.col("gives"), F.col(ROW_ID))).alias("dst"))
+    return (pairs.where(F.col(f"src.{ROW_ID}") != F.col("dst"))
+                 .select(*[col(f"by:{b}") for b in by], F.col(f"src.{ROW_ID}").alias("src"), "dst",
                          *[F.col("src.key")[k].alias(f"key:{k}") for k in keys]))
 
 
@@ -166,12 +191,13 @@ def _all_present(keys: Sequence[str]) -> Column:
     return out
 
 
-def inject_key_conflict(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = ()):
-    """Another row's business key, with the first filled payload cell changed."""
+def inject_key_conflict(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = (),
+                        pairs: DataFrame | None = None):
+    """Another row's business key, with the first filled payload cell changed; ``pairs`` may pass the rows, if known."""
     keys = [k for k in rules.keys if k in df.columns]
     if not keys:
         return df, empty_events(df, by).drop("issue_type")
-    pairs = materialize(duplicate_pairs(df, keys, rate, seed, by), "pairs")
+    pairs = materialize(duplicate_pairs(df, keys, rate, seed, by), "pairs") if pairs is None else pairs
     same = reduce(lambda on, b: on & (df[b] == pairs[f"by:{b}"]), by, df[ROW_ID] == pairs["dst"])
     joined = df.join(pairs, same, "left")
     hit, new, changed = F.col("dst").isNotNull(), {}, F.lit(False)
@@ -216,7 +242,8 @@ def _broken(df: DataFrame, rule: CrossRule) -> tuple[Column, dict[str, Column]]:
     return first.isNotNull() & second.isNotNull(), {c[0]: late}
 
 
-def inject_cross_error(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = ()):
+def inject_cross_error(df: DataFrame, dataset: str, rules: Rules, rate: float, seed: Seed, by: Sequence[str] = (),
+                       whole: Facts | None = None):
     """Break cross-column rules; all applicable ones share the chosen rows out by slots."""
     usable = applicable(df, rules.cross)
     if not usable:
@@ -256,20 +283,64 @@ def corrupt(df: DataFrame, dataset: str, rules: Rules, family: str, rate: float
     return INJECTORS[family](df, dataset, rules, rate, seed)
 
 
-TRIAL = "_trial"
+TRIAL, COPY = "_trial", "_copy"
 
 
 def corrupt_trials(df: DataFrame, dataset: str, rules: Rules, families: Sequence[str], rate: float = 0.01, seed: int = 42,
-                   trials: int = 1) -> tuple[DataFrame, DataFrame]:
+                   trials: int = 1, apart: bool = False, facts: Facts | None = None) -> tuple[DataFrame | Copies, DataFrame]:
     """(corrupted copies stacked in one table, truth events), both with the trial in ``_trial`` as ``family:number``.
 
-    Every family corrupts ``trials`` copies of the table, each with a seed of its own, in one pass over the table.
+    Every family corrupts ``trials`` copies of the table, each with a seed of its own, in one pass over the table. ``apart``
+    gives the copies by the rows that they change; ``facts`` may then pass the table's, if known for these families.
     """
+    if apart:
+        return _corrupt_apart(df, dataset, rules, families, rate, seed, trials, table_facts(df, rules, families) if facts is None else facts)
     bad, truth = [], []
-    copies = df.withColumn(TRIAL, F.explode(F.sequence(F.lit(0), F.lit(trials - 1))))
+    copies = _numbered(df, trials)
     for i, family in enumerate(families):
         found, real = INJECTORS[family](copies, dataset, rules, rate, F.lit(seed + i) + F.col(TRIAL) * len(families), (TRIAL,))
-        name = F.concat(F.lit(f"{family}:"), F.col(TRIAL).cast("string"))
-        bad.append(found.withColumn(TRIAL, name))
-        truth.append(real.withColumn(TRIAL, name))
+        bad.append(_named(found, family))
+        truth.append(_named(real, family))
     return reduce(DataFrame.unionByName, bad), reduce(DataFrame.unionByName, truth)
+
+
+def _numbered(df: DataFrame, trials: int) -> DataFrame:
+    return df.withColumn(TRIAL, F.explode(F.sequence(F.lit(0), F.lit(trials - 1))))
+
+
+def _named(rows: DataFrame, family: str) -> DataFrame:
+    return rows.withColumn(TRIAL, F.concat(F.lit(f"{family}:"), F.col(TRIAL).cast("string")))
+
+
+def _corrupt_apart(df: DataFrame, dataset: str, rules: Rules, families: Sequence[str], rate: float, seed: int, trials: int,
+                   facts: Facts) -> tuple[Copies, DataFrame]:
+    """Each row of each copy is asked whether it is chosen; those that are, are written and corrupted."""
+    every = len(families)
+    names = [f"{families[n % every]}:{n // every}" for n in range(every * trials)]
+    by_rate = [n for n in range(len(names)) if families[n % every] != "semantic_duplicate"]
+    picked, pairs = [], {}
+    if by_rate:
+        copies = df.withColumn(COPY, F.explode(F.array(*[F.lit(n) for n in by_rate])))
+        picked.append(copies.where(mix(F.lit(seed) + F.col(COPY)) < int(rate * PRIME)))
+    keys = [k for k in rules.keys if k in df.columns]
+    for i, family in enumerate(families):
+        if family == "semantic_duplicate" and keys:
+            numbered = _numbered(df.select(ROW_ID, *[col(k) for k in keys]), trials)
+            pairs[i] = materialize(duplicate_pairs(numbered, keys, rate, F.lit(seed + i) + F.col(TRIAL) * every, (TRIAL,)), "pairs")
+            taken = pairs[i].select((F.col(f"`by:{TRIAL}`") * every + i).alias(COPY), "dst")
+            ids = materialize(taken.select(F.xxhash64("dst").alias(_HASH)).distinct(), "hashes")
+            rows = df.where(among(F.xxhash64(F.col(ROW_ID).cast("long")), ids))
+            picked.append(rows.join(taken, F.col(ROW_ID) == F.col("dst")).select(*[col(c) for c in df.columns], COPY))
+    if not picked:
+        picked = [df.withColumn(COPY, F.lit(0)).where("false")]
+    rows = materialize(reduce(DataFrame.unionByName, picked), "picked")
+    bad, truth = [], []
+    for i, family in enumerate(families):
+        mine = rows.where(F.col(COPY) % every == i).withColumn(TRIAL, F.floor(F.col(COPY) / every).cast("int")).drop(COPY)
+        known = {"pairs": pairs.get(i)} if family == "semantic_duplicate" else {"whole": facts}
+        found, real = INJECTORS[family](mine, dataset, rules, rate, F.lit(seed + i) + F.col(TRIAL) * every, (TRIAL,), **known)
+        bad.append(_named(found, family))
+        truth.append(_named(real, family))
+    before = rows.withColumn(TRIAL, F.element_at(F.array(*[F.lit(n) for n in names]), F.col(COPY) + 1)).drop(COPY)
+    after = materialize(reduce(DataFrame.unionByName, bad), "corrupted")
+    return Copies(df, TRIAL, tuple(names), before.select(*after.columns), after), reduce(DataFrame.unionByName, truth)

@@ -12,10 +12,10 @@ from tablewright.constants import ROW_ID
 from tablewright.functions.text import plain_double
 from tablewright.operators.checks import AuditOptions, audit
 from tablewright.operators.corrupt import EXPECTED_ISSUES, INJECTORS, TRIAL, corrupt_trials, mix
-from tablewright.operators.events import FAMILIES, _events, detect_events, empty_events
+from tablewright.operators.events import FAMILIES, _events, detect_events, empty_events, table_facts
 from tablewright.operators.profile import profile
 from tablewright.operators.rules import CrossRule, Rules, discover_rules, with_fallback_key
-from tablewright.tables import col, column_groups, data_columns, is_numeric_type, materialize, small_frame
+from tablewright.tables import col, column_groups, data_columns, is_numeric_type, materialize, small_frame, together
 
 _IDENTITY = ["dataset", "error_type", "columns", "members", "first_row", "last_row", "digest"]
 _OWNER = ["dataset", "error_type", "columns", "event_key"]
@@ -23,7 +23,8 @@ _OWNER = ["dataset", "error_type", "columns", "event_key"]
 
 def _digest() -> Column:
     row_hash = F.xxhash64("row_id")
-    return F.concat_ws(":", F.bit_xor(row_hash), F.sum(row_hash.cast("decimal(38,0)")))
+    # Halves are summed, as whole hashes would overflow.
+    return F.concat_ws(":", F.bit_xor(row_hash), F.sum(F.shiftright(row_hash, 32)), F.sum(row_hash.bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))))
 
 
 def event_sets(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -128,15 +129,21 @@ def evaluate(
 ) -> tuple[DataFrame, DataFrame]:
     """(metrics per family and overall, trial outcomes).
 
-    Every family corrupts the whole table ``trials`` times at ``rate``, each time other rows. All corrupted tables are
-    stacked, and one pass of the detectors judges each by its own values; outcomes are summed over the trials, whose
-    number is in ``runs`` if there are several. ``with_audit`` also reports how often the audit of a corrupted table
+    Every family corrupts the whole table ``trials`` times at ``rate``, each time other rows. One pass of the detectors
+    judges all corrupted tables, each by its own values; outcomes are summed over the trials, whose
+    number is in ``runs`` if there are several. ``detect_events`` gets the copies by the rows that they change; other detectors and audits
+    get all their rows, stacked in one table. ``with_audit`` also reports how often the audit of a corrupted table
     raised an issue of the expected type.
     """
-    baseline = detect(df, dataset, rules, detectors)
-    bad, truth = corrupt_trials(df, dataset, rules, families, rate, seed, trials)
-    bad = materialize(bad, "corrupted")
-    matched = match_events(truth, baseline, detect(bad, dataset, rules, detectors, by=(TRIAL,)), (TRIAL,))
+    apart = detect is detect_events and not with_audit
+    if apart:  # the table is read some seven times
+        df = materialize(df, "table")
+    known = {"facts": table_facts(df, rules, sorted({*detectors, *families}))} if apart else {}
+    baseline, (bad, truth) = together(
+        df.sparkSession, lambda: detect(df, dataset, rules, detectors, **known),
+        lambda: corrupt_trials(df, dataset, rules, families, rate, seed, trials, apart, **known))
+    bad = bad if apart else materialize(bad, "corrupted")
+    matched = match_events(truth, baseline, detect(bad, dataset, rules, detectors, by=(TRIAL,), **known), (TRIAL,))
     family, number = F.substring_index(TRIAL, ":", 1), F.substring_index(TRIAL, ":", -1).cast("int")
     outcomes = materialize(matched.select(*_IDENTITY, "outcome", family.alias("family"), number.alias("trial")), "trials")
     metrics = detection_metrics(outcomes)

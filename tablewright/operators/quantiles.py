@@ -25,6 +25,8 @@ BLOCK_VALUES, PIECES = 100_000, 256
 EVEN_PIECES = 1_024
 ACCURACY = 10_000
 MAX_ROUNDS = 12
+#: Counted values of a bracket that are sorted for a copy of a table.
+COPY_VALUES = 20_000
 
 
 def _bracket_rounds(nums, brackets, block_rows, accuracy):
@@ -226,14 +228,7 @@ def _read_ranks(values, spans, brackets, block_rows, distinct) -> dict:
     narrowed share its whole value list."""
     ranked = (values.join(F.broadcast(spans), "column")
               .where(F.col("lo").isNull() | F.col("number").between(F.col("lo"), F.col("hi"))))
-    if max(b.get("values", b["inside"]) for b in brackets) > block_rows:
-        found = _ranks_by_ranges(ranked.select("id", "number", "n"), brackets)
-    else:
-        upto = F.sum("n").over(Window.partitionBy("id").orderBy("number")
-                               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        ranked = ranked.withColumn("upto", F.col("below") + upto).withColumn("start", F.col("upto") - F.col("n"))
-        found = {r["id"]: (r["lo"], r["hi"], r["values"]) for r in ranked.groupBy("id").agg(
-            _at("lo_rank").alias("lo"), _at("hi_rank").alias("hi"), F.count("*").alias("values")).collect()}
+    found = _ranks_of(ranked, brackets, block_rows)
     out = {}
     for b in brackets:
         lo, hi, n = found[b["id"]]
@@ -243,6 +238,17 @@ def _read_ranks(values, spans, brackets, block_rows, distinct) -> dict:
     return out
 
 
+def _ranks_of(ranked, brackets, block_rows) -> dict[int, tuple]:
+    """{id: (value at the lower rank, at the upper rank, distinct values)} of (id, number, n, below, lo_rank, hi_rank)."""
+    if max(b.get("values", b["inside"]) for b in brackets) > block_rows:
+        return _ranks_by_ranges(ranked.select("id", "number", "n"), brackets)
+    upto = F.sum("n").over(Window.partitionBy("id").orderBy("number")
+                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = ranked.withColumn("upto", F.col("below") + upto).withColumn("start", F.col("upto") - F.col("n"))
+    return {r["id"]: (r["lo"], r["hi"], r["values"]) for r in ranked.groupBy("id").agg(
+        _at("lo_rank").alias("lo"), _at("hi_rank").alias("hi"), F.count("*").alias("values")).collect()}
+
+
 def _at(rank):
     return F.max(F.when((F.col("start") <= F.col(rank)) & (F.col(rank) < F.col("upto")), F.col("number")))
 
@@ -268,3 +274,116 @@ def _ranks_by_ranges(ranked, brackets) -> dict[int, tuple]:
             .withColumn("start", F.col("upto") - F.col("n")))
     at = {(r["id"], r["name"]): r["value"] for r in rows.groupBy("id", "name").agg(_at("rank").alias("value")).collect()}
     return {i: (at[(i, "lo_rank")], at[(i, "hi_rank")], sum(p[3] for p in found)) for i, found in parts.items()}
+
+
+# ---------------------------------------------------------------- copies of a table
+
+def copied_quantiles(
+    values: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[tuple[str, str]],
+    probs: Sequence[float],
+    counts: Mapping[tuple[str, str], int],
+    ends: Mapping[str, tuple[float | None, float | None]],
+    distinct: dict[tuple[str, str], int],
+    block_rows: int = COPY_VALUES,
+) -> dict[tuple[tuple[str, str], float], float | None]:
+    """As ``counted_quantiles``, of copies of a table: ``values`` are the table's (column, number, n), ``changes`` what a
+    copy has more or, with ``n`` below 0, less of (copy, column, number, n). ``keys`` are (copy, column).
+
+    The rows of a piece are those of the table and those that the copy has more, so the table's numbers are passed over
+    once a round for all copies, whose brackets share their spans. ``distinct`` gets the number of distinct values, at
+    least four if there are four.
+    """
+    out, brackets = _brackets(keys, probs, counts)
+    for b in brackets:
+        b["key"] = b["column"]
+        b["copy"], b["column"] = b["key"]
+    if not brackets:
+        return out
+    _copied_rounds(values, changes, brackets, block_rows, ends, distinct)
+    session = values.sparkSession
+    spans = small_frame(session, [(b["id"], b["copy"], b["column"], b["lo"], b["hi"], b["below"], b["lo_rank"], b["hi_rank"]) for b in brackets],
+                        "id int, copy string, column string, lo double, hi double, below bigint, lo_rank bigint, hi_rank bigint")
+    shared = small_frame(session, sorted({(b["column"], b["lo"], b["hi"]) for b in brackets}, key=str), "column string, lo double, hi double")
+    inside = F.col("lo").isNull() | F.col("number").between(F.col("lo"), F.col("hi"))
+    own = changes.join(F.broadcast(spans), ["copy", "column"]).where(inside).select("id", "number", "n")
+    both = _inside_spans(values, shared).join(F.broadcast(spans), "column").where(inside).select("id", "number", "n").unionByName(own)
+    ranked = both.groupBy("id", "number").agg(F.sum("n").alias("n")).where("n > 0").join(F.broadcast(spans), "id")
+    found = _ranks_of(ranked, brackets, block_rows)
+    for b in brackets:
+        lo, hi, n = found[b["id"]]
+        out[(b["key"], b["p"])] = lo + (hi - lo) * (b["position"] - b["lo_rank"])
+        if b["lo"] is None:
+            distinct.setdefault(b["key"], n)
+    left = sorted(set(keys) - set(distinct))
+    if left:
+        distinct |= _copied_distinct(values, changes, left)
+    return out
+
+
+def _copied_rounds(values, changes, brackets, block_rows, ends, distinct) -> None:
+    """``_piece_rounds`` for copies: pieces of the table's values, with what each copy has more or less in them."""
+    session = values.sparkSession
+    for turn in range(MAX_ROUNDS):
+        wide = [b for b in brackets if b.get("values", b["inside"]) > block_rows and not b.get("done")]
+        if not wide:
+            return
+        spans = {k: i for i, k in enumerate({(b["column"], b["lo"], b["hi"]): None for b in wide})}
+        limits = small_frame(session, [(i, *k) for k, i in spans.items()], "id int, column string, lo double, hi double")
+
+        def inside(df):
+            return df.join(F.broadcast(limits), "column").where(F.col("lo").isNull() | F.col("number").between(F.col("lo"), F.col("hi"))).drop("column", "lo", "hi")
+
+        even = turn == 0 and all(_even_step(ends.get(b["column"])) for b in wide)
+        if even:
+            places = small_frame(session, [(i, ends[c][0], _even_step(ends[c])) for (c, _, _), i in spans.items()], "id int, least double, step double")
+            with_piece = _with_even_piece
+        else:
+            shares = [i / PIECES for i in range(1, PIECES)]
+            cuts = {r["id"]: r["cuts"] for r in inside(values).groupBy("id").agg(F.percentile_approx("number", shares, ACCURACY).alias("cuts")).collect()}
+            places = small_frame(session, [(i, _padded(sorted(set(cuts.get(i, ()))))) for i in spans.values()], "id int, cuts array<double>")
+            with_piece = _with_piece
+
+        def pieces(df, *group):
+            return with_piece(inside(df).join(F.broadcast(places), "id")).groupBy("id", "piece", *group).agg(
+                F.sum("n").alias("rows"), F.count("*").alias("values"), F.min("number").alias("lo"), F.max("number").alias("hi")).collect()
+
+        ranges: dict[tuple, tuple] = {}
+        table: dict[int, dict] = {}
+        moved: dict[tuple, dict] = {}
+        for r in pieces(values):
+            table.setdefault(r["id"], {})[r["piece"]] = (r["rows"], r["values"])
+            ranges[r["id"], r["piece"]] = (r["lo"], r["hi"])
+        for r in pieces(changes, "copy"):
+            moved.setdefault((r["id"], r["copy"]), {})[r["piece"]] = (r["rows"], r["values"])
+            lo, hi = ranges.get((r["id"], r["piece"]), (r["lo"], r["hi"]))
+            ranges[r["id"], r["piece"]] = (min(lo, r["lo"]), max(hi, r["hi"]))
+        for b in wide:
+            i = spans[b["column"], b["lo"], b["hi"]]
+            own, more = table.get(i, {}), moved.get((i, b["copy"]), {})
+            parts = [(p, *(x + y for x, y in zip(own.get(p, (0, 0)), more.get(p, (0, 0)), strict=True))) for p in sorted(own.keys() | more.keys())]
+            filled = sum(rows > 0 for _, rows, _ in parts)
+            if b["lo"] is None and filled >= 4:
+                distinct.setdefault(b["key"], filled)
+            start, held = b["below"], []
+            for piece, rows, n in parts:
+                if rows and start <= b["hi_rank"] and b["lo_rank"] < start + rows:
+                    held.append((start, piece, rows, n))
+                start += rows
+            kept = sum(n for *_, n in held)
+            b["done"] = not even and kept == sum(n for *_, n in parts)  # equal numbers: their one counted value is few
+            b.update(lo=ranges[i, held[0][1]][0], hi=ranges[i, held[-1][1]][1], below=held[0][0], inside=sum(h[2] for h in held), values=kept)
+
+
+def _copied_distinct(values, changes, keys) -> dict[tuple[str, str], int]:
+    """Distinct numbers of columns of copies: those of the table, without those gone, with those that are new."""
+    columns = sorted({c for _, c in keys})
+    table = values.where(F.col("column").isin(columns)).groupBy("column", "number").agg(F.sum("n").alias("rows"))
+    whole = {r["column"]: r["n"] for r in table.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    moved = changes.where(F.col("column").isin(columns)).groupBy("copy", "column", "number").agg(F.sum("n").alias("n")).join(
+        table, ["column", "number"], "left")
+    known = F.coalesce(F.col("rows"), F.lit(0))
+    found = {(r["copy"], r["column"]): r["more"] for r in moved.groupBy("copy", "column").agg(
+        (F.count_if((known == 0) & (F.col("n") > 0)) - F.count_if((known > 0) & (known + F.col("n") <= 0))).alias("more")).collect()}
+    return {k: whole.get(k[1], 0) + found.get(k, 0) for k in keys}
