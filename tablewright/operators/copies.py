@@ -14,7 +14,8 @@ from tablewright.tables import col
 @dataclass(frozen=True)
 class Copies:
     """``before`` holds the rows that a copy changes as they stand in ``table``, ``after`` the same rows as they stand in the
-    copy, both with the copy's name in the column ``by``. All other rows of a copy are those of the table, whose row ids
+    copy, both with the copy's name in the column ``by``; they may hold the
+    facts of their rows as well. All other rows of a copy are those of the table, whose row ids
     are unique."""
 
     table: DataFrame
@@ -33,4 +34,4 @@ class Copies:
 
     def stacked(self) -> DataFrame:
         """All rows of all copies."""
-        return self.unchanged(self.of_each(self.table)).unionByName(self.after)
+        return self.unchanged(self.of_each(self.table)).unionByName(self.after.select(*[col(c) for c in self.table.columns], col(self.by)))

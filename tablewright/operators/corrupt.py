@@ -22,7 +22,7 @@ from tablewright.operators.cells import numbers, temporal, with_temporal
 from tablewright.operators.copies import Copies
 from tablewright.operators.cross import applicable, ISSUE_OF_RULE
 from tablewright.operators.duplicates import _HASH, among
-from tablewright.operators.events import Facts, dominant_labels, empty_events, labelled_cells, numbers_of, table_facts, usual_layouts
+from tablewright.operators.events import Facts, dominant_labels, empty_events, labelled_cells, numbers_of, row_facts, table_facts, usual_layouts
 from tablewright.operators.rules import CrossRule, Rules
 from tablewright.tables import col, column_groups, is_numeric_type, materialize
 
@@ -283,7 +283,7 @@ def corrupt(df: DataFrame, dataset: str, rules: Rules, family: str, rate: float
     return INJECTORS[family](df, dataset, rules, rate, seed)
 
 
-TRIAL, COPY = "_trial", "_copy"
+TRIAL, COPY, FAMILY = "_trial", "_copy", "_family"
 
 
 def corrupt_trials(df: DataFrame, dataset: str, rules: Rules, families: Sequence[str], rate: float = 0.01, seed: int = 42,
@@ -319,8 +319,10 @@ def _corrupt_apart(df: DataFrame, dataset: str, rules: Rules, families: Sequence
     names = [f"{families[n % every]}:{n // every}" for n in range(every * trials)]
     by_rate = [n for n in range(len(names)) if families[n % every] != "semantic_duplicate"]
     picked, pairs = [], {}
+    held = facts.rows is not None and set(df.columns) <= set(facts.rows.columns)
+    wide = facts.rows if held else df
     if by_rate:
-        copies = df.withColumn(COPY, F.explode(F.array(*[F.lit(n) for n in by_rate])))
+        copies = wide.withColumn(COPY, F.explode(F.array(*[F.lit(n) for n in by_rate])))
         picked.append(copies.where(mix(F.lit(seed) + F.col(COPY)) < int(rate * PRIME)))
     keys = [k for k in rules.keys if k in df.columns]
     for i, family in enumerate(families):
@@ -329,18 +331,21 @@ def _corrupt_apart(df: DataFrame, dataset: str, rules: Rules, families: Sequence
             pairs[i] = materialize(duplicate_pairs(numbered, keys, rate, F.lit(seed + i) + F.col(TRIAL) * every, (TRIAL,)), "pairs")
             taken = pairs[i].select((F.col(f"`by:{TRIAL}`") * every + i).alias(COPY), "dst")
             ids = materialize(taken.select(F.xxhash64("dst").alias(_HASH)).distinct(), "hashes")
-            rows = df.where(among(F.xxhash64(F.col(ROW_ID).cast("long")), ids))
-            picked.append(rows.join(taken, F.col(ROW_ID) == F.col("dst")).select(*[col(c) for c in df.columns], COPY))
+            rows = wide.where(among(F.xxhash64(F.col(ROW_ID).cast("long")), ids))
+            picked.append(rows.join(taken, F.col(ROW_ID) == F.col("dst")).drop("dst"))
     if not picked:
-        picked = [df.withColumn(COPY, F.lit(0)).where("false")]
-    rows = materialize(reduce(DataFrame.unionByName, picked), "picked")
+        picked = [wide.withColumn(COPY, F.lit(0)).where("false")]
+    rows = materialize(reduce(DataFrame.unionByName, picked).withColumn(FAMILY, F.col(COPY) % every), "picked", [FAMILY])
     bad, truth = [], []
     for i, family in enumerate(families):
-        mine = rows.where(F.col(COPY) % every == i).withColumn(TRIAL, F.floor(F.col(COPY) / every).cast("int")).drop(COPY)
+        mine = rows.where(F.col(FAMILY) == i).select(*[col(c) for c in df.columns], F.floor(F.col(COPY) / every).cast("int").alias(TRIAL))
         known = {"pairs": pairs.get(i)} if family == "semantic_duplicate" else {"whole": facts}
         found, real = INJECTORS[family](mine, dataset, rules, rate, F.lit(seed + i) + F.col(TRIAL) * every, (TRIAL,), **known)
         bad.append(_named(found, family))
         truth.append(_named(real, family))
-    before = rows.withColumn(TRIAL, F.element_at(F.array(*[F.lit(n) for n in names]), F.col(COPY) + 1)).drop(COPY)
-    after = materialize(reduce(DataFrame.unionByName, bad), "corrupted")
-    return Copies(df, TRIAL, tuple(names), before.select(*after.columns), after), reduce(DataFrame.unionByName, truth)
+    before = rows.withColumn(TRIAL, F.element_at(F.array(*[F.lit(n) for n in names]), F.col(COPY) + 1)).drop(COPY, FAMILY)
+    after = reduce(DataFrame.unionByName, bad)
+    if held:
+        after = row_facts(after, facts.ask, (TRIAL,), facts.ask.keys, keep=after.columns)
+    after = materialize(after, "corrupted")
+    return Copies(df, TRIAL, tuple(names), before, after), reduce(DataFrame.unionByName, truth)

@@ -12,10 +12,11 @@ from tablewright.constants import ROW_ID
 from tablewright.functions.text import plain_double
 from tablewright.operators.checks import AuditOptions, audit
 from tablewright.operators.corrupt import EXPECTED_ISSUES, INJECTORS, TRIAL, corrupt_trials, mix
+from tablewright.operators.duplicates import _HASH, among, hash_of
 from tablewright.operators.events import FAMILIES, _events, detect_events, empty_events, table_facts
 from tablewright.operators.profile import profile
 from tablewright.operators.rules import CrossRule, Rules, discover_rules, with_fallback_key
-from tablewright.tables import col, column_groups, data_columns, is_numeric_type, materialize, small_frame, together
+from tablewright.tables import col, column_groups, data_columns, is_numeric_type, materialize, rows_of_groups, small_frame, together
 
 _IDENTITY = ["dataset", "error_type", "columns", "members", "first_row", "last_row", "digest"]
 _OWNER = ["dataset", "error_type", "columns", "event_key"]
@@ -31,14 +32,27 @@ def event_sets(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per event (with the columns ``by``): dataset, family, columns, its set of rows, and ``same``.
 
     Two events have the same set of rows exactly if all of ``_IDENTITY`` and ``same`` are equal. Up to two rows the size
-    and the ends say that. Larger events whose size, ends and digest agree are compared by their members: those
-    that share all rows with the first of them have its name, the others are compared among themselves.
+    and the ends say that, and only the rows of larger events are gone through again. Larger events whose size, ends and
+    digest agree are compared by their members: those that share all rows with the first of them have its name, the others
+    are compared among themselves.
     """
     owner = [*by, *_OWNER]
-    members = materialize(events.select(*owner, "row_id").groupBy(*owner, "row_id").agg(F.lit(1).alias("one")).drop("one"), "members")
+    rows = materialize(events.select(*owner, "row_id"), "members")
+    counted = materialize(rows.groupBy(*owner).agg(
+        F.count("*").alias("n"), F.min("row_id").alias("first_row"), F.max("row_id").alias("last_row")), "ends")
+    one, two = F.col("first_row").eqNullSafe(F.col("last_row")), F.col("n") == 2
+    small = counted.where(one | two).withColumn("members", F.when(one, 1).otherwise(2).cast("long"))
+    parts = [small.select(*owner, "members", "first_row", "last_row", F.lit("").alias("digest"), F.lit("").alias("same"))]
+    large = counted.where(~(one | two)).select(*owner)
+    if large.isEmpty():
+        return parts[0]
+    hashes = materialize(large.select(hash_of(owner).alias(_HASH)).distinct(), "hashes")
+    found = rows_of_groups(rows.where(among(hash_of(owner), hashes)), materialize(large, "large"), owner)
+    members = materialize(found.groupBy(*owner, "row_id").agg(F.lit(1).alias("one")).drop("one"), "members")
     sizes = members.groupBy(*owner).agg(
         F.count("*").alias("members"), F.min("row_id").alias("first_row"), F.max("row_id").alias("last_row"), _digest().alias("digest"))
-    parts = [sizes.where("members <= 2").withColumn("same", F.lit(""))]
+    sizes = materialize(sizes, "sizes")
+    parts.append(sizes.where("members <= 2").withColumn("digest", F.lit("")).withColumn("same", F.lit("")))
     left = materialize(sizes.where("members > 2").withColumn("event", _name(owner)), "sets")
     while not left.isEmpty():
         firsts = left.groupBy(*_IDENTITY).agg(F.min("event").alias("same"))
@@ -75,12 +89,12 @@ def match_events(truth: DataFrame, baseline: DataFrame, detected: DataFrame, by:
         return stacked.select(F.lit(name).alias(side), *[col(b) for b in by], *_OWNER, "row_id")
 
     sets = event_sets(of(truth, "truth").unionByName(of(baseline, "baseline")).unionByName(of(detected, "found")), (side, *by))
-    sets = materialize(sets.select(side, *by, *identity).distinct(), "sides")
-    new = sets.where(col(side) == "found").join(sets.where(col(side) == "baseline").select(*identity), identity, "left_anti")
-    both = new.drop(side).withColumn("found", F.lit(True)).join(
-        sets.where(col(side) == "truth").drop(side).withColumn("real", F.lit(True)), [*by, *identity], "full_outer")
-    outcome = (F.when(F.col("found") & F.col("real"), "tp").when(F.col("found"), "fp").otherwise("fn"))
-    return both.select(*by, *_IDENTITY, outcome.alias("outcome"))
+    sides = sets.where(col(side) != "baseline").groupBy(*by, *identity).agg(
+        F.bool_or(col(side) == "found").alias("found"), F.bool_or(col(side) == "truth").alias("real"))
+    old = materialize(sets.where(col(side) == "baseline").select(*identity).distinct().withColumn("old", F.lit(True)), "old")
+    judged = sides.join(old, identity, "left").withColumn("found", F.col("found") & F.col("old").isNull()).where("found or real")
+    outcome = F.when(F.col("found") & F.col("real"), "tp").when(F.col("found"), "fp").otherwise("fn")
+    return judged.select(*by, *_IDENTITY, outcome.alias("outcome"))
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -136,9 +150,10 @@ def evaluate(
     raised an issue of the expected type.
     """
     apart = detect is detect_events and not with_audit
+    known = {}
     if apart:  # the table is read some seven times
-        df = materialize(df, "table")
-    known = {"facts": table_facts(df, rules, sorted({*detectors, *families}))} if apart else {}
+        facts = table_facts(df, rules, sorted({*detectors, *families}), wide=True)
+        df, known = facts.rows.select(*[col(c) for c in df.columns]), {"facts": facts}
     baseline, (bad, truth) = together(
         df.sparkSession, lambda: detect(df, dataset, rules, detectors, **known),
         lambda: corrupt_trials(df, dataset, rules, families, rate, seed, trials, apart, **known))

@@ -109,14 +109,16 @@ def asked(df: DataFrame, rules: Rules, families: Sequence[str], by: Sequence[str
 
 @dataclass(frozen=True)
 class Facts:
-    """Written facts of the rows of a table, and the hashes of its keys that several rows have."""
+    """Written facts of the rows of a table, with its own columns if ``wide``, and the hashes of its keys that several rows have."""
 
     rows: DataFrame | None
     hashes: DataFrame | None
+    ask: Asked | None = None
 
 
-def row_facts(df: DataFrame, ask: Asked, by: Sequence[str] = (), hashed: Sequence[str] = (), tokens: Sequence[str] = DISGUISED_NULLS) -> DataFrame:
-    """(by..., row id, ``_gone:c``, ``_number:c``, ``_label:c``, ``_broken:i``, hash of the columns ``hashed``) of every row: each cell
+def row_facts(df: DataFrame, ask: Asked, by: Sequence[str] = (), hashed: Sequence[str] = (), tokens: Sequence[str] = DISGUISED_NULLS,
+              keep: Sequence[str] = ()) -> DataFrame:
+    """(``keep`` or by..., row id, ``_gone:c``, ``_number:c``, ``_label:c``, ``_broken:i``, hash of the columns ``hashed``) of every row: each cell
     is parsed once."""
     typed = {c for c in (*ask.ranges, *ask.lows) if is_numeric_type(df.schema[c].dataType)}
     spelled = {*ask.text, *ask.ranges, *ask.lows, *ask.formats} - typed
@@ -131,18 +133,18 @@ def row_facts(df: DataFrame, ask: Asked, by: Sequence[str] = (), hashed: Sequenc
     late = {f"_gone:{c}": F.coalesce(F.lower(col(f"_text:{c}")).isin(*tokens), F.lit(False)) for c in ask.text}
     late |= {f"_label:{c}": classify_format(temporal(c)[0], kind, temporal(c)[2], temporal(c)[1]) for c, kind in ask.formats.items()}
     late |= {f"_broken:{i}": cross_rules.violation(rows, r) for i, r in enumerate(ask.cross)}
-    kept = [*by, ROW_ID, *[n for n in read if n.startswith("_number:")]]
+    kept = [*(keep or (*by, ROW_ID)), *[n for n in read if n.startswith("_number:")]]
     return rows.select(*[col(c) for c in kept], *[v.alias(n) for n, v in late.items()], *([hash_of(hashed).alias(KEY_HASH)] if hashed else []))
 
 
 def table_facts(df: DataFrame, rules: Rules, families: Sequence[str] = FAMILIES, by: Sequence[str] = (),
-                tokens: Sequence[str] = DISGUISED_NULLS) -> Facts:
-    """The facts of a table, or of tables stacked in it, read once and written."""
+                tokens: Sequence[str] = DISGUISED_NULLS, wide: bool = False) -> Facts:
+    """The facts of a table, or of tables stacked in it, read once and written; ``wide`` with the columns of the table."""
     ask = asked(df, rules, families, by)
-    if not (ask.of_rows or ask.keys):
+    if not (ask.of_rows or ask.keys or wide):
         return Facts(None, None)
-    rows = materialize(row_facts(df, ask, by, [*by, *ask.keys] if ask.keys else [], tokens), "facts")
-    return Facts(rows, repeated(rows, KEY_HASH) if ask.keys else None)
+    rows = materialize(row_facts(df, ask, by, [*by, *ask.keys] if ask.keys else [], tokens, df.columns if wide else [*by, ROW_ID]), "facts")
+    return Facts(rows, repeated(rows, KEY_HASH) if ask.keys else None, ask)
 
 
 def numbers_of(facts: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -295,8 +297,7 @@ def _events_of_copies(copies: Copies, dataset: str, rules: Rules, families: Sequ
     if not (ask.of_rows or ask.keys):
         return empty_events(copies.after, by)
     facts = table_facts(df, rules, families, (), tokens) if facts is None else facts
-    before, after = together(df.sparkSession, *[
-        lambda rows=rows: materialize(row_facts(rows, ask, by, ask.keys, tokens), "facts") for rows in (copies.before, copies.after)])
+    before, after = (_facts_of(rows, ask, by, tokens) for rows in (copies.before, copies.after))
     changes = before.withColumn("n", F.lit(-1)).unionByName(after.withColumn("n", F.lit(1)))
     fences, dominant, parts = together(
         df.sparkSession,
@@ -311,6 +312,13 @@ def _events_of_copies(copies: Copies, dataset: str, rules: Rules, families: Sequ
     return reduce(DataFrame.unionByName, parts)
 
 
+def _facts_of(rows: DataFrame, ask: Asked, by: Sequence[str], tokens: Sequence[str]) -> DataFrame:
+    """The facts of changed rows, which they may hold already."""
+    facts = row_facts(rows, ask, by, ask.keys, tokens)
+    held = set(facts.columns) <= set(rows.columns)
+    return rows.select(*[col(c) for c in facts.columns]) if held else materialize(facts, "facts")
+
+
 def _near_limits(ask: Asked, fences: dict[tuple, tuple], dominant: dict[tuple, tuple]) -> Column:
     """True for all rows of a table that have an event in some copy: outside the tightest fences, or not in all usual layouts."""
     found = [condition for condition, family, *_ in judgements(ask) if family not in ("iqr_outlier", "mixed_date_format")]

@@ -32,15 +32,15 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tablewright/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+def materialize(df: DataFrame, label: str = "table", folders: Sequence[str] = ()) -> DataFrame:
     """Write the table once as parquet and read it back.
 
     Cuts lineage like a checkpoint, survives lost executors, and later scans still prune
-    columns and push filters down.
+    columns and push filters down. The rows of each value of the columns ``folders`` are written apart.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+    df.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy(*folders).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
